@@ -65,8 +65,8 @@ def hhmm_to_seconds(hhmm: str) -> int:
     return int(h) * 3600 + int(m) * 60
 
 
-def date_parts(d) -> list[Column]:
+def date_parts(d, dtype: str = "int") -> list[Column]:
     """year, quarter, month, day of a date (EXTRACT / TO_CHAR(d,'Q'))."""
     c = _col(d)
-    return [F.year(c).alias("year"), F.quarter(c).alias("quarter"),
-            F.month(c).alias("month"), F.dayofmonth(c).alias("day")]
+    return [F.year(c).cast(dtype).alias("year"), F.quarter(c).cast(dtype).alias("quarter"),
+            F.month(c).cast(dtype).alias("month"), F.dayofmonth(c).cast(dtype).alias("day")]

@@ -58,3 +58,220 @@ SQL["top_traded"] = w(TRADES) + """
 SELECT symbol, CAST(sum(quantity) AS BIGINT) AS total_qty,
        CAST(sum(quantity * trade_price) AS DECIMAL(38,2)) AS total_value
 FROM trades GROUP BY symbol ORDER BY total_qty DESC, symbol"""
+
+OPEN = """open_orders AS (
+  SELECT *, quantity - filled_quantity AS open_qty FROM book
+  WHERE status IN ('PENDING', 'OPEN') AND side IN ('BUY', 'SELL')
+    AND quantity - filled_quantity > 0 AND price IS NOT NULL AND symbol IS NOT NULL)"""
+
+# price-time match as an interval-overlap join (independent of the sweep)
+MATCH = OPEN + """,
+mb AS (SELECT order_id, customer_id, symbol, price, open_qty,
+              sum(open_qty) OVER (PARTITION BY symbol ORDER BY price DESC, created_at, order_id
+                                  ROWS UNBOUNDED PRECEDING) AS hi
+       FROM open_orders WHERE side = 'BUY'),
+ms AS (SELECT order_id, customer_id, symbol, price, open_qty,
+              sum(open_qty) OVER (PARTITION BY symbol ORDER BY price ASC, created_at, order_id
+                                  ROWS UNBOUNDED PRECEDING) AS hi
+       FROM open_orders WHERE side = 'SELL'),
+mx AS (SELECT mb.symbol, mb.order_id AS buy_order_id, ms.order_id AS sell_order_id,
+              mb.customer_id AS buyer_id, ms.customer_id AS seller_id,
+              least(mb.hi, ms.hi) - greatest(mb.hi - mb.open_qty, ms.hi - ms.open_qty) AS quantity,
+              ms.price AS trade_price, least(mb.hi, ms.hi) AS pos
+       FROM mb JOIN ms ON mb.symbol = ms.symbol AND mb.price >= ms.price
+        AND least(mb.hi, ms.hi) > greatest(mb.hi - mb.open_qty, ms.hi - ms.open_qty)),
+matched AS (SELECT row_number() OVER (ORDER BY symbol, pos) AS trade_id, buy_order_id, sell_order_id,
+                   buyer_id, seller_id, symbol, CAST(quantity AS BIGINT) AS quantity, trade_price FROM mx)"""
+
+# holdings fold as a recursive CTE over the legs of each (customer, symbol)
+HOLDINGS = """legs AS (
+  SELECT buyer_id AS customer_id, symbol, trade_id, 0 AS leg, quantity AS qty,
+         CAST(trade_price AS DOUBLE) AS px FROM trades
+  UNION ALL
+  SELECT seller_id, symbol, trade_id, 1, quantity, CAST(trade_price AS DOUBLE) FROM trades),
+first_buy AS (SELECT customer_id, symbol, min(trade_id) AS t0 FROM legs WHERE leg = 0 GROUP BY customer_id, symbol),
+seq AS (SELECT l.*, row_number() OVER (PARTITION BY l.customer_id, l.symbol ORDER BY l.trade_id, l.leg) AS k
+        FROM legs l JOIN first_buy f ON l.customer_id = f.customer_id AND l.symbol = f.symbol
+        WHERE l.trade_id >= f.t0),
+fold AS (SELECT customer_id, symbol, k, qty AS q, px AS avg FROM seq WHERE k = 1
+  UNION ALL
+  SELECT r.customer_id, r.symbol, s.k,
+         CASE WHEN s.leg = 0 THEN r.q + s.qty ELSE r.q - s.qty END,
+         CASE WHEN s.leg = 0 THEN
+              CASE WHEN r.q + s.qty = 0 THEN NULL
+                   ELSE (CAST(r.q AS DOUBLE) * coalesce(r.avg, 0.0) + CAST(s.qty AS DOUBLE) * s.px)
+                        / CAST(r.q + s.qty AS DOUBLE) END
+              ELSE r.avg END
+  FROM fold r JOIN seq s ON s.customer_id = r.customer_id AND s.symbol = r.symbol AND s.k = r.k + 1),
+holdings AS (SELECT customer_id, symbol, CAST(q AS BIGINT) AS quantity, avg AS average_cost FROM fold
+             QUALIFY k = max(k) OVER (PARTITION BY customer_id, symbol))"""
+
+LATEST = """latest AS (SELECT symbol, max(price_date) AS price_date,
+                  arg_max(close_price, price_date) AS close_price FROM prices GROUP BY symbol)"""
+
+RETURNS = """rets AS (SELECT symbol, price_date,
+         CAST(close_price AS DOUBLE) / lag(CAST(close_price AS DOUBLE)) OVER (PARTITION BY symbol ORDER BY price_date) - 1.0 AS ret
+       FROM prices),
+rets_nn AS (SELECT * FROM rets WHERE ret IS NOT NULL)"""
+
+SETTLE = """
+SELECT symbol, CAST(trade_time AS DATE) AS trade_date, CAST(sum(quantity) AS BIGINT) AS total_qty,
+       CAST(sum(quantity * trade_price) AS DECIMAL(38,2)) AS total_value
+FROM trades GROUP BY symbol, CAST(trade_time AS DATE)"""
+
+SQL["top_traded_day"] = w(TRADES, "d AS (SELECT max(CAST(trade_time AS DATE)) AS day FROM trades)") + """
+SELECT symbol, CAST(sum(quantity) AS BIGINT) AS total_qty,
+       CAST(sum(quantity * trade_price) AS DECIMAL(38,2)) AS total_value
+FROM trades WHERE trade_time >= (SELECT day FROM d) AND trade_time < (SELECT day FROM d) + INTERVAL 1 DAY
+GROUP BY symbol ORDER BY total_qty DESC, symbol"""
+
+SQL["settle_all"] = w(TRADES) + SETTLE
+SQL["settle_day"] = w(TRADES) + SETTLE
+
+SQL["settlement_status"] = w(TRADES) + """
+SELECT row_number() OVER (ORDER BY d) AS settlement_id, d AS settlement_date, 'COMPLETED' AS status
+FROM (SELECT DISTINCT CAST(trade_time AS DATE) AS d FROM trades)"""
+
+SQL["holdings"] = "WITH RECURSIVE " + TRADES + ",\n" + HOLDINGS + "\nSELECT * FROM holdings"
+
+SQL["ledger_daily"] = w(TRADES) + """,
+flows AS (SELECT buyer_id AS customer_id, trade_time, -(quantity * trade_price) AS flow FROM trades
+          UNION ALL SELECT seller_id, trade_time, quantity * trade_price FROM trades),
+daily AS (SELECT customer_id, CAST(trade_time AS DATE) AS trade_date, CAST(sum(flow) AS DECIMAL(38,2)) AS cash_flow
+          FROM flows GROUP BY customer_id, CAST(trade_time AS DATE))
+SELECT d.customer_id, d.trade_date, d.cash_flow,
+       CAST(coalesce(CAST(c.c_acctbal AS DECIMAL(18,2)), 0)
+            + sum(d.cash_flow) OVER (PARTITION BY d.customer_id ORDER BY d.trade_date ROWS UNBOUNDED PRECEDING)
+            AS DECIMAL(38,2)) AS balance
+FROM daily d LEFT JOIN customer c ON c.c_custkey = d.customer_id"""
+
+SQL["latest_price"] = w(PRICES, LATEST) + "SELECT * FROM latest"
+
+SQL["unrealized_pnl"] = "WITH RECURSIVE " + PRICES + ",\n" + HOLDINGS + ",\n" + LATEST + """
+SELECT h.customer_id, h.symbol, h.quantity, h.average_cost, l.close_price AS current_price,
+       h.quantity * (CAST(l.close_price AS DOUBLE) - h.average_cost) AS unrealized_pnl
+FROM holdings h LEFT JOIN latest l ON l.symbol = h.symbol"""
+
+SQL["customer_pnl"] = SQL["unrealized_pnl"] + """
+WHERE h.customer_id = (SELECT min(buyer_id) FROM trades)"""
+
+SQL["portfolio"] = "WITH RECURSIVE " + PRICES + ",\n" + HOLDINGS + ",\n" + LATEST + """
+SELECT h.customer_id, h.symbol, h.quantity, h.average_cost, l.close_price AS current_price,
+       CAST(h.quantity * l.close_price AS DECIMAL(38,2)) AS market_value
+FROM holdings h LEFT JOIN latest l ON l.symbol = h.symbol"""
+
+SQL["breach_position"] = "WITH RECURSIVE " + PRICES + ",\n" + HOLDINGS + ",\n" + LATEST + """
+SELECT customer_id, symbol, quantity, current_price, market_value AS position_value FROM (
+  SELECT h.customer_id, h.symbol, h.quantity, l.close_price AS current_price,
+         CAST(h.quantity * l.close_price AS DECIMAL(38,2)) AS market_value
+  FROM holdings h LEFT JOIN latest l ON l.symbol = h.symbol)
+WHERE abs(market_value) > 1000000"""
+
+SQL["breach_daily_loss"] = w(PRICES) + """,
+t AS (SELECT t.*, p.close_price FROM trades t JOIN prices p
+        ON p.symbol = t.symbol AND p.price_date = CAST(t.trade_time AS DATE)),
+l AS (SELECT buyer_id AS customer_id, CAST(trade_time AS DATE) AS trade_date,
+             quantity * (close_price - trade_price) AS pnl FROM t
+      UNION ALL
+      SELECT seller_id, CAST(trade_time AS DATE), -(quantity * (close_price - trade_price)) FROM t)
+SELECT customer_id, trade_date, CAST(sum(pnl) AS DECIMAL(38,2)) AS daily_pnl FROM l
+GROUP BY customer_id, trade_date HAVING sum(pnl) < -50000"""
+
+SQL["risk_volatility"] = w(PRICES, RETURNS) + """
+SELECT symbol, round(stddev_samp(ret), 6) AS volatility, count(*) AS n_returns FROM rets_nn GROUP BY symbol"""
+
+SQL["risk_var95"] = w(PRICES, RETURNS) + """
+SELECT symbol, round(-quantile_cont(ret, 0.05), 6) AS var_95, count(*) AS n_returns FROM rets_nn GROUP BY symbol"""
+
+SQL["breach_volatility"] = w(PRICES, RETURNS) + """
+SELECT symbol, round(stddev_samp(ret), 6) AS volatility, count(*) AS n_returns FROM rets_nn GROUP BY symbol
+HAVING stddev_samp(ret) > 0.05"""
+
+SQL["price_history"] = w(PRICES) + """
+SELECT * FROM prices
+WHERE price_date > (SELECT max(price_date) FROM prices) - INTERVAL 12 MONTH
+  AND price_date <= (SELECT max(price_date) FROM prices)"""
+
+SQL["scalar_calendar"] = w(PRICES) + """
+SELECT price_date, year(price_date) AS year, quarter(price_date) AS quarter, month(price_date) AS month,
+       day(price_date) AS day, strftime(price_date, '%Y-%m-%d') AS date_text,
+       CAST(price_date - INTERVAL 1 DAY AS DATE) AS prev_day,
+       CAST(date_trunc('month', price_date) AS DATE) AS month_start
+FROM (SELECT DISTINCT price_date FROM prices)"""
+
+SQL["open_book"] = w(BOOK, OPEN) + "SELECT * FROM open_orders"
+
+SQL["book_ranked"] = w(BOOK, OPEN) + """
+SELECT order_id, symbol, side, price, open_qty,
+       row_number() OVER w AS priority,
+       sum(open_qty) OVER (w ROWS UNBOUNDED PRECEDING) AS cum_qty
+FROM open_orders
+WINDOW w AS (PARTITION BY symbol, side ORDER BY CASE WHEN side = 'BUY' THEN -price ELSE price END, created_at, order_id)"""
+
+SQL["match_price_time"] = w(BOOK, MATCH) + "SELECT * FROM matched"
+
+SQL["match_best_buy"] = w(BOOK, OPEN) + """,
+best AS (SELECT * FROM open_orders WHERE side = 'BUY'
+         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY price DESC, created_at, order_id) = 1)
+SELECT b.order_id AS buy_order_id, s.order_id AS sell_order_id, b.customer_id AS buyer_id,
+       s.customer_id AS seller_id, s.symbol, least(b.open_qty, s.open_qty) AS quantity, s.price AS trade_price
+FROM best b JOIN open_orders s ON s.symbol = b.symbol AND s.side = 'SELL' AND b.price >= s.price"""
+
+SQL["orders_after_match"] = w(BOOK, MATCH) + """,
+fills AS (SELECT order_id, CAST(sum(quantity) AS BIGINT) AS traded FROM (
+            SELECT buy_order_id AS order_id, quantity FROM matched
+            UNION ALL SELECT sell_order_id, quantity FROM matched) GROUP BY order_id)
+SELECT o.order_id, o.customer_id, o.symbol, o.side, o.quantity,
+       CASE WHEN f.traded IS NULL THEN o.filled_quantity ELSE o.filled_quantity + f.traded END AS filled_quantity,
+       o.price,
+       CASE WHEN f.traded IS NULL THEN o.status
+            WHEN o.filled_quantity + f.traded >= o.quantity THEN 'FILLED' ELSE 'PARTIAL' END AS status,
+       o.created_at
+FROM book o LEFT JOIN fills f ON f.order_id = o.order_id"""
+
+BARS = """
+SELECT symbol, date_trunc('{unit}', ts) AS minute_ts,
+       arg_min(price, (ts, seq)) AS open_price, max(price) AS high_price, min(price) AS low_price,
+       arg_max(price, (ts, seq)) AS close_price, count(*) AS volume, count(*) AS tick_count{extra}
+FROM ticks GROUP BY symbol, date_trunc('{unit}', ts)"""
+
+SQL["ticks_clean"] = w(TICKS) + "SELECT * FROM ticks WHERE length(symbol) > 0 AND price IS NOT NULL"
+SQL["bars_1m"] = w(TICKS) + BARS.format(unit="minute", extra="")
+SQL["bars_1h"] = w(TICKS) + BARS.format(unit="hour", extra="")
+SQL["bars_1m_size"] = w(TICKS) + BARS.format(unit="minute", extra=", CAST(sum(size) AS BIGINT) AS traded_size")
+
+SQL["minute_volume"] = w(TICKS) + """
+SELECT date_trunc('minute', ts) AS minute_ts, count(*) AS tick_count, CAST(sum(size) AS BIGINT) AS total_size,
+       count(DISTINCT symbol) AS symbols
+FROM ticks GROUP BY date_trunc('minute', ts)"""
+
+ROLLING = """rolling AS (
+  SELECT symbol, ts AS risk_ts, seq, tick_no, score FROM (
+    SELECT symbol, ts, seq, row_number() OVER (PARTITION BY symbol ORDER BY ts, seq) AS tick_no,
+           coalesce(stddev_samp(price) OVER (PARTITION BY symbol ORDER BY ts, seq
+                                             ROWS BETWEEN 199 PRECEDING AND CURRENT ROW), 0) * 1000 AS score
+    FROM ticks)
+  WHERE tick_no >= 50 AND (tick_no >= 200 OR tick_no % 50 = 0))"""
+
+RISK_DAILY = """risk_daily AS (
+  SELECT symbol, min(risk_ts) AS risk_ts, round(arg_max(score, (risk_ts, seq)), 6) AS risk_score,
+         'v1' AS model_version
+  FROM rolling GROUP BY symbol, CAST(risk_ts AS DATE))"""
+
+SQL["risk_rolling"] = w(TICKS, ROLLING) + """
+SELECT symbol, risk_ts, seq, tick_no, round(score, 6) AS risk_score FROM rolling"""
+
+SQL["risk_daily"] = w(TICKS, ROLLING, RISK_DAILY) + "SELECT * FROM risk_daily"
+
+SQL["risk_recent"] = w(TICKS, ROLLING, RISK_DAILY) + """
+SELECT symbol, risk_ts, risk_score FROM risk_daily
+WHERE risk_ts >= (SELECT CAST(max(ts) AS DATE) FROM ticks) - INTERVAL 1 DAY
+ORDER BY risk_score DESC, symbol, risk_ts"""
+
+SQL["ticks_from"] = w(TICKS) + """
+SELECT * FROM ticks WHERE ts >= (SELECT CAST(max(ts) AS DATE) FROM ticks) - INTERVAL 7 DAY"""
+
+SQL["ticks_in_session"] = w(TICKS) + """
+SELECT * FROM ticks
+WHERE hour(ts) * 3600 + minute(ts) * 60 + second(ts) >= 34200
+  AND hour(ts) * 3600 + minute(ts) * 60 + second(ts) < 57600"""

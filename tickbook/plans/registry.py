@@ -2,16 +2,23 @@
 
 Every query reads the given tables (through the adapters in
 ``sources.fixtures``) in full; parameters such as ``as_of`` default to values
-derived from the data, never to a subset of it.
+derived from the data (one scalar each), never to a subset of it.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import reports
+from ..functions.calendar import as_date, date_parts
+from ..operators import bars as bars_op
+from ..operators import holdings as holdings_op
+from ..operators import matching, reports, risk, settlement
+from ..operators.upsert import upsert
+from ..session import scratch_path
 from ..sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +31,214 @@ def query(name: str):
     return deco
 
 
+def _max_day(df: DataFrame, col: str) -> dt.date:
+    return as_date(df.agg(F.max(col)).first()[0])
+
+
+def _r6(df: DataFrame, *cols: str) -> DataFrame:
+    """Order-dependent floating point sums are compared at 6 decimals."""
+    for c in cols:
+        df = df.withColumn(c, F.round(c, 6))
+    return df
+
+
+# ---- trades ----------------------------------------------------------------
+
 @query("top_traded")
 def q_top_traded(spark, sf_dir):
     return reports.top_traded(fx.trades(spark, sf_dir))
+
+
+@query("top_traded_day")
+def q_top_traded_day(spark, sf_dir):
+    t = fx.trades(spark, sf_dir)
+    return reports.top_traded(t, day=_max_day(t, "trade_time"))
+
+
+@query("settle_all")
+def q_settle_all(spark, sf_dir):
+    return settlement.trade_totals(fx.trades(spark, sf_dir))
+
+
+@query("settle_day")
+def q_settle_day(spark, sf_dir):
+    """Settle the last trading day on top of a table holding all earlier days, twice
+    (the second run must not change anything)."""
+    t = fx.trades(spark, sf_dir)
+    day = _max_day(t, "trade_time")
+    start = dt.datetime.combine(day, dt.time())
+    path = scratch_path(spark, "fact_trade_agg")
+    settlement.trade_totals(t.filter(F.col("trade_time") < F.lit(start).cast("timestamp_ntz"))) \
+        .write.parquet(path)
+    once = settlement.settle(spark.read.parquet(path), t, day)
+    path2 = scratch_path(spark, "fact_trade_agg")
+    once.write.parquet(path2)
+    return settlement.settle(spark.read.parquet(path2), t, day)
+
+
+@query("settlement_status")
+def q_settlement_status(spark, sf_dir):
+    return settlement.settlement_log(fx.trades(spark, sf_dir))
+
+
+@query("holdings")
+def q_holdings(spark, sf_dir):
+    return holdings_op.holdings(fx.trades(spark, sf_dir))
+
+
+@query("ledger_daily")
+def q_ledger_daily(spark, sf_dir):
+    return settlement.ledger_daily(fx.trades(spark, sf_dir), fx.customers(spark, sf_dir))
+
+
+# ---- trades + prices ---------------------------------------------------------
+
+def _holdings_prices(spark, sf_dir):
+    return holdings_op.holdings(fx.trades(spark, sf_dir)), fx.prices(spark, sf_dir)
+
+
+@query("latest_price")
+def q_latest_price(spark, sf_dir):
+    return reports.latest_price(fx.prices(spark, sf_dir))
+
+
+@query("unrealized_pnl")
+def q_unrealized_pnl(spark, sf_dir):
+    return reports.unrealized_pnl(*_holdings_prices(spark, sf_dir))
+
+
+@query("customer_pnl")
+def q_customer_pnl(spark, sf_dir):
+    cid = fx.trades(spark, sf_dir).agg(F.min("buyer_id")).first()[0]
+    h, p = _holdings_prices(spark, sf_dir)
+    return reports.customer_pnl(spark, h, p, int(cid))
+
+
+@query("portfolio")
+def q_portfolio(spark, sf_dir):
+    return reports.portfolio(*_holdings_prices(spark, sf_dir))
+
+
+@query("breach_position")
+def q_breach_position(spark, sf_dir):
+    return reports.breach_position(*_holdings_prices(spark, sf_dir))
+
+
+@query("breach_daily_loss")
+def q_breach_daily_loss(spark, sf_dir):
+    return reports.breach_daily_loss(fx.trades(spark, sf_dir), fx.prices(spark, sf_dir))
+
+
+# ---- prices ----------------------------------------------------------------
+
+@query("risk_volatility")
+def q_risk_volatility(spark, sf_dir):
+    return _r6(risk.volatility(fx.prices(spark, sf_dir)), "volatility")
+
+
+@query("risk_var95")
+def q_risk_var95(spark, sf_dir):
+    return _r6(risk.var95(fx.prices(spark, sf_dir)), "var_95")
+
+
+@query("breach_volatility")
+def q_breach_volatility(spark, sf_dir):
+    return _r6(risk.breach_volatility(fx.prices(spark, sf_dir)), "volatility")
+
+
+@query("price_history")
+def q_price_history(spark, sf_dir):
+    p = fx.prices(spark, sf_dir)
+    return reports.price_history(p, _max_day(p, "price_date"))
+
+
+@query("scalar_calendar")
+def q_scalar_calendar(spark, sf_dir):
+    d = fx.prices(spark, sf_dir).select("price_date").distinct()
+    return d.select("price_date", *date_parts("price_date", "bigint"),
+                    F.date_format("price_date", "yyyy-MM-dd").alias("date_text"),
+                    F.date_sub("price_date", 1).alias("prev_day"),
+                    F.trunc("price_date", "month").alias("month_start"))
+
+
+# ---- order book ----------------------------------------------------------------
+
+@query("open_book")
+def q_open_book(spark, sf_dir):
+    return matching.open_book(fx.book(spark, sf_dir))
+
+
+@query("book_ranked")
+def q_book_ranked(spark, sf_dir):
+    return matching.book_ranked(fx.book(spark, sf_dir))
+
+
+@query("match_price_time")
+def q_match_price_time(spark, sf_dir):
+    return matching.match_price_time(fx.book(spark, sf_dir))
+
+
+@query("match_best_buy")
+def q_match_best_buy(spark, sf_dir):
+    return matching.match_best_buy(fx.book(spark, sf_dir))
+
+
+@query("orders_after_match")
+def q_orders_after_match(spark, sf_dir):
+    b = fx.book(spark, sf_dir)
+    return matching.orders_after_match(b, matching.match_price_time(b, with_ids=False))
+
+
+# ---- ticks ----------------------------------------------------------------
+
+@query("ticks_clean")
+def q_ticks_clean(spark, sf_dir):
+    return bars_op.clean_ticks(fx.ticks(spark, sf_dir))
+
+
+@query("bars_1m")
+def q_bars_1m(spark, sf_dir):
+    return bars_op.bars(fx.ticks(spark, sf_dir))
+
+
+@query("bars_1h")
+def q_bars_1h(spark, sf_dir):
+    return bars_op.bars(fx.ticks(spark, sf_dir), unit="hour")
+
+
+@query("bars_1m_size")
+def q_bars_1m_size(spark, sf_dir):
+    return bars_op.bars(fx.ticks(spark, sf_dir), with_size=True)
+
+
+@query("minute_volume")
+def q_minute_volume(spark, sf_dir):
+    return reports.minute_volume(fx.ticks(spark, sf_dir))
+
+
+@query("risk_rolling")
+def q_risk_rolling(spark, sf_dir):
+    return _r6(risk.risk_rolling(fx.ticks(spark, sf_dir)), "risk_score")
+
+
+@query("risk_daily")
+def q_risk_daily(spark, sf_dir):
+    return _r6(risk.risk_daily(risk.risk_rolling(fx.ticks(spark, sf_dir))), "risk_score")
+
+
+@query("risk_recent")
+def q_risk_recent(spark, sf_dir):
+    t = fx.ticks(spark, sf_dir)
+    daily = _r6(risk.risk_daily(risk.risk_rolling(t)), "risk_score")
+    return reports.risk_recent(daily, _max_day(t, "ts"))
+
+
+@query("ticks_from")
+def q_ticks_from(spark, sf_dir):
+    t = fx.ticks(spark, sf_dir)
+    return reports.ticks_from(t, _max_day(t, "ts") - dt.timedelta(days=7))
+
+
+@query("ticks_in_session")
+def q_ticks_in_session(spark, sf_dir):
+    return reports.ticks_in_session(fx.ticks(spark, sf_dir))
