@@ -275,3 +275,80 @@ SQL["ticks_in_session"] = w(TICKS) + """
 SELECT * FROM ticks
 WHERE hour(ts) * 3600 + minute(ts) * 60 + second(ts) >= 34200
   AND hour(ts) * 3600 + minute(ts) * 60 + second(ts) < 57600"""
+
+STAGED = PRICES + """,
+staged AS (
+  SELECT symbol, price_date AS trade_date, CAST(open_price AS DOUBLE) AS open_price,
+         CAST(high_price AS DOUBLE) AS high_price, CAST(low_price AS DOUBLE) AS low_price,
+         CAST(close_price AS DOUBLE) AS close_price, CAST(adj_close AS DOUBLE) AS adj_close,
+         CASE WHEN dayofyear(price_date) % 31 = 11 THEN 0 ELSE volume END AS volume
+  FROM prices WHERE dayofyear(price_date) % 31 NOT IN (7, 19))"""
+
+SQL["stage_prices"] = w(STAGED) + "SELECT * FROM staged"
+
+SQL["stage_rejects"] = w(PRICES) + """
+SELECT symbol, price_date AS trade_date,
+       CASE dayofyear(price_date) % 31 WHEN 7 THEN 'open_price' ELSE 'close_price' END AS reason
+FROM prices WHERE dayofyear(price_date) % 31 IN (7, 19)"""
+
+SQL["export_prices_roundtrip"] = w(PRICES) + """
+SELECT price_date AS trade_date, symbol, symbol AS file_symbol, open_price, high_price, low_price,
+       close_price, adj_close, volume FROM prices"""
+
+DIMS = """syms AS (SELECT DISTINCT symbol FROM staged),
+dim_symbol AS (SELECT row_number() OVER (ORDER BY symbol) AS symbol_id, symbol,
+                      symbol || ' Inc.' AS company_name FROM syms),
+dates AS (SELECT DISTINCT trade_date FROM staged),
+dim_date AS (SELECT row_number() OVER (ORDER BY trade_date) AS date_id, trade_date,
+                    CAST(year(trade_date) AS INTEGER) AS year, CAST(quarter(trade_date) AS INTEGER) AS quarter,
+                    CAST(month(trade_date) AS INTEGER) AS month, CAST(day(trade_date) AS INTEGER) AS day FROM dates)"""
+
+SQL["dim_symbol"] = w(STAGED, """syms AS (SELECT DISTINCT symbol FROM staged),
+seed AS (SELECT row_number() OVER (ORDER BY symbol) AS symbol_id, symbol FROM syms WHERE symbol < 'Brand#2'),
+added AS (SELECT (SELECT coalesce(max(symbol_id), 0) FROM seed) + row_number() OVER (ORDER BY symbol) AS symbol_id,
+                 symbol FROM syms WHERE symbol NOT IN (SELECT symbol FROM seed))""") + """
+SELECT symbol_id, symbol, symbol || ' Inc.' AS company_name FROM seed
+UNION ALL SELECT symbol_id, symbol, symbol || ' Inc.' FROM added"""
+
+SQL["dim_date"] = w(STAGED, """dates AS (SELECT DISTINCT trade_date FROM staged),
+seed AS (SELECT row_number() OVER (ORDER BY trade_date) AS date_id, trade_date FROM dates
+         WHERE trade_date < DATE '1998-01-01'),
+added AS (SELECT (SELECT coalesce(max(date_id), 0) FROM seed) + row_number() OVER (ORDER BY trade_date) AS date_id,
+                 trade_date FROM dates WHERE trade_date NOT IN (SELECT trade_date FROM seed)),
+d AS (SELECT * FROM seed UNION ALL SELECT * FROM added)""") + """
+SELECT date_id, trade_date, CAST(year(trade_date) AS INTEGER) AS year, CAST(quarter(trade_date) AS INTEGER) AS quarter,
+       CAST(month(trade_date) AS INTEGER) AS month, CAST(day(trade_date) AS INTEGER) AS day FROM d"""
+
+FACT_DAILY = """
+SELECT row_number() OVER (ORDER BY d.date_id, s.symbol_id) AS fact_id, s.symbol_id, d.date_id,
+       st.open_price, st.high_price, st.low_price, st.close_price, st.adj_close, st.volume
+FROM staged st JOIN dim_symbol s ON s.symbol = st.symbol JOIN dim_date d ON d.trade_date = st.trade_date"""
+
+SQL["fact_price_daily"] = w(STAGED, DIMS) + FACT_DAILY
+SQL["fact_price_daily_incremental"] = w(STAGED, DIMS) + FACT_DAILY
+
+SQL["fact_price_monthly"] = w(STAGED, DIMS) + """
+SELECT s.symbol_id, CAST(year(st.trade_date) AS INTEGER) AS year, CAST(month(st.trade_date) AS INTEGER) AS month,
+       CAST(sum(CAST(st.open_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_open,
+       CAST(sum(CAST(st.close_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_close,
+       CAST(sum(CAST(st.high_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_high,
+       CAST(sum(CAST(st.low_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_low,
+       CAST(sum(st.volume) AS BIGINT) AS total_volume
+FROM staged st JOIN dim_symbol s ON s.symbol = st.symbol
+GROUP BY s.symbol_id, year(st.trade_date), month(st.trade_date)"""
+
+SQL["price_upsert"] = w(STAGED, """seed AS (
+  SELECT symbol, price_date, CAST(open_price AS DOUBLE) AS open_price, CAST(high_price AS DOUBLE) AS high_price,
+         CAST(low_price AS DOUBLE) AS low_price, CAST(close_price AS DOUBLE) AS close_price,
+         CAST(adj_close AS DOUBLE) AS adj_close, volume
+  FROM prices WHERE price_date <= DATE '1998-06-30')""") + """
+SELECT symbol, trade_date AS price_date, open_price, high_price, low_price, close_price, adj_close, volume FROM staged
+UNION ALL
+SELECT * FROM seed s WHERE NOT EXISTS (SELECT 1 FROM staged t WHERE t.symbol = s.symbol AND t.trade_date = s.price_date)"""
+
+SQL["bars_upsert"] = w(TICKS, """tgt AS (""" + BARS.format(unit="minute", extra="").replace(
+    "FROM ticks", "FROM ticks WHERE ts < TIMESTAMP '2024-01-16 00:00:30'") + """),
+src AS (""" + BARS.format(unit="minute", extra="").replace(
+    "FROM ticks", "FROM ticks WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'") + ")") + """
+SELECT * FROM src
+UNION ALL SELECT * FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.symbol = t.symbol AND s.minute_ts = t.minute_ts)"""

@@ -242,3 +242,123 @@ def q_ticks_from(spark, sf_dir):
 @query("ticks_in_session")
 def q_ticks_in_session(spark, sf_dir):
     return reports.ticks_in_session(fx.ticks(spark, sf_dir))
+
+
+# ---- staging and star schema ---------------------------------------------------
+
+# Fixed seed cut-offs: the target tables of the incremental loads start out
+# holding the rows before these points, the load then merges everything.
+SEED_SYMBOLS_BEFORE = "Brand#2"
+SEED_DATES_BEFORE = dt.date(1998, 1, 1)
+SEED_PRICES_THROUGH = dt.date(1998, 6, 30)
+SEED_TICKS_BEFORE = dt.datetime(2024, 1, 16, 0, 0, 30)
+LOAD_TICKS_FROM = dt.datetime(2024, 1, 15, 0, 0, 0)
+
+
+def _fresh_staging(spark, sf_dir):
+    from ..operators.staging import load_staging
+    from ..sources.price_files import read_price_files
+    raw = read_price_files(spark, fx.price_csv_dir(spark, sf_dir))
+    staged, rejects = load_staging(spark, raw, scratch_path(spark, "stg_historical_price"),
+                                   load_ts="2000-01-01 00:00:00")
+    return spark.read.parquet(staged), spark.read.parquet(rejects)
+
+
+@query("stage_prices")
+def q_stage_prices(spark, sf_dir):
+    from ..operators.staging import STAGING_COLS
+    return _fresh_staging(spark, sf_dir)[0].select(*STAGING_COLS)
+
+
+@query("stage_rejects")
+def q_stage_rejects(spark, sf_dir):
+    return _fresh_staging(spark, sf_dir)[1]
+
+
+@query("export_prices_roundtrip")
+def q_export_prices_roundtrip(spark, sf_dir):
+    from ..sources.price_files import export_price_files, read_exported
+    out = scratch_path(spark, "price-export")
+    export_price_files(fx.prices(spark, sf_dir), out)
+    r = read_exported(spark, out)
+    px = "decimal(18,2)"
+    return r.select(F.to_date("date").alias("trade_date"), F.col("Symbol").alias("symbol"),
+                    "file_symbol",
+                    F.col("open").cast(px).alias("open_price"), F.col("high").cast(px).alias("high_price"),
+                    F.col("low").cast(px).alias("low_price"), F.col("close").cast(px).alias("close_price"),
+                    F.col("adj_close").cast(px).alias("adj_close"), F.col("volume").cast("bigint").alias("volume"))
+
+
+def _materialise(spark, df, label):
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("dim_symbol")
+def q_dim_symbol(spark, sf_dir):
+    from ..operators import star
+    s = fx.staged_prices(spark, sf_dir)
+    seed = _materialise(spark, star.load_dim_symbol(s.filter(F.col("symbol") < SEED_SYMBOLS_BEFORE)), "dim_symbol")
+    return star.load_dim_symbol(s, seed)
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    from ..operators import star
+    s = fx.staged_prices(spark, sf_dir)
+    seed = _materialise(spark, star.load_dim_date(s.filter(F.col("trade_date") < F.lit(SEED_DATES_BEFORE))),
+                        "dim_date")
+    return star.load_dim_date(s, seed)
+
+
+def _dims(spark, sf_dir):
+    from ..operators import star
+    s = fx.staged_prices(spark, sf_dir)
+    return (s, _materialise(spark, star.load_dim_symbol(s), "dim_symbol"),
+            _materialise(spark, star.load_dim_date(s), "dim_date"))
+
+
+@query("fact_price_daily")
+def q_fact_price_daily(spark, sf_dir):
+    from ..operators import star
+    return star.load_fact_daily(*_dims(spark, sf_dir))
+
+
+@query("fact_price_daily_incremental")
+def q_fact_price_daily_incremental(spark, sf_dir):
+    from ..operators import star
+    s, ds, dd = _dims(spark, sf_dir)
+    seed = _materialise(spark, star.load_fact_daily(s.filter(F.col("trade_date") < F.lit(SEED_DATES_BEFORE)), ds, dd),
+                        "fact_price_daily")
+    return star.load_fact_daily(s, ds, dd, existing=seed)
+
+
+@query("fact_price_monthly")
+def q_fact_price_monthly(spark, sf_dir):
+    from ..operators import star
+    s, ds, _ = _dims(spark, sf_dir)
+    seed = _materialise(spark, star.load_fact_monthly(s.filter(F.col("trade_date") < F.lit(SEED_DATES_BEFORE)), ds),
+                        "fact_price_monthly")
+    return star.load_fact_monthly(s, ds, existing=seed)
+
+
+@query("price_upsert")
+def q_price_upsert(spark, sf_dir):
+    from ..operators import star
+    p = fx.prices(spark, sf_dir).filter(F.col("price_date") <= F.lit(SEED_PRICES_THROUGH))
+    seed = _materialise(spark, p.select("symbol", "price_date",
+                                        *[F.col(c).cast("double").alias(c) for c in
+                                          ["open_price", "high_price", "low_price", "close_price", "adj_close"]],
+                                        "volume"), "fact_price")
+    return star.price_upsert(seed, fx.staged_prices(spark, sf_dir))
+
+
+@query("bars_upsert")
+def q_bars_upsert(spark, sf_dir):
+    t = fx.ticks(spark, sf_dir)
+    ts = F.col("ts")
+    seed = _materialise(spark, bars_op.bars(t.filter(ts < F.lit(SEED_TICKS_BEFORE).cast("timestamp_ntz"))),
+                        "fact_tick_agg")
+    src = bars_op.bars(t.filter(ts >= F.lit(LOAD_TICKS_FROM).cast("timestamp_ntz")))
+    return upsert(seed, src, ["symbol", "minute_ts"])

@@ -110,3 +110,64 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("c_custkey").alias("customer_id"),
                     F.col("c_name").alias("customer_name"),
                     F.col("c_acctbal").cast(PRICE).alias("cash_balance"))
+
+
+# Fixed values of the CSV fixture's damage rule (FIXTURES.md §D "CSV cleanse"):
+# day of year modulo 31 selects rows whose open is 'abc', whose volume is
+# empty, or whose close is empty.
+DOY_MOD, BAD_OPEN, EMPTY_VOLUME, EMPTY_CLOSE = 31, 7, 11, 19
+
+
+def _memo(spark: SparkSession, sf_dir: str, label: str, build) -> str:
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#{label}")
+    path = _materialised.get(key)
+    if path is None:
+        path = build()
+        _materialised[key] = path
+    return path
+
+
+def price_csv_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The vendor price files: ``prices`` exported as per-symbol CSVs, with
+    some damaged cells by the rule above."""
+    from .price_files import export_price_files
+
+    def build():
+        p = prices(spark, sf_dir)
+        doy = F.dayofyear("price_date") % DOY_MOD
+        rows = p.select(
+            F.date_format("price_date", "yyyy-MM-dd").alias("date"),
+            F.col("symbol").alias("Symbol"),
+            F.when(doy == BAD_OPEN, F.lit("abc")).otherwise(F.col("open_price").cast("string")).alias("open"),
+            F.col("high_price").cast("string").alias("high"),
+            F.col("low_price").cast("string").alias("low"),
+            F.when(doy == EMPTY_CLOSE, F.lit(None).cast("string"))
+             .otherwise(F.col("close_price").cast("string")).alias("close"),
+            F.col("adj_close").cast("string").alias("adj_close"),
+            F.when(doy == EMPTY_VOLUME, F.lit(None).cast("string"))
+             .otherwise(F.col("volume").cast("string")).alias("volume"))
+        out = scratch_path(spark, "price-csv")
+        export_price_files(rows, out)
+        return out
+    return _memo(spark, sf_dir, "price-csv", build)
+
+
+def _staging_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    from ..operators.staging import load_staging
+    from .price_files import read_price_files
+
+    def build():
+        raw = read_price_files(spark, price_csv_dir(spark, sf_dir))
+        staged, rejects = load_staging(spark, raw, scratch_path(spark, "stg_historical_price"),
+                                       load_ts="2000-01-01 00:00:00")
+        return staged + "|" + rejects
+    return tuple(_memo(spark, sf_dir, "staging", build).split("|"))
+
+
+def staged_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stg_historical_price after the CSV load of ``price_csv_dir``."""
+    return spark.read.parquet(_staging_paths(spark, sf_dir)[0])
+
+
+def staging_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_staging_paths(spark, sf_dir)[1])
