@@ -352,3 +352,62 @@ src AS (""" + BARS.format(unit="minute", extra="").replace(
     "FROM ticks", "FROM ticks WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'") + ")") + """
 SELECT * FROM src
 UNION ALL SELECT * FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.symbol = t.symbol AND s.minute_ts = t.minute_ts)"""
+
+ORDER_PAYLOAD = """'{"order_id":' || order_id || ',"customer_id":' || customer_id || ',"symbol":"' || symbol
+  || '","side":"' || side || '","qty":' || quantity || ',"price":' || CAST(price AS VARCHAR) || '}'"""
+TRADE_PAYLOAD = """'{"trade_id":' || trade_id || ',"symbol":"' || symbol || '","qty":' || quantity
+  || ',"price":' || CAST(trade_price AS VARCHAR) || '}'"""
+
+REQUESTS = BOOK + """,
+requests AS (
+  SELECT order_id AS request_seq, customer_id, symbol,
+         CASE WHEN order_id % 97 = 0 THEN 'HOLD' ELSE side END AS side,
+         CASE WHEN order_id % 89 = 0 THEN CAST(0 AS BIGINT) ELSE quantity END AS quantity,
+         price, created_at AS submitted_at
+  FROM book),
+checked AS (
+  SELECT *, concat_ws(',',
+           CASE WHEN customer_id IS NULL THEN 'customer_id' END,
+           CASE WHEN symbol IS NULL OR length(symbol) = 0 THEN 'symbol' END,
+           CASE WHEN side IS NULL OR side NOT IN ('BUY', 'SELL') THEN 'side' END,
+           CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'quantity' END,
+           CASE WHEN price IS NULL OR price <= 0 THEN 'price' END) AS reason
+  FROM requests)"""
+
+SQL["order_intake"] = w(REQUESTS) + """
+SELECT (SELECT coalesce(max(order_id), 0) FROM book WHERE created_at < TIMESTAMP '2000-01-01')
+         + row_number() OVER (ORDER BY request_seq) AS order_id,
+       customer_id, symbol, side, quantity, CAST(0 AS BIGINT) AS filled_quantity, price,
+       'PENDING' AS status, submitted_at AS created_at
+FROM checked WHERE reason = '' AND submitted_at >= TIMESTAMP '2000-01-01'"""
+
+SQL["order_rejects"] = w(REQUESTS) + """
+SELECT request_seq, customer_id, symbol, side, quantity, price, reason FROM checked WHERE reason <> ''"""
+
+SQL["order_event_json"] = w(BOOK) + f"""
+SELECT order_id, 'ORDER_CREATED' AS event_type, {ORDER_PAYLOAD} AS payload FROM book"""
+
+SQL["trade_event_json"] = w(TRADES) + f"""
+SELECT trade_id, 'TRADE_EXECUTED' AS event_type, {TRADE_PAYLOAD} AS payload FROM trades"""
+
+OUTBOX = TRADES + """,
+book AS (
+  SELECT n AS order_id, o_custkey AS customer_id, p_brand AS symbol,
+         CASE l_linestatus WHEN 'F' THEN 'BUY' ELSE 'SELL' END AS side,
+         CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+         l_shipdate AS created_at
+  FROM lines),
+outbox AS (
+  SELECT 2 * order_id - 1 AS event_id, 'ORDER_CREATED' AS event_type, """ + ORDER_PAYLOAD + """ AS payload,
+         created_at AS created_ts FROM book
+  UNION ALL
+  SELECT 2 * trade_id, 'TRADE_EXECUTED', """ + TRADE_PAYLOAD + """, trade_time FROM trades),
+pending AS (SELECT * FROM outbox WHERE event_id % 3 <> 0)"""
+
+SQL["outbox_pending"] = w(OUTBOX) + """
+SELECT event_id, event_type, payload, created_ts FROM pending ORDER BY created_ts, event_id LIMIT 100"""
+
+SQL["outbox_routed"] = w(OUTBOX) + """
+SELECT event_id, CASE WHEN upper(event_type) LIKE 'ORDER%' THEN 'order_events' ELSE 'trade_events' END AS topic,
+       json_extract_string(payload, '$.symbol') AS key, payload AS value
+FROM pending"""

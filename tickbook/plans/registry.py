@@ -362,3 +362,50 @@ def q_bars_upsert(spark, sf_dir):
                         "fact_tick_agg")
     src = bars_op.bars(t.filter(ts >= F.lit(LOAD_TICKS_FROM).cast("timestamp_ntz")))
     return upsert(seed, src, ["symbol", "minute_ts"])
+
+
+# ---- intake, events, outbox ------------------------------------------------------
+
+INTAKE_FROM = dt.datetime(2000, 1, 1)
+
+
+@query("order_intake")
+def q_order_intake(spark, sf_dir):
+    from ..operators import intake
+    cut = F.lit(INTAKE_FROM).cast("timestamp_ntz")
+    req = fx.order_requests(spark, sf_dir).filter(F.col("submitted_at") >= cut)
+    existing = fx.book(spark, sf_dir).filter(F.col("created_at") < cut)
+    return intake.place_orders(req, existing)
+
+
+@query("order_rejects")
+def q_order_rejects(spark, sf_dir):
+    from ..operators import intake
+    return intake.order_rejects(fx.order_requests(spark, sf_dir)).drop("submitted_at")
+
+
+@query("order_event_json")
+def q_order_event_json(spark, sf_dir):
+    from ..operators import intake
+    return intake.order_events(fx.book(spark, sf_dir)).drop("created_ts")
+
+
+@query("trade_event_json")
+def q_trade_event_json(spark, sf_dir):
+    from ..operators import outbox
+    return outbox.trade_events(fx.trades(spark, sf_dir)).drop("created_ts")
+
+
+@query("outbox_pending")
+def q_outbox_pending(spark, sf_dir):
+    from ..operators import outbox
+    return outbox.next_batch(fx.outbox(spark, sf_dir)).select("event_id", "event_type", "payload", "created_ts")
+
+
+@query("outbox_routed")
+def q_outbox_routed(spark, sf_dir):
+    """Drain every pending event to the per-topic sink and read the sink back."""
+    from ..operators import outbox
+    sink, ledger = scratch_path(spark, "topics"), scratch_path(spark, "dispatched")
+    outbox.publish(spark, outbox.pending(fx.outbox(spark, sf_dir)), sink, ledger)
+    return spark.read.parquet(sink).select("event_id", "topic", "key", "value")

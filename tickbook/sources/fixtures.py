@@ -171,3 +171,31 @@ def staged_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staging_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_staging_paths(spark, sf_dir)[1])
+
+
+# Fixed values of FIXTURES.md §C: requests whose number is a multiple of 97
+# carry side 'HOLD', multiples of 89 quantity 0; an outbox event counts as
+# dispatched when its id is a multiple of 3.
+BAD_SIDE_EVERY, ZERO_QTY_EVERY, DISPATCHED_EVERY = 97, 89, 3
+
+
+def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order requests (customer, symbol, side, quantity, price) in submission order."""
+    b = book(spark, sf_dir)
+    n = F.col("order_id")
+    return b.select(n.alias("request_seq"), "customer_id", "symbol",
+                    F.when(n % BAD_SIDE_EVERY == 0, F.lit("HOLD")).otherwise(F.col("side")).alias("side"),
+                    F.when(n % ZERO_QTY_EVERY == 0, F.lit(0).cast("bigint")).otherwise(F.col("quantity")).alias("quantity"),
+                    "price", F.col("created_at").alias("submitted_at"))
+
+
+def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """outbox_events: ORDER_CREATED per book order (id 2n-1), TRADE_EXECUTED per trade (id 2n)."""
+    from ..operators.intake import order_events
+    from ..operators.outbox import trade_events
+    o = order_events(book(spark, sf_dir)).select(
+        (F.col("order_id") * 2 - 1).alias("event_id"), "event_type", "payload", "created_ts")
+    t = trade_events(trades(spark, sf_dir)).select(
+        (F.col("trade_id") * 2).alias("event_id"), "event_type", "payload", "created_ts")
+    ev = o.unionByName(t)
+    return ev.withColumn("dispatched", F.when(F.col("event_id") % DISPATCHED_EVERY == 0, "Y").otherwise("N"))
