@@ -411,3 +411,13 @@ SQL["outbox_routed"] = w(OUTBOX) + """
 SELECT event_id, CASE WHEN upper(event_type) LIKE 'ORDER%' THEN 'order_events' ELSE 'trade_events' END AS topic,
        json_extract_string(payload, '$.symbol') AS key, payload AS value
 FROM pending"""
+
+SQL["stream_bars_1m"] = w(TICKS, "bars AS (" + BARS.format(unit="minute", extra="") + ")") + """
+SELECT * FROM bars WHERE minute_ts + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM ticks)"""
+
+SQL["stream_dedup"] = "SELECT event_id, ts, event_type, value FROM events"
+
+SQL["stream_risk"] = SQL["risk_rolling"]
+
+SQL["stream_match"] = w(BOOK, MATCH) + """
+SELECT buy_order_id, sell_order_id, buyer_id, seller_id, symbol, quantity, trade_price FROM matched"""

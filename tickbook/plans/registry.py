@@ -409,3 +409,50 @@ def q_outbox_routed(spark, sf_dir):
     sink, ledger = scratch_path(spark, "topics"), scratch_path(spark, "dispatched")
     outbox.publish(spark, outbox.pending(fx.outbox(spark, sf_dir)), sink, ledger)
     return spark.read.parquet(sink).select("event_id", "topic", "key", "value")
+
+
+# ---- streams ----------------------------------------------------------------
+# Each runs a Structured Streaming query over everything available
+# (trigger availableNow) into a Parquet sink in the scratch folder, with its
+# checkpoint next to it, and returns the sink's contents.
+
+@query("stream_bars_1m")
+def q_stream_bars_1m(spark, sf_dir):
+    from ..streaming import bars as sbars
+    from ..streaming.sources import run_to_parquet, tick_stream
+    out = run_to_parquet(sbars.stream_bars(tick_stream(spark, sf_dir)), "bars")
+    return spark.read.parquet(out)
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Every event delivered twice (two subscriptions of the same source); the
+    consumer keeps one per event id."""
+    from ..streaming.dedup import dedup_events
+    from ..streaming.sources import event_stream, run_to_parquet
+    twice = event_stream(spark, sf_dir).unionByName(event_stream(spark, sf_dir))
+    ev = twice.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    out = run_to_parquet(dedup_events(ev), "dedup")
+    return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stream_risk")
+def q_stream_risk(spark, sf_dir):
+    from ..streaming.risk import stream_risk
+    from ..streaming.sources import run_to_parquet, tick_stream
+    out = run_to_parquet(stream_risk(tick_stream(spark, sf_dir)), "risk")
+    r = spark.read.parquet(out).withColumn("risk_ts", F.col("risk_ts").cast("timestamp_ntz"))
+    return _r6(r, "risk_score")
+
+
+@query("stream_match")
+def q_stream_match(spark, sf_dir):
+    """The open book replayed as an order-event stream into the keyed matcher."""
+    from ..streaming.matching import stream_match
+    from ..streaming.sources import parquet_stream, run_to_parquet
+    events = _materialise(spark, matching.open_book(fx.book(spark, sf_dir))
+                          .select("order_id", "customer_id", "symbol", "side", "price", "created_at", "open_qty"),
+                          "order-events")
+    folder = events.inputFiles()[0].rsplit("/", 1)[0]
+    out = run_to_parquet(stream_match(parquet_stream(spark, folder, events.schema)), "match")
+    return spark.read.parquet(out)
