@@ -18,21 +18,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scan import running_sums
+
 # Fixed values of the reference's risk engine.
 WINDOW_SIZE = 200
 STRIDE = 50
 MODEL_VERSION = "v1"
-
-
-def risk_rolling(ticks: DataFrame, window: int = WINDOW_SIZE, stride: int = STRIDE) -> DataFrame:
-    w = Window.partitionBy("symbol").orderBy("ts", "seq")
-    frame = w.rowsBetween(-(window - 1), 0)
-    n = F.row_number().over(w)
+# ours: ticks per (symbol, block) window partition in the batch risk plan
+BLOCK_ROWS = 1 << 20
+
+
+def risk_rolling(ticks: DataFrame, window: int = WINDOW_SIZE, stride: int = STRIDE,
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rolling score at the emission points.
+
+    A symbol's ticks are numbered with the skew-proof running count, then cut
+    into blocks of ``block_rows`` consecutive ticks; each block also receives
+    the last ``window - 1`` ticks of the block before as read-only context,
+    so every 200-tick frame is complete inside one (symbol, block) window
+    partition.  A hot symbol is thus spread over blocks; the duplication is
+    ``(window - 1) / block_rows`` of the input."""
+    t = running_sums(ticks.select("symbol", "ts", "seq", "price"), ["symbol"], ["ts", "seq"],
+                     {"tick_no": F.lit(1).cast("bigint")}, label="tick-scan")
+    block = F.floor((F.col("tick_no") - 1) / block_rows).cast("bigint")
+    in_block = (F.col("tick_no") - 1) % block_rows
+    own = t.withColumn("block", block).withColumn("context", F.lit(False))
+    ctx = (t.filter(in_block >= block_rows - (window - 1))
+            .withColumn("block", block + 1).withColumn("context", F.lit(True)))
+    frame = Window.partitionBy("symbol", "block").orderBy("tick_no").rowsBetween(-(window - 1), 0)
     score = F.coalesce(F.stddev_samp("price").over(frame), F.lit(0.0)) * 1000.0
-    r = ticks.select("symbol", "ts", "seq", n.alias("tick_no"), score.alias("risk_score"))
+    r = own.unionByName(ctx).select("symbol", "ts", "seq", "tick_no", "context", score.alias("risk_score"))
     emit = (F.col("tick_no") >= stride) & ((F.col("tick_no") >= window) | (F.col("tick_no") % stride == 0))
-    return r.filter(emit).select("symbol", F.col("ts").alias("risk_ts"), "seq",
-                                 F.col("tick_no").cast("bigint").alias("tick_no"), "risk_score")
+    return r.filter(~F.col("context") & emit).select("symbol", F.col("ts").alias("risk_ts"), "seq",
+                                                      F.col("tick_no").cast("bigint").alias("tick_no"), "risk_score")
 
 
 def risk_daily(rolling: DataFrame) -> DataFrame:
