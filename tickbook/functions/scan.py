@@ -25,11 +25,12 @@ from ..session import scratch_path
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list, sums: dict[str, Column],
-                 num_partitions: int | None = None, label: str = "scan") -> DataFrame:
+                 num_partitions: int | None = None, label: str = "scan", materialize: bool = False) -> DataFrame:
     """``df`` plus one column per entry of ``sums``: the inclusive running sum
     of that expression per ``keys`` in ``order`` (which must be a total order
     within a key).  Equivalent to ``sum(e) OVER (PARTITION BY keys ORDER BY order
-    ROWS UNBOUNDED PRECEDING)``."""
+    ROWS UNBOUNDED PRECEDING)``.  With ``materialize`` the result is written to
+    the scratch folder too, for callers that read it more than once."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = list(sums)
@@ -51,6 +52,11 @@ def running_sums(df: DataFrame, keys: list[str], order: list, sums: dict[str, Co
                      .where(F.col(vals[0] + "_o").isNotNull()))
 
     out = local.join(F.broadcast(offsets), ["_tb_slice", *keys], "left")
-    return out.select(*df.columns,
-                      *[(F.coalesce(F.col(v + "_o"), F.lit(0)) + F.col(v + "_l")).alias(name)
-                        for name, v in zip(names, vals)])
+    result = out.select(*df.columns,
+                        *[(F.coalesce(F.col(v + "_o"), F.lit(0)) + F.col(v + "_l")).alias(name)
+                          for name, v in zip(names, vals)])
+    if not materialize:
+        return result
+    done = scratch_path(spark, label + "-out")
+    result.write.mode("overwrite").parquet(done)
+    return spark.read.parquet(done)
