@@ -12,7 +12,8 @@ def test_running_sums_hot_key_split_over_slices(spark):
     # one key holds ~90% of the rows
     rows = [("HOT" if rnd.random() < 0.9 else f"k{rnd.randint(0, 5)}", i, rnd.randint(1, 9)) for i in range(4000)]
     df = spark.createDataFrame(rows, "k string, o long, v long")
-    got = running_sums(df, ["k"], ["o"], {"s": F.col("v"), "n": F.lit(1).cast("bigint")}, num_partitions=16)
+    got = running_sums(df, ["k"], ["o"], {"s": F.col("v"), "n": F.lit(1).cast("bigint")}, num_partitions=16,
+                       sliced=True)
     w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("k", "o", "v", F.sum("v").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("n"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
@@ -31,3 +32,19 @@ def test_risk_blocks_equal_single_block(spark):
         return sorted((r.symbol, r.tick_no, round(r.risk_score, 9)) for r in df.collect())
     a, b = key(small), key(big)
     assert len(a) == len(b) and a == b
+
+
+def test_matching_sliced_plan_equals_window_plan(spark):
+    """Force the sliced scans (as for a hot symbol) and compare with the default plan."""
+    from tickbook.functions import scan
+    from tickbook.operators import matching
+    from tickbook.sources import fixtures as fx
+    from .conftest import SF001
+    book = fx.book(spark, SF001)
+    default = sorted(map(tuple, matching.match_price_time(book).collect()))
+    spark.conf.set(scan.MAX_KEY_ROWS_CONF, "10")
+    try:
+        sliced = sorted(map(tuple, matching.match_price_time(book).collect()))
+    finally:
+        spark.conf.unset(scan.MAX_KEY_ROWS_CONF)
+    assert sliced == default and len(default) > 0

@@ -14,6 +14,12 @@ job in a single task.  ``running_sums`` instead:
    Only the first key of a slice can continue an earlier slice, so that
    offset table has at most one row per slice: its size is bounded by the
    partition count, and it is broadcast.
+
+The sliced plan costs a write and a second shuffle, which only pays off when
+a key is too big for one task.  So the plan is chosen by measurement: one
+partial aggregate counts rows per key (a scan of the key columns) and the
+largest count is compared with ``tickbook.scan.maxKeyRows`` (default
+4,000,000).  Below it, the plain per-key window runs (one hash shuffle).
 """
 
 from __future__ import annotations
@@ -23,30 +29,51 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+MAX_KEY_ROWS_CONF = "tickbook.scan.maxKeyRows"
+DEFAULT_MAX_KEY_ROWS = 4_000_000
+
+
+def key_row_limit(spark) -> int:
+    return int(spark.conf.get(MAX_KEY_ROWS_CONF, str(DEFAULT_MAX_KEY_ROWS)))
+
+
+def largest_key(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the most frequent key (0 for an empty input): one scalar."""
+    v = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(v or 0)
+
 
 def running_sums(df: DataFrame, keys: list[str], order: list, sums: dict[str, Column],
-                 num_partitions: int | None = None, label: str = "scan", materialize: bool = False) -> DataFrame:
+                 num_partitions: int | None = None, label: str = "scan", materialize: bool = False,
+                 sliced: bool | None = None) -> DataFrame:
     """``df`` plus one column per entry of ``sums``: the inclusive running sum
     of that expression per ``keys`` in ``order`` (which must be a total order
     within a key).  Equivalent to ``sum(e) OVER (PARTITION BY keys ORDER BY order
     ROWS UNBOUNDED PRECEDING)``.  With ``materialize`` the result is written to
-    the scratch folder too, for callers that read it more than once."""
+    the scratch folder too, for callers that read it more than once.
+    ``sliced`` forces the plan (None: measure, see the module doc)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = list(sums)
     vals = [f"_tb_v{i}" for i in range(len(names))]
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if sliced is None:
+        sliced = largest_key(df, keys) > key_row_limit(spark)
+    if not sliced:
+        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+        result = df.select("*", *[F.sum(e).over(w).alias(name) for name, e in sums.items()])
+        return _maybe_write(result, label, materialize)
     path = scratch_path(spark, label)
     (df.select("*", *[e.alias(v) for v, e in zip(vals, sums.values())])
        .repartitionByRange(n, *keys, *order_cols)
        .withColumn("_tb_slice", F.spark_partition_id())
        .write.mode("overwrite").parquet(path))
-    sliced = spark.read.parquet(path)
+    parts = spark.read.parquet(path)
 
     local_w = Window.partitionBy("_tb_slice", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.select("*", *[F.sum(v).over(local_w).alias(v + "_l") for v in vals])
+    local = parts.select("*", *[F.sum(v).over(local_w).alias(v + "_l") for v in vals])
 
-    totals = sliced.groupBy("_tb_slice", *keys).agg(*[F.sum(v).alias(v + "_t") for v in vals])
+    totals = parts.groupBy("_tb_slice", *keys).agg(*[F.sum(v).alias(v + "_t") for v in vals])
     earlier = Window.partitionBy(*keys).orderBy("_tb_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (totals.select("_tb_slice", *keys, *[F.sum(v + "_t").over(earlier).alias(v + "_o") for v in vals])
                      .where(F.col(vals[0] + "_o").isNotNull()))
@@ -55,8 +82,13 @@ def running_sums(df: DataFrame, keys: list[str], order: list, sums: dict[str, Co
     result = out.select(*df.columns,
                         *[(F.coalesce(F.col(v + "_o"), F.lit(0)) + F.col(v + "_l")).alias(name)
                           for name, v in zip(names, vals)])
+    return _maybe_write(result, label, materialize)
+
+
+def _maybe_write(result: DataFrame, label: str, materialize: bool) -> DataFrame:
     if not materialize:
         return result
+    spark = result.sparkSession
     done = scratch_path(spark, label + "-out")
     result.write.mode("overwrite").parquet(done)
     return spark.read.parquet(done)

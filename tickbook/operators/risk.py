@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scan import running_sums
+from ..functions.scan import largest_key, running_sums
 
 # Fixed values of the reference's risk engine.
 WINDOW_SIZE = 200
@@ -37,9 +37,19 @@ def risk_rolling(ticks: DataFrame, window: int = WINDOW_SIZE, stride: int = STRI
     the last ``window - 1`` ticks of the block before as read-only context,
     so every 200-tick frame is complete inside one (symbol, block) window
     partition.  A hot symbol is thus spread over blocks; the duplication is
-    ``(window - 1) / block_rows`` of the input."""
-    t = running_sums(ticks.select("symbol", "ts", "seq", "price"), ["symbol"], ["ts", "seq"],
-                     {"tick_no": F.lit(1).cast("bigint")}, label="tick-scan")
+    ``(window - 1) / block_rows`` of the input.  When no symbol has more than
+    ``block_rows`` ticks (measured: one partial count per symbol), the plain
+    per-symbol window runs instead, with a single shuffle."""
+    emit = (F.col("tick_no") >= stride) & ((F.col("tick_no") >= window) | (F.col("tick_no") % stride == 0))
+    base = ticks.select("symbol", "ts", "seq", "price")
+    if largest_key(base, ["symbol"]) <= block_rows:
+        w = Window.partitionBy("symbol").orderBy("ts", "seq")
+        score = F.coalesce(F.stddev_samp("price").over(w.rowsBetween(-(window - 1), 0)), F.lit(0.0)) * 1000.0
+        r = base.select("symbol", "ts", "seq", F.row_number().over(w).cast("bigint").alias("tick_no"),
+                        score.alias("risk_score"))
+        return r.filter(emit).select("symbol", F.col("ts").alias("risk_ts"), "seq", "tick_no", "risk_score")
+    t = running_sums(base, ["symbol"], ["ts", "seq"], {"tick_no": F.lit(1).cast("bigint")},
+                     label="tick-scan", sliced=True)
     block = F.floor((F.col("tick_no") - 1) / block_rows).cast("bigint")
     in_block = (F.col("tick_no") - 1) % block_rows
     own = t.withColumn("block", block).withColumn("context", F.lit(False))
@@ -48,7 +58,6 @@ def risk_rolling(ticks: DataFrame, window: int = WINDOW_SIZE, stride: int = STRI
     frame = Window.partitionBy("symbol", "block").orderBy("tick_no").rowsBetween(-(window - 1), 0)
     score = F.coalesce(F.stddev_samp("price").over(frame), F.lit(0.0)) * 1000.0
     r = own.unionByName(ctx).select("symbol", "ts", "seq", "tick_no", "context", score.alias("risk_score"))
-    emit = (F.col("tick_no") >= stride) & ((F.col("tick_no") >= window) | (F.col("tick_no") % stride == 0))
     return r.filter(~F.col("context") & emit).select("symbol", F.col("ts").alias("risk_ts"), "seq",
                                                       F.col("tick_no").cast("bigint").alias("tick_no"), "risk_score")
 
