@@ -97,3 +97,13 @@ def var95(prices: DataFrame) -> DataFrame:
 
 def breach_volatility(prices: DataFrame, limit: float = 0.05) -> DataFrame:
     return volatility(prices).filter(F.col("volatility") > limit)
+
+
+def merge_risk(fact_symbol_risk: DataFrame, daily: DataFrame) -> DataFrame:
+    """The reference's risk MERGE, keyed by (symbol, day of risk_ts): a matched
+    day gets the new score and model version, its first risk_ts stays."""
+    from .upsert import upsert
+    key = F.to_date("risk_ts").alias("risk_day")
+    tgt = fact_symbol_risk.select("*", key)
+    src = daily.select("symbol", "risk_ts", "risk_score", "model_version", key)
+    return upsert(tgt, src, ["symbol", "risk_day"], update_cols=["risk_score", "model_version"]).drop("risk_day")
