@@ -53,3 +53,15 @@ def test_emission_points_and_carry_over():
     i2, s2 = emission_scores(p[230 - 199:230], p[230:], 230)
     assert list(np.concatenate([i1, i2 + 230])) == list(idx)
     assert np.allclose(np.concatenate([s1, s2]), scores, rtol=0, atol=1e-9)
+
+
+def test_risk_foreach_batch_upsert_keeps_first_ts(spark):
+    from tickbook.streaming.risk import upsert_risk_batch
+    t1, t2 = dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 1, 15)
+    sch = "symbol string, risk_ts timestamp_ntz, seq long, tick_no long, risk_score double"
+    path = os.path.join(tempfile.mkdtemp(prefix="tb-risk-"), "fact_symbol_risk")
+    w = upsert_risk_batch(path)
+    w(spark.createDataFrame([("A", t1, 1, 50, 1.0)], sch), 0)
+    w(spark.createDataFrame([("A", t2, 9, 100, 2.0), ("B", t2, 10, 50, 3.0)], sch), 1)
+    got = sorted((r.symbol, r.risk_ts, r.risk_score) for r in spark.read.parquet(path).collect())
+    assert got == [("A", t1, 2.0), ("B", t2, 3.0)]

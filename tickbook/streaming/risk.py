@@ -77,21 +77,21 @@ def stream_risk(ticks: DataFrame) -> DataFrame:
 
 def upsert_risk_batch(table_path: str):
     """foreachBatch writer (T6): each trigger's emissions folded per (symbol, day)
-    and merged into fact_symbol_risk (partitioned by day): a matched day gets
-    the new score and model version, its first risk_ts stays."""
+    and merged into fact_symbol_risk (partitioned by month): a matched day
+    gets the new score and model version, its first risk_ts stays."""
     from pyspark.sql import functions as F
 
     from ..operators.risk import risk_daily
     from ..operators.upsert import write_upsert
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        daily = risk_daily(batch).withColumn("risk_day", F.to_date("risk_ts"))
+        daily = (risk_daily(batch).withColumn("risk_day", F.to_date("risk_ts"))
+                 .withColumn("risk_month", F.trunc("risk_day", "month")))
         spark = batch.sparkSession
-        try:
-            spark.read.parquet(table_path).schema
-        except Exception:
-            daily.write.partitionBy("risk_day").parquet(table_path)
+        from ..plans.jobs import _exists
+        if not _exists(spark, table_path):
+            daily.write.partitionBy("risk_month").parquet(table_path)
             return
-        write_upsert(spark, table_path, daily, ["symbol", "risk_day"], "risk_day",
+        write_upsert(spark, table_path, daily, ["symbol", "risk_day"], "risk_month",
                      update_cols=["risk_score", "model_version"])
     return write
