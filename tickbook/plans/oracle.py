@@ -204,7 +204,7 @@ SQL["open_book"] = w(BOOK, OPEN) + "SELECT * FROM open_orders"
 SQL["book_ranked"] = w(BOOK, OPEN) + """
 SELECT order_id, symbol, side, price, open_qty,
        row_number() OVER w AS priority,
-       sum(open_qty) OVER (w ROWS UNBOUNDED PRECEDING) AS cum_qty
+       CAST(sum(open_qty) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_qty
 FROM open_orders
 WINDOW w AS (PARTITION BY symbol, side ORDER BY CASE WHEN side = 'BUY' THEN -price ELSE price END, created_at, order_id)"""
 
