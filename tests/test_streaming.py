@@ -6,6 +6,7 @@ import numpy as np
 
 from tickbook.streaming.bars import stream_bars
 from tickbook.streaming.risk import emission_scores
+from tickbook.streaming.sources import rows_dropped_by_watermark
 
 TICK = "symbol string, ts timestamp, price double, seq long"
 
@@ -16,6 +17,7 @@ def _run_bars_per_file(spark, batches):
     schema = T._parse_datatype_string(TICK)
     src_dir = tempfile.mkdtemp(prefix="tb-ticks-")
     out = tempfile.mkdtemp(prefix="tb-bars-out-")
+    dropped = 0
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, TICK).coalesce(1).write.parquet(os.path.join(src_dir, f"b{i:02d}"))
         src = spark.readStream.schema(schema).option("recursiveFileLookup", True) \
@@ -23,13 +25,14 @@ def _run_bars_per_file(spark, batches):
         q = (stream_bars(src).writeStream.format("parquet").option("path", out + "/data")
              .option("checkpointLocation", out + "/ck").outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()
+        dropped += rows_dropped_by_watermark(q)
     return {(r.symbol, r.minute_ts.minute): (r.open_price, r.close_price, r.tick_count)
-            for r in spark.read.parquet(out + "/data").collect()}
+            for r in spark.read.parquet(out + "/data").collect()}, dropped
 
 
 def test_late_tick_is_dropped_and_last_bar_not_emitted(spark):
     m = lambda minute, sec: dt.datetime(2024, 1, 1, 10, minute, sec)
-    bars = _run_bars_per_file(spark, [
+    bars, dropped = _run_bars_per_file(spark, [
         [("A", m(1, 5), 1.0, 1), ("A", m(1, 30), 2.0, 2)],
         [("A", m(2, 5), 3.0, 3)],
         [("A", m(1, 50), 9.0, 4)],          # late: minute 1 is already closed
@@ -38,6 +41,7 @@ def test_late_tick_is_dropped_and_last_bar_not_emitted(spark):
     assert bars[("A", 1)] == (1.0, 2.0, 2)  # unchanged by the late tick
     assert bars[("A", 2)] == (3.0, 3.0, 1)
     assert ("A", 3) not in bars             # the open minute is never flushed
+    assert dropped == 1
 
 
 def test_emission_points_and_carry_over():
@@ -65,3 +69,17 @@ def test_risk_foreach_batch_upsert_keeps_first_ts(spark):
     w(spark.createDataFrame([("A", t2, 9, 100, 2.0), ("B", t2, 10, 50, 3.0)], sch), 1)
     got = sorted((r.symbol, r.risk_ts, r.risk_score) for r in spark.read.parquet(path).collect())
     assert got == [("A", t1, 2.0), ("B", t2, 3.0)]
+
+
+def test_parse_ticks_routes_bad_messages(spark):
+    from tickbook.streaming.sources import parse_ticks
+    msgs = spark.createDataFrame([
+        (1, '{"symbol": "AAPL", "ts": 1704067200.5, "price": 101.25, "size": 7}'),
+        (2, 'not json'),
+        (3, '{"symbol": "", "ts": 1704067201.0, "price": 1.0, "size": 1}'),
+        (4, '{"symbol": "MSFT", "ts": 1704067202.0, "size": 3}'),
+    ], "seq long, value string")
+    ticks, rejects = parse_ticks(msgs)
+    got = [(r.seq, r.symbol, r.ts, r.price, r.size) for r in ticks.collect()]
+    assert got == [(1, "AAPL", dt.datetime(2024, 1, 1, 0, 0, 0, 500000), 101.25, 7)]
+    assert sorted(r.seq for r in rejects.collect()) == [2, 3, 4]
