@@ -38,3 +38,11 @@ def test_write_upsert_rewrites_only_touched_partitions(spark):
     got = sorted((r.symbol, str(r.day), r.qty) for r in spark.read.parquet(path).collect())
     assert got == [("A", "2024-01-01", 1), ("A", "2024-01-02", 5), ("B", "2024-01-02", 7)]
     assert sorted(os.listdir(os.path.join(path, "day=2024-01-01"))) == untouched
+
+
+def test_dedupe_latest_keeps_newest_row_per_key(spark):
+    from tickbook.operators.upsert import dedupe_latest
+    rows = [("A", 1, i, float(i)) for i in range(500)] + [("B", 1, 3, 9.0), ("B", 1, 1, 1.0)]
+    df = spark.createDataFrame(rows, "sym string, d int, load_ts int, v double")
+    got = sorted(tuple(r) for r in dedupe_latest(df, ["sym", "d"], ["load_ts"]).collect())
+    assert got == [("A", 1, 499, 499.0), ("B", 1, 3, 9.0)]

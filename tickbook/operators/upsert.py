@@ -14,7 +14,7 @@ scratch folder, so a failed job leaves the table as it was.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -22,10 +22,15 @@ from ..session import scratch_path
 _S = "_tb_src_"
 
 
-def dedupe_latest(df: DataFrame, keys: list[str], order_cols: list) -> DataFrame:
-    """Keep one row per key: the last under ``order_cols`` (e.g. newest load_ts)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if isinstance(c, str) else c for c in order_cols])
-    return df.withColumn("_tb_rn", F.row_number().over(w)).filter("_tb_rn = 1").drop("_tb_rn")
+def dedupe_latest(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """Keep one row per key: the last under ``order_cols`` (e.g. newest load_ts).
+
+    An aggregate (``max_by`` over a struct of the other columns), not a
+    window: it combines partially before the shuffle, so a key with many
+    duplicate rows costs one row per map task."""
+    rest = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order_cols)).alias("_tb_row"))
+    return picked.select(*keys, *[F.col("_tb_row." + c).alias(c) for c in rest]).select(*df.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str] | None = None,

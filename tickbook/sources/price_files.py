@@ -3,8 +3,9 @@
 File layout: one folder per symbol below the export root
 (``symbol_hex=<hex of the symbol>/part-*.csv``: symbols such as ``Brand#7``
 contain characters that are escaped in folder names), each file with the header
-``date,Symbol,open,high,low,close,adj_close,volume``.  Large symbols are
-split into several files (``maxRecordsPerFile``) instead of one huge file.
+``date,Symbol,open,high,low,close,adj_close,volume``.  A symbol's folder
+holds one or more part files (a large symbol is written by several tasks and
+capped by ``maxRecordsPerFile``) instead of one huge file.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ def export_price_files(prices: DataFrame, out_dir: str) -> None:
         F.col("adj_close").cast("string").alias("adj_close"),
         F.col("volume").cast("string").alias("volume"),
     ) if "price_date" in prices.columns else prices.select(*CSV_COLUMNS)
+    # range-partitioned on (symbol, date): a symbol's rows arrive in few
+    # tasks, contiguous in time, and a hot symbol is split over many writers
     (rows.withColumn(FOLDER_COL, F.hex(F.col("Symbol")))
-         .repartition(FOLDER_COL)
+         .repartitionByRange(F.col(FOLDER_COL), F.col("date"))
          .write.mode("overwrite")
          .option("header", True)
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
