@@ -50,8 +50,42 @@ def build_session(master: str | None = None, app: str = "tickbook",
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickbook`` importable in the Python workers (``mapInPandas``,
+    the streaming state processors), like ``spark-submit --py-files``.
+
+    The package is zipped once per application into a driver-side staging
+    file; Spark's file server distributes it and every executor caches its
+    own copy, so nothing reads that file but the driver."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="tickbook-pyfiles-"), "tickbook.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    # the driver-side Python runner of the streaming state processors takes
+    # its path from the function environment, not from addPyFile
+    prev = sc.environment.get("PYTHONPATH")
+    sc.environment["PYTHONPATH"] = out + (os.pathsep + prev if prev else "")
+    _shipped.add(sc.applicationId)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the SQL confs that can change at runtime (for sessions built elsewhere)."""
+    """Set the SQL confs that can change at runtime (for sessions built elsewhere)
+    and ship the package to the Python workers."""
+    ship_package(spark)
     for k, v in DEFAULT_CONF.items():
         try:
             if k == "spark.sql.streaming.stateStore.providerClass":
