@@ -83,3 +83,48 @@ def test_parse_ticks_routes_bad_messages(spark):
     got = [(r.seq, r.symbol, r.ts, r.price, r.size) for r in ticks.collect()]
     assert got == [(1, "AAPL", dt.datetime(2024, 1, 1, 0, 0, 0, 500000), 101.25, 7)]
     assert sorted(r.seq for r in rejects.collect()) == [2, 3, 4]
+
+
+def test_stream_match_carries_resting_book_across_triggers(spark):
+    import random
+    from decimal import Decimal
+
+    import pandas as pd
+
+    from tickbook.streaming.matching import sweep, stream_match
+    rnd = random.Random(21)
+    sch = ("order_id long, customer_id long, symbol string, side string, price decimal(18,2), "
+           "created_at timestamp_ntz, open_qty long")
+    t0 = dt.datetime(2024, 1, 1)
+    batches = []
+    oid = 0
+    for b in range(3):
+        rows = []
+        for _ in range(60):
+            oid += 1
+            rows.append((oid, 500 + oid, rnd.choice(["A", "B"]), rnd.choice(["BUY", "SELL"]),
+                         Decimal(rnd.randint(95, 105)), t0 + dt.timedelta(seconds=oid), rnd.randint(1, 30)))
+        batches.append(rows)
+    # expected: sweep each symbol's book batch after batch, carrying the residual
+    want, resting = set(), {}
+    for rows in batches:
+        for sym in ("A", "B"):
+            new = pd.DataFrame([{"order_id": r[0], "customer_id": r[1], "side": r[3], "cents": int(r[4]) * 100,
+                                 "created_at": r[5], "open_qty": r[6]} for r in rows if r[2] == sym])
+            book = pd.concat([resting.get(sym, new.iloc[0:0]), new], ignore_index=True)
+            trades, resting[sym] = sweep(book)
+            want |= {(int(b), int(s), int(q)) for b, s, q in
+                     zip(trades["buy_order_id"], trades["sell_order_id"], trades["quantity"])}
+    src = tempfile.mkdtemp(prefix="tb-orders-")
+    out = tempfile.mkdtemp(prefix="tb-match-out-")
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string(sch)
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, sch).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+        s = spark.readStream.schema(schema).option("recursiveFileLookup", True) \
+            .option("pathGlobFilter", "*.parquet").parquet(src)
+        q = (stream_match(s).writeStream.format("parquet").option("path", out + "/data")
+             .option("checkpointLocation", out + "/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = {(r.buy_order_id, r.sell_order_id, r.quantity) for r in spark.read.parquet(out + "/data").collect()}
+    assert got == want and len(got) > 0
