@@ -128,3 +128,29 @@ def test_stream_match_carries_resting_book_across_triggers(spark):
         q.awaitTermination()
     got = {(r.buy_order_id, r.sell_order_id, r.quantity) for r in spark.read.parquet(out + "/data").collect()}
     assert got == want and len(got) > 0
+
+
+def test_stream_match_append_path_then_cross(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import types as T
+
+    from tickbook.streaming.matching import stream_match
+    sch = ("order_id long, customer_id long, symbol string, side string, price decimal(18,2), "
+           "created_at timestamp_ntz, open_qty long")
+    t0 = dt.datetime(2024, 1, 1)
+    b1 = [(1, 11, "A", "BUY", Decimal(90), t0, 10), (2, 12, "A", "SELL", Decimal(110), t0, 5),
+          (3, 13, "A", "SELL", Decimal(111), t0, 5)]                   # nothing crosses: appended
+    b2 = [(4, 14, "A", "BUY", Decimal(120), t0 + dt.timedelta(seconds=1), 7)]  # takes 5 @110, 2 @111
+    src, out = tempfile.mkdtemp(prefix="tb-orders-"), tempfile.mkdtemp(prefix="tb-match-out-")
+    schema = T._parse_datatype_string(sch)
+    for i, rows in enumerate([b1, b2]):
+        spark.createDataFrame(rows, sch).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+        s = spark.readStream.schema(schema).option("recursiveFileLookup", True) \
+            .option("pathGlobFilter", "*.parquet").parquet(src)
+        q = (stream_match(s).writeStream.format("parquet").option("path", out + "/data")
+             .option("checkpointLocation", out + "/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = sorted((r.buy_order_id, r.sell_order_id, r.quantity, float(r.trade_price))
+                 for r in spark.read.parquet(out + "/data").collect())
+    assert got == [(4, 2, 5, 110.0), (4, 3, 2, 111.0)]
