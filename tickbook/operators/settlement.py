@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import as_date, day_range
+from ..functions.ids import with_global_index
 from .upsert import upsert
 
 TOTAL = "decimal(38,2)"
@@ -31,14 +32,10 @@ def settle(fact_trade_agg: DataFrame, trades: DataFrame, day) -> DataFrame:
 
 
 def settlement_log(trades: DataFrame) -> DataFrame:
-    """One COMPLETED row per settled trading day (fact_settlement).
-
-    The input of the numbering is the set of distinct trading days, which the
-    calendar bounds (about 250 a year), so a single ordered window is fine.
-    """
+    """One COMPLETED row per settled trading day (fact_settlement), ids in day order."""
     days = trades.select(F.to_date("trade_time").alias("settlement_date")).distinct()
-    return days.select(F.row_number().over(Window.orderBy("settlement_date")).cast("bigint").alias("settlement_id"),
-                       "settlement_date", F.lit("COMPLETED").alias("status"))
+    return with_global_index(days, ["settlement_date"], "settlement_id").select(
+        "settlement_id", "settlement_date", F.lit("COMPLETED").alias("status"))
 
 
 def ledger_daily(trades: DataFrame, customers: DataFrame) -> DataFrame:

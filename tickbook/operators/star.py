@@ -1,16 +1,14 @@
 """Star-schema load from the staging table: dim_symbol, dim_date,
 fact_price_daily (insert-if-absent) and fact_price_monthly (upsert).
 
-Surrogate keys continue after the current maximum.  Dimension keys are
-numbered with one ordered window over the *new distinct* members only: their
-count is bounded by the listing universe (symbols) or the calendar (days),
-not by the fact rows.  Fact ids are numbered with the parallel
-``with_global_index``.
+Surrogate keys continue after the current maximum, numbered in key order by
+the parallel ``with_global_index`` (no single-partition window), for the
+new distinct dimension members as for the fact rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_parts
@@ -40,8 +38,8 @@ def load_dim_symbol(staging: DataFrame, existing: DataFrame | None = None) -> Da
     if existing is not None:
         new = new.join(existing.select("symbol"), "symbol", "left_anti")
     base = _next_id(existing, "symbol_id")
-    added = new.select((base + F.row_number().over(Window.orderBy("symbol"))).cast("bigint").alias("symbol_id"),
-                       "symbol", F.concat(F.col("symbol"), F.lit(" Inc.")).alias("company_name"))
+    added = with_global_index(new, ["symbol"], "symbol_id", start=base + 1).select(
+        "symbol_id", "symbol", F.concat(F.col("symbol"), F.lit(" Inc.")).alias("company_name"))
     return added if existing is None else existing.select(*DIM_SYMBOL_COLS).unionByName(added)
 
 
@@ -51,8 +49,8 @@ def load_dim_date(staging: DataFrame, existing: DataFrame | None = None) -> Data
     if existing is not None:
         new = new.join(existing.select("trade_date"), "trade_date", "left_anti")
     base = _next_id(existing, "date_id")
-    added = new.select((base + F.row_number().over(Window.orderBy("trade_date"))).cast("bigint").alias("date_id"),
-                       "trade_date", *date_parts("trade_date"))
+    added = with_global_index(new, ["trade_date"], "date_id", start=base + 1).select(
+        "date_id", "trade_date", *date_parts("trade_date"))
     return added if existing is None else existing.select(*DIM_DATE_COLS).unionByName(added)
 
 
