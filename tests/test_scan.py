@@ -48,3 +48,17 @@ def test_matching_sliced_plan_equals_window_plan(spark):
     finally:
         spark.conf.unset(scan.MAX_KEY_ROWS_CONF)
     assert sliced == default and len(default) > 0
+
+
+def test_range_partitions_follow_row_count(spark):
+    from tickbook.functions.ids import with_global_index
+    from tickbook.session import RANGE_ROWS_CONF, range_partitions
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(RANGE_ROWS_CONF, "100")
+    try:
+        assert range_partitions(spark, 5000) == max(base, 50)
+        d = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"))
+        r = with_global_index(d, ["v"], "ix")
+        assert r.filter(F.col("ix") != F.col("v") + 1).count() == 0
+    finally:
+        spark.conf.unset(RANGE_ROWS_CONF)

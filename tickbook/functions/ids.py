@@ -7,6 +7,8 @@ later order columns), each range is sorted locally and tagged with its
 position, and the only thing aggregated is one count per range partition: a
 table whose size is bounded by the number of partitions, never by the data.
 That table is broadcast to turn (partition, position) into the global number.
+The number of range partitions follows a row count of the input
+(``session.range_partitions``), so partitions stay task-sized at any scale.
 
 The tagged rows are written to the shared scratch folder before the counts
 are taken, so a retried task can never renumber rows differently from the
@@ -18,26 +20,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import range_partitions, scratch_path
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition index << 33 | position
 
 
-def _partitions_for(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-
-
 def with_global_index(df: DataFrame, order_cols: list, name: str, start: int | Column = 1,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, rows_hint: int | None = None) -> DataFrame:
     """Add column ``name`` = start-based dense rank of each row under ``order_cols``.
 
     ``order_cols`` must form a total order over the rows (ties would be
     numbered arbitrarily, as with ``row_number``).  ``start`` may be a literal
     or a one-row-per-plan scalar expression such as ``max(id) + 1``.
+    ``rows_hint`` (an upper bound of the row count) sizes the range
+    partitions; without it the input is counted first, so callers with an
+    expensive input pass the bound they know.
     """
     spark = df.sparkSession
-    n = num_partitions or _partitions_for(df)
+    # range partitions cannot be split later by AQE: size them by a row count
+    n = num_partitions or range_partitions(spark, df.count() if rows_hint is None else rows_hint)
     path = scratch_path(spark, f"index-{name}")
     (df.repartitionByRange(n, *order_cols)
        .sortWithinPartitions(*order_cols)

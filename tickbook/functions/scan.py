@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import range_partitions, scratch_path
 
 MAX_KEY_ROWS_CONF = "tickbook.scan.maxKeyRows"
 DEFAULT_MAX_KEY_ROWS = 4_000_000
@@ -37,10 +37,15 @@ def key_row_limit(spark) -> int:
     return int(spark.conf.get(MAX_KEY_ROWS_CONF, str(DEFAULT_MAX_KEY_ROWS)))
 
 
+def key_stats(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows of the most frequent key, all rows) in one partial aggregation."""
+    r = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return int(r[0] or 0), int(r[1] or 0)
+
+
 def largest_key(df: DataFrame, keys: list[str]) -> int:
     """Rows of the most frequent key (0 for an empty input): one scalar."""
-    v = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(v or 0)
+    return key_stats(df, keys)[0]
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list, sums: dict[str, Column],
@@ -53,16 +58,18 @@ def running_sums(df: DataFrame, keys: list[str], order: list, sums: dict[str, Co
     the scratch folder too, for callers that read it more than once.
     ``sliced`` forces the plan (None: measure, see the module doc)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = list(sums)
     vals = [f"_tb_v{i}" for i in range(len(names))]
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    total = None
     if sliced is None:
-        sliced = largest_key(df, keys) > key_row_limit(spark)
+        hot, total = key_stats(df, keys)
+        sliced = hot > key_row_limit(spark)
     if not sliced:
         w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
         result = df.select("*", *[F.sum(e).over(w).alias(name) for name, e in sums.items()])
         return _maybe_write(result, label, materialize)
+    n = num_partitions or range_partitions(spark, df.count() if total is None else total)
     path = scratch_path(spark, label)
     (df.select("*", *[e.alias(v) for v, e in zip(vals, sums.values())])
        .repartitionByRange(n, *keys, *order_cols)

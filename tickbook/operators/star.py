@@ -74,7 +74,9 @@ def load_fact_daily(staging: DataFrame, dim_symbol: DataFrame, dim_date: DataFra
     if existing is not None:
         rows = rows.join(existing.select("symbol_id", "date_id"), ["symbol_id", "date_id"], "left_anti")
     base = _next_id(existing, "fact_id")
-    added = with_global_index(rows, ["date_id", "symbol_id"], "fact_id", start=base + 1).select(*FACT_DAILY_COLS)
+    # at most one fact row per staging row: the staging count bounds the input
+    added = with_global_index(rows, ["date_id", "symbol_id"], "fact_id", start=base + 1,
+                              rows_hint=staging.count()).select(*FACT_DAILY_COLS)
     return added if existing is None else existing.select(*FACT_DAILY_COLS).unionByName(added)
 
 

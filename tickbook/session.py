@@ -98,6 +98,21 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             pass
 
 
+RANGE_ROWS_CONF = "tickbook.rangeRowsPerPartition"
+DEFAULT_RANGE_ROWS = 4_000_000
+
+
+def range_partitions(spark: SparkSession, rows: int) -> int:
+    """Partition count for an explicit range repartitioning of ``rows`` rows.
+
+    AQE can coalesce but not split range partitions, so the count follows the
+    data: one partition per ``tickbook.rangeRowsPerPartition`` rows (default
+    4M), never fewer than ``spark.sql.shuffle.partitions``."""
+    per = int(spark.conf.get(RANGE_ROWS_CONF, str(DEFAULT_RANGE_ROWS)))
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, -(-int(rows) // max(per, 1)))
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

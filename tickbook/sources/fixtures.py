@@ -43,7 +43,8 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined = (li.join(od, li.l_orderkey == od.o_orderkey)
                     .join(pt, li.l_partkey == pt.p_partkey)
                     .drop("o_orderkey", "p_partkey"))
-        numbered = with_global_index(joined, LINE_ORDER, "n")
+        # a lineitem row joins at most one order and one part: its count bounds the join
+        numbered = with_global_index(joined, LINE_ORDER, "n", rows_hint=li.count())
         path = scratch_path(spark, "fixture-lines")
         (numbered.select("n", "o_custkey", "l_suppkey", "p_brand", "l_quantity", "l_extendedprice",
                          "l_returnflag", "l_linestatus", "l_shipdate")
