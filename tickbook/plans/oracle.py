@@ -421,3 +421,11 @@ SQL["stream_risk"] = SQL["risk_rolling"]
 
 SQL["stream_match"] = w(BOOK, MATCH) + """
 SELECT buy_order_id, sell_order_id, buyer_id, seller_id, symbol, quantity, trade_price FROM matched"""
+
+SQL["holdings_from_snapshot"] = SQL["holdings"]
+
+SQL["holdings_after_match"] = ("WITH RECURSIVE " + BOOK + ",\n" + MATCH + """,
+trades AS (SELECT trade_id, buyer_id, seller_id, symbol, quantity, trade_price FROM matched),
+""" + HOLDINGS + "\nSELECT * FROM holdings")
+
+SQL["risk_upsert"] = SQL["risk_daily"]

@@ -456,3 +456,35 @@ def q_stream_match(spark, sf_dir):
     folder = events.inputFiles()[0].rsplit("/", 1)[0]
     out = run_to_parquet(stream_match(parquet_stream(spark, folder, events.schema)), "match")
     return spark.read.parquet(out)
+
+
+# ---- incremental and end-to-end flows ----------------------------------------------
+
+HOLDINGS_SNAPSHOT_AT = dt.datetime(1998, 1, 1)
+RISK_SPLIT_AT = dt.datetime(2024, 1, 15, 12, 0, 0)
+
+
+@query("holdings_from_snapshot")
+def q_holdings_from_snapshot(spark, sf_dir):
+    """Fold the trades before a cut, keep the snapshot, fold the rest onto it."""
+    t = fx.trades(spark, sf_dir)
+    cut = F.lit(HOLDINGS_SNAPSHOT_AT).cast("timestamp_ntz")
+    snap = _materialise(spark, holdings_op.holdings(t.filter(F.col("trade_time") < cut)), "holdings-snapshot")
+    return holdings_op.holdings(t.filter(F.col("trade_time") >= cut), previous=snap)
+
+
+@query("holdings_after_match")
+def q_holdings_after_match(spark, sf_dir):
+    """Order flow end to end: match the book, then fold the matched trades into holdings."""
+    trades = _materialise(spark, matching.match_price_time(fx.book(spark, sf_dir)), "matched-trades")
+    return holdings_op.holdings(trades)
+
+
+@query("risk_upsert")
+def q_risk_upsert(spark, sf_dir):
+    """fact_symbol_risk built by two MERGE runs (emissions before and after a cut)."""
+    rolling = _materialise(spark, risk.risk_rolling(fx.ticks(spark, sf_dir)), "risk-rolling")
+    cut = F.lit(RISK_SPLIT_AT).cast("timestamp_ntz")
+    seed = _materialise(spark, risk.risk_daily(rolling.filter(F.col("risk_ts") < cut)), "fact_symbol_risk")
+    merged = risk.merge_risk(seed, risk.risk_daily(rolling.filter(F.col("risk_ts") >= cut)))
+    return _r6(merged, "risk_score")
