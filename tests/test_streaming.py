@@ -154,3 +154,25 @@ def test_stream_match_append_path_then_cross(spark):
     got = sorted((r.buy_order_id, r.sell_order_id, r.quantity, float(r.trade_price))
                  for r in spark.read.parquet(out + "/data").collect())
     assert got == [(4, 2, 5, 110.0), (4, 3, 2, 111.0)]
+
+
+def test_stream_bars_foreach_batch_upsert_equals_batch_bars(spark):
+    from pyspark.sql import functions as F
+
+    from tickbook.operators.bars import bars
+    from tickbook.sources import fixtures as fx
+    from tickbook.streaming.bars import upsert_bars_batch
+    from tickbook.streaming.sources import tick_stream
+
+    from .conftest import SF001
+    table = os.path.join(tempfile.mkdtemp(prefix="tb-bars-tbl-"), "fact_tick_agg")
+    ck = tempfile.mkdtemp(prefix="tb-bars-ck-")
+    q = (stream_bars(tick_stream(spark, SF001)).writeStream.foreachBatch(upsert_bars_batch(table))
+         .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(table).drop("bar_day")
+    t = fx.ticks(spark, SF001)
+    last = t.agg(F.max("ts")).first()[0]
+    want = bars(t).filter(F.col("minute_ts") + F.expr("INTERVAL 1 MINUTE") <= F.lit(last))
+    cols = sorted(want.columns)
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))

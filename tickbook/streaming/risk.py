@@ -85,6 +85,8 @@ def upsert_risk_batch(table_path: str):
     from ..operators.upsert import write_upsert
 
     def write(batch: DataFrame, _epoch: int) -> None:
+        if batch.isEmpty():  # e.g. the first trigger, before the watermark closes a window
+            return
         daily = (risk_daily(batch).withColumn("risk_day", F.to_date("risk_ts"))
                  .withColumn("risk_month", F.trunc("risk_day", "month")))
         spark = batch.sparkSession
