@@ -31,7 +31,7 @@ HEADLINE = ["match_price_time", "orders_after_match", "match_best_buy", "holding
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", app="tickbook-bench", shuffle_partitions=max(cpus * 2, 8),
+    spark = build_session(f"local[{cpus}]", app="tickbook-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     t0 = time.time()
     fx.lines(spark, sf_dir)

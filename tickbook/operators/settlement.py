@@ -34,7 +34,7 @@ def settle(fact_trade_agg: DataFrame, trades: DataFrame, day) -> DataFrame:
 def settlement_log(trades: DataFrame) -> DataFrame:
     """One COMPLETED row per settled trading day (fact_settlement), ids in day order."""
     days = trades.select(F.to_date("trade_time").alias("settlement_date")).distinct()
-    return with_global_index(days, ["settlement_date"], "settlement_id").select(
+    return with_global_index(days, ["settlement_date"], "settlement_id", rows_hint=trades.count()).select(
         "settlement_id", "settlement_date", F.lit("COMPLETED").alias("status"))
 
 

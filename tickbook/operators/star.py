@@ -38,7 +38,8 @@ def load_dim_symbol(staging: DataFrame, existing: DataFrame | None = None) -> Da
     if existing is not None:
         new = new.join(existing.select("symbol"), "symbol", "left_anti")
     base = _next_id(existing, "symbol_id")
-    added = with_global_index(new, ["symbol"], "symbol_id", start=base + 1).select(
+    # new members <= staging rows: a cheap bound for sizing the numbering
+    added = with_global_index(new, ["symbol"], "symbol_id", start=base + 1, rows_hint=staging.count()).select(
         "symbol_id", "symbol", F.concat(F.col("symbol"), F.lit(" Inc.")).alias("company_name"))
     return added if existing is None else existing.select(*DIM_SYMBOL_COLS).unionByName(added)
 
@@ -49,7 +50,7 @@ def load_dim_date(staging: DataFrame, existing: DataFrame | None = None) -> Data
     if existing is not None:
         new = new.join(existing.select("trade_date"), "trade_date", "left_anti")
     base = _next_id(existing, "date_id")
-    added = with_global_index(new, ["trade_date"], "date_id", start=base + 1).select(
+    added = with_global_index(new, ["trade_date"], "date_id", start=base + 1, rows_hint=staging.count()).select(
         "date_id", "trade_date", *date_parts("trade_date"))
     return added if existing is None else existing.select(*DIM_DATE_COLS).unionByName(added)
 
