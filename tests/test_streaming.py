@@ -3,6 +3,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 
 from tickbook.streaming.bars import stream_bars
 from tickbook.streaming.risk import emission_scores
@@ -85,7 +86,8 @@ def test_parse_ticks_routes_bad_messages(spark):
     assert sorted(r.seq for r in rejects.collect()) == [2, 3, 4]
 
 
-def test_stream_match_carries_resting_book_across_triggers(spark):
+@pytest.mark.parametrize("lo,hi,batches_n", [(95, 105, 3), (50, 5000, 5)])
+def test_stream_match_carries_resting_book_across_triggers(spark, lo, hi, batches_n):
     import random
     from decimal import Decimal
 
@@ -98,12 +100,12 @@ def test_stream_match_carries_resting_book_across_triggers(spark):
     t0 = dt.datetime(2024, 1, 1)
     batches = []
     oid = 0
-    for b in range(3):
+    for b in range(batches_n):
         rows = []
         for _ in range(60):
             oid += 1
             rows.append((oid, 500 + oid, rnd.choice(["A", "B"]), rnd.choice(["BUY", "SELL"]),
-                         Decimal(rnd.randint(95, 105)), t0 + dt.timedelta(seconds=oid), rnd.randint(1, 30)))
+                         Decimal(rnd.randint(lo, hi)), t0 + dt.timedelta(seconds=oid), rnd.randint(1, 30)))
         batches.append(rows)
     # expected: sweep each symbol's book batch after batch, carrying the residual
     want, resting = set(), {}
