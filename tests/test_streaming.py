@@ -178,3 +178,29 @@ def test_stream_bars_foreach_batch_upsert_equals_batch_bars(spark):
     want = bars(t).filter(F.col("minute_ts") + F.expr("INTERVAL 1 MINUTE") <= F.lit(last))
     cols = sorted(want.columns)
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_stream_risk_state_survives_restart(spark):
+    from pyspark.sql import types as T
+
+    from tickbook.streaming.risk import stream_risk
+    rnd = np.random.default_rng(9)
+    t0 = dt.datetime(2024, 1, 1)
+    n = 700
+    rows = [("S" if i % 3 else "T", t0 + dt.timedelta(seconds=i), float(100 + rnd.normal()), i) for i in range(n)]
+    src, out = tempfile.mkdtemp(prefix="tb-ticks-"), tempfile.mkdtemp(prefix="tb-risk-out-")
+    schema = T._parse_datatype_string(TICK)
+    for i, part in enumerate([rows[:n // 2], rows[n // 2:]]):       # one query run per file
+        spark.createDataFrame(part, TICK).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+        s = spark.readStream.schema(schema).option("recursiveFileLookup", True) \
+            .option("pathGlobFilter", "*.parquet").parquet(src)
+        q = (stream_risk(s).writeStream.format("parquet").option("path", out + "/data")
+             .option("checkpointLocation", out + "/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = sorted((r.symbol, r.tick_no, round(r.risk_score, 9)) for r in spark.read.parquet(out + "/data").collect())
+    want = []
+    for sym in ("S", "T"):
+        p = np.array([r[2] for r in rows if r[0] == sym])
+        idx, scores = emission_scores(np.empty(0), p, 0)
+        want += [(sym, int(i) + 1, round(float(sc), 9)) for i, sc in zip(idx, scores)]
+    assert got == sorted(want) and len(got) > 0
