@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import as_date, day_range, hhmm_to_seconds, minute_floor, seconds_of_day, since
@@ -72,20 +72,35 @@ def breach_position(holdings: DataFrame, prices: DataFrame, limit: int = MAX_POS
                      F.col("market_value").alias("position_value")))
 
 
-def breach_daily_loss(trades: DataFrame, prices: DataFrame, limit: int = MAX_DAILY_LOSS_USD) -> DataFrame:
-    """Customers whose trades of one day lose more than ``limit`` marked at that day's close.
-
-    Our definition: a buy of q at p gains q x (close - p), a sell loses it;
-    the day's result per customer is the sum over both legs of all trades.
-    Exact decimal arithmetic.
-    """
+def daily_pnl(trades: DataFrame, prices: DataFrame) -> DataFrame:
+    """Day-over-day mark-to-market P&L per customer (ours; the reference only names the limit).
+
+    Per (customer, symbol) and trading day of that pair: position = running
+    net quantity (buys +, sells -), value = position x that day's close, and
+    P&L = value - value on the pair's previous trading day + the day's cash
+    flow (sells receive, buys pay quantity x price).  Summed per customer and
+    day.  Exact decimal arithmetic; the windows hold one row per trading day
+    of a pair, which the calendar bounds."""
+    value = F.col("quantity") * F.col("trade_price")
+    legs = (trades.select(F.col("buyer_id").alias("customer_id"), "symbol", "trade_time",
+                          F.col("quantity").alias("dq"), (-value).alias("cash"))
+                  .unionByName(trades.select(F.col("seller_id").alias("customer_id"), "symbol", "trade_time",
+                                             (-F.col("quantity")).alias("dq"), value.alias("cash"))))
+    day = (legs.groupBy("customer_id", "symbol", F.to_date("trade_time").alias("trade_date"))
+               .agg(F.sum("dq").alias("dq"), F.sum("cash").alias("cash")))
     close = prices.select("symbol", F.col("price_date").alias("trade_date"), "close_price")
-    diff = F.col("quantity") * (F.col("close_price") - F.col("trade_price"))
-    t = trades.withColumn("trade_date", F.to_date("trade_time")).join(close, ["symbol", "trade_date"])
-    legs = (t.select(F.col("buyer_id").alias("customer_id"), "trade_date", diff.alias("pnl"))
-             .unionByName(t.select(F.col("seller_id").alias("customer_id"), "trade_date", (-diff).alias("pnl"))))
-    daily = legs.groupBy("customer_id", "trade_date").agg(F.sum("pnl").cast(TOTAL).alias("daily_pnl"))
-    return daily.filter(F.col("daily_pnl") < -F.lit(limit))
+    w = Window.partitionBy("customer_id", "symbol").orderBy("trade_date")
+    pos = F.sum("dq").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    marked = (day.join(close, ["symbol", "trade_date"])
+                 .withColumn("mtm", pos * F.col("close_price")))
+    pnl = (F.col("mtm") - F.coalesce(F.lag("mtm").over(w), F.lit(0)) + F.col("cash"))
+    per_pair = marked.select("customer_id", "trade_date", pnl.alias("pnl"))
+    return per_pair.groupBy("customer_id", "trade_date").agg(F.sum("pnl").cast(TOTAL).alias("daily_pnl"))
+
+
+def breach_daily_loss(trades: DataFrame, prices: DataFrame, limit: int = MAX_DAILY_LOSS_USD) -> DataFrame:
+    """Customer-days whose mark-to-market loss exceeds ``limit`` (see ``daily_pnl``)."""
+    return daily_pnl(trades, prices).filter(F.col("daily_pnl") < -F.lit(limit))
 
 
 def risk_recent(risk_daily: DataFrame, as_of) -> DataFrame:

@@ -167,15 +167,27 @@ SELECT customer_id, symbol, quantity, current_price, market_value AS position_va
   FROM holdings h LEFT JOIN latest l ON l.symbol = h.symbol)
 WHERE abs(market_value) > 1000000"""
 
-SQL["breach_daily_loss"] = w(PRICES) + """,
-t AS (SELECT t.*, p.close_price FROM trades t JOIN prices p
-        ON p.symbol = t.symbol AND p.price_date = CAST(t.trade_time AS DATE)),
-l AS (SELECT buyer_id AS customer_id, CAST(trade_time AS DATE) AS trade_date,
-             quantity * (close_price - trade_price) AS pnl FROM t
-      UNION ALL
-      SELECT seller_id, CAST(trade_time AS DATE), -(quantity * (close_price - trade_price)) FROM t)
-SELECT customer_id, trade_date, CAST(sum(pnl) AS DECIMAL(38,2)) AS daily_pnl FROM l
-GROUP BY customer_id, trade_date HAVING sum(pnl) < -50000"""
+DAILY_PNL = """legs_pnl AS (
+  SELECT buyer_id AS customer_id, symbol, trade_time, quantity AS dq, -(quantity * trade_price) AS cash FROM trades
+  UNION ALL
+  SELECT seller_id, symbol, trade_time, -quantity, quantity * trade_price FROM trades),
+pair_day AS (
+  SELECT customer_id, symbol, CAST(trade_time AS DATE) AS trade_date, sum(dq) AS dq, sum(cash) AS cash
+  FROM legs_pnl GROUP BY customer_id, symbol, CAST(trade_time AS DATE)),
+marked AS (
+  SELECT d.*, sum(d.dq) OVER (PARTITION BY d.customer_id, d.symbol ORDER BY d.trade_date
+                              ROWS UNBOUNDED PRECEDING) * p.close_price AS mtm
+  FROM pair_day d JOIN prices p ON p.symbol = d.symbol AND p.price_date = d.trade_date),
+pair_pnl AS (
+  SELECT customer_id, trade_date,
+         mtm - coalesce(lag(mtm) OVER (PARTITION BY customer_id, symbol ORDER BY trade_date), 0) + cash AS pnl
+  FROM marked),
+daily_pnl AS (
+  SELECT customer_id, trade_date, CAST(sum(pnl) AS DECIMAL(38,2)) AS daily_pnl
+  FROM pair_pnl GROUP BY customer_id, trade_date)"""
+
+SQL["breach_daily_loss"] = w(PRICES, DAILY_PNL) + """
+SELECT customer_id, trade_date, daily_pnl FROM daily_pnl WHERE daily_pnl < -50000"""
 
 SQL["risk_volatility"] = w(PRICES, RETURNS) + """
 SELECT symbol, round(stddev_samp(ret), 6) AS volatility, count(*) AS n_returns FROM rets_nn GROUP BY symbol"""
