@@ -387,11 +387,11 @@ checked AS (
   FROM requests)"""
 
 SQL["order_intake"] = w(REQUESTS) + """
-SELECT (SELECT coalesce(max(order_id), 0) FROM book WHERE created_at < TIMESTAMP '2000-01-01')
+SELECT (SELECT coalesce(max(order_id), 0) FROM book WHERE status = 'FILLED')
          + row_number() OVER (ORDER BY request_seq) AS order_id,
        customer_id, symbol, side, quantity, CAST(0 AS BIGINT) AS filled_quantity, price,
        'PENDING' AS status, submitted_at AS created_at
-FROM checked WHERE reason = '' AND submitted_at >= TIMESTAMP '2000-01-01'"""
+FROM checked WHERE reason = ''"""
 
 SQL["order_rejects"] = w(REQUESTS) + """
 SELECT request_seq, customer_id, symbol, side, quantity, price, reason FROM checked WHERE reason <> ''"""

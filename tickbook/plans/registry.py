@@ -366,17 +366,15 @@ def q_bars_upsert(spark, sf_dir):
 
 # ---- intake, events, outbox ------------------------------------------------------
 
-INTAKE_FROM = dt.datetime(2000, 1, 1)
-
-
 @query("order_intake")
 def q_order_intake(spark, sf_dir):
+    """Every order request, placed on top of the orders already in the table
+    (the book's FILLED rows): new ids continue after their maximum."""
     from ..operators import intake
-    cut = F.lit(INTAKE_FROM).cast("timestamp_ntz")
-    req = fx.order_requests(spark, sf_dir).filter(F.col("submitted_at") >= cut)
-    existing = fx.book(spark, sf_dir).filter(F.col("created_at") < cut)
+    book = fx.book(spark, sf_dir)
+    existing = book.filter(F.col("status") == "FILLED")
     # one request per book row: the book table's row count bounds the requests
-    return intake.place_orders(req, existing, rows_hint=fx.book(spark, sf_dir).count())
+    return intake.place_orders(fx.order_requests(spark, sf_dir), existing, rows_hint=book.count())
 
 
 @query("order_rejects")
