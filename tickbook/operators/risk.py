@@ -76,7 +76,8 @@ def daily_returns(prices: DataFrame) -> DataFrame:
     w = Window.partitionBy("symbol").orderBy("price_date")
     close = F.col("close_price").cast("double")
     prev = F.lag(close).over(w)
-    return (prices.select("symbol", "price_date", (close / prev - 1.0).alias("ret"))
+    # a zero previous close has no return (try_divide: NULL, not an ANSI error)
+    return (prices.select("symbol", "price_date", (F.try_divide(close, prev) - 1.0).alias("ret"))
                   .filter(F.col("ret").isNotNull()))
 
 
