@@ -289,10 +289,14 @@ def q_export_prices_roundtrip(spark, sf_dir):
                     F.col("adj_close").cast(px).alias("adj_close"), F.col("volume").cast("bigint").alias("volume"))
 
 
-def _materialise(spark, df, label):
+def _write(spark, df, label) -> str:
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def _materialise(spark, df, label):
+    return spark.read.parquet(_write(spark, df, label))
 
 
 @query("dim_symbol")
@@ -449,11 +453,11 @@ def q_stream_match(spark, sf_dir):
     """The open book replayed as an order-event stream into the keyed matcher."""
     from ..streaming.matching import stream_match
     from ..streaming.sources import parquet_stream, run_to_parquet
-    events = _materialise(spark, matching.open_book(fx.book(spark, sf_dir))
-                          .select("order_id", "customer_id", "symbol", "side", "price", "created_at", "open_qty"),
-                          "order-events")
-    folder = events.inputFiles()[0].rsplit("/", 1)[0]
-    out = run_to_parquet(stream_match(parquet_stream(spark, folder, events.schema)), "match")
+    folder = _write(spark, matching.open_book(fx.book(spark, sf_dir))
+                    .select("order_id", "customer_id", "symbol", "side", "price", "created_at", "open_qty"),
+                    "order-events")
+    schema = spark.read.parquet(folder).schema
+    out = run_to_parquet(stream_match(parquet_stream(spark, folder, schema)), "match")
     return spark.read.parquet(out)
 
 
