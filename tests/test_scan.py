@@ -62,3 +62,19 @@ def test_range_partitions_follow_row_count(spark):
         assert r.filter(F.col("ix") != F.col("v") + 1).count() == 0
     finally:
         spark.conf.unset(RANGE_ROWS_CONF)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot", "hot", "hot"]), st.integers(-50, 50)),
+                min_size=1, max_size=300),
+       st.integers(2, 20))
+def test_running_sums_sliced_equals_window_property(spark, rows, parts):
+    data = [(k, i, v) for i, (k, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, o long, v long")
+    got = running_sums(df, ["k"], ["o"], {"s": F.col("v")}, num_partitions=parts, sliced=True)
+    want = running_sums(df, ["k"], ["o"], {"s": F.col("v")}, sliced=False)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
