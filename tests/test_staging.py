@@ -47,3 +47,15 @@ def test_missing_column_fails_and_keeps_staging(spark):
     with pytest.raises(Exception):
         load_staging(spark, read_price_files(spark, d), table + "-next", load_ts="2024-01-01 00:00:00")
     assert sorted(tuple(r) for r in spark.read.parquet(table).collect()) == before
+
+
+def test_columns_in_any_order_and_extra_columns(spark):
+    d = tempfile.mkdtemp(prefix="tb-csv-")
+    _write(d, "A.csv", HEADER + "2024-01-02,A,1,2,0.5,1.5,1.5,10\n")
+    _write(d, "B.csv", "volume,extra,Symbol,date,adj_close,close,low,high,open\n"
+                       "20,x,B,2024-01-03,2.5,2.5,1.5,3,2\n")
+    staged, rejects = cleanse(read_price_files(spark, d))
+    got = sorted((r.symbol, str(r.trade_date), r.open_price, r.high_price, r.low_price, r.close_price, r.volume)
+                 for r in staged.collect())
+    assert got == [("A", "2024-01-02", 1.0, 2.0, 0.5, 1.5, 10), ("B", "2024-01-03", 2.0, 3.0, 1.5, 2.5, 20)]
+    assert rejects.count() == 0

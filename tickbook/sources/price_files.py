@@ -44,21 +44,45 @@ def export_price_files(prices: DataFrame, out_dir: str) -> None:
          .csv(out_dir))
 
 
+def file_headers(spark: SparkSession, in_dir: str) -> DataFrame:
+    """(file, header) of every ``*.csv`` below ``in_dir``: the first line of
+    each file, read from the file's first block only."""
+    t = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(in_dir)
+              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("blk"),
+                      "value", F.monotonically_increasing_id().alias("pos")))
+    return t.filter(F.col("blk") == 0).groupBy("file").agg(F.min_by("value", "pos").alias("header"))
+
+
+def _columns(header: str) -> list[str]:
+    return [c.strip().strip('"') for c in header.split(",")]
+
+
 def read_price_files(spark: SparkSession, in_dir: str) -> DataFrame:
-    """All ``*.csv`` below ``in_dir`` as strings, plus the source file.
+    """All ``*.csv`` below ``in_dir`` as strings (the eight expected columns),
+    plus the source file.
 
-    ``enforceSchema=False`` makes the scan check every file's header against
-    the expected columns: a file without e.g. ``adj_close`` fails the load
-    (the reference raises for such a file)."""
-    return (spark.read
-                 .option("header", True)
-                 .option("enforceSchema", False)
-                 .option("recursiveFileLookup", True)
-                 .option("pathGlobFilter", "*.csv")
-                 .option("mode", "PERMISSIVE")
-                 .schema(RAW_SCHEMA)
-                 .csv(in_dir)
-                 .withColumn("source_file", F.col("_metadata.file_path")))
+    Like the reference's loader, a file must contain every expected column,
+    in any order, extra columns ignored; a file without e.g. ``adj_close``
+    fails the whole load before anything is written.  Files are grouped by
+    header layout (few distinct layouts) and each group is read with its own
+    column order, then selected by name."""
+    layouts = (file_headers(spark, in_dir).groupBy("header")
+               .agg(F.collect_list("file").alias("files")).collect())   # one row per layout
+    parts = []
+    for row in layouts:
+        cols = _columns(row["header"])
+        missing = [c for c in CSV_COLUMNS if c not in cols]
+        if missing:
+            raise ValueError(f"{len(row['files'])} file(s) such as {row['files'][0]} lack columns {missing}")
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+        parts.append(spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema)
+                          .csv(row["files"]).select(*CSV_COLUMNS, F.col("_metadata.file_path").alias("source_file")))
+    if not parts:
+        return spark.createDataFrame([], T.StructType(RAW_SCHEMA.fields + [T.StructField("source_file", T.StringType())]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_exported(spark: SparkSession, in_dir: str) -> DataFrame:
