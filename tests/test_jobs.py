@@ -79,3 +79,35 @@ def test_outbox_stream_publishes_pending_once(spark):
     assert sink.count() == n_pending
     assert spark.read.parquet(base + "/ledger").count() == n_pending
     assert sorted(r[0] for r in sink.select("topic").distinct().collect()) == ["order_events", "trade_events"]
+
+
+def test_failed_load_is_audited_and_leaves_fact_unchanged(spark):
+    import pytest
+    base = tempfile.mkdtemp(prefix="tb-audit-")
+    good = os.path.join(base, "good")
+    os.makedirs(good)
+    with open(os.path.join(good, "A.csv"), "w") as f:
+        f.write("date,Symbol,open,high,low,close,adj_close,volume\n2024-01-02,A,1,2,1,1.5,1.5,3\n")
+    fact = os.path.join(base, "fact_price")
+    jobs.load_prices(spark, good, fact)
+    before = sorted(map(tuple, spark.read.parquet(fact).collect()))
+    bad = os.path.join(base, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "B.csv"), "w") as f:
+        f.write("date,Symbol,open,high,low,close,volume\n2024-01-03,B,1,2,1,1.5,3\n")
+    audit = os.path.join(base, "audit_errors")
+    with pytest.raises(ValueError):
+        with jobs.audited(spark, audit, "load_prices"):
+            jobs.load_prices(spark, bad, fact)
+    rows = spark.read.parquet(audit).collect()
+    assert len(rows) == 1 and rows[0].component == "load_prices" and "adj_close" in rows[0].message
+    assert sorted(map(tuple, spark.read.parquet(fact).collect())) == before
+
+
+def test_settle_day_logs_completion(spark):
+    t = fx.trades(spark, SF001)
+    day = t.agg(F.max(F.to_date("trade_time"))).first()[0]
+    base = tempfile.mkdtemp(prefix="tb-settle-")
+    jobs.settle_day(spark, t, base + "/agg", day, settlement_log_path=base + "/log")
+    log = spark.read.parquet(base + "/log").collect()
+    assert [(r.settlement_date, r.status) for r in log] == [(day, "COMPLETED")]
