@@ -31,6 +31,24 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+               rows_per_range_partition: int = 4_000_000) -> dict:
+    """Settings for a run over ``input_bytes`` of input.
+
+    Shuffles start with one partition per ``partition_bytes`` of input (AQE
+    coalesces small ones, it cannot split big ones), scans split files at the
+    same size, and AQE aims for that size after coalescing; skew splitting
+    starts at 4x the target.  About 400,000 shuffle partitions for 100 TB."""
+    n = max(200, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "tickbook.rangeRowsPerPartition": str(rows_per_range_partition),
+    }
+
+
 def build_session(master: str | None = None, app: str = "tickbook",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
