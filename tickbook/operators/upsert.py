@@ -6,7 +6,7 @@ that a NULL value in the source really overwrites (a ``coalesce`` on values
 would silently keep the old one).  One shuffle on the keys; both sides are
 hash-partitioned on them and AQE splits a skewed key range.
 
-``write_upsert`` applies the merge to a date-partitioned Parquet table:
+``write_upsert`` applies the merge to a partitioned Parquet table (by day or month):
 only partitions that the source touches are read, merged and rewritten
 (dynamic partition overwrite), and the merged rows are first written to a
 scratch folder, so a failed job leaves the table as it was.
