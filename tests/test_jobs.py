@@ -111,3 +111,18 @@ def test_settle_day_logs_completion(spark):
     jobs.settle_day(spark, t, base + "/agg", day, settlement_log_path=base + "/log")
     log = spark.read.parquet(base + "/log").collect()
     assert [(r.settlement_date, r.status) for r in log] == [(day, "COMPLETED")]
+
+
+def test_cli_runs_jobs(spark):
+    from tickbook.__main__ import main
+    base = tempfile.mkdtemp(prefix="tb-cli-")
+    trades = base + "/trades"
+    fx.trades(spark, SF001).write.parquet(trades)
+    day = spark.read.parquet(trades).agg(F.max(F.to_date("trade_time"))).first()[0]
+    main(["settle-day", "--trades", trades, "--fact-trade-agg", base + "/agg", "--day", str(day),
+          "--log", base + "/log"], spark=spark)
+    assert spark.read.parquet(base + "/log").count() == 1
+    orders = base + "/orders"
+    fx.book(spark, SF001).write.parquet(orders)
+    out = main(["match-book", "--orders", orders], spark=spark)
+    assert spark.read.parquet(out["trades"]).count() > 0
