@@ -9,6 +9,7 @@ runs in local mode (tests, the bench).
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -131,6 +132,24 @@ def range_partitions(spark: SparkSession, rows: int) -> int:
     return max(base, -(-int(rows) // max(per, 1)))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Start stateful queries (transformWithStateInPandas needs RocksDB) with the
+    RocksDB state store, whatever the session uses; the setting is captured
+    when a query starts, so the session's own value is restored afterwards."""
+    prev = spark.conf.get(_STATE_PROVIDER, None)
+    spark.conf.set(_STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if prev and prev != ROCKSDB:
+            spark.conf.set(_STATE_PROVIDER, prev)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
