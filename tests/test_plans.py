@@ -1,0 +1,33 @@
+"""Structural checks on physical plans: the scale properties the design relies on."""
+
+from pyspark.sql import functions as F
+
+from tickbook.functions.scan import running_sums
+from tickbook.operators import matching, reports
+from tickbook.sources import fixtures as fx
+
+from .conftest import SF001
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sliced_scan_spreads_a_key_over_slices_and_broadcasts_offsets(spark):
+    df = spark.range(2000).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"))
+    plan = _plan(running_sums(df, ["k"], ["o"], {"s": F.lit(1)}, sliced=True, num_partitions=8))
+    assert "hashpartitioning(_tb_slice" in plan          # window partitions are (slice, key), not key
+    assert "BroadcastExchange" in plan                     # the bounded offset table
+
+
+def test_best_buy_is_a_partial_aggregate_not_a_window(spark):
+    plan = _plan(matching.match_best_buy(fx.book(spark, SF001)))
+    assert "max_by" in plan and "partial_max_by" in plan
+    assert "Window" not in plan
+
+
+def test_day_filter_reaches_the_parquet_scan(spark):
+    t = fx.trades(spark, SF001)
+    plan = _plan(reports.top_traded(t, day="1999-01-04"))
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "GreaterThanOrEqual(l_shipdate" in scan and "LessThan(l_shipdate" in scan
