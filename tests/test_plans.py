@@ -31,3 +31,8 @@ def test_day_filter_reaches_the_parquet_scan(spark):
     plan = _plan(reports.top_traded(t, day="1999-01-04"))
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
     assert "GreaterThanOrEqual(l_shipdate" in scan and "LessThan(l_shipdate" in scan
+
+
+def test_top_k_report_is_take_ordered(spark):
+    plan = _plan(reports.top_traded(fx.trades(spark, SF001), n=5))
+    assert "TakeOrderedAndProject" in plan

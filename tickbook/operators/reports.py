@@ -126,10 +126,16 @@ def ticks_from(ticks: DataFrame, start, symbol: str | None = None) -> DataFrame:
     return t if symbol is None else t.filter(F.col("symbol") == symbol)
 
 
+def in_session(df: DataFrame, ts_col: str, open_hhmm: str = SESSION_OPEN,
+               close_hhmm: str = SESSION_CLOSE) -> DataFrame:
+    """Rows whose ``ts_col`` falls inside trading hours [open, close) (ticks, orders)."""
+    s = seconds_of_day(ts_col)
+    return df.filter((s >= hhmm_to_seconds(open_hhmm)) & (s < hhmm_to_seconds(close_hhmm)))
+
+
 def ticks_in_session(ticks: DataFrame, open_hhmm: str = SESSION_OPEN, close_hhmm: str = SESSION_CLOSE) -> DataFrame:
     """Ticks inside trading hours [open, close)."""
-    s = seconds_of_day("ts")
-    return ticks.filter((s >= hhmm_to_seconds(open_hhmm)) & (s < hhmm_to_seconds(close_hhmm)))
+    return in_session(ticks, "ts", open_hhmm, close_hhmm)
 
 
 def minute_volume(ticks: DataFrame) -> DataFrame:

@@ -441,3 +441,5 @@ trades AS (SELECT trade_id, buyer_id, seller_id, symbol, quantity, trade_price F
 """ + HOLDINGS + "\nSELECT * FROM holdings")
 
 SQL["risk_upsert"] = SQL["risk_daily"]
+
+SQL["top_traded_top5"] = SQL["top_traded"] + "\nLIMIT 5"

@@ -49,6 +49,13 @@ def q_top_traded(spark, sf_dir):
     return reports.top_traded(fx.trades(spark, sf_dir))
 
 
+@query("top_traded_top5")
+def q_top_traded_top5(spark, sf_dir):
+    """The report as a top-k: ORDER BY ... LIMIT plans as TakeOrderedAndProject
+    (a top 5 per partition, then a merge), never a global sort."""
+    return reports.top_traded(fx.trades(spark, sf_dir), n=5)
+
+
 @query("top_traded_day")
 def q_top_traded_day(spark, sf_dir):
     t = fx.trades(spark, sf_dir)
