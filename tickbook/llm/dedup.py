@@ -10,11 +10,16 @@
 3. Inside each bucket (band, band value) the candidate edges are a star: the
    hub and every other member.  Edges are confirmed on the full sets.
 4. Star edges alone can miss a link between two members that are both far
-   from the hub.  So after the components of the star edges are known,
-   buckets that still hold several components get their remaining
-   cross-component pairs, and those are confirmed too: every pair of
-   different sets that shares a bucket is either in one component already or
-   is compared in full.  No partner, candidate or bucket is capped.
+   from the hub.  So after the components of the star edges are known, the
+   buckets that still hold several components get more edges.  Where a bucket
+   has at most ``SMALL`` members (so a bounded number per member), these are
+   all its pairs of different components.  In a larger one, its members carry
+   a 1024-bin sketch of one byte per bin; blocks of members are compared in
+   numpy, and a pair of different components becomes an edge if its estimated
+   similarity is within four standard deviations of the threshold (so a link
+   is missed with probability 3e-5) and no earlier band has it already.
+   Members that one component holds are never paired, so copies, however
+   many, cost one edge each.  No partner, candidate or bucket is capped.
 
 Components are found by min-label propagation with pointer jumping; every
 round is written to the shared scratch folder.
@@ -32,6 +37,9 @@ from . import text as T
 
 _U = np.uint64
 _PROBES = 1024
+SMALL = 16                # members of a bucket whose cross-component pairs are all compared
+SKETCH_BINS = 1024
+BLOCK_ROWS = 1024         # members of a bucket compared in one group
 _SIGNATURES = "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, bands array<bigint>"
 
 
@@ -99,6 +107,61 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _SIGNATURES)
 
 
+def sketches(sets: DataFrame, bands: int, rows: int) -> DataFrame:
+    """id, sketch (one byte per bin), own (the low 32 bits of the band keys)."""
+
+    def run(batches):
+        fine, coarse = _tables(SKETCH_BINS), _tables(bands * rows)
+        for b in batches:
+            sketch, own = [], []
+            for x in b.column(1):
+                h = np.sort(x.values.to_numpy(zero_copy_only=False).view(np.uint64))
+                sketch.append(T.mix(signature(h, *fine)).astype(np.uint8).tobytes())
+                own.append(band_keys(signature(h, *coarse), bands, rows).astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sketch, pa.binary()), pa.array(own, pa.binary())],
+                                             names=["id", "sketch", "own"])
+
+    return sets.select("id", "shingles").mapInArrow(run, "id bigint, sketch binary, own binary")
+
+
+def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components in a bucket whose sketches agree enough.
+
+    ``rows``: key, members, id, comp, sketch, own.  A bucket is dealt into
+    blocks of about BLOCK_ROWS members and every pair of blocks is one group,
+    so no group grows with the bucket."""
+    p = percent / 100
+    least = p - 4 * (p * (1 - p) / SKETCH_BINS) ** 0.5
+    blocks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
+    dealt = (rows.withColumn("_blocks", blocks)
+                 .withColumn("_i", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+                 .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+                 .select("key", F.least("_i", "_j").alias("_p"), F.greatest("_i", "_j").alias("_q"), "_i",
+                         "id", "comp", "sketch", "own"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        n = t.num_rows
+        ids, comp, block = (t.column(c).to_numpy() for c in ("id", "comp", "_i"))
+        low = np.uint32(int(t.column("key")[0].as_py()) & 0xFFFFFFFF)
+        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
+        own = np.frombuffer(b"".join(t.column("own").to_pylist()), np.uint32).reshape(n, -1)
+        same_block = t.column("_p")[0].as_py() == t.column("_q")[0].as_py()
+        at = np.arange(n)
+        a, b = [], []
+        for i in range(n):
+            with_i = at[(comp != comp[i]) & ((at > i) if same_block else (block > block[i]))]
+            if not len(with_i):
+                continue
+            near = with_i[(sketch[with_i] == sketch[i]).mean(axis=1) >= least]
+            shared = own[near] == own[i]
+            near = near[own[i][shared.argmax(axis=1)] == low]     # this is the first band they share
+            a.extend(np.minimum(ids[near], ids[i]).tolist())
+            b.extend(np.maximum(ids[near], ids[i]).tolist())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("key", "_p", "_q").applyInArrow(compare, "a bigint, b bigint")
+
+
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """id, shingles (sorted distinct 64-bit hashes)."""
 
@@ -147,6 +210,19 @@ def components(links: DataFrame, label: str = "cc") -> DataFrame:
             return state
 
 
+def _mixed(slots: DataFrame) -> DataFrame:
+    """key, members: the keys that hold more than one component."""
+    return (slots.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
+                                     F.count(F.lit(1)).alias("members")).where("_lo < _hi").select("key", "members"))
+
+
+def _cross_pairs(slots: DataFrame) -> DataFrame:
+    """(a, b) of different components that share a key."""
+    other = slots.select("key", F.col("id").alias("_b"), F.col("comp").alias("_cb"))
+    return (slots.join(other, (slots["key"] == other["key"]) & (F.col("comp") < F.col("_cb")))
+                 .select(F.least("id", "_b").alias("a"), F.greatest("id", "_b").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 24, rows: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
@@ -175,20 +251,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     star = T.stored(star, "star")
     nodes = members.select("id").distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    sets = T.stored(shingle_sets(texts.join(nodes, "id", "left_semi"), words).dropDuplicates(["id"]), "sets") \
-        if False else T.stored(shingle_sets(texts.join(nodes, "id", "left_semi"), words), "sets")
+    sets = T.stored(shingle_sets(texts.join(nodes, "id", "left_semi"), words), "sets")
     links = T.stored(confirm(star, sets, percent), "links")
     comp = components(links)
 
-    # pairs of different components that still share a bucket
-    held = members.select("key", "id").join(comp, "id", "left").select(
-        "key", "id", F.coalesce("comp", "id").alias("comp"))
-    held = T.stored(held, "held")
-    mixed = held.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi")
-    rest = held.join(mixed.select("key"), "key")
-    other = rest.select("key", F.col("id").alias("b"), F.col("comp").alias("_cb"))
-    pairs = (rest.join(other, "key").where("comp < _cb").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
-                 .distinct().join(star.select(F.col("a"), F.col("b")), ["a", "b"], "left_anti"))
+    # buckets that hold several components: small ones pair by pair, large ones by sharp keys
+    held = T.stored(members.select("key", "id").join(comp, "id", "left").select(
+        "key", "id", F.coalesce("comp", "id").alias("comp")), "held")
+    rest = T.stored(held.join(_mixed(held), "key"), "mixed")
+    large = rest.where(F.col("members") > SMALL)
+    marks = sketches(sets.join(large.select("id").distinct(), "id", "left_semi"), bands, rows)
+    pairs = T.stored(_cross_pairs(rest.where(F.col("members") <= SMALL)).union(
+        close_pairs(large.join(marks, "id"), percent)).distinct().join(star, ["a", "b"], "left_anti"), "pairs")
     more = T.stored(confirm(pairs, sets, percent), "links2")
     if not more.isEmpty():
         comp = components(links.union(more), "cc2")
