@@ -1,11 +1,15 @@
 """Compression classifier of text quality.
 
 Two zstandard dictionaries are built, one from text labelled good and one
-from text labelled bad.  A text is cut into pieces of ``PIECE`` bytes (so that
-the dictionary, and not the text's own history, decides), every piece is
-compressed with either dictionary, and the difference of the summed sizes
-over the text's length is the raw score.  A logistic curve fitted on labelled
-documents that took no part in the dictionaries turns it into a probability.
+from text labelled bad: by zstandard's trainer, or, where the trainer finds
+too little to keep (it drops what repeats inside a sample, as junk does), of
+pieces drawn evenly from all sampled texts.  A text is cut into pieces of
+``PIECE`` bytes (so that the dictionary, and not the text's own history,
+decides), every piece is compressed with either dictionary, and the difference
+of the summed sizes over the text's length is the raw score; the mean score
+counts as ``PRIOR`` more bytes, so that a few words alone decide little.  A
+logistic curve fitted on labelled documents that took no part in the
+dictionaries turns it into a probability.
 
 Dictionaries and curve come from a bounded sample of labelled rows: at most
 ``per_class`` documents and ``class_bytes`` bytes per label.
@@ -22,16 +26,18 @@ from pyspark.sql import functions as F
 
 from . import text as T
 
-PIECE = 2048
+PIECE = 1024
+PRIOR = 64
 PER_CLASS = 3000
 CLASS_BYTES = 12 << 20
-DICT_BYTES = 112 << 10
+DICT_BYTES = 1 << 20
 
 
 @dataclass
 class Model:
     good: bytes
     bad: bytes
+    mean: float
     slope: float
     offset: float
 
@@ -39,12 +45,22 @@ class Model:
 def _dictionary(texts: list[bytes], size: int = DICT_BYTES) -> bytes:
     import zstandard
 
-    samples = [t[i:i + PIECE] for t in texts for i in range(0, len(t), PIECE)]
+    samples = [t[i:i + 2048] for t in texts for i in range(0, len(t), 2048)]
     samples = [s for s in samples if len(s) >= 16]
+    size = min(size, sum(map(len, samples)) // 2)
     try:
-        return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 2), samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):   # too few samples to train on: the text itself
-        return b"".join(samples)[-size:]
+        trained = zstandard.train_dictionary(size, samples).as_bytes()
+    except (zstandard.ZstdError, ValueError):   # too few samples to train on
+        trained = b""
+    if 2 * len(trained) >= size and trained:
+        return trained
+    cut, rng = 256, np.random.default_rng(len(texts))
+    per = max(1, size // cut // max(1, len(texts)))
+    pieces = []
+    for t in texts:
+        n = max(1, len(t) // cut)
+        pieces += [t[i * cut:(i + 1) * cut] for i in sorted(rng.choice(n, min(n, per), replace=False))]
+    return b"".join(pieces)[-max(size, cut):]
 
 
 class Sizes:
@@ -61,12 +77,15 @@ class Sizes:
 
         self.tools = tool(good), tool(bad)
 
-    def difference(self, raw: bytes) -> float:
-        """(size under bad - size under good) per byte of text; 0 for an empty text."""
-        if not raw:
-            return 0.0
+    def difference(self, raw: bytes) -> tuple[int, int]:
+        """(size under bad - size under good, length); (0, 0) for an empty text."""
         good, bad = (sum(len(t.compress(raw[i:i + PIECE])) for i in range(0, len(raw), PIECE)) for t in self.tools)
-        return (bad - good) / len(raw)
+        return bad - good, len(raw)
+
+
+def normalised(pairs: list[tuple[int, int]], mean: float) -> np.ndarray:
+    d = np.array(pairs, float).reshape(-1, 2)
+    return (d[:, 0] + PRIOR * mean) / (d[:, 1] + PRIOR)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3) -> tuple[float, float]:
@@ -107,9 +126,10 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, per_cla
     good, bad = (_dictionary([t for t, y, d in got if d and y == k]) for k in (1, 0))
     sizes = Sizes(good, bad)
     held = [(sizes.difference(t), y) for t, y, d in got if not d]
-    x, y = np.array([h[0] for h in held]), np.array([h[1] for h in held], float)
-    a, b = logistic(x, y) if len(held) else (0.0, 0.0)
-    return Model(good, bad, a, b)
+    pairs, y = [h[0] for h in held], np.array([h[1] for h in held], float)
+    mean = sum(p[0] for p in pairs) / max(1, sum(p[1] for p in pairs))
+    a, b = logistic(normalised(pairs, mean), y) if len(held) else (0.0, 0.0)
+    return Model(good, bad, mean, a, b)
 
 
 def score_column(spark, model: Model):
@@ -122,7 +142,7 @@ def score_column(spark, model: Model):
         m = shared.value
         if not tools:
             tools.append(Sizes(m.good, m.bad))
-        d = np.array([tools[0].difference(raw) for raw in T.utf8(text)])
+        d = normalised([tools[0].difference(raw) for raw in T.utf8(text)], m.mean)
         return pa.array(1 / (1 + np.exp(-np.clip(m.slope * d + m.offset, -35, 35))))
 
     return score
