@@ -104,7 +104,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-                 ELSE list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i+3], ' '))) END AS sh
+                 ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' '))) END AS sh
   FROM w),
 u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
 links AS (
@@ -138,10 +138,10 @@ b AS (
 pat AS (
   SELECT DISTINCT item, k, array_to_string(ws[i:i+k-1], ' ') AS p
   FROM (SELECT item, ws, least(13, len(ws)) AS k, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
-at AS (
+places AS (
   SELECT doc_id, k, i, array_to_string(ws[i:i+k-1], ' ') AS p
   FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM pat) ks WHERE len(ws) >= k)),
-occ AS (SELECT doc_id, at.k, i, item FROM at JOIN pat ON at.k = pat.k AND at.p = pat.p),
+occ AS (SELECT doc_id, k, i, item FROM places JOIN pat USING (k, p)),
 hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM occ) GROUP BY 1),
 its AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY 1)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
