@@ -23,9 +23,12 @@ from tickbook.llm import text as T
 from tickbook.llm.queries import CAPACITY, table, tokenizer_path
 
 
-def _carried(docs: DataFrame, *needed: str) -> DataFrame:
-    """The needed columns, and the whole row as one struct that no name can clash with."""
-    return docs.select(*needed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+def _carried(docs: DataFrame, *needed: str) -> tuple[DataFrame, list]:
+    """``docs`` with all but the needed columns under names that nothing clashes
+    with, and the columns that bring the original names and order back."""
+    other = {c: f"_carried{i}" for i, c in enumerate(docs.columns) if c not in needed}
+    back = [F.col(other.get(c, c)).alias(c) for c in docs.columns]
+    return docs.select(*needed, *[F.col(f"`{c}`").alias(n) for c, n in other.items()]), back
 
 
 def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
@@ -37,14 +40,14 @@ def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the certified cutoffs."""
-    out = rules.judge(_carried(docs, "doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
-    return out.where("_kept").select("_row.*")
+    rows, back = _carried(docs, "doc_id", "text", "lang")
+    return rules.judge(rows, table(spark, sf_dir, "labels")).where("_kept").select(*back)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated quality score is at least 0.7."""
-    out = quality.classify(_carried(docs, "doc_id", "text"), table(spark, sf_dir, "labels"), threshold=0.7)
-    return out.where("_predicted = 1").select("_row.*")
+    rows, back = _carried(docs, "doc_id", "text")
+    return quality.classify(rows, table(spark, sf_dir, "labels"), threshold=0.7).where("_predicted = 1").select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,12 +25,10 @@ from pyspark.sql import functions as F
 
 from . import text as T
 
-_SYMBOLS = np.zeros(256, bool)
-_SYMBOLS[list(b"#*$%&|<>")] = True
-_UPPER = np.zeros(256, bool)
-_UPPER[0x41:0x5B] = True
-_MARKS = np.zeros(256, bool)
-_MARKS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in ".,;:'\"-()"]] = True
+_SYMBOLS = list(b"#*$%&|<>")
+_UPPER = slice(0x41, 0x5B)
+_CONTINUED = slice(0x80, 0xC0)      # UTF-8 bytes that start no character
+_MARKS = [c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in ".,;:'\"-()"]
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks",
           "n_same_next")
@@ -43,13 +41,11 @@ REPEAT_WINDOW = 8
 def counts(raw: bytes) -> tuple[int, ...]:
     """The base numbers of one text, in the order of ``COUNTS``."""
     w = T.word_hashes(raw)
-    chars = symbols = upper = marks = 0
+    of = np.zeros(256, np.int64)
     for at in range(0, len(raw), T.BLOCK):
-        buf = np.frombuffer(raw, np.uint8, min(T.BLOCK, len(raw) - at), at)
-        chars += int(((buf & 0xC0) != 0x80).sum() - T.SPACES[buf].sum())
-        symbols += int(_SYMBOLS[buf].sum())
-        upper += int(_UPPER[buf].sum())
-        marks += int(_MARKS[buf].sum())
+        of += np.bincount(np.frombuffer(raw, np.uint8, min(T.BLOCK, len(raw) - at), at), minlength=256)
+    chars = int(of.sum() - of[_CONTINUED].sum() - of[T.SPACES].sum())
+    symbols, upper, marks = int(of[_SYMBOLS].sum()), int(of[_UPPER].sum()), int(of[_MARKS].sum())
     seen, lines, dup = set(), 0, 0
     for line in raw.split(b"\n"):
         if line.strip(b" \t\r\x0b\x0c"):
@@ -58,14 +54,14 @@ def counts(raw: bytes) -> tuple[int, ...]:
             seen.add(line)
     repeat = 0
     h = T.windows(w, REPEAT_WINDOW)
-    if len(h):
-        _, inverse, times = np.unique(h, return_inverse=True, return_counts=True)
-        twice = np.flatnonzero(times[inverse] > 1)
-        if len(twice):
-            edge = np.zeros(len(w) + 1, np.int64)
-            np.add.at(edge, twice, 1)
-            np.add.at(edge, twice + REPEAT_WINDOW, -1)
-            repeat = int((np.cumsum(edge) > 0).sum())
+    in_order = np.sort(h)
+    twice = np.unique(in_order[1:][in_order[1:] == in_order[:-1]])
+    if len(twice):
+        place = np.flatnonzero(np.isin(h, twice))
+        edge = np.zeros(len(w) + 1, np.int64)
+        np.add.at(edge, place, 1)
+        np.add.at(edge, place + REPEAT_WINDOW, -1)
+        repeat = int((np.cumsum(edge) > 0).sum())
     same = int((w[1:] == w[:-1]).sum())
     return len(w), chars, symbols, dup, repeat, lines, upper, marks, same
 

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf, scratch_path
 
-BLOCK = 1 << 20
-BATCH_ROWS = 512
+BLOCK = 1 << 18
+BATCH_ROWS = 128
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BYTES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -82,7 +82,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return picked.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
 
 
-def by_size(items: list, limit: int = 1 << 21):
+def by_size(items: list, limit: int = 1 << 19):
     """Consecutive slices of ``items`` (byte strings) of about ``limit`` bytes."""
     start = size = 0
     for i, x in enumerate(items):
