@@ -36,6 +36,7 @@ RULES = ("symbols", "marks", "upper", "dup_lines", "repeats", "same_next", "long
 BINS = 200          # cutoffs tried per rule
 LEVELS = (0.0, 0.0005, 0.001, 0.002, 0.004)   # shares of good documents a rule may reject on the first half
 REPEAT_WINDOW = 8
+MAX_BROADCAST_STRATA = 10_000
 
 
 def counts(raw: bytes) -> tuple[int, ...]:
@@ -153,6 +154,8 @@ def certify(rows: DataFrame, alpha: float = 0.01, delta: float = 0.05) -> dict[s
     at = spark.createDataFrame([(s, *[[none if c is None else c for c in by.get(r, [None] * len(LEVELS))] for r in RULES])
                                 for s, by in cuts.items()],
                                "_s string, " + ", ".join(f"_cut_{r} array<int>" for r in RULES))
+    if len(cuts) <= MAX_BROADCAST_STRATA:
+        at = F.broadcast(at)
     hit = [F.expr(f"cast(array_position(transform(_cut_{r}, c -> {r} >= c), true) as int)") for r in RULES]
     first = F.least(*[F.when(h > 0, h).otherwise(len(LEVELS) + 1) for h in hit])     # first level that rejects it
     got = (rows.where("_hold AND _y > 0").join(at, F.col("_stratum") == F.col("_s"))
@@ -192,6 +195,8 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: floa
     none = BINS + 1
     table = spark.createDataFrame([(s, *[c.get(r, none) for r in RULES]) for s, c in cuts.items()],
                                   "_s string, " + ", ".join(f"_cut_{r} int" for r in RULES))
+    if len(cuts) <= MAX_BROADCAST_STRATA:      # beyond that the join is left to the planner
+        table = F.broadcast(table)
     out = (counted if metrics is None else metrics).join(table, F.col("_stratum") == F.col("_s"), "left")
     bad = F.lit(False)
     for r, c in rule_columns().items():
