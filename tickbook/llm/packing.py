@@ -55,23 +55,24 @@ class WordTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.special = [s.content.encode() for s in self.tok.get_added_tokens_decoder().values()]
         self.cache_words = cache_words
+        self.id_type = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self._reset()
 
     def _reset(self):
         self.known = np.empty(0, np.uint64)       # sorted word hashes
-        self.first = np.empty(0, np.int64)        # where the word's ids start in the pool
-        self.count = np.empty(0, np.int64)
-        self.pool = np.empty(0, np.uint32)
+        self.first = np.empty(0, np.uint32)       # where the word's ids start in the pool
+        self.count = np.empty(0, np.uint32)
+        self.pool = np.empty(0, self.id_type)
 
     def _learn(self, hashes: np.ndarray, words: list[str]):
         ids = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         at = len(self.pool) + np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64)
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(n.sum()))
+        flat = np.fromiter((i for x in ids for i in x), self.id_type, int(n.sum()))
         where = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, where, hashes)
-        self.first = np.insert(self.first, where, at)
-        self.count = np.insert(self.count, where, n)
+        self.first = np.insert(self.first, where, at.astype(np.uint32))
+        self.count = np.insert(self.count, where, n.astype(np.uint32))
         self.pool = np.concatenate((self.pool, flat))
 
     def _plain(self, raw: bytes) -> bool:
@@ -107,10 +108,10 @@ class WordTokenizer:
         if new.any():
             self._learn(distinct[new], [joined[s[i]:e[i]].decode() for i in sample[new]])
         where = np.searchsorted(self.known, distinct)
-        n = self.count[where][inverse]
+        n = self.count[where][inverse].astype(np.int64)
         stop = np.cumsum(n)
         begin = stop - n
-        flat = self.pool[np.repeat(self.first[where][inverse] - begin, n) + np.arange(n.sum())]
+        flat = self.pool[np.repeat(self.first[where][inverse].astype(np.int64) - begin, n) + np.arange(n.sum())]
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         last_part = np.searchsorted(s, np.cumsum(lengths))     # parts before each text's end
         upto = np.concatenate(([0], stop))[last_part]

@@ -134,10 +134,10 @@ def certify(rows: DataFrame, alpha: float = 0.01, delta: float = 0.05) -> dict[s
     stratum and level, for strata with enough good documents to certify
     anything (so at most the number of labels over ``need``)."""
     need = math.ceil(math.log(delta) / math.log1p(-alpha))
-    rows = rows.withColumn("_hold", F.pmod(F.xxhash64("doc_id", F.lit("hold")), F.lit(2)) == 1)
+    rows = T.stored(rows.withColumn("_hold", F.pmod(F.xxhash64("doc_id", F.lit("hold")), F.lit(2)) == 1), "rule-labels")
     strata = (rows.where("_y > 0 AND _hold").groupBy("_stratum").count().where(F.col("count") >= need)
                   .select("_stratum"))
-    rows = T.stored(rows.join(strata, "_stratum", "left_semi"), "rule-labels")
+    rows = rows.join(strata, "_stratum", "left_semi")
     long = (rows.where("NOT _hold").select("_stratum", "_y", F.explode(F.array(*[
                 F.struct(F.lit(r).alias("rule"), F.col(r).alias("bin")) for r in RULES])).alias("_r"))
                 .groupBy("_stratum", "_r.rule", "_r.bin", (F.col("_y") > 0).alias("_g")).count())
