@@ -39,7 +39,7 @@ _U = np.uint64
 _PROBES = 1024
 SMALL = 16                # members of a bucket whose cross-component pairs are all compared
 SKETCH_BINS = 1024
-BLOCK_ROWS = 1024         # members of a bucket compared in one group
+BLOCK_ROWS = 512          # members of a bucket compared in one group
 _SIGNATURES = "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, bands array<bigint>"
 
 
