@@ -30,7 +30,7 @@ _RAW = frozenset("script style noscript template iframe textarea title xmp noemb
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
                    "section select summary table tbody td tfoot th thead tr ul".split())
-_CONTAINER = frozenset("article body div main section td center blockquote".split())
+_CONTAINER = frozenset("article div main section td center blockquote".split())
 _SKIP = frozenset("nav aside footer form script style noscript template head menu button select dialog iframe svg "
                   "textarea object embed canvas audio video map math".split())
 _CLOSES = {  # a start tag of the key ends an open element of the values, up to the nearest barrier
@@ -71,11 +71,11 @@ class Page:
     """Containers (path, parent, score) and blocks (text, container) of one page."""
 
     def __init__(self, source: str):
-        self.paths: list[str] = [""]
+        self.paths: list[str] = ["/body"]       # the root, with or without its tags
         self.parents: list[int] = [-1]
         self.scores: list[float] = [0.0]
         self.blocks: list[tuple[int, str]] = []
-        self._stack = [_Open("", "", _NOTHING, 0)]
+        self._stack = [_Open("", "/body", _NOTHING, 0)]
         self._text: list[str] = []
         self._link = 0
         self._size = 0
@@ -127,7 +127,7 @@ class Page:
             skip = _NOTHING
         else:
             skip = top.skip
-        path = f"{top.path}/{_label(tag, attrs)}"
+        path = top.path if tag in ("html", "body") else f"{top.path}/{_label(tag, attrs)}"
         node = top.node
         if tag in _CONTAINER and skip == _NOTHING:
             node = len(self.paths)
@@ -186,10 +186,8 @@ class Page:
             self._start(tag, raw)
 
     def best(self) -> int:
-        """The container with the highest score (the first of equals); 0 if there is no text."""
-        if not self.blocks:
-            return 0
-        return max(range(1, len(self.paths)), key=lambda i: (self.scores[i], -i), default=0)
+        """The container with the highest score (the first of equals)."""
+        return max(range(len(self.paths)), key=lambda i: (self.scores[i], -i))
 
     def text(self, node: int) -> str:
         inside = {node}
@@ -200,7 +198,7 @@ class Page:
 
     def at(self, path: str | None) -> int:
         """The best container with ``path``, or the page's best one."""
-        same = [i for i in range(1, len(self.paths)) if self.paths[i] == path and self.scores[i] > 0]
+        same = [i for i in range(len(self.paths)) if self.paths[i] == path and self.scores[i] > 0]
         return max(same, key=lambda i: (self.scores[i], -i)) if same else self.best()
 
 
@@ -212,8 +210,8 @@ def votes(pages: DataFrame) -> DataFrame:
             hosts, paths, scores = [], [], []
             for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 page = Page(source or "")
-                k = page.best()
-                if k:
+                if page.blocks:
+                    k = page.best()
                     hosts.append(host)
                     paths.append(page.paths[k])
                     scores.append(page.scores[k])
@@ -243,8 +241,8 @@ def extract(pages: DataFrame) -> DataFrame:
             for source, path in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 page = Page(source or "")
                 k = page.at(path)
-                paths.append(page.paths[k] or None)
-                texts.append(page.text(k) if page.blocks else "")
+                paths.append(page.paths[k] if page.blocks else None)
+                texts.append(page.text(k))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(paths, pa.string()), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "path", "text", "n_chars"])

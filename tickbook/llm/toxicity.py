@@ -3,7 +3,9 @@
 P(grade <= k) = sigmoid(cut_k - w . x): one weight per sparse text feature,
 shared by all ordered cuts.  Features are the presence of lower-cased words
 and of their first four letters, hashed into 2**18 cells and scaled by the
-square root of their number.  The expected severity is the sum over the cuts
+square root of their number; in the fit each cell is also scaled by how unevenly
+it occurs between the lowest grade and the others (its log-odds), so that a
+small sample is not learned by heart.  The expected severity is the sum over the cuts
 of P(grade > k).  The fit uses a bounded sample of labelled rows (at most
 ``per_class`` documents per grade) and keeps features that occur in three
 sampled documents or more.
@@ -69,7 +71,10 @@ def fit_ordinal(xs: list[np.ndarray], ys: list[int], rounds: int = 300, rate: fl
     often = np.bincount(cell, minlength=CELLS) >= min(3, n)
     row, cell = row[often[cell]], cell[often[cell]]
     used, cell = np.unique(cell, return_inverse=True)
-    value = 1 / np.sqrt(np.maximum(1, np.array([len(x) for x in xs])))[row]
+    low = y[row] == 0
+    seen = [(np.bincount(cell[m], minlength=len(used)) + 0.5) / (c.sum() + 1) for m, c in ((~low, y > 0), (low, y == 0))]
+    odds = np.abs(np.log(seen[0]) - np.log(seen[1]))
+    value = odds[cell] / np.sqrt(np.maximum(1, np.array([len(x) for x in xs])))[row]
     weight = 1 / np.bincount(y, minlength=k + 1)[y] / (k + 1)            # grades weigh the same
     theta = np.concatenate((np.zeros(len(used)), [0.0], np.zeros(k - 1)))  # weights, first cut, log gaps
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -94,7 +99,7 @@ def fit_ordinal(xs: list[np.ndarray], ys: list[int], rounds: int = 300, rate: fl
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         theta += rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
-    w[used] = theta[:len(used)]
+    w[used] = theta[:len(used)] * odds
     gaps = np.exp(theta[len(used) + 1:])
     return Ordinal(grades, w, theta[len(used)] + np.concatenate(([0], np.cumsum(gaps))))
 
