@@ -126,3 +126,80 @@ def test_cli_runs_jobs(spark):
     fx.book(spark, SF001).write.parquet(orders)
     out = main(["match-book", "--orders", orders], spark=spark)
     assert spark.read.parquet(out["trades"]).count() > 0
+
+
+def test_order_flow_composes_over_two_runs(spark):
+    """intake -> match -> publish, twice: ids continue, a PARTIAL rest trades on, nothing is sent twice."""
+    from tickbook.operators import outbox
+    from tickbook.plans import jobs
+    from tickbook.session import scratch_path
+    cols = "request_seq bigint, customer_id bigint, symbol string, side string, quantity bigint, price decimal(18,2), submitted_at timestamp_ntz"
+    from datetime import datetime as D
+    from decimal import Decimal as X
+    one = spark.createDataFrame([(1, 1, "A", "BUY", 100, X("10.00"), D(2024, 1, 1)), (2, 2, "A", "SELL", 60, X("9.00"), D(2024, 1, 1, 1))], cols)
+    two = spark.createDataFrame([(3, 3, "A", "SELL", 40, X("10.00"), D(2024, 1, 2))], cols)
+    sink, ledger = scratch_path(spark, "t-sink"), scratch_path(spark, "t-ledger")
+
+    def read(paths, *names):
+        return [spark.read.parquet(paths[n]) for n in names]
+    orders, created = read(jobs.place_orders(spark, one, None), "orders", "events")
+    orders, trades, executed = read(jobs.match_book(spark, orders, outbox=created), "orders", "trades", "events")
+    box = created.unionByName(executed)
+    outbox.publish(spark, outbox.next_batch(box), sink, ledger)
+    new, created2 = read(jobs.place_orders(spark, two, orders, box), "orders", "events")
+    box = box.unionByName(created2)
+    book = orders.unionByName(new.select(*orders.columns), allowMissingColumns=True) if set(orders.columns) <= set(new.columns) \
+        else orders.unionByName(new, allowMissingColumns=True)
+    t2, executed2 = read(jobs.match_book(spark, book, trades_table=trades, outbox=box), "trades", "events")
+    box = box.unionByName(executed2)
+    assert [r.trade_id for r in trades.collect()] == [1] and [(r.trade_id, r.quantity, r.buy_order_id) for r in t2.collect()] == [(2, 40, 1)]
+    ids = sorted(r.event_id for r in box.collect())
+    assert ids == [1, 2, 3, 4, 5]
+    assert {r.event_id for r in outbox.pending(box, spark.read.parquet(ledger)).collect()} == {4, 5}
+    outbox.publish(spark, outbox.next_batch(box, spark.read.parquet(ledger)), sink, ledger)
+    assert outbox.pending(box, spark.read.parquet(ledger)).isEmpty()
+    assert sorted(r.event_id for r in spark.read.parquet(sink).collect()) == ids
+
+
+def test_streaming_publisher_replay_writes_the_ledger(spark):
+    from datetime import datetime as D
+
+    from tickbook.session import scratch_path
+    from tickbook.streaming.outbox import publish_batches
+    sink, ledger, rejects = (scratch_path(spark, x) for x in ("p-sink", "p-ledger", "p-rejects"))
+    rows = spark.createDataFrame([(1, "ORDER_CREATED", '{"symbol":"A"}', D(2024, 1, 1), "N"), (2, "TRADE_EXECUTED", "not json", D(2024, 1, 1), "N")],
+                                 "event_id bigint, event_type string, payload string, created_ts timestamp_ntz, dispatched string")
+    publish_batches(sink, scratch_path(spark, "lost-ledger"), rejects)(rows, 0)      # the ledger write is lost
+    publish_batches(sink, ledger, rejects)(rows, 0)
+    assert {r.event_id for r in spark.read.parquet(ledger).collect()} == {1, 2}
+    assert [r.event_id for r in spark.read.parquet(sink).collect()] == [1]
+    assert [r.event_id for r in spark.read.parquet(rejects).collect()] == [2]
+
+
+def test_daily_loss_keeps_positions_over_price_gaps(spark):
+    from datetime import date, datetime
+    from decimal import Decimal as X
+
+    from tickbook.operators import reports
+    t = spark.createDataFrame([(1, 7, 8, "A", 100, X("50.00"), datetime(2024, 1, 1, 9)), (2, 7, 8, "A", 100, X("50.00"), datetime(2024, 1, 2, 9))],
+                              "trade_id bigint, buyer_id bigint, seller_id bigint, symbol string, quantity bigint, trade_price decimal(18,2), trade_time timestamp_ntz")
+    p = spark.createDataFrame([("A", date(2024, 1, 1), X("50.00")), ("A", date(2024, 1, 3), X("40.00"))],
+                              "symbol string, price_date date, close_price decimal(18,2)")
+    got = {r.customer_id: r.daily_pnl for r in reports.daily_loss_as_of(t, p, "2024-01-03").collect()}
+    assert got == {7: X("-2000.00"), 8: X("2000.00")}
+    days = {(r.customer_id, r.trade_date.day): r.daily_pnl for r in reports.daily_pnl(t, p).collect()}
+    assert days == {(7, 1): 0, (8, 1): 0, (7, 2): 0, (8, 2): 0}
+
+
+def test_write_upsert_rejects_two_rows_for_a_key(spark):
+    import pytest
+
+    from tickbook.operators.upsert import write_upsert
+    from tickbook.session import scratch_path
+    path = scratch_path(spark, "dup-target")
+    s = "k int, v int, m string"
+    spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], s).write.partitionBy("m").parquet(path)
+    with pytest.raises(ValueError):
+        write_upsert(spark, path, spark.createDataFrame([(1, 5, "a"), (1, 6, "a")], s), ["k"], "m")
+    write_upsert(spark, path, spark.createDataFrame([(1, 5, "a"), (3, 6, "a")], s), ["k"], "m")
+    assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == {(1, 5), (2, 2), (3, 6)}

@@ -33,7 +33,7 @@ def bar_aggs(with_size: bool = False) -> list[Column]:
 
 def bars(ticks: DataFrame, unit: str = "minute", with_size: bool = False) -> DataFrame:
     """One bar per (symbol, ``unit``): minute_ts is the bar start."""
-    return ticks.groupBy("symbol", floor_to("ts", unit).alias("minute_ts")).agg(*bar_aggs(with_size))
+    return clean_ticks(ticks).groupBy("symbol", floor_to("ts", unit).alias("minute_ts")).agg(*bar_aggs(with_size))
 
 
 def clean_ticks(ticks: DataFrame) -> DataFrame:

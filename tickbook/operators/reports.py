@@ -76,26 +76,60 @@ def daily_pnl(trades: DataFrame, prices: DataFrame) -> DataFrame:
     """Day-over-day mark-to-market P&L per customer (ours; the reference only names the limit).
 
     Per (customer, symbol) and trading day of that pair: position = running
-    net quantity (buys +, sells -), value = position x that day's close, and
-    P&L = value - value on the pair's previous trading day + the day's cash
-    flow (sells receive, buys pay quantity x price).  Summed per customer and
-    day.  Exact decimal arithmetic; the windows hold one row per trading day
-    of a pair, which the calendar bounds."""
+    net quantity (buys +, sells -), value = position x the last close at or
+    before that day, and P&L = value - value on the pair's previous trading
+    day + the day's cash flow (sells receive, buys pay quantity x price).
+    Summed per customer and day.  A day without a price keeps the position; a
+    symbol without any price so far is valued at 0.  Exact decimal arithmetic;
+    the windows hold one row per trading day of a pair, or per day of a
+    symbol, which the calendar bounds."""
+    day = _pair_days(trades)
+    w = Window.partitionBy("customer_id", "symbol").orderBy("trade_date")
+    held = day.withColumn("position", F.sum("dq").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    marked = held.join(_closes(day, prices), ["symbol", "trade_date"], "left").withColumn(
+        "mtm", F.coalesce(F.col("position") * F.col("close_price"), F.lit(0)))
+    pnl = (F.col("mtm") - F.coalesce(F.lag("mtm").over(w), F.lit(0)) + F.col("cash"))
+    per_pair = marked.select("customer_id", "trade_date", pnl.alias("pnl"))
+    return per_pair.groupBy("customer_id", "trade_date").agg(F.sum("pnl").cast(TOTAL).alias("daily_pnl"))
+
+
+def _pair_days(trades: DataFrame) -> DataFrame:
+    """Net quantity and cash flow per customer, symbol and trading day."""
     value = F.col("quantity") * F.col("trade_price")
     legs = (trades.select(F.col("buyer_id").alias("customer_id"), "symbol", "trade_time",
                           F.col("quantity").alias("dq"), (-value).alias("cash"))
                   .unionByName(trades.select(F.col("seller_id").alias("customer_id"), "symbol", "trade_time",
                                              (-F.col("quantity")).alias("dq"), value.alias("cash"))))
-    day = (legs.groupBy("customer_id", "symbol", F.to_date("trade_time").alias("trade_date"))
-               .agg(F.sum("dq").alias("dq"), F.sum("cash").alias("cash")))
-    close = prices.select("symbol", F.col("price_date").alias("trade_date"), "close_price")
-    w = Window.partitionBy("customer_id", "symbol").orderBy("trade_date")
-    pos = F.sum("dq").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marked = (day.join(close, ["symbol", "trade_date"])
-                 .withColumn("mtm", pos * F.col("close_price")))
-    pnl = (F.col("mtm") - F.coalesce(F.lag("mtm").over(w), F.lit(0)) + F.col("cash"))
-    per_pair = marked.select("customer_id", "trade_date", pnl.alias("pnl"))
-    return per_pair.groupBy("customer_id", "trade_date").agg(F.sum("pnl").cast(TOTAL).alias("daily_pnl"))
+    return (legs.groupBy("customer_id", "symbol", F.to_date("trade_time").alias("trade_date"))
+                .agg(F.sum("dq").alias("dq"), F.sum("cash").alias("cash")))
+
+
+def _closes(days: DataFrame, prices: DataFrame) -> DataFrame:
+    """symbol, trade_date, close_price: the last close at or before every traded day."""
+    known = prices.select("symbol", F.col("price_date").alias("trade_date"), "close_price")
+    both = days.select("symbol", "trade_date").distinct().join(known, ["symbol", "trade_date"], "full")
+    w = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
+    return both.select("symbol", "trade_date", F.last("close_price", ignorenulls=True).over(w).alias("close_price"))
+
+
+def daily_loss_as_of(trades: DataFrame, prices: DataFrame, as_of) -> DataFrame:
+    """P&L of one day for every customer with a position or a trade, traded that day
+    or not: position at the previous close x the price change, plus the day's
+    trades marked at the day's close.  customer_id, daily_pnl."""
+    day = F.lit(as_date(as_of)).cast("date")
+    rows = _pair_days(trades).where(F.col("trade_date") <= day)
+    old = F.col("trade_date") < day
+    pairs = rows.groupBy("customer_id", "symbol").agg(
+        F.sum(F.when(old, F.col("dq")).otherwise(0)).alias("before"), F.sum("dq").alias("after"),
+        F.sum(F.when(old, F.lit(0)).otherwise(F.col("cash"))).alias("cash"))
+    known = prices.where((F.col("price_date") <= day) & F.col("close_price").isNotNull())
+    last = known.groupBy("symbol").agg(
+        F.max_by("close_price", "price_date").alias("now"),
+        F.max_by(F.when(F.col("price_date") < day, F.col("close_price")),
+                 F.when(F.col("price_date") < day, F.col("price_date"))).alias("prev"))
+    zero = F.lit(0)
+    value = (F.coalesce(F.col("after") * F.col("now"), zero) - F.coalesce(F.col("before") * F.col("prev"), zero) + F.col("cash"))
+    return (pairs.join(last, "symbol", "left").groupBy("customer_id").agg(F.sum(value).cast(TOTAL).alias("daily_pnl")))
 
 
 def breach_daily_loss(trades: DataFrame, prices: DataFrame, limit: int = MAX_DAILY_LOSS_USD) -> DataFrame:

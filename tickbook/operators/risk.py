@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scan import largest_key, running_sums
+from .bars import clean_ticks
 
 # Fixed values of the reference's risk engine.
 WINDOW_SIZE = 200
@@ -41,7 +42,7 @@ def risk_rolling(ticks: DataFrame, window: int = WINDOW_SIZE, stride: int = STRI
     ``block_rows`` ticks (measured: one partial count per symbol), the plain
     per-symbol window runs instead, with a single shuffle."""
     emit = (F.col("tick_no") >= stride) & ((F.col("tick_no") >= window) | (F.col("tick_no") % stride == 0))
-    base = ticks.select("symbol", "ts", "seq", "price")
+    base = clean_ticks(ticks).select("symbol", "ts", "seq", "price")
     if largest_key(base, ["symbol"]) <= block_rows:
         w = Window.partitionBy("symbol").orderBy("ts", "seq")
         score = F.coalesce(F.stddev_samp("price").over(w.rowsBetween(-(window - 1), 0)), F.lit(0.0)) * 1000.0

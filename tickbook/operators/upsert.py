@@ -75,11 +75,23 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
 def write_upsert(spark: SparkSession, table_path: str, source: DataFrame, keys: list[str],
                  partition_col: str, update_cols: list[str] | None = None) -> None:
     """Merge ``source`` into the Parquet table at ``table_path`` (partitioned by
-    ``partition_col``), rewriting only the partitions present in the source."""
+    ``partition_col``), reading and rewriting only the partitions present in the source.
+
+    The touched partition values (bounded by the calendar) become literals of
+    the scan's partition filter.  Two source rows with one key are an error,
+    as in a MERGE."""
     target = spark.read.parquet(table_path)
-    touched = source.select(partition_col).distinct()
-    affected = target.join(touched, partition_col, "left_semi")
-    merged = upsert(affected, source.select(*target.columns), keys, update_cols)
+    source = source.select(*target.columns)
+    rows = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(partition_col).alias("p"))
+    stats = rows.groupBy("p").agg(F.max("n").alias("n")).collect()
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    if any(r.n > 1 for r in stats) and not rows.filter(known & (F.col("n") > 1)).isEmpty():
+        raise ValueError(f"several source rows for one key {keys}")
+    touched = [r.p for r in stats if r.p is not None]
+    affected = target.filter(F.col(partition_col).isin(touched) if touched else F.lit(False))
+    merged = upsert(affected, source, keys, update_cols)
     stage = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     (spark.read.parquet(stage).select(*target.columns)

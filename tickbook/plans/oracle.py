@@ -443,3 +443,46 @@ trades AS (SELECT trade_id, buyer_id, seller_id, symbol, quantity, trade_price F
 SQL["risk_upsert"] = SQL["risk_daily"]
 
 SQL["top_traded_top5"] = SQL["top_traded"] + "\nLIMIT 5"
+
+SQL["outbox_after_publish"] = w(OUTBOX, "sent AS (SELECT event_id FROM pending ORDER BY created_ts, event_id LIMIT 100)") + """
+SELECT event_id, event_type FROM pending WHERE event_id NOT IN (SELECT event_id FROM sent)"""
+
+SQL["outbox_rejects"] = w(OUTBOX) + """
+SELECT event_id, substr(payload, 1, instr(payload, '"side"') - 1) AS payload, 'payload' AS reason
+FROM pending WHERE event_type = 'ORDER_CREATED' AND payload LIKE '%"side":"SELL"%'"""
+
+SQL["holdings_short"] = ("WITH RECURSIVE " + TRADES.replace("trades AS (", "trades0 AS (") + """,
+trades AS (
+  SELECT trade_id, length(CAST(buyer_id AS VARCHAR)) + 3 * (buyer_id % 3) AS buyer_id,
+         length(CAST(seller_id AS VARCHAR)) + 3 * (seller_id % 3) AS seller_id, symbol, quantity, trade_price
+  FROM trades0),
+""" + HOLDINGS + "\nSELECT * FROM holdings")
+
+# positions and known closes, each at its own time; no shared definition with the operator
+_GAPS = PRICES + """,
+known AS (SELECT symbol, price_date, close_price FROM prices WHERE isodow(price_date) <> 5),
+moves AS (
+  SELECT buyer_id AS customer_id, symbol, CAST(trade_time AS DATE) AS d, quantity AS dq, -quantity * trade_price AS cash FROM trades
+  UNION ALL
+  SELECT seller_id, symbol, CAST(trade_time AS DATE), -quantity, quantity * trade_price FROM trades)"""
+
+SQL["breach_daily_loss_gaps"] = w(_GAPS) + """,
+days AS (SELECT customer_id, symbol, d, sum(cash) AS cash,
+                sum(sum(dq)) OVER (PARTITION BY customer_id, symbol ORDER BY d) AS pos
+         FROM moves GROUP BY customer_id, symbol, d),
+val AS (SELECT days.*, coalesce(pos * close_price, 0) AS mtm
+        FROM days ASOF LEFT JOIN known ON known.symbol = days.symbol AND days.d >= known.price_date),
+pnl AS (SELECT customer_id, d, mtm - coalesce(lag(mtm) OVER (PARTITION BY customer_id, symbol ORDER BY d), 0) + cash AS p FROM val)
+SELECT customer_id, d AS trade_date, CAST(sum(p) AS DECIMAL(38,2)) AS daily_pnl FROM pnl
+GROUP BY customer_id, d HAVING sum(p) < -50000"""
+
+SQL["daily_loss_day"] = w(_GAPS) + """,
+ref AS (SELECT max(CAST(trade_time AS DATE)) AS d FROM trades),
+pos AS (SELECT customer_id, symbol, sum(dq) AS after, sum(CASE WHEN d < (SELECT d FROM ref) THEN dq ELSE 0 END) AS before,
+               sum(CASE WHEN d = (SELECT d FROM ref) THEN cash ELSE 0 END) AS cash
+        FROM moves GROUP BY customer_id, symbol),
+px AS (SELECT symbol, arg_max(close_price, price_date) AS now,
+              arg_max(close_price, price_date) FILTER (WHERE price_date < (SELECT d FROM ref)) AS prev
+       FROM known GROUP BY symbol)
+SELECT customer_id, CAST(sum(coalesce(after * now, 0) - coalesce(before * prev, 0) + cash) AS DECIMAL(38,2)) AS daily_pnl
+FROM pos LEFT JOIN px USING (symbol) GROUP BY customer_id"""

@@ -136,6 +136,33 @@ def q_breach_daily_loss(spark, sf_dir):
     return reports.breach_daily_loss(fx.trades(spark, sf_dir), fx.prices(spark, sf_dir))
 
 
+def _prices_with_gaps(spark, sf_dir):
+    """Closes without Fridays: positions traded then are marked at an earlier close."""
+    return fx.prices(spark, sf_dir).where(F.weekday("price_date") != 4)
+
+
+@query("breach_daily_loss_gaps")
+def q_breach_daily_loss_gaps(spark, sf_dir):
+    return reports.breach_daily_loss(fx.trades(spark, sf_dir), _prices_with_gaps(spark, sf_dir))
+
+
+@query("daily_loss_day")
+def q_daily_loss_day(spark, sf_dir):
+    """P&L of the last traded day, untraded positions included."""
+    trades = fx.trades(spark, sf_dir)
+    day = trades.agg(F.to_date(F.max("trade_time"))).first()[0]
+    return reports.daily_loss_as_of(trades, _prices_with_gaps(spark, sf_dir), day)
+
+
+@query("holdings_short")
+def q_holdings_short(spark, sf_dir):
+    """The fold over few, very active accounts, whose positions go short and stay short for long."""
+    account = lambda c: (F.length(F.col(c).cast("string")) + 3 * (F.col(c) % 3)).alias(c)
+    t = fx.trades(spark, sf_dir)
+    return holdings_op.holdings(t.select("trade_id", account("buyer_id"), account("seller_id"), "symbol", "quantity",
+                                         "trade_price"))
+
+
 # ---- prices ----------------------------------------------------------------
 
 @query("risk_volatility")
@@ -421,6 +448,28 @@ def q_outbox_routed(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id", "topic", "key", "value")
 
 
+@query("outbox_after_publish")
+def q_outbox_after_publish(spark, sf_dir):
+    """One poll of the publisher, then what is still pending by the dispatched ledger."""
+    from ..operators import outbox
+    box = fx.outbox(spark, sf_dir)
+    sink, ledger = scratch_path(spark, "topics"), scratch_path(spark, "dispatched")
+    outbox.publish(spark, outbox.next_batch(box), sink, ledger)
+    return outbox.pending(box, spark.read.parquet(ledger)).select("event_id", "event_type")
+
+
+@query("outbox_rejects")
+def q_outbox_rejects(spark, sf_dir):
+    """Every pending event published; order events with a cut-off payload become rejects."""
+    from ..operators import outbox
+    box = outbox.pending(fx.outbox(spark, sf_dir))
+    cut = F.upper("event_type").startswith("ORDER") & F.col("payload").contains('"side":"SELL"')
+    box = box.withColumn("payload", F.when(cut, F.substring_index("payload", '"side"', 1)).otherwise(F.col("payload")))
+    sink, ledger, rejects = (scratch_path(spark, x) for x in ("topics", "dispatched", "outbox-rejects"))
+    outbox.publish(spark, box, sink, ledger, rejects_dir=rejects)
+    return spark.read.parquet(rejects).select("event_id", "payload", "reason")
+
+
 # ---- streams ----------------------------------------------------------------
 # Each runs a Structured Streaming query over everything available
 # (trigger availableNow) into a Parquet sink in the scratch folder, with its

@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.bars import bar_aggs
+from ..operators.bars import bar_aggs, clean_ticks
 
 
 def stream_bars(ticks: DataFrame, width: str = "1 minute", delay: str = "0 seconds",
                 with_size: bool = False) -> DataFrame:
     """ticks(symbol, ts timestamp, price, seq[, size]) -> closed bars (append mode)."""
-    bars = (ticks.withWatermark("ts", delay)
+    bars = (clean_ticks(ticks).withWatermark("ts", delay)
                  .groupBy(F.window("ts", width).alias("w"), "symbol")
                  .agg(*bar_aggs(with_size)))
     cols = ["symbol", F.col("w.start").cast("timestamp_ntz").alias("minute_ts"), "open_price", "high_price",

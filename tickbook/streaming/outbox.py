@@ -2,11 +2,11 @@
 every trigger.
 
 ``foreachBatch`` writes the batch to the per-topic sink under a folder named
-by the batch id, then appends the ids to the dispatched ledger.  A batch that
-is replayed after a failure (same batch id) finds its folder already
-committed and is skipped, so the sink receives every event exactly once per
-batch id; the ledger is only written after the sink write succeeded (the
-reference marked events before flushing its producer).
+by the batch id, and then its ids to the ledger under the same name.  A batch
+that is replayed after a failure (same batch id) skips a sink folder that is
+committed already, but writes its part of the ledger again (overwrite), so a
+crash between the two loses nothing.  Events that cannot be routed go to the
+rejects of the batch and count as dispatched.
 """
 
 from __future__ import annotations
@@ -15,29 +15,37 @@ import os
 
 from pyspark.sql import DataFrame
 
-from ..operators.outbox import pending, route
+from ..operators.outbox import pending, readable, route
 
 
-def publish_batches(sink_dir: str, ledger_dir: str):
-    """foreachBatch writer for a stream of outbox rows."""
+def publish_batches(sink_dir: str, ledger_dir: str, rejects_dir: str | None = None, kafka_servers: str | None = None):
+    """foreachBatch writer for a stream of outbox rows.
+
+    With ``kafka_servers`` the sink is Kafka (needs the connector; a replay
+    then sends the batch again, at least once)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         from ..plans.jobs import _exists
         spark = batch.sparkSession
-        target = os.path.join(sink_dir, f"batch={batch_id}")
-        if _exists(spark, os.path.join(target, "_SUCCESS")):
-            return  # replay of a committed batch
         events = pending(batch)
         if events.isEmpty():
             return
-        routed = route(events)
-        routed.write.mode("overwrite").partitionBy("topic").parquet(target)
-        routed.select("event_id").write.mode("append").parquet(ledger_dir)
+        good, bad = readable(events)
+        routed = route(good)
+        target = os.path.join(sink_dir, f"batch={batch_id}")
+        if kafka_servers:
+            (routed.select("topic", "key", "value").write.format("kafka")
+                   .option("kafka.bootstrap.servers", kafka_servers).save())
+        elif not _exists(spark, os.path.join(target, "_SUCCESS")):
+            routed.write.mode("overwrite").partitionBy("topic").parquet(target)
+        if rejects_dir:
+            bad.write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={batch_id}"))
+        events.select("event_id").write.mode("overwrite").parquet(os.path.join(ledger_dir, f"batch={batch_id}"))
     return write
 
 
 def publish_stream(outbox_stream: DataFrame, sink_dir: str, ledger_dir: str, checkpoint: str,
-                   available_now: bool = True):
-    w = (outbox_stream.writeStream.foreachBatch(publish_batches(sink_dir, ledger_dir))
+                   available_now: bool = True, rejects_dir: str | None = None, kafka_servers: str | None = None):
+    w = (outbox_stream.writeStream.foreachBatch(publish_batches(sink_dir, ledger_dir, rejects_dir, kafka_servers))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)

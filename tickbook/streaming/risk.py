@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.bars import clean_ticks
 from ..operators.risk import STRIDE, WINDOW_SIZE
 
 RISK_OUT = "symbol string, risk_ts timestamp, seq bigint, tick_no bigint, risk_score double"
@@ -71,7 +72,7 @@ class RollingRisk(StatefulProcessor):
 
 
 def stream_risk(ticks: DataFrame) -> DataFrame:
-    return (ticks.select("symbol", "ts", "seq", "price").groupBy("symbol")
+    return (clean_ticks(ticks).select("symbol", "ts", "seq", "price").groupBy("symbol")
                  .transformWithStateInPandas(RollingRisk(), RISK_OUT, "Append", "None"))
 
 
