@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import as_date, day_range
 from ..functions.ids import with_global_index
+from ..session import scratch_path
 from .upsert import upsert
 
 TOTAL = "decimal(38,2)"
@@ -34,7 +35,10 @@ def settle(fact_trade_agg: DataFrame, trades: DataFrame, day) -> DataFrame:
 def settlement_log(trades: DataFrame) -> DataFrame:
     """One COMPLETED row per settled trading day (fact_settlement), ids in day order."""
     days = trades.select(F.to_date("trade_time").alias("settlement_date")).distinct()
-    return with_global_index(days, ["settlement_date"], "settlement_id", rows_hint=trades.count()).select(
+    path = scratch_path(trades.sparkSession, "settled-days")   # one row per day: the numbering is sized by these
+    days.write.parquet(path)
+    days = trades.sparkSession.read.schema(days.schema).parquet(path)
+    return with_global_index(days, ["settlement_date"], "settlement_id").select(
         "settlement_id", "settlement_date", F.lit("COMPLETED").alias("status"))
 
 

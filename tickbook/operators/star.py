@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import date_parts
 from ..functions.ids import with_global_index
+from ..session import scratch_path
 from .upsert import dedupe_latest, upsert
 
 DIM_SYMBOL_COLS = ["symbol_id", "symbol", "company_name"]
@@ -28,14 +29,20 @@ def _next_id(existing: DataFrame | None, id_col: str):
     return existing.select(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()
 
 
+def _written(distinct: DataFrame, label: str) -> DataFrame:
+    """The few distinct members, written once, so that the numbering is sized by their own count."""
+    path = scratch_path(distinct.sparkSession, label)
+    distinct.write.parquet(path)
+    return distinct.sparkSession.read.schema(distinct.schema).parquet(path)
+
+
 def load_dim_symbol(staging: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """MERGE dim_symbol: insert unseen symbols; company_name = symbol + ' Inc.'."""
     new = staging.select("symbol").where(F.col("symbol").isNotNull()).distinct()
     if existing is not None:
         new = new.join(existing.select("symbol"), "symbol", "left_anti")
     base = _next_id(existing, "symbol_id")
-    # new members <= staging rows: a cheap bound for sizing the numbering
-    added = with_global_index(new, ["symbol"], "symbol_id", start=base + 1, rows_hint=staging.count()).select(
+    added = with_global_index(_written(new, "new-symbols"), ["symbol"], "symbol_id", start=base + 1).select(
         "symbol_id", "symbol", F.concat(F.col("symbol"), F.lit(" Inc.")).alias("company_name"))
     return added if existing is None else existing.select(*DIM_SYMBOL_COLS).unionByName(added)
 
@@ -46,7 +53,7 @@ def load_dim_date(staging: DataFrame, existing: DataFrame | None = None) -> Data
     if existing is not None:
         new = new.join(existing.select("trade_date"), "trade_date", "left_anti")
     base = _next_id(existing, "date_id")
-    added = with_global_index(new, ["trade_date"], "date_id", start=base + 1, rows_hint=staging.count()).select(
+    added = with_global_index(_written(new, "new-dates"), ["trade_date"], "date_id", start=base + 1).select(
         "date_id", "trade_date", *date_parts("trade_date"))
     return added if existing is None else existing.select(*DIM_DATE_COLS).unionByName(added)
 

@@ -486,3 +486,7 @@ px AS (SELECT symbol, arg_max(close_price, price_date) AS now,
        FROM known GROUP BY symbol)
 SELECT customer_id, CAST(sum(coalesce(after * now, 0) - coalesce(before * prev, 0) + cash) AS DECIMAL(38,2)) AS daily_pnl
 FROM pos LEFT JOIN px USING (symbol) GROUP BY customer_id"""
+
+SQL["ticks_parsed"] = w(TICKS) + """
+SELECT seq, symbol, date_trunc('second', ts) AS ts, price, size FROM ticks WHERE size NOT IN (0, 1) OR size IS NULL"""
+SQL["tick_rejects"] = w(TICKS) + "SELECT seq FROM ticks WHERE size IN (0, 1)"

@@ -117,8 +117,9 @@ def q_unrealized_pnl(spark, sf_dir):
 @query("customer_pnl")
 def q_customer_pnl(spark, sf_dir):
     cid = fx.trades(spark, sf_dir).agg(F.min("buyer_id")).first()[0]
-    h, p = _holdings_prices(spark, sf_dir)
-    return reports.customer_pnl(spark, h, p, int(cid))
+    # the customer's trades go into the fold, not everyone's
+    mine = fx.trades(spark, sf_dir).where((F.col("buyer_id") == int(cid)) | (F.col("seller_id") == int(cid)))
+    return reports.customer_pnl(spark, holdings_op.holdings(mine), fx.prices(spark, sf_dir), int(cid))
 
 
 @query("portfolio")
@@ -182,8 +183,8 @@ def q_breach_volatility(spark, sf_dir):
 
 @query("price_history")
 def q_price_history(spark, sf_dir):
-    p = fx.prices(spark, sf_dir)
-    return reports.price_history(p, _max_day(p, "price_date"))
+    last = fx.trades(spark, sf_dir).agg(F.to_date(F.max("trade_time"))).first()[0]
+    return reports.price_history(fx.prices(spark, sf_dir), last)
 
 
 @query("scalar_calendar")
@@ -230,6 +231,29 @@ def q_ticks_clean(spark, sf_dir):
     return bars_op.clean_ticks(fx.ticks(spark, sf_dir))
 
 
+def _tick_messages(spark, sf_dir):
+    """Ticks as the JSON messages of a producer; some are cut off, some name no symbol."""
+    t = fx.ticks(spark, sf_dir).withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")) / 1000000)
+    named = t.withColumn("symbol", F.when(F.col("size") == 0, F.lit("")).otherwise(F.col("symbol")))
+    text = F.to_json(F.struct("symbol", "ts", "price", "size"))
+    return named.select("seq", F.when(F.col("size") == 1, F.substring_index(text, ",", 2)).otherwise(text).alias("value"))
+
+
+@query("ticks_parsed")
+def q_ticks_parsed(spark, sf_dir):
+    """Ticks read back from their messages (epoch seconds to timestamps)."""
+    from ..streaming.sources import parse_ticks
+    t = parse_ticks(_tick_messages(spark, sf_dir))[0]
+    return t.withColumn("ts", F.date_trunc("second", F.col("ts")).cast("timestamp_ntz"))
+
+
+@query("tick_rejects")
+def q_tick_rejects(spark, sf_dir):
+    """Messages that do not parse or name no symbol."""
+    from ..streaming.sources import parse_ticks
+    return parse_ticks(_tick_messages(spark, sf_dir))[1].select("seq")
+
+
 @query("bars_1m")
 def q_bars_1m(spark, sf_dir):
     return bars_op.bars(fx.ticks(spark, sf_dir))
