@@ -14,6 +14,7 @@ the shard), so a length that a third of all pieces share is not one group.
 from __future__ import annotations
 
 import bisect
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,7 @@ class WordTokenizer:
     PUNCT[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != 0x27]] = True
 
     def __init__(self, path: str, cache_words: int = 1_500_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
