@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import tempfile
 
@@ -59,3 +60,47 @@ def test_columns_in_any_order_and_extra_columns(spark):
                  for r in staged.collect())
     assert got == [("A", "2024-01-02", 1.0, 2.0, 0.5, 1.5, 10), ("B", "2024-01-03", 2.0, 3.0, 1.5, 2.5, 20)]
     assert rejects.count() == 0
+
+
+def _one_day(spark, files):
+    from tickbook.operators import star
+    from tickbook.operators.staging import load_price_files
+    d = tempfile.mkdtemp(prefix="tb-csv-")
+    for name, text in files.items():
+        _write(d, name, text)
+    staged = spark.read.parquet(load_price_files(spark, d, load_ts="2024-01-01 00:00:00")[0])
+    ds, dd = star.load_dim_symbol(staged), star.load_dim_date(staged)
+    return [(r.close_price, r.volume) for r in star.load_fact_daily(staged, ds, dd).collect()]
+
+
+def test_of_duplicate_rows_the_last_line_of_the_last_file_wins(spark):
+    lines = [f"2024-01-02,A,1,2,0.5,{i}.5,1.5,{i}\n" for i in range(1, 9)]
+    assert _one_day(spark, {"a.csv": HEADER + "".join(lines[:4]), "b.csv": HEADER + "".join(lines[4:])}) == [(8.5, 8)]
+    assert _one_day(spark, {"a.csv": HEADER + "".join(lines[4:]), "b.csv": HEADER + "".join(lines[3::-1])}) == [(1.5, 1)]
+    # with a file of another layout the rows are read by their places
+    assert _one_day(spark, {"a.csv": HEADER + lines[6], "b.csv": "volume," + HEADER.replace(",volume", "") + "5,2024-01-02,A,1,2,0.5,3.5,1.5\n"
+                            }) == [(3.5, 5)]
+
+
+def test_load_replaces_a_table_only_after_success(spark):
+    from tickbook.operators.staging import load_price_files
+    d, table = tempfile.mkdtemp(prefix="tb-csv-"), os.path.join(tempfile.mkdtemp(prefix="tb-stg-"), "stg")
+    for i in (1, 2, 3):
+        _write(d, "A.csv", HEADER + f"2024-01-02 09:30:00,A,1,2,1,1.5,1.5,{i}\n2024-01-03,A,x,2,1,1.5,1.5,{i}\n")
+        staged, rejects = load_price_files(spark, d, table)
+        assert staged == table
+        assert [(str(r.trade_date), r.volume) for r in spark.read.parquet(table).collect()] == [("2024-01-02", i)]
+        assert [r.reason for r in spark.read.parquet(rejects).collect()] == ["open_price"]
+    _write(d, "B.csv", "date,Symbol,open\n2024-01-02,B,1\n")
+    with pytest.raises(ValueError, match="lack columns"):
+        load_price_files(spark, d, table)
+    assert [r.volume for r in spark.read.parquet(table).collect()] == [3]
+
+
+def test_monthly_average_keeps_small_prices(spark):
+    from tickbook.operators import star
+    rows = spark.createDataFrame([("A", dt.date(2024, 1, d), .004, .004, .004, .004, .004, 1) for d in (2, 3)],
+                                 "symbol string, trade_date date, open_price double, high_price double, low_price double, "
+                                 "close_price double, adj_close double, volume long")
+    ids = spark.createDataFrame([("A", 1)], "symbol string, symbol_id long")
+    assert star.monthly_rows(rows, ids).first().avg_close == pytest.approx(.004)

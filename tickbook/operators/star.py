@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import date_parts
 from ..functions.ids import with_global_index
 from ..session import scratch_path
+from .staging import load_order
 from .upsert import dedupe_latest, upsert
 
 DIM_SYMBOL_COLS = ["symbol_id", "symbol", "company_name"]
@@ -61,10 +62,10 @@ def load_dim_date(staging: DataFrame, existing: DataFrame | None = None) -> Data
 def fact_rows(staging: DataFrame, dim_symbol: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Staging rows keyed by the surrogate keys (inner joins, as the reference).
 
-    Duplicate (symbol, date) staging rows are reduced to the newest load first."""
+    Duplicate (symbol, date) staging rows are reduced to the last one first (``LOAD_ORDER``)."""
     s = staging
-    if "load_ts" in s.columns:
-        s = dedupe_latest(s, ["symbol", "trade_date"], ["load_ts"])
+    if load_order(s):
+        s = dedupe_latest(s, ["symbol", "trade_date"], load_order(s))
     return (s.join(dim_symbol.select("symbol", "symbol_id"), "symbol")
              .join(dim_date.select("trade_date", "date_id"), "trade_date")
              .select("symbol_id", "date_id", "open_price", "high_price", "low_price", "close_price",
@@ -85,15 +86,11 @@ def load_fact_daily(staging: DataFrame, dim_symbol: DataFrame, dim_date: DataFra
 
 
 def monthly_rows(staging: DataFrame, dim_symbol: DataFrame) -> DataFrame:
-    """Monthly averages per symbol.  Each average is an exact decimal sum
-    divided once by the count, so the result does not depend on the order
-    in which partial sums are combined."""
-    def avg(c):
-        return (F.sum(F.col(c).cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)))
+    """Monthly averages per symbol, of the prices as the daily fact has them (unrounded)."""
     s = staging.join(dim_symbol.select("symbol", "symbol_id"), "symbol")
     return (s.groupBy("symbol_id", F.year("trade_date").alias("year"), F.month("trade_date").alias("month"))
-             .agg(avg("open_price").alias("avg_open"), avg("close_price").alias("avg_close"),
-                  avg("high_price").alias("avg_high"), avg("low_price").alias("avg_low"),
+             .agg(F.avg("open_price").alias("avg_open"), F.avg("close_price").alias("avg_close"),
+                  F.avg("high_price").alias("avg_high"), F.avg("low_price").alias("avg_low"),
                   F.sum("volume").cast("bigint").alias("total_volume")))
 
 
@@ -109,8 +106,8 @@ def price_upsert(fact_price: DataFrame, staging: DataFrame, load_date=None) -> D
     s = staging
     if load_date is not None:
         s = s.filter(F.col("trade_date") == F.lit(load_date).cast("date"))
-    if "load_ts" in s.columns:
-        s = dedupe_latest(s, ["symbol", "trade_date"], ["load_ts"])
+    if load_order(s):
+        s = dedupe_latest(s, ["symbol", "trade_date"], load_order(s))
     src = s.select("symbol", F.col("trade_date").alias("price_date"), "open_price", "high_price", "low_price",
                    "close_price", "adj_close", "volume")
     return upsert(fact_price, src, ["symbol", "price_date"])

@@ -67,11 +67,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     return merged.drop("_tb_in_t")
 
 
-def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """INSERT ... WHERE NOT EXISTS (same keys): the source rows missing from target."""
-    return source.join(target.select(*keys), keys, "left_anti")
-
-
 def write_upsert(spark: SparkSession, table_path: str, source: DataFrame, keys: list[str],
                  partition_col: str, update_cols: list[str] | None = None) -> None:
     """Merge ``source`` into the Parquet table at ``table_path`` (partitioned by

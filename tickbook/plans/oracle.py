@@ -8,6 +8,8 @@ fold), so it shares no code path with the Spark plans.
 
 from __future__ import annotations
 
+import re
+
 # ---- adapters --------------------------------------------------------------
 
 LINES = """lines AS (
@@ -341,10 +343,10 @@ SQL["fact_price_daily_incremental"] = w(STAGED, DIMS) + FACT_DAILY
 
 SQL["fact_price_monthly"] = w(STAGED, DIMS) + """
 SELECT s.symbol_id, CAST(year(st.trade_date) AS INTEGER) AS year, CAST(month(st.trade_date) AS INTEGER) AS month,
-       CAST(sum(CAST(st.open_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_open,
-       CAST(sum(CAST(st.close_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_close,
-       CAST(sum(CAST(st.high_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_high,
-       CAST(sum(CAST(st.low_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_low,
+       round(avg(st.open_price), 6) AS avg_open,
+       round(avg(st.close_price), 6) AS avg_close,
+       round(avg(st.high_price), 6) AS avg_high,
+       round(avg(st.low_price), 6) AS avg_low,
        CAST(sum(st.volume) AS BIGINT) AS total_volume
 FROM staged st JOIN dim_symbol s ON s.symbol = st.symbol
 GROUP BY s.symbol_id, year(st.trade_date), month(st.trade_date)"""
@@ -490,3 +492,49 @@ FROM pos LEFT JOIN px USING (symbol) GROUP BY customer_id"""
 SQL["ticks_parsed"] = w(TICKS) + """
 SELECT seq, symbol, date_trunc('second', ts) AS ts, price, size FROM ticks WHERE size NOT IN (0, 1) OR size IS NULL"""
 SQL["tick_rejects"] = w(TICKS) + "SELECT seq FROM ticks WHERE size IN (0, 1)"
+
+SQL["stream_bars_upsert"] = SQL["stream_bars_1m"]
+SQL["stream_risk_upsert"] = SQL["risk_daily"]
+
+SQL["stage_duplicates"] = w(STAGED) + """
+SELECT * REPLACE (CASE WHEN dayofyear(trade_date) % 31 = 11 THEN 0 ELSE volume + 1 END AS volume) FROM staged"""
+
+
+def _match(orders: str, tag: str) -> str:
+    """The match of a table of orders, every name with a tag."""
+    sql = MATCH.replace("FROM book", "FROM " + orders).replace("('PENDING', 'OPEN')", "('PENDING', 'OPEN', 'PARTIAL')")
+    for name in ("open_orders", "matched", "mb", "ms", "mx"):
+        sql = re.sub(rf"\b{name}\b", name + tag, sql)
+    return sql
+
+
+def _run(half: str, before: str, last_order: str, last_trade: str, last_event: str, tag: str) -> str:
+    """One run of intake and matching: the orders placed, matched and afterwards, and their events."""
+    payload_o, payload_t = ORDER_PAYLOAD, TRADE_PAYLOAD
+    return f"""placed{tag} AS (
+  SELECT ({last_order}) + row_number() OVER (ORDER BY request_seq) AS order_id, customer_id, symbol, side, quantity,
+         CAST(0 AS BIGINT) AS filled_quantity, price, 'PENDING' AS status, submitted_at AS created_at
+  FROM checked WHERE reason = '' AND request_seq {half} (SELECT max(request_seq) // 2 FROM checked)),
+orders{tag} AS (SELECT * FROM placed{tag} {before}),
+{_match(f"orders{tag}", tag)},
+traded{tag} AS (SELECT * REPLACE (trade_id + ({last_trade}) AS trade_id) FROM matched{tag}),
+fills{tag} AS (SELECT order_id, sum(quantity) AS q FROM (
+    SELECT buy_order_id AS order_id, quantity FROM traded{tag} UNION ALL SELECT sell_order_id, quantity FROM traded{tag})
+  GROUP BY order_id),
+after{tag} AS (SELECT o.* REPLACE (o.filled_quantity + coalesce(q, 0) AS filled_quantity,
+    CASE WHEN q IS NULL THEN status WHEN o.filled_quantity + q >= o.quantity THEN 'FILLED' ELSE 'PARTIAL' END AS status)
+  FROM orders{tag} o LEFT JOIN fills{tag} USING (order_id)),
+new_o{tag} AS (SELECT created_at, symbol, {payload_o} AS payload FROM placed{tag}),
+ev_o{tag} AS (SELECT ({last_event}) + row_number() OVER (ORDER BY created_at, payload) AS event_id,
+                     'order_events' AS topic, symbol AS key, payload AS value FROM new_o{tag}),
+new_t{tag} AS (SELECT symbol, {payload_t} AS payload FROM traded{tag}),
+ev_t{tag} AS (SELECT (SELECT max(event_id) FROM ev_o{tag}) + row_number() OVER (ORDER BY payload) AS event_id,
+                     'trade_events' AS topic, symbol AS key, payload AS value FROM new_t{tag})"""
+
+
+SQL["order_flow_two_runs"] = w(
+    REQUESTS,
+    _run("<=", "", "0", "0", "0", "_1"),
+    _run(">", "UNION ALL SELECT * FROM after_1", "SELECT max(order_id) FROM placed_1", "SELECT max(trade_id) FROM traded_1",
+         "SELECT max(event_id) FROM ev_t_1", "_2")) + """
+SELECT * FROM ev_o_1 UNION ALL SELECT * FROM ev_t_1 UNION ALL SELECT * FROM ev_o_2 UNION ALL SELECT * FROM ev_t_2"""

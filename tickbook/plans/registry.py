@@ -314,11 +314,8 @@ LOAD_TICKS_FROM = dt.datetime(2024, 1, 15, 0, 0, 0)
 
 
 def _fresh_staging(spark, sf_dir):
-    from ..operators.staging import load_staging
-    from ..sources.price_files import read_price_files
-    raw = read_price_files(spark, fx.price_csv_dir(spark, sf_dir))
-    staged, rejects = load_staging(spark, raw, scratch_path(spark, "stg_historical_price"),
-                                   load_ts="2000-01-01 00:00:00")
+    from ..operators.staging import load_price_files
+    staged, rejects = load_price_files(spark, fx.price_csv_dir(spark, sf_dir), load_ts="2000-01-01 00:00:00")
     return spark.read.parquet(staged), spark.read.parquet(rejects)
 
 
@@ -330,7 +327,26 @@ def q_stage_prices(spark, sf_dir):
 
 @query("stage_rejects")
 def q_stage_rejects(spark, sf_dir):
-    return _fresh_staging(spark, sf_dir)[1]
+    return _fresh_staging(spark, sf_dir)[1].select("symbol", "trade_date", "reason")
+
+
+@query("stage_duplicates")
+def q_stage_duplicates(spark, sf_dir):
+    """The price files, and a second delivery of them with other volumes: of the rows
+    with one symbol and day the one of the last file enters the daily fact."""
+    from ..operators import star
+    from ..operators.staging import load_price_files
+    first = fx.price_csv_dir(spark, sf_dir)
+    both = scratch_path(spark, "price-csv-twice")
+    rows = spark.read.option("header", True).option("recursiveFileLookup", True).csv(first)
+    again = rows.withColumn("volume", F.col("volume").cast("bigint") + 1)
+    for name, part in (("1", again), ("0", rows)):          # the file's name decides, not its age
+        part.write.option("header", True).csv(f"{both}/delivery={name}")
+    staged = spark.read.parquet(load_price_files(spark, both, load_ts="2000-01-01 00:00:00")[0])
+    ds, dd = star.load_dim_symbol(staged), star.load_dim_date(staged)
+    fact = star.load_fact_daily(staged, ds, dd)
+    return (fact.join(ds, "symbol_id").join(dd, "date_id")
+                .select("symbol", "trade_date", "open_price", "high_price", "low_price", "close_price", "adj_close", "volume"))
 
 
 @query("export_prices_roundtrip")
@@ -402,7 +418,7 @@ def q_fact_price_monthly(spark, sf_dir):
     s, ds, _ = _dims(spark, sf_dir)
     seed = _materialise(spark, star.load_fact_monthly(s.filter(F.col("trade_date") < F.lit(SEED_DATES_BEFORE)), ds),
                         "fact_price_monthly")
-    return star.load_fact_monthly(s, ds, existing=seed)
+    return _r6(star.load_fact_monthly(s, ds, existing=seed), "avg_open", "avg_close", "avg_high", "avg_low")
 
 
 @query("price_upsert")
@@ -541,6 +557,50 @@ def q_stream_match(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+TICK_FILES = 4
+
+
+def _tick_folder(spark, sf_dir):
+    """The ticks as a folder of files in time order, each covering a part of the time."""
+    t = fx.ticks(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    lo, hi = t.agg(F.min("ts"), F.max("ts")).first()
+    folder = scratch_path(spark, "tick-files")
+    cuts = [lo + (hi - lo) * i / TICK_FILES for i in range(1, TICK_FILES)] if lo else []
+    for i, (a, b) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):    # one write each: files are taken by age
+        part = t if a is None else t.where(F.col("ts") >= F.lit(a))
+        part = part if b is None else part.where(F.col("ts") < F.lit(b))
+        part.coalesce(1).write.parquet(f"{folder}/part={i}")
+    return folder, t.schema
+
+
+def _upsert_stream(spark, sf_dir, stream, writer, label):
+    from ..session import rocksdb_state
+    from ..streaming.sources import parquet_stream
+    folder, schema = _tick_folder(spark, sf_dir)
+    table = scratch_path(spark, label)
+    ticks = parquet_stream(spark, folder, schema, max_files=1)
+    with rocksdb_state(spark):
+        q = (stream(ticks).writeStream.foreachBatch(writer(table)).outputMode("append")
+             .option("checkpointLocation", table + "-checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(table)
+
+
+@query("stream_bars_upsert")
+def q_stream_bars_upsert(spark, sf_dir):
+    """Bars merged into fact_tick_agg by several triggers."""
+    from ..streaming import bars as sbars
+    return _upsert_stream(spark, sf_dir, sbars.stream_bars, sbars.upsert_bars_batch, "stream-bars-table").drop("bar_day")
+
+
+@query("stream_risk_upsert")
+def q_stream_risk_upsert(spark, sf_dir):
+    """Risk scores merged into fact_symbol_risk by several triggers, state carried between them."""
+    from ..streaming import risk as srisk
+    r = _upsert_stream(spark, sf_dir, srisk.stream_risk, srisk.upsert_risk_batch, "stream-risk-table")
+    return _r6(r.drop("risk_day", "risk_month").withColumn("risk_ts", F.col("risk_ts").cast("timestamp_ntz")), "risk_score")
+
+
 # ---- incremental and end-to-end flows ----------------------------------------------
 
 HOLDINGS_SNAPSHOT_AT = dt.datetime(1998, 1, 1)
@@ -556,6 +616,32 @@ def q_holdings_from_snapshot(spark, sf_dir):
     return holdings_op.holdings(t.filter(F.col("trade_time") >= cut), previous=snap)
 
 
+@query("order_flow_two_runs")
+def q_order_flow_two_runs(spark, sf_dir):
+    """Intake, match and publish, twice: the later half of the requests comes with run 2,
+    on top of the orders, trades and events of run 1.  Returns what was published."""
+    from ..operators import outbox as outbox_op
+    from ..session import path_exists
+    from . import jobs
+    requests = fx.order_requests(spark, sf_dir)
+    half = requests.agg(F.floor(F.max("request_seq") / 2)).first()[0] or 0
+    sink, ledger = scratch_path(spark, "topics"), scratch_path(spark, "dispatched")
+    orders = trades = holdings = box = None
+
+    def add(table, path):
+        new = spark.read.parquet(path)
+        return new if table is None else table.unionByName(new)
+    for part in (requests.where(F.col("request_seq") <= half), requests.where(F.col("request_seq") > half)):
+        placed = jobs.place_orders(spark, part, orders, box)
+        orders, box = add(orders, placed["orders"]), add(box, placed["events"])
+        done = jobs.match_book(spark, orders, holdings, trades_table=trades, outbox=box)
+        orders, holdings = spark.read.parquet(done["orders"]), spark.read.parquet(done["holdings"])
+        trades, box = add(trades, done["trades"]), add(box, done["events"])
+        sent = spark.read.parquet(ledger) if path_exists(spark, ledger) else None
+        outbox_op.publish(spark, outbox_op.pending(box, sent), sink, ledger)
+    return spark.read.parquet(sink).select("event_id", "topic", "key", "value")
+
+
 @query("holdings_after_match")
 def q_holdings_after_match(spark, sf_dir):
     """Order flow end to end: match the book, then fold the matched trades into holdings."""

@@ -25,7 +25,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -106,15 +105,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     and ship the package to the Python workers."""
     ship_package(spark)
     for k, v in DEFAULT_CONF.items():
-        try:
-            if k == "spark.sql.streaming.stateStore.providerClass":
-                # only settable before the first stateful query; harmless if it fails
-                if spark.conf.get(k, None) in (None, ""):
-                    spark.conf.set(k, v)
-                continue
+        if k != _STATE_PROVIDER or spark.conf.get(k, None) in (None, ""):   # a chosen state store stays
             spark.conf.set(k, v)
-        except Exception:  # static or locked conf
-            pass
 
 
 RANGE_ROWS_CONF = "tickbook.rangeRowsPerPartition"
@@ -169,6 +161,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path`` by renaming (both on one file system).
+
+    The folder replaced stays as ``<path>.previous`` until the next
+    replacement; if the job dies between the two renames, it is there."""
+    jvm = spark.sparkContext._jvm
+    new_, path_, before = (jvm.org.apache.hadoop.fs.Path(x) for x in (new, path, path.rstrip("/") + ".previous"))
+    fs = path_.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path_):
+        fs.delete(before, True)
+        if not fs.rename(path_, before):
+            raise OSError(f"cannot rename {path}")
+    elif path_.getParent() is not None:
+        fs.mkdirs(path_.getParent())
+    if not fs.rename(new_, path_):
+        raise OSError(f"cannot rename {new} to {path}")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     root = checkpoint_root(spark)

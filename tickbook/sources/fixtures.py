@@ -154,13 +154,10 @@ def price_csv_dir(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _staging_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    from ..operators.staging import load_staging
-    from .price_files import read_price_files
+    from ..operators.staging import load_price_files
 
     def build():
-        raw = read_price_files(spark, price_csv_dir(spark, sf_dir))
-        staged, rejects = load_staging(spark, raw, scratch_path(spark, "stg_historical_price"),
-                                       load_ts="2000-01-01 00:00:00")
+        staged, rejects = load_price_files(spark, price_csv_dir(spark, sf_dir), load_ts="2000-01-01 00:00:00")
         return staged + "|" + rejects
     return tuple(_memo(spark, sf_dir, "staging", build).split("|"))
 

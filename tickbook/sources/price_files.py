@@ -44,13 +44,39 @@ def export_price_files(prices: DataFrame, out_dir: str) -> None:
          .csv(out_dir))
 
 
+# where a row stood in its input; sorts as (file, offset of the block, line in the block)
+POSITION_COLS = ["source_file", "file_block", "file_row"]
+HEADER_ERROR = "CSV header"      # start of the reader's message when a header is not the expected one
+
+
+def _with_position(rows: DataFrame, columns: list) -> DataFrame:
+    return rows.select(*columns, F.col("_metadata.file_path").alias("source_file"),
+                       F.col("_metadata.file_block_start").alias("file_block"),
+                       F.monotonically_increasing_id().alias("file_row"))
+
+
+def _csv(spark: SparkSession):
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"))
+
+
+def read_standard_files(spark: SparkSession, in_dir: str) -> DataFrame:
+    """All ``*.csv`` below ``in_dir`` in one read: the reader itself compares each
+    file's header with the standard one, and a differing file fails the job that
+    uses the rows (``is_header_error`` tells this failure from others)."""
+    return _with_position(_csv(spark).option("enforceSchema", False).schema(RAW_SCHEMA).csv(in_dir), CSV_COLUMNS)
+
+
+def is_header_error(e: Exception) -> bool:
+    return HEADER_ERROR in str(e)
+
+
 def file_headers(spark: SparkSession, in_dir: str) -> DataFrame:
-    """(file, header) of every ``*.csv`` below ``in_dir``: the first line of
-    each file, read from the file's first block only."""
+    """(source_file, header) of every ``*.csv`` below ``in_dir``: a scan of its own."""
     t = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(in_dir)
-              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("blk"),
+              .select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("blk"),
                       "value", F.monotonically_increasing_id().alias("pos")))
-    return t.filter(F.col("blk") == 0).groupBy("file").agg(F.min_by("value", "pos").alias("header"))
+    return t.filter(F.col("blk") == 0).groupBy("source_file").agg(F.min_by("value", "pos").alias("header"))
 
 
 def _columns(header: str) -> list[str]:
@@ -59,30 +85,38 @@ def _columns(header: str) -> list[str]:
 
 def read_price_files(spark: SparkSession, in_dir: str) -> DataFrame:
     """All ``*.csv`` below ``in_dir`` as strings (the eight expected columns),
-    plus the source file.
+    plus the row's place (``POSITION_COLS``).
 
     Like the reference's loader, a file must contain every expected column,
     in any order, extra columns ignored; a file without e.g. ``adj_close``
-    fails the whole load before anything is written.  Files are grouped by
-    header layout (few distinct layouts) and each group is read with its own
-    column order, then selected by name."""
-    layouts = (file_headers(spark, in_dir).groupBy("header")
-               .agg(F.collect_list("file").alias("files")).collect())   # one row per layout
-    parts = []
+    fails the whole load before anything is written.  Only the distinct
+    layouts come to the driver.  With several of them the files are read by
+    place, and each row takes its columns by the layout of its file (a join
+    on the file name, one row per file)."""
+    headers = file_headers(spark, in_dir)
+    layouts = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n"), F.min("source_file").alias("example")).collect()
     for row in layouts:
-        cols = _columns(row["header"])
-        missing = [c for c in CSV_COLUMNS if c not in cols]
+        missing = [c for c in CSV_COLUMNS if c not in _columns(row["header"])]
         if missing:
-            raise ValueError(f"{len(row['files'])} file(s) such as {row['files'][0]} lack columns {missing}")
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-        parts.append(spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema)
-                          .csv(row["files"]).select(*CSV_COLUMNS, F.col("_metadata.file_path").alias("source_file")))
-    if not parts:
-        return spark.createDataFrame([], T.StructType(RAW_SCHEMA.fields + [T.StructField("source_file", T.StringType())]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            raise ValueError(f"{row['n']} file(s) such as {row['example']} lack columns {missing}")
+    if not layouts:
+        places = "source_file string, file_block bigint, file_row bigint"
+        return spark.createDataFrame([], T.StructType(RAW_SCHEMA.fields + T._parse_datatype_string(places).fields))
+    width = max(len(_columns(row["header"])) for row in layouts)
+    places = [f"_c{i}" for i in range(width)]
+    raw = _csv(spark).schema(T.StructType([T.StructField(c, T.StringType(), True) for c in places])).csv(in_dir)
+
+    def named(row):
+        cols = _columns(row["header"])
+        return {c: F.col(places[cols.index(c)]) for c in CSV_COLUMNS}
+
+    rows = _with_position(raw, places)
+    if len(layouts) == 1:
+        return rows.select(*[v.alias(c) for c, v in named(layouts[0]).items()], *POSITION_COLS)
+    rows = rows.join(headers, "source_file")
+    picked = [F.coalesce(*[F.when(F.col("header") == row["header"], named(row)[c]) for row in layouts]).alias(c)
+              for c in CSV_COLUMNS]
+    return rows.select(*picked, *POSITION_COLS)
 
 
 def read_exported(spark: SparkSession, in_dir: str) -> DataFrame:

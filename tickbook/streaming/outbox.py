@@ -24,7 +24,7 @@ def publish_batches(sink_dir: str, ledger_dir: str, rejects_dir: str | None = No
     With ``kafka_servers`` the sink is Kafka (needs the connector; a replay
     then sends the batch again, at least once)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        from ..plans.jobs import _exists
+        from ..session import path_exists as _exists
         spark = batch.sparkSession
         events = pending(batch)
         if events.isEmpty():

@@ -91,7 +91,7 @@ def upsert_risk_batch(table_path: str):
         daily = (risk_daily(batch).withColumn("risk_day", F.to_date("risk_ts"))
                  .withColumn("risk_month", F.trunc("risk_day", "month")))
         spark = batch.sparkSession
-        from ..plans.jobs import _exists
+        from ..session import path_exists as _exists
         if not _exists(spark, table_path):
             daily.write.partitionBy("risk_month").parquet(table_path)
             return
