@@ -7,7 +7,7 @@ import pytest
 
 from tickbook.streaming.bars import stream_bars
 from tickbook.streaming.risk import emission_scores
-from tickbook.streaming.sources import rows_dropped_by_watermark
+from tickbook.streaming.sources import LateRows
 
 TICK = "symbol string, ts timestamp, price double, seq long"
 
@@ -18,7 +18,8 @@ def _run_bars_per_file(spark, batches):
     schema = T._parse_datatype_string(TICK)
     src_dir = tempfile.mkdtemp(prefix="tb-ticks-")
     out = tempfile.mkdtemp(prefix="tb-bars-out-")
-    dropped = 0
+    late = LateRows()
+    spark.streams.addListener(late)
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, TICK).coalesce(1).write.parquet(os.path.join(src_dir, f"b{i:02d}"))
         src = spark.readStream.schema(schema).option("recursiveFileLookup", True) \
@@ -26,7 +27,8 @@ def _run_bars_per_file(spark, batches):
         q = (stream_bars(src).writeStream.format("parquet").option("path", out + "/data")
              .option("checkpointLocation", out + "/ck").outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()
-        dropped += rows_dropped_by_watermark(q)
+    dropped = late.dropped(q)
+    spark.streams.removeListener(late)
     return {(r.symbol, r.minute_ts.minute): (r.open_price, r.close_price, r.tick_count)
             for r in spark.read.parquet(out + "/data").collect()}, dropped
 
@@ -158,6 +160,24 @@ def test_stream_match_append_path_then_cross(spark):
     assert got == [(4, 2, 5, 110.0), (4, 3, 2, 111.0)]
 
 
+def test_best_price_in_an_unread_bucket_is_kept(spark):
+    from decimal import Decimal
+
+    from tickbook.streaming.matching import stream_match
+    from tickbook.streaming.sources import parquet_stream, run_to_parquet
+    sch = ("order_id long, customer_id long, symbol string, side string, price decimal(18,2), "
+           "created_at timestamp_ntz, open_qty long")
+    order = lambda i, side, px: (i, i, "A", side, Decimal(px), dt.datetime(2024, 1, 1, 0, 0, i), 1)
+    folder = tempfile.mkdtemp(prefix="tb-orders-")
+    # the second trigger trades above the resting buy at 100 and leaves one far below it
+    for i, rows in enumerate([[order(1, "BUY", 100), order(2, "SELL", 200)], [order(3, "BUY", 210), order(4, "BUY", 50)],
+                              [order(5, "SELL", 90)]]):
+        spark.createDataFrame(rows, sch).coalesce(1).write.parquet(os.path.join(folder, f"f={i}"))
+    stream = parquet_stream(spark, folder, spark.createDataFrame([], sch).schema, max_files=1)
+    out = run_to_parquet(stream_match(stream), "best-test")
+    assert sorted((r.buy_order_id, r.sell_order_id) for r in spark.read.parquet(out).collect()) == [(1, 5), (3, 2)]
+
+
 def test_stream_bars_foreach_batch_upsert_equals_batch_bars(spark):
     from pyspark.sql import functions as F
 
@@ -204,3 +224,81 @@ def test_stream_risk_state_survives_restart(spark):
         idx, scores = emission_scores(np.empty(0), p, 0)
         want += [(sym, int(i) + 1, round(float(sc), 9)) for i, sc in zip(idx, scores)]
     assert got == sorted(want) and len(got) > 0
+
+
+def _auctions(rows, days):
+    """Orders one by one, interval after interval; the plainest possible matcher."""
+    t0 = dt.datetime(1970, 1, 1)
+    book, trades, at = [], [], {}
+    for r in sorted(set(rows)):
+        at.setdefault((r[5] - t0) // dt.timedelta(days=days), []).append(list(r))
+    closed = sorted(at)[:-1]                                   # the last interval stays open
+    for key in closed:
+        book += at[key]
+        for sym in sorted({r[2] for r in book}):
+            buys = sorted((r for r in book if r[2] == sym and r[3] == "BUY"), key=lambda r: (-r[4], r[5], r[0]))
+            sells = sorted((r for r in book if r[2] == sym and r[3] == "SELL"), key=lambda r: (r[4], r[5], r[0]))
+            # cumulative quantities decide who meets whom; only crossing pairs trade
+            b_at, pairs = 0, []
+            for b in buys:
+                s_at = 0
+                for s in sells:
+                    q = min(b_at + b[6], s_at + s[6]) - max(b_at, s_at)
+                    if q > 0 and b[4] >= s[4]:
+                        pairs.append((b, s, q))
+                    s_at += s[6]
+                b_at += b[6]
+            for b, s, q in pairs:
+                trades.append((b[0], s[0], q, s[4]))
+                b[6] -= q
+                s[6] -= q
+        book = [r for r in book if r[6] > 0]
+    return sorted(trades)
+
+
+@pytest.mark.parametrize("files", [1, 3, 7])
+def test_interval_auctions_do_not_depend_on_triggers(spark, files):
+    import random
+    from decimal import Decimal
+
+    from tickbook.streaming.matching import stream_match
+    from tickbook.streaming.sources import parquet_stream, run_to_parquet
+    rnd = random.Random(5)
+    sch = ("order_id long, customer_id long, symbol string, side string, price decimal(18,2), "
+           "created_at timestamp_ntz, open_qty long")
+    rows = [(i, 500 + i, rnd.choice("AB"), rnd.choice(["BUY", "SELL"]), Decimal(rnd.randint(95, 105)),
+             dt.datetime(2024, 1, 1) + dt.timedelta(hours=3 * i + rnd.randint(0, 9)), rnd.randint(1, 30)) for i in range(210)]
+    rows.append((999, 1, "A", "BUY", Decimal(1), dt.datetime(2024, 3, 1), 1))      # closes all before it
+    want = _auctions(rows, 2)
+    folder = tempfile.mkdtemp(prefix="tb-auction-")
+    step = -(-len(rows) // files)
+    for i in range(files):
+        part = rows[i * step:(i + 1) * step]
+        again = rows[max(0, i * step - 4):i * step]                               # delivered before
+        spark.createDataFrame(part + again, sch).coalesce(1).write.parquet(os.path.join(folder, f"f={i}"))
+    stream = parquet_stream(spark, folder, spark.createDataFrame(rows, sch).schema, max_files=1)
+    out = run_to_parquet(stream_match(stream, dt.timedelta(days=2), "2 days"), "auction-test")
+    got = sorted((r.buy_order_id, r.sell_order_id, r.quantity, r.trade_price) for r in spark.read.parquet(out).collect())
+    assert got == want and len(got) > 20
+
+
+def test_interval_query_equals_plain_auctions(spark):
+    from tickbook.plans.registry import AUCTION_INTERVAL, QUERIES
+    from tickbook.sources import fixtures as fx
+
+    from .conftest import SF001
+    rows = [tuple(r) for r in fx.book(spark, SF001).select("order_id", "customer_id", "symbol", "side", "price", "created_at",
+                                                         "quantity").collect()]
+    got = sorted((r.buy_order_id, r.sell_order_id, r.quantity, r.trade_price)
+                 for r in QUERIES["stream_match_intervals"](spark, SF001).collect())
+    assert got == _auctions(rows, AUCTION_INTERVAL.days) and len(got) > 100
+
+
+def test_order_messages_are_parsed_or_rejected(spark):
+    from tickbook.streaming.sources import parse_orders
+    good = '{"order_id":1,"customer_id":2,"symbol":"A","side":"BUY","qty":3,"price":4.50}'
+    bad = ["no json", "{}", None, good.replace("BUY", "HOLD"), good.replace("3", "0")]
+    t = dt.datetime(2024, 1, 1)
+    orders, rejects = parse_orders(spark.createDataFrame([(t, v) for v in [good, *bad]], "timestamp timestamp_ntz, value string"))
+    assert [(r.order_id, r.side, r.open_qty, float(r.price), r.created_at) for r in orders.collect()] == [(1, "BUY", 3, 4.5, t)]
+    assert rejects.count() == len(bad)

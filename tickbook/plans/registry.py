@@ -601,6 +601,27 @@ def q_stream_risk_upsert(spark, sf_dir):
     return _r6(r.drop("risk_day", "risk_month").withColumn("risk_ts", F.col("risk_ts").cast("timestamp_ntz")), "risk_score")
 
 
+AUCTION_INTERVAL = dt.timedelta(days=30)
+
+
+@query("stream_match_intervals")
+def q_stream_match_intervals(spark, sf_dir):
+    """Order messages of the outbox, each delivered twice and in several triggers, matched by
+    auctions of event time.  No SQL: every auction starts from the book the one before left."""
+    from ..streaming.matching import stream_match
+    from ..streaming.sources import parquet_stream, parse_orders, run_to_parquet
+    box = fx.outbox(spark, sf_dir).where(F.upper("event_type").startswith("ORDER"))
+    m = box.select(F.col("created_ts").cast("timestamp").alias("timestamp"), F.col("payload").alias("value"))
+    lo, hi = m.agg(F.min("timestamp"), F.max("timestamp")).first()
+    folder, cut = scratch_path(spark, "order-messages"), lo + (hi - lo) / 2 if lo else None
+    first = m if cut is None else m.where(F.col("timestamp") < F.lit(cut))
+    for i, part in enumerate((first, first, m if cut is None else m.where(F.col("timestamp") >= F.lit(cut)))):
+        part.coalesce(1).write.parquet(f"{folder}/part={i}")            # the second delivery comes as its own trigger
+    stream = parquet_stream(spark, folder, m.schema, max_files=1)
+    out = run_to_parquet(stream_match(parse_orders(stream)[0], AUCTION_INTERVAL, "1 day"), "match-intervals")
+    return spark.read.parquet(out)
+
+
 # ---- incremental and end-to-end flows ----------------------------------------------
 
 HOLDINGS_SNAPSHOT_AT = dt.datetime(1998, 1, 1)
