@@ -100,7 +100,8 @@ def test_failed_load_is_audited_and_leaves_fact_unchanged(spark):
         with jobs.audited(spark, audit, "load_prices"):
             jobs.load_prices(spark, bad, fact)
     rows = spark.read.parquet(audit).collect()
-    assert len(rows) == 1 and rows[0].component == "load_prices" and "adj_close" in rows[0].message
+    assert set(rows[0].asDict()) == {"err_id", "component", "err_ts", "message"}
+    assert len(rows) == 1 and rows[0].err_id > 0 and rows[0].component == "load_prices" and "adj_close" in rows[0].message
     assert sorted(map(tuple, spark.read.parquet(fact).collect())) == before
 
 
@@ -109,8 +110,9 @@ def test_settle_day_logs_completion(spark):
     day = t.agg(F.max(F.to_date("trade_time"))).first()[0]
     base = tempfile.mkdtemp(prefix="tb-settle-")
     jobs.settle_day(spark, t, base + "/agg", day, settlement_log_path=base + "/log")
+    jobs.settle_day(spark, t, base + "/agg", day, settlement_log_path=base + "/log")
     log = spark.read.parquet(base + "/log").collect()
-    assert [(r.settlement_date, r.status) for r in log] == [(day, "COMPLETED")]
+    assert sorted((r.settlement_id, r.settlement_date, r.status) for r in log) == [(1, day, "COMPLETED"), (2, day, "COMPLETED")]
 
 
 def test_cli_runs_jobs(spark):

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import as_date, day_range
+from ..functions.calendar import day_range
 from ..functions.ids import with_global_index
 from ..session import scratch_path
 from .upsert import upsert
@@ -62,9 +62,3 @@ def ledger_daily(trades: DataFrame, customers: DataFrame) -> DataFrame:
                  .select("customer_id", "trade_date", "cash_flow",
                          (F.coalesce(F.col("cash_balance"), F.lit(0)) + F.sum("cash_flow").over(w))
                          .cast(TOTAL).alias("balance")))
-
-
-def latest_trade_day(trades: DataFrame):
-    """Default ``as_of``: the last trading day present (one scalar)."""
-    v = trades.agg(F.max("trade_time")).first()[0]
-    return as_date(v) if v is not None else None

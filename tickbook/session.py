@@ -166,6 +166,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """Time of the last change of a file or folder, in milliseconds."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+
+
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Put the finished folder ``new`` in the place of ``path`` by renaming (both on one file system).
 

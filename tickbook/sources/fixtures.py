@@ -11,7 +11,7 @@ an independent SQL engine can build the very same inputs:
 * ``ticks``   symbol = event_type, price = value, size = props.k, seq = event_id;
 * ``prices``  daily open/high/low/close/volume per symbol from the trades.
 
-The numbered ``lines`` table is written once per session and sf folder to the
+The numbered ``lines`` table is written once per session and state of the files to the
 shared scratch folder; every adapter then reads it as a plain Parquet scan.
 """
 
@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import with_global_index
-from ..session import scratch_path
-from .tables import read_table
+from ..session import modified, scratch_path
+from .tables import read_table, table_path
 
 PRICE = "decimal(18,2)"
 
@@ -30,11 +30,17 @@ PRICE = "decimal(18,2)"
 LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
-_materialised: dict[tuple[str, str], str] = {}
+_materialised: dict[tuple, str] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, label: str) -> tuple:
+    """Files changed under the same path are other tables."""
+    times = tuple(modified(spark, table_path(sf_dir, t)) for t in ("lineitem", "orders", "part"))
+    return spark.sparkContext.applicationId, sf_dir, times, label
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _key(spark, sf_dir, "lines")
     path = _materialised.get(key)
     if path is None:
         li = read_table(spark, sf_dir, "lineitem", LINE_ORDER)
@@ -120,7 +126,7 @@ DOY_MOD, BAD_OPEN, EMPTY_VOLUME, EMPTY_CLOSE = 31, 7, 11, 19
 
 
 def _memo(spark: SparkSession, sf_dir: str, label: str, build) -> str:
-    key = (spark.sparkContext.applicationId, f"{sf_dir}#{label}")
+    key = _key(spark, sf_dir, label)
     path = _materialised.get(key)
     if path is None:
         path = build()
