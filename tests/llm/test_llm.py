@@ -423,6 +423,36 @@ def test_chat_templates():
     assert not rewrites and out == chat.render(many) and len(spans) == len(many)
 
 
+def test_chat_long_conversations_are_located_by_true_prefixes():
+    n = 2 * chat.FULL_TURNS
+    many = [("assistant" if i % 2 else "user", f"turn {i}") for i in range(n)]
+
+    def numbered(turns):
+        return "<s>" + "".join(f"[{i}:{r}]{t}[/]" for i, (r, t) in enumerate(turns))
+
+    def strict(turns):
+        if turns and turns[0][0] != "user":
+            raise ValueError("a conversation begins with the user")
+        return numbered(turns)
+
+    def declared(turns):
+        return numbered(turns)
+    declared.additive = True                # wrongly
+
+    for template in (numbered, strict, declared):
+        out, spans, rewrites = chat.locate(many, template)
+        assert not rewrites and out == numbered(many)
+        assert [out[s[2]:s[3]] for s in spans] == [t for _, t in many]
+        assert [s[0] for s in spans[1:]] == [s[1] for s in spans[:-1]] and spans[-1][1] == len(out)
+
+    def forgets(turns):
+        return chat.render(turns[-(chat.FULL_TURNS + 20):])
+    assert chat.locate(many, forgets) == (forgets(many), [], True)
+    assert chat.locate(many[:chat.FULL_TURNS + 20], forgets)[2] is False
+    out, spans, _ = chat.locate(many, chat.render)
+    assert [out[s[2]:s[3]] for s in spans] == [t for _, t in many]
+
+
 def test_chat_query_digests(spark):
     got = {r.conv_id: r for r in queries.op6_chat_format(spark, SF001).collect()}
     rows = collections.defaultdict(list)

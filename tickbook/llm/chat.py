@@ -26,7 +26,7 @@ from . import text as T
 
 Turns = list[tuple[str, str]]
 _PROBE = "\ue000\ue001"  # private-use characters
-FULL_TURNS = 128        # longer histories are rendered as a sliding window of this many turns
+FULL_TURNS = 128        # prefixes up to this length are rendered even if the template declares itself additive
 
 _ESCAPE = re.compile(r"\\|###|</turn>")
 _UNESCAPE = re.compile(r"\\(\\|###|</turn>|:)")
@@ -46,6 +46,9 @@ def render(turns: Turns) -> str:
     return "".join(f"### {_escape_role(role)}: {escape(text)}</turn>\n" for role, text in turns)
 
 
+render.additive = True
+
+
 def _escape_role(role: str) -> str:
     return escape(role).replace(":", "\\:")
 
@@ -62,37 +65,61 @@ def read_back(formatted: str) -> Turns:
     return out
 
 
-def locate(turns: Turns, template: Callable[[Turns], str]):
-    """(formatted, spans, rewrites): per turn (start, stop, text start, text stop)
-    in the formatted string, or no spans if the template rewrites history."""
-    parts, spans, at = [], [], 0
-    before = template([]) if not turns else None
+def _text_place(added: str, render_with: Callable[[str], str]) -> tuple[int, int]:
+    """Characters of ``added`` before and after the turn's text; ``render_with`` renders the
+    turn with another text.  Of a text that the template changes by place, all is text."""
+    probe = _PROBE
+    while probe in added:
+        probe += _PROBE
+    bare = render_with(probe)
+    if bare.count(probe) != 1:
+        return 0, 0
+    head = bare.index(probe)
+    tail = len(bare) - head - len(probe)
+    if len(added) < head + tail or added[:head] != bare[:head] or added[len(added) - tail:] != bare[len(bare) - tail:]:
+        return 0, 0
+    return head, tail
+
+
+def _by_prefixes(turns: Turns, template: Callable[[Turns], str]):
+    """``locate`` from the outputs of all successive prefixes."""
+    spans, before = [], template([])
     for i, (role, _text) in enumerate(turns):
-        past = turns[max(0, i - FULL_TURNS):i]
-        if i == 0 or i > FULL_TURNS:
-            before = template(past)
-        now = template([*past, turns[i]])
+        now = template(turns[:i + 1])
         if not now.startswith(before):
             return template(turns), [], True
-        if i == 0:
-            parts.append(before)
-            at = len(before)
-        added = now[len(before):]
-        probe = _PROBE
-        while probe in added:
-            probe += _PROBE
-        bare = template([*past, (role, probe)])[len(before):]
-        head, tail = 0, 0                  # of a text that the template changes by place, all is text
-        if bare.count(probe) == 1:
-            head = bare.index(probe)
-            tail = len(bare) - head - len(probe)
-            if len(added) < head + tail or added[:head] != bare[:head] or added[len(added) - tail:] != bare[len(bare) - tail:]:
-                head, tail = 0, 0
-        spans.append((at, at + len(added), at + head, at + len(added) - tail))
-        parts.append(added)
-        at += len(added)
+        at = len(before)
+        head, tail = _text_place(now[at:], lambda probe: template([*turns[:i], (role, probe)])[at:])  # noqa: B023
+        spans.append((at, len(now), at + head, len(now) - tail))
         before = now
-    return ("".join(parts) if turns else before), spans, False
+    return before, spans, False
+
+
+def locate(turns: Turns, template: Callable[[Turns], str]):
+    """(formatted, spans, rewrites): per turn (start, stop, text start, text stop)
+    in the formatted string, or no spans if the template rewrites history.
+
+    All successive prefixes are rendered, whatever the number of turns, so the
+    work grows with its square.  A template may declare by a true attribute
+    ``additive`` that it joins what it makes of each turn alone (template(a + b)
+    == template(a) + template(b)); then the prefixes of more than ``FULL_TURNS``
+    turns are joined from single turns.  If that does not give template(turns),
+    the declaration is wrong, and all prefixes are rendered after all."""
+    if not getattr(template, "additive", False) or len(turns) <= FULL_TURNS:
+        return _by_prefixes(turns, template)
+    first, spans, rewrites = _by_prefixes(turns[:FULL_TURNS], template)
+    if not rewrites:
+        parts, at = [first], len(first)
+        for role, text in turns[FULL_TURNS:]:
+            added = template([(role, text)])
+            head, tail = _text_place(added, lambda probe: template([(role, probe)]))  # noqa: B023
+            spans.append((at, at + len(added), at + head, at + len(added) - tail))
+            parts.append(added)
+            at += len(added)
+        formatted = "".join(parts)
+        if formatted == template(turns):
+            return formatted, spans, False
+    return _by_prefixes(turns, template)
 
 
 FORMATTED = ("conv_id bigint, formatted string, roles array<string>, rewrites boolean, "
@@ -123,9 +150,9 @@ def format_conversations(rows: DataFrame, template: Callable[[Turns], str] = ren
     rows are repeated turns in a defined order.  NULL roles and texts count as
     empty; NULL conv_ids are one conversation; an empty table gives no rows.
     A conversation is one output row, so it is gathered in one task; its rows
-    stream in sorted order.  Histories over ``FULL_TURNS`` turns are rendered
-    with that many turns of context, so that the work stays proportional to
-    the conversation."""
+    stream in sorted order.  The work is proportional to the conversation for a
+    template that declares itself ``additive``, as the library's own does, and
+    to the square of its turns for any other (see ``locate``)."""
     T.prepare(rows.sparkSession)
 
     def run(batches):
