@@ -369,6 +369,43 @@ def test_url_model_learns_the_rules(spark):
     assert sum((r.p_allow >= 0.5) == (r.verdict == "allow") for r in got) / len(got) > 0.9
 
 
+def test_url_counts_are_exact_at_every_size(spark, monkeypatch):
+    rng = random.Random(12)
+    hosts = ("a.com", "example.com/en", "b.net/es", "c.org")
+    rows = [(i, f"http://{hosts[i % 4]}/" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=24))) for i in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r.page_id: r for r in urls.filter_urls(pages).collect()}
+    held = F.pmod(F.xxhash64("url", F.lit("held")), F.lit(urls.HELD)) == 0
+    trained = {r[0] for r in pages.where(~held).select("page_id").collect()}
+    pairs = (collections.Counter(), collections.Counter())
+
+    def places(u):
+        raw = b"\0" * urls.ORDER + u.encode() + b"\1"
+        for i in range(urls.ORDER, len(raw)):
+            yield [(raw[i - k:i], raw[i:i + 1]) for k in range(urls.ORDER + 1)]
+
+    seen = (collections.Counter(), collections.Counter())
+    for i, u in rows:
+        if i in trained and got[i].rule:
+            c = got[i].verdict == "allow"
+            for orders in places(u):
+                for context, byte in orders:
+                    seen[c][context] += 1
+                    pairs[c][context, byte] += 1
+    for i, u in rows[:200]:
+        total = n = 0
+        for orders in places(u):
+            chance = [1 / 257, 1 / 257]
+            for context, byte in orders:
+                chance = [(pairs[c][context, byte] + urls.STRENGTH * chance[c]) / (seen[c][context] + urls.STRENGTH) for c in (0, 1)]
+            total, n = total + math.log(chance[1]) - math.log(chance[0]), n + 1
+        assert math.isclose(got[i].score, total / n, rel_tol=1e-9, abs_tol=1e-12)
+    monkeypatch.setattr(urls, "MOST", 2000)         # most keys are joined
+    again = {r.page_id: r for r in urls.filter_urls(pages).collect()}
+    assert again.keys() == got.keys()
+    assert all(math.isclose(again[i].score, r.score, rel_tol=1e-9, abs_tol=1e-12) and again[i].verdict == r.verdict for i, r in got.items())
+
+
 # --- html
 
 def test_html_articles(spark):
