@@ -263,6 +263,23 @@ def test_quality_odd_rows(spark):
     assert quality.classify(odd_docs(spark).limit(0), lab).count() == 0
 
 
+def test_labelled_sample_fills_its_bounds(spark):
+    docs = spark.createDataFrame([(i, ("good words of a long text " if i % 2 else "buy now !!! $$$ click ") * 300) for i in range(60)],
+                                 "doc_id bigint, text string")
+    lab = labels(spark, [(i, i % 2, 0) for i in range(4000)])       # most are not there
+    got = T.labelled_sample(docs, lab, "quality", 25).collect()
+    assert collections.Counter(r.y for r in got) == {0: 25, 1: 25} and {r.doc_id for r in got} <= set(range(60))
+    model = quality.fit(docs, lab, class_bytes=3000)                # every text is longer
+    assert 500 < len(model.good) <= 3000 and len(model.bad) > 500 and model.slope != 0
+    long = docs.union(spark.createDataFrame([(i, f"one word of {i} " * 40000) for i in range(60, 70)], docs.schema))
+    assert quality.classify(long, lab, threshold=0.5).where("doc_id < 60 AND _predicted = doc_id % 2").count() == 60
+    for lengths, limit in (([], 5), ([0, 3, 9, 9], 15), ([5, 5], 100), ([7] * 10, 30), ([1 << 40, 2], 1000)):
+        c = quality.share(lengths, limit)
+        assert sum(min(n, c) for n in lengths) <= limit
+        assert c == max(lengths, default=0) or sum(min(n, c + 1) for n in lengths) > limit
+    assert len(quality.pieces(b"x" * 10000, 4096)) == 4096 and quality.pieces(b"abc", 2) == b"ab"
+
+
 def test_rule_counts_against_brute_force(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()] + list(enumerate(x for x in ODD[:7]))
     for _, t in rows:

@@ -12,7 +12,9 @@ logistic curve fitted on labelled documents that took no part in the
 dictionaries turns it into a probability.
 
 Dictionaries and curve come from a bounded sample of labelled rows: at most
-``per_class`` documents and ``class_bytes`` bytes per label.
+``per_class`` documents and ``class_bytes`` bytes per label.  If the documents
+have more bytes, no document is left out: the longest are represented by
+evenly spaced pieces, as many as fill the bound.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -112,6 +114,24 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, rid
     return float(a / scale), float(b)
 
 
+def share(lengths: list[int], limit: int) -> int:
+    """The largest length to which texts must be cut so that together they have at most ``limit`` bytes."""
+    left = limit
+    for i, n in enumerate(sorted(lengths)):
+        if n * (len(lengths) - i) > left:
+            return left // (len(lengths) - i)
+        left -= n
+    return max(lengths, default=0)
+
+
+def pieces(raw: bytes, limit: int) -> bytes:
+    """A text of at most ``limit`` bytes, or evenly spaced pieces of a longer one."""
+    if len(raw) <= limit:
+        return raw
+    size, n = min(PIECE, limit), max(1, limit // PIECE)
+    return b"".join(raw[i:i + size] for i in np.linspace(0, len(raw) - size, n).astype(int))
+
+
 def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, per_class: int = PER_CLASS,
         class_bytes: int = CLASS_BYTES) -> Model:
     """Dictionaries and curve from labelled documents (``labels.quality``).
@@ -119,10 +139,18 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, per_cla
     ``where`` restricts the label rows (column ``_id``).  Two thirds of the
     sample build the dictionaries, a third the curve."""
     rows = T.labelled_sample(docs, labels, "quality", per_class, where).dropDuplicates(["doc_id"])
-    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")   # at most per_class rows each
-    rows = rows.withColumn("_b", F.sum(F.octet_length("text")).over(order)).where(F.col("_b") <= class_bytes)
-    got = [(r[1].encode(), int(r[2] > 0), T.py_bucket(f"cut-{r[0]}", 3) != 0)
-           for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    rows = T.stored(rows, "quality-sample")
+    lengths: dict = {}
+    for y, n in rows.select("y", F.octet_length("text")).collect():     # at most per_class numbers each
+        lengths.setdefault(y, []).append(n)
+    limits = {y: share(n, class_bytes) for y, n in lengths.items()}
+
+    @F.arrow_udf("binary")
+    def cut(text: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([pieces(raw, limits[c]) for raw, c in zip(T.utf8(text), y.to_pylist(), strict=True)], pa.binary())
+
+    got = [(bytes(r[1]), int(r[2] > 0), T.py_bucket(f"cut-{r[0]}", 3) != 0)
+           for r in rows.select("doc_id", cut("text", "y"), "y").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
     good, bad = (_dictionary([t for t, y, d in got if d and y == k]) for k in (1, 0))
     sizes = Sizes(good, bad)
     held = [(sizes.difference(t), y) for t, y, d in got if not d]

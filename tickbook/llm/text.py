@@ -62,14 +62,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
                     where: Column | None = None) -> DataFrame:
     """Texts of at most ``per_class`` labelled documents per value of ``label``.
 
-    The ids are picked on the labels table by the smallest hash (the result
-    does not depend on partitioning), so the id list is bounded by
+    Only labels of ids that ``docs`` has are picked from, by the smallest hash
+    (the result does not depend on partitioning), so the id list is bounded by
     ``per_class`` times the number of classes and can be broadcast.  Columns:
     doc_id, text (NULL as empty), y."""
     lab = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")) \
                 .where(F.col("_id").isNotNull() & F.col("y").isNotNull())
     if where is not None:
         lab = lab.where(where)
+    lab = stored(lab.join(docs.select(F.col("doc_id").alias("_there")), F.col("_id") == F.col("_there"), "left_semi"),
+                 "present-labels")
     order = [F.xxhash64("_id", F.lit(label)), F.col("_id")]
     classes = sorted(r[0] for r in lab.select("y").distinct().limit(1000).collect())
     spark = docs.sparkSession
