@@ -452,6 +452,28 @@ def test_html_boilerplate_and_consensus(spark):
     assert got[7].text == "unclosed bold"
 
 
+def test_html_articles_in_several_containers(spark):
+    def p(name, n):
+        return f"<p>{name} " + "word " * (n // 5) + "</p>"
+
+    def page(parts, around):
+        return f"<body><nav>menu</nav>{around[0]}{''.join(parts)}{around[1]}<footer>foot</footer></body>"
+    two = ["<section>" + p("One", 2000) + "</section>", "<section>" + p("Two", 500) + "</section>"]
+    even = ["<section>" + p(n, 900) + "</section>" for n in ("One", "Two", "Three")]
+    divs = [f'<div class="part-{i}">' + p(n, 1500 - 400 * i) + "</div>" for i, n in enumerate(("One", "Two", "Three"))]
+    quote = [p("One", 300), "<blockquote>" + p("Two", 2000) + "</blockquote>", p("Three", 300)]
+    cell = [p("One", 300), "<table><tr><td>" + p("Two", 2000) + "</td></tr></table>", p("Three", 300)]
+    named = ['<section class="intro">' + p("One", 2000) + "</section>", '<section class="more">' + p("Two", 400) + "</section>"]
+    given = [("m.org", two, "main"), ("m.org", even, "main"), ("m.org", two, "main"), ("p.org", divs, ""), ("p.org", divs[:1], ""),
+             ("w.org", divs, "div"), ("s.org", two, ""), ("q.org", quote, "article"), ("b.org", quote, ""), ("c.org", cell, "article"),
+             ("d.org", cell, 'div class="x"'), ("n.org", named, "main")]
+    rows = [(i, f"http://{h}/", page(parts, (f"<{t}>", f"</{t.split()[0]}>") if t else ("", ""))) for i, (h, parts, t) in enumerate(given)]
+    got = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i, (_, parts, _) in enumerate(given):
+        want = "\n\n".join(" ".join(t.split()) for t in re.findall(r"<p>(.*?)</p>", "".join(parts)))
+        assert got[i].text == want, i
+
+
 # --- chat
 
 def test_chat_round_trip():

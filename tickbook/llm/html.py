@@ -3,10 +3,11 @@
 Every page is scanned into a light tree; blocks of text (paragraphs, list
 items, headings, table cells) score the containers around them by their length
 without links, lowered for class names of menus, adverts and the like.  The
-best container of a page votes for its generalised tag-class path (digits
-dropped, classes sorted).  Spark counts the votes per host, and every page is
-extracted again below its host's winning path; a page without that path keeps
-its own best container.
+best container of a page, or the one around it if it is only a part of an
+article, votes for its generalised tag-class path (digits dropped, classes
+sorted).  Spark counts the votes per host, and every page is extracted again
+below its host's winning path: all containers on that path, in page order.  A
+page without that path is extracted below its own.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ _GOOD = re.compile(r"article|content|main|post|story|entry|text|body", re.I)
 _HEADER = re.compile(r"(?:^|[-_ ])(?:header|masthead)(?:$|[-_ ])", re.I)
 _HEADING = re.compile(r"h[1-6]$")
 _KEEP = frozenset(("html", "body", "article", "main"))    # class names do not make these boilerplate
+_PART = frozenset("section td center blockquote".split())  # may be parts of what is around them
 _NOTHING, _ALL_BUT_HEADINGS, _ALL = 0, 1, 2               # what of an element is left out
 
 
@@ -73,6 +75,8 @@ class Page:
     def __init__(self, source: str):
         self.paths: list[str] = ["/body"]       # the root, with or without its tags
         self.parents: list[int] = [-1]
+        self.tags: list[str] = [""]
+        self.plain: list[float] = [0.0]         # characters outside links, at any depth
         self.scores: list[float] = [0.0]
         self.blocks: list[tuple[int, str]] = []
         self._stack = [_Open("", "/body", _NOTHING, 0)]
@@ -81,6 +85,11 @@ class Page:
         self._size = 0
         self._read(source)
         self._flush()
+        self.last = list(range(len(self.paths)))    # a container's inner ones follow it, up to this one
+        for i in range(len(self.paths) - 1, 0, -1):
+            up = self.parents[i]
+            self.plain[up] += self.plain[i]
+            self.last[up] = max(self.last[up], self.last[i])
 
     def _flush(self):
         text = " ".join(entities.unescape("".join(self._text)).split()) if self._text else ""
@@ -88,6 +97,7 @@ class Page:
             node = self._stack[-1].node
             self.blocks.append((node, text))
             plain = max(0.0, len(text) - 2.0 * self._link)
+            self.plain[node] += plain
             weight = min(plain, 2000.0) + (20.0 if plain > 80 else 0.0)
             share = 1.0
             while node >= 0 and share > 0.2:
@@ -133,6 +143,8 @@ class Page:
             node = len(self.paths)
             self.paths.append(path)
             self.parents.append(top.node)
+            self.tags.append(tag)
+            self.plain.append(0.0)
             self.scores.append(200.0 if tag in ("article", "main") or (names and _GOOD.search(names)) else 0.0)
         self._stack.append(_Open(tag, path, skip, node))
 
@@ -186,20 +198,54 @@ class Page:
             self._start(tag, raw)
 
     def best(self) -> int:
-        """The container with the highest score (the first of equals)."""
-        return max(range(len(self.paths)), key=lambda i: (self.scores[i], -i))
-
-    def text(self, node: int) -> str:
-        inside = {node}
-        for i in range(node + 1, len(self.paths)):
-            if self.parents[i] in inside:
-                inside.add(i)
+        """The container with the highest score (the first of equals), or the one
+        around it that holds the whole article."""
+        node = max(range(len(self.paths)), key=lambda i: (self.scores[i], -i))
+        while (up := self._whole(node)) != node:
+            node = up
+        return node
+
+    def _on(self, path: str | None) -> list[int]:
+        """The containers on ``path`` that hold text, in page order."""
+        return [i for i in range(len(self.paths)) if self.paths[i] == path and self.plain[i] > 0]
+
+    def _whole(self, node: int) -> int:
+        """The container of which ``node`` is only a part, or ``node``: the article
+        around it; for a section, cell or quotation also the main element, or
+        what is next around it and holds a paragraph more; for one of several
+        containers on a path, the one that holds them all, unless that is the
+        page (a cell's others may be another column of the layout)."""
+        if node <= 0:
+            return max(node, 0)
+        tag, around = self.tags[node], []
+        up = self.parents[node]
+        while up > 0:
+            around.append(up)
+            up = self.parents[up]
+        for i in around:
+            if self.tags[i] == "article" or (tag in _PART and self.tags[i] == "main"):
+                return i
+        same = self._on(self.paths[node])
+        if tag in _PART and (around or tag == "blockquote"):
+            up = self.parents[node]
+            if self.plain[up] - sum(self.plain[i] for i in same if up < i <= self.last[up]) > 80:
+                return up
+        if len(same) > 1 and tag != "td":
+            for i in around:
+                if i < same[0] and self.last[i] >= same[-1]:
+                    return i
+        return node
+
+    def text(self, nodes: list[int]) -> str:
+        inside: set[int] = set()
+        for i in nodes:
+            inside.update(range(i, self.last[i] + 1))
         return "\n\n".join(t for c, t in self.blocks if c in inside)
 
-    def at(self, path: str | None) -> int:
-        """The best container with ``path``, or the page's best one."""
-        same = [i for i in range(len(self.paths)) if self.paths[i] == path and self.scores[i] > 0]
-        return max(same, key=lambda i: (self.scores[i], -i)) if same else self.best()
+    def at(self, path: str | None) -> list[int]:
+        """All containers on ``path``, or on the path of the page's best one."""
+        best = None if (found := self._on(path)) else self.best()
+        return found or self._on(self.paths[best]) or [best]
 
 
 def votes(pages: DataFrame) -> DataFrame:
@@ -241,7 +287,7 @@ def extract(pages: DataFrame) -> DataFrame:
             for source, path in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 page = Page(source or "")
                 k = page.at(path)
-                paths.append(page.paths[k] if page.blocks else None)
+                paths.append(page.paths[k[0]] if page.blocks else None)
                 texts.append(page.text(k))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(paths, pa.string()), pa.array(texts, pa.string()),
