@@ -7,9 +7,9 @@ reads it back, so a lost executor never repeats more than one stage.
 
 Rows are dropped by what the operators decide and by nothing else: a NULL or
 empty text has no words and goes with the quality rules; a NULL doc_id is
-linked with nothing and stays; rows that repeat both id and text become one in
+linked with nothing in the near-duplicate stage; rows that repeat both id and text become one in
 the near-duplicate stage, rows that share only the id stay if one of them is
-kept; an empty table passes as an empty table.  Extra columns pass through
+kept; contamination is decided for each row by its own text; an empty table passes as an empty table.  Extra columns pass through
 whatever their names.
 """
 
@@ -67,7 +67,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which less than 5 % of the words lie in benchmark passages of 13 words."""
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), window=13, percent=5)
-    return _without(docs, found.where("contaminated").select(F.col("doc_id").alias("_gone")), "gone-contaminated")
+    gone = T.stored(found.where("contaminated").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct(),
+                    "gone-contaminated")
+    # per row: ids may be NULL or repeat with other texts
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_hash"]), "left_anti")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -617,6 +617,15 @@ def test_pipeline_stages_on_odd_rows(spark):
     check_packed(corpus_pipeline.best_fit_packing(spark, docs, SF001).collect())
 
 
+def test_pipeline_decontaminates_row_by_row(spark):
+    bad = max((r.text for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect() if r.text), key=len)
+    clean = "nothing of any test is said in here at all " * 3
+    rows = [(None, bad), (None, clean), (1, bad), (1, clean), (2, clean), (3, bad), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.benchmark_decontamination(spark, docs, SF001).collect()
+    assert sorted(map(str, left)) == sorted(str(r) for r in docs.collect() if r.text != bad)
+
+
 def test_registered():
     names = set(entry.queries())
     for n in range(1, 11):

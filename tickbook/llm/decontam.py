@@ -155,7 +155,7 @@ def _scan(docs: DataFrame, items: list[tuple[str, bytes]], window: int) -> DataF
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, percent: int = 5,
                   pass_bytes: int = 4 << 20) -> DataFrame:
-    """doc_id, n_words, n_hit, spans, items, contaminated for every row of ``docs``.
+    """doc_id, n_words, n_hit, spans, items, text_hash, contaminated for every row of ``docs``.
 
     ``spans``: (first, last) word positions covered by occurrences; ``items``:
     the benchmark items with occurring windows, as sorted strings.  A document
@@ -188,7 +188,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, perce
         one = parts[0].select(*key)
         same = [one[k].eqNullSafe(merged[k]) for k in key]
         found = one.join(merged, same[0] & same[1] & same[2], "left").select(
-            one["doc_id"], one["n_words"], "spans", "items")
+            one["doc_id"], one["n_words"], one["text_hash"], "spans", "items")
     # words under the union of the spans, in order of their first word
     cover = F.aggregate(
         F.array_sort("spans"), F.struct(F.lit(-1).cast("bigint").alias("upto"), F.lit(0).cast("bigint").alias("n")),
@@ -196,5 +196,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, perce
                               (a["n"] + F.greatest(F.lit(0).cast("bigint"), s["last"] - F.greatest(a["upto"], s["first"] - 1)))
                               .alias("n")), lambda a: a["n"])
     n_hit = cover.cast("bigint")
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items",
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items", "text_hash",
                         ((n_hit > 0) & (100 * n_hit >= percent * F.col("n_words"))).alias("contaminated"))
