@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, dedup, html, lm, packing, quality, rules, toxicity, urls
+from . import chat, decontam, dedup, divergence, html, lm, negatives, packing, quality, rules, toxicity, urls
 from . import text as T
 
 TOKENIZER = "word_bpe_49k.json"
@@ -86,6 +86,16 @@ def op10_lm_score(spark, sf_dir):
     return lm.score(docs, T.id_bucket("doc_id", 5) == 1)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    vec_id = F.col("vec_id")
+    relabel = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, relabel, k=5, low=80, high=100)
+
+
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -94,7 +104,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_url_filter, op3_best_fit_packing, op4_minhash_dedup, op5_html_extraction,
-    op6_chat_format, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_score, pipeline)}
+    op6_chat_format, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_score, op11_hard_negatives,
+    op13_source_divergence, pipeline)}
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -148,4 +159,52 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS
        CAST(coalesce(its.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op11_hard_negatives": """
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS s
+  FROM usable a JOIN usable b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT a, anchor_id, b AS p, vec_id AS positive_id, s AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, vec_id NULLS LAST, b) <= 5),
+ranked AS (
+  SELECT positives.*, n.vec_id AS negative_id, n.s AS negative_score,
+         row_number() OVER (PARTITION BY positives.a, p ORDER BY n.s DESC, n.vec_id NULLS LAST, n.b) AS k
+  FROM positives JOIN scored n ON n.a = positives.a AND NOT n.same
+   AND 80 * positive_score <= 100 * n.s AND 100 * n.s <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE k <= 5""",
+    "op13_source_divergence": rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+u AS MATERIALIZED (SELECT r, lang, source, t, count(*) AS n FROM (SELECT r, lang, source, unnest(ts) AS t FROM d) GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, t, CAST(sum(n) AS BIGINT) AS c FROM u GROUP BY lang, t HAVING count(*) >= 3),
+vs AS MATERIALIZED (SELECT lang, count(*) AS v, CAST(sum(c) AS BIGINT) AS total FROM kept GROUP BY lang),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+gc AS MATERIALIZED (SELECT lang, source, t, CAST(sum(n) AS BIGINT) AS c FROM u JOIN kept USING (lang, t) GROUP BY ALL),
+gn AS MATERIALIZED (SELECT lang, source, coalesce(sum(c), 0) AS total FROM g LEFT JOIN gc USING (lang, source) GROUP BY ALL),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, kept.t, coalesce(gc.c, 0) AS c,
+         CAST(1 + (1000000000 * (CAST(coalesce(gc.c, 0) AS HUGEINT) + 1)) // (gn.total + vs.v) AS BIGINT) AS p,
+         CAST(1 + (1000000000 * (CAST(kept.c AS HUGEINT) + 1)) // (vs.total + vs.v) AS BIGINT) AS q
+  FROM g JOIN kept USING (lang) JOIN vs USING (lang) JOIN gn USING (lang, source) LEFT JOIN gc USING (lang, source, t)),
+pv AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pv.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+term AS (
+  SELECT lang, source, 'term' AS part, t AS item, (p - q) * (p - q) // q AS value FROM p WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
