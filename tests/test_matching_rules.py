@@ -1,0 +1,181 @@
+"""The documented matching options against literal simulations."""
+
+import datetime as dt
+import heapq
+import random
+from decimal import Decimal
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF01
+from tickbook.operators import matching, matching_rules
+from tickbook.plans import jobs, oracle, registry
+from tickbook.sources import fixtures as fx
+
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = ("order_id long, customer_id long, symbol string, side string, quantity long, filled_quantity long, "
+          "price decimal(18,2), status string, created_at timestamp_ntz")
+
+
+def book(spark, rows):
+    """rows: (order_id, customer, symbol, side, quantity, price, second)."""
+    return spark.createDataFrame([(o, c, s, side, q, 0, None if p is None else Decimal(str(p)), "OPEN",
+                                   None if t is None else T0 + dt.timedelta(seconds=t)) for o, c, s, side, q, p, t in rows], SCHEMA)
+
+
+def simulate_time_rule(rows):
+    """Order by order, as they arrive; sells of a time come before its buys, for those never meet."""
+    trades, resting = [], {}
+    for o, c, s, side, q, p, t in sorted((r for r in rows if r[6] is not None and r[5] is not None), key=lambda r: (r[6], r[3] == "BUY", r[0])):
+        if side == "BUY":
+            resting.setdefault(s, []).append([p, t, o, c, q])
+            continue
+        while q:
+            able = [b for b in resting.get(s, []) if b[4] and b[0] >= p]
+            if not able:
+                break
+            best = min(able, key=lambda b: (-b[0], b[1], b[2]))
+            n = min(q, best[4])
+            best[4] -= n
+            q -= n
+            trades.append((best[2], o, best[3], c, s, n, Decimal(str(p))))
+    return trades
+
+
+def as_rows(df):
+    return [(r.buy_order_id, r.sell_order_id, r.buyer_id, r.seller_id, r.symbol, r.quantity, r.trade_price)
+            for r in df.orderBy("trade_id").collect()]
+
+
+def random_book(seed, n, symbols=("X",)):
+    rng = random.Random(seed)
+    return [(i, rng.randint(1, 12), rng.choice(symbols), rng.choice(["BUY", "SELL"]), rng.randint(1, 40), rng.randint(90, 110),
+             rng.randint(0, n // 2)) for i in range(1, n + 1)]
+
+
+def test_time_rule_small_cases(spark):
+    rows = [(1, 1, "A", "SELL", 10, 9, 0), (2, 2, "A", "BUY", 10, 10, 1),       # the sell came first
+            (3, 1, "B", "BUY", 10, 10, 5), (4, 2, "B", "SELL", 10, 9, 5),       # at one time
+            (5, 1, "C", "BUY", 10, 10, 1), (6, 2, "C", "BUY", 10, 11, 2), (7, 3, "C", "SELL", 15, 9, 3),
+            (8, 1, "D", "BUY", 10, 10, None), (9, 2, "D", "SELL", 10, 9, 4)]    # a buy without a time
+    got = as_rows(matching_rules.match_time_rule(book(spark, rows)))
+    assert got == [(6, 7, 2, 3, "C", 10, Decimal("9.00")), (5, 7, 1, 3, "C", 5, Decimal("9.00"))]
+    assert as_rows(matching_rules.match_time_rule(book(spark, []))) == []
+
+
+@pytest.mark.parametrize("cell", [1_000_000, 60, 17, 5])
+def test_time_rule_equals_simulation_in_one_cell_and_in_many(spark, cell):
+    rows = random_book(cell, 240, "XXXY")
+    spark.conf.set(matching_rules.CELL_ROWS_CONF, str(cell))
+    try:
+        got = as_rows(matching_rules.match_time_rule(book(spark, rows)))
+    finally:
+        spark.conf.unset(matching_rules.CELL_ROWS_CONF)
+    want = simulate_time_rule(rows)
+    assert sorted(got) == sorted(want) and len(want) > 50
+    for s in "XY":       # trades are numbered by symbol and arrival
+        assert [t for t in got if t[4] == s] == [t for t in want if t[4] == s]
+
+
+def test_time_rule_over_the_whole_fixture(spark):
+    """The registered query against a plain loop with one heap per symbol."""
+    con = duckdb.connect()
+    for t in ("lineitem", "orders", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
+    rows = con.execute(oracle.w(oracle.BOOK, oracle.OPEN) + """
+        SELECT order_id, customer_id, symbol, side, CAST(open_qty AS BIGINT), price, epoch_us(created_at) FROM open_orders
+        ORDER BY created_at, side = 'BUY', order_id""").fetchall()
+    heaps, want = {}, []
+    for o, c, s, side, q, p, t in rows:
+        heap = heaps.setdefault(s, [])
+        if side == "BUY":
+            heapq.heappush(heap, [-p, t, o, c, q])
+            continue
+        while q and heap and -heap[0][0] >= p:
+            top = heap[0]
+            n = min(q, top[4])
+            want.append((top[2], o, top[3], c, s, n, p))
+            q -= n
+            top[4] -= n
+            if not top[4]:
+                heapq.heappop(heap)
+    got = as_rows(registry.QUERIES["match_time_rule"](spark, SF01))
+    assert len(want) > 1000 and sorted(got) == sorted(want)
+
+
+def simulate_no_self(rows):
+    """Sweep, cancel the later order of every self-pair, again until there is none."""
+    alive = {r[0]: r for r in rows}
+    cancelled = []
+    while True:
+        trades, own = [], set()
+        for s in {r[2] for r in alive.values()}:
+            buys = sorted(([-r[5], r[6], r[0], r[1], r[4]] for r in alive.values() if r[2] == s and r[3] == "BUY"))
+            sells = sorted(([r[5], r[6], r[0], r[1], r[4]] for r in alive.values() if r[2] == s and r[3] == "SELL"))
+            while buys and sells and -buys[0][0] >= sells[0][0]:
+                b, a = buys[0], sells[0]
+                n = min(b[4], a[4])
+                trades.append((b[2], a[2], b[3], a[3], s, n, Decimal(str(a[0]))))
+                if b[3] == a[3]:
+                    own.add(max((b[1], b[2]), (a[1], a[2]))[1])
+                for side, x in ((buys, b), (sells, a)):
+                    x[4] -= n
+                    if not x[4]:
+                        side.pop(0)
+        if not own:
+            return trades, cancelled
+        cancelled += own
+        for o in own:
+            del alive[o]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_no_self_equals_simulation(spark, seed):
+    rows = random_book(seed, 150, "XYZ")
+    want, cancelled = simulate_no_self(rows)
+    b = book(spark, rows)
+    got = as_rows(matching_rules.match_no_self(b))
+    assert sorted(got) == sorted(want)
+    assert len(cancelled) > 3 and all(t[2] != t[3] for t in got)
+    assert sorted(r.order_id for r in matching_rules.self_trade_cancels(b).collect()) == sorted(cancelled)
+
+
+def test_no_self_without_self_pairs_is_the_plain_match(spark):
+    rows = [(o, o, s, side, q, p, t) for o, _, s, side, q, p, t in random_book(9, 120, "XY")]
+    b = book(spark, rows)
+    assert as_rows(matching_rules.match_no_self(b)) == as_rows(matching.match_price_time(b))
+    assert matching_rules.self_trade_cancels(b).isEmpty()
+
+
+def test_orders_without_a_customer_are_nobodys_own(spark):
+    rows = [(1, None, "A", "BUY", 5, 10, 0), (2, None, "A", "SELL", 5, 9, 1), (3, 7, "B", "BUY", 5, 10, 1), (4, 7, "B", "SELL", 5, 9, 0)]
+    got = as_rows(matching_rules.match_no_self(book(spark, rows)))
+    assert [(t[0], t[1]) for t in got] == [(1, 2)]
+    assert [r.order_id for r in matching_rules.self_trade_cancels(book(spark, rows)).collect()] == [3]
+
+
+def test_match_book_modes_and_clock(spark):
+    rows = [(1, 7, "A", "BUY", 5, 10, 0), (2, 7, "A", "SELL", 5, 9, 1), (3, 8, "A", "SELL", 5, 10, 2)]
+    b = book(spark, rows)
+    when = dt.datetime(2024, 2, 3, 4, 5, 6)
+    seen = {}
+    for mode in jobs.MATCH_MODES:
+        paths = jobs.match_book(spark, b, mode=mode, as_of=when)
+        t = spark.read.parquet(paths["trades"])
+        assert {r.trade_time for r in t.collect()} == {when}
+        seen[mode] = (sorted((r.buy_order_id, r.sell_order_id) for r in t.collect()),
+                      {r.order_id: r.status for r in spark.read.parquet(paths["orders"]).collect()})
+    assert seen["price_time"] == ([(1, 2)], {1: "FILLED", 2: "FILLED", 3: "OPEN"})
+    assert seen["time_rule"] == seen["price_time"]
+    assert seen["no_self"] == ([(1, 3)], {1: "FILLED", 2: "CANCELLED", 3: "FILLED"})
+    with pytest.raises(ValueError):
+        jobs.match_book(spark, b, mode="other")
+
+
+def test_no_self_sweeps_only_touched_symbols_again(spark):
+    rounds = matching_rules.self_trade_rounds(fx.book(spark, SF01))
+    cancelled = rounds[1].groupBy("round").agg(F.countDistinct("symbol").alias("n")).orderBy("round").collect()
+    symbols = [r.n for r in cancelled]
+    assert symbols == sorted(symbols, reverse=True) and 2 <= len(symbols) < oracle.NO_SELF_ROUNDS

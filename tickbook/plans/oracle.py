@@ -85,6 +85,27 @@ mx AS (SELECT mb.symbol, mb.order_id AS buy_order_id, ms.order_id AS sell_order_
 matched AS (SELECT row_number() OVER (ORDER BY symbol, pos) AS trade_id, buy_order_id, sell_order_id,
                    buyer_id, seller_id, symbol, CAST(quantity AS BIGINT) AS quantity, trade_price FROM mx)"""
 
+# price-time match without self-trades: the later order of each self-pair leaves the book, and
+# the match is repeated; the rounds are written out (one more than the given tables need at any size tried)
+NO_SELF_ROUNDS = 6
+
+
+def _no_self() -> str:
+    book = OPEN.replace("open_orders AS (", "open0 AS MATERIALIZED (")
+    out = [book]
+    for i in range(NO_SELF_ROUNDS):
+        step = MATCH.removeprefix(OPEN + ",\n").replace("open_orders", f"open{i}")
+        for name in ("matched", "mb", "ms", "mx"):
+            step = re.sub(rf"\b{name}\b", f"{name}{i}", step)
+        out.append(re.sub(rf"\b(m[bsx]{i}|matched{i}) AS \(", r"\1 AS MATERIALIZED (", step))
+        out.append(f"""own{i} AS MATERIALIZED (
+  SELECT DISTINCT m.symbol, CASE WHEN (b.created_at, b.order_id) > (s.created_at, s.order_id) THEN b.order_id ELSE s.order_id END AS order_id
+  FROM mx{i} m JOIN open{i} b ON b.order_id = m.buy_order_id JOIN open{i} s ON s.order_id = m.sell_order_id
+  WHERE m.buyer_id = m.seller_id),
+open{i + 1} AS MATERIALIZED (SELECT * FROM open{i} o WHERE NOT EXISTS (SELECT 1 FROM own{i} c WHERE c.order_id = o.order_id))""")
+    return ",\n".join(out)
+
+
 # holdings fold as a recursive CTE over the legs of each (customer, symbol)
 HOLDINGS = """legs AS (
   SELECT buyer_id AS customer_id, symbol, trade_id, 0 AS leg, quantity AS qty,
@@ -224,6 +245,11 @@ WINDOW w AS (PARTITION BY symbol, side ORDER BY CASE WHEN side = 'BUY' THEN -pri
 
 SQL["match_price_time"] = w(BOOK, MATCH) + "SELECT * FROM matched"
 
+SQL["match_no_self"] = w(BOOK, _no_self()) + f"SELECT * FROM matched{NO_SELF_ROUNDS - 1}"
+
+SQL["self_trade_cancels"] = w(BOOK, _no_self()) + " UNION ALL ".join(
+    f"SELECT order_id, symbol FROM own{i}" for i in range(NO_SELF_ROUNDS))
+
 SQL["match_best_buy"] = w(BOOK, OPEN) + """,
 best AS (SELECT * FROM open_orders WHERE side = 'BUY'
          QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY price DESC, created_at, order_id) = 1)
@@ -446,8 +472,17 @@ SQL["risk_upsert"] = SQL["risk_daily"]
 
 SQL["top_traded_top5"] = SQL["top_traded"] + "\nLIMIT 5"
 
-SQL["outbox_after_publish"] = w(OUTBOX, "sent AS (SELECT event_id FROM pending ORDER BY created_ts, event_id LIMIT 100)") + """
-SELECT event_id, event_type FROM pending WHERE event_id NOT IN (SELECT event_id FROM sent)"""
+_PENDING = OUTBOX + """,
+waiting AS MATERIALIZED (SELECT event_id, event_type, created_ts FROM pending),
+sent AS MATERIALIZED (SELECT event_id FROM waiting ORDER BY created_ts, event_id LIMIT {n})"""
+
+SQL["outbox_after_publish"] = w(_PENDING.replace("{n}", "100")) + """
+SELECT event_id, event_type FROM waiting
+WHERE NOT EXISTS (SELECT 1 FROM sent WHERE sent.event_id = waiting.event_id)"""
+
+SQL["outbox_polls"] = w(_PENDING.replace("{n}", "400")) + """
+SELECT event_id, CAST(CASE WHEN EXISTS (SELECT 1 FROM sent WHERE sent.event_id = waiting.event_id) THEN 1 ELSE 0 END AS BIGINT) AS times_sent
+FROM waiting"""
 
 SQL["outbox_rejects"] = w(OUTBOX) + """
 SELECT event_id, substr(payload, 1, instr(payload, '"side"') - 1) AS payload, 'payload' AS reason

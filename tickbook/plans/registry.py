@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import as_date, date_parts
 from ..operators import bars as bars_op
 from ..operators import holdings as holdings_op
-from ..operators import matching, reports, risk, settlement
+from ..operators import matching, matching_rules, reports, risk, settlement
 from ..operators.upsert import upsert
 from ..session import scratch_path
 from ..sources import fixtures as fx
@@ -218,6 +218,23 @@ def q_match_best_buy(spark, sf_dir):
     return matching.match_best_buy(fx.book(spark, sf_dir))
 
 
+@query("match_time_rule")
+def q_match_time_rule(spark, sf_dir):
+    """The documented rule: a buy trades only with sells that came after it.  No SQL: the book
+    that a sell meets is what all sells before it left."""
+    return matching_rules.match_time_rule(fx.book(spark, sf_dir))
+
+
+@query("match_no_self")
+def q_match_no_self(spark, sf_dir):
+    return matching_rules.match_no_self(fx.book(spark, sf_dir))
+
+
+@query("self_trade_cancels")
+def q_self_trade_cancels(spark, sf_dir):
+    return matching_rules.self_trade_cancels(fx.book(spark, sf_dir)).select("order_id", "symbol")
+
+
 @query("orders_after_match")
 def q_orders_after_match(spark, sf_dir):
     b = fx.book(spark, sf_dir)
@@ -491,11 +508,28 @@ def q_outbox_routed(spark, sf_dir):
 @query("outbox_after_publish")
 def q_outbox_after_publish(spark, sf_dir):
     """One poll of the publisher, then what is still pending by the dispatched ledger."""
-    from ..operators import outbox
+    from ..operators import dispatch, outbox
     box = fx.outbox(spark, sf_dir)
     sink, ledger = scratch_path(spark, "topics"), scratch_path(spark, "dispatched")
     outbox.publish(spark, outbox.next_batch(box), sink, ledger)
-    return outbox.pending(box, spark.read.parquet(ledger)).select("event_id", "event_type")
+    return outbox.pending(box, dispatch.read(spark, ledger)).select("event_id", "event_type")
+
+
+POLLS = 4
+
+
+@query("outbox_polls")
+def q_outbox_polls(spark, sf_dir):
+    """Several polls, each on the ledger that the one before compacted, over an outbox table on
+    disk: what is still pending, and nothing published twice."""
+    from ..operators import dispatch, outbox
+    box = _materialise(spark, fx.outbox(spark, sf_dir), "outbox-table")
+    sink, ledger = scratch_path(spark, "topics"), scratch_path(spark, "dispatched")
+    for _ in range(POLLS):
+        outbox.poll(spark, box, sink, ledger)
+    sent = spark.read.parquet(sink).groupBy("event_id").count().select("event_id", F.col("count").alias("times_sent"))
+    rest = outbox.pending(box, dispatch.read(spark, ledger)).select("event_id", F.lit(0).cast("bigint").alias("times_sent"))
+    return sent.unionByName(rest)
 
 
 @query("outbox_rejects")
@@ -641,8 +675,8 @@ def q_holdings_from_snapshot(spark, sf_dir):
 def q_order_flow_two_runs(spark, sf_dir):
     """Intake, match and publish, twice: the later half of the requests comes with run 2,
     on top of the orders, trades and events of run 1.  Returns what was published."""
+    from ..operators import dispatch
     from ..operators import outbox as outbox_op
-    from ..session import path_exists
     from . import jobs
     requests = fx.order_requests(spark, sf_dir)
     half = requests.agg(F.floor(F.max("request_seq") / 2)).first()[0] or 0
@@ -658,8 +692,7 @@ def q_order_flow_two_runs(spark, sf_dir):
         done = jobs.match_book(spark, orders, holdings, trades_table=trades, outbox=box)
         orders, holdings = spark.read.parquet(done["orders"]), spark.read.parquet(done["holdings"])
         trades, box = add(trades, done["trades"]), add(box, done["events"])
-        sent = spark.read.parquet(ledger) if path_exists(spark, ledger) else None
-        outbox_op.publish(spark, outbox_op.pending(box, sent), sink, ledger)
+        outbox_op.publish(spark, outbox_op.pending(box, dispatch.read(spark, ledger)), sink, ledger)
     return spark.read.parquet(sink).select("event_id", "topic", "key", "value")
 
 

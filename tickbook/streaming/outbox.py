@@ -14,8 +14,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..operators.outbox import pending, readable, route
+from ..operators import dispatch
+from ..operators.outbox import pending, routable, route
 
 
 def publish_batches(sink_dir: str, ledger_dir: str, rejects_dir: str | None = None, kafka_servers: str | None = None):
@@ -24,13 +26,14 @@ def publish_batches(sink_dir: str, ledger_dir: str, rejects_dir: str | None = No
     With ``kafka_servers`` the sink is Kafka (needs the connector; a replay
     then sends the batch again, at least once)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        from ..session import path_exists as _exists
+        from ..session import path_exists as _exists, scratch_path
         spark = batch.sparkSession
-        events = pending(batch)
+        path = scratch_path(spark, "publish-stream")
+        pending(batch).withColumn("_ok", routable()).write.parquet(path)      # the batch is computed once
+        events = spark.read.parquet(path)
         if events.isEmpty():
             return
-        good, bad = readable(events)
-        routed = route(good)
+        routed = route(events.where("_ok"))
         target = os.path.join(sink_dir, f"batch={batch_id}")
         if kafka_servers:
             (routed.select("topic", "key", "value").write.format("kafka")
@@ -38,8 +41,9 @@ def publish_batches(sink_dir: str, ledger_dir: str, rejects_dir: str | None = No
         elif not _exists(spark, os.path.join(target, "_SUCCESS")):
             routed.write.mode("overwrite").partitionBy("topic").parquet(target)
         if rejects_dir:
-            bad.write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={batch_id}"))
-        events.select("event_id").write.mode("overwrite").parquet(os.path.join(ledger_dir, f"batch={batch_id}"))
+            (events.where("NOT _ok").drop("_ok").withColumn("reason", F.lit("payload"))
+                   .write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={batch_id}")))
+        dispatch.record(events, ledger_dir, batch_id)
     return write
 
 
