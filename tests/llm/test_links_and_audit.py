@@ -1,0 +1,275 @@
+"""Hard negatives, the signature-tree join and the source divergence audit, against brute force."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import spark  # noqa: F401
+from tickbook.llm import divergence, negatives, queries, treejoin
+from tickbook.llm import text as T
+
+
+# --- hard negatives
+
+def plain_negatives(rows, k=5, low=80, high=100):
+    """rows: (vec_id, label, vector); every row scored against every anchor."""
+    use = [(i, v, lab, [math.floor(256 * x) for x in vec]) for i, (v, lab, vec) in enumerate(rows)
+           if lab is not None and vec is not None and all(x is not None and math.isfinite(x) for x in vec)]
+    use = [(i, v, (lab + 1) % 10 if v is not None and v % 7 == 0 else lab, q) for i, v, lab, q in use]
+    out = []
+    for i, v, lab, q in use:
+        if v is None or v % 100:
+            continue
+        scored = sorted(((-sum(a * b for a, b in zip(q, q2)), v2 is None, v2 or 0, j, lab2) for j, v2, lab2, q2 in use if j != i))
+        positives = [s for s in scored if s[4] == lab][:k]
+        for p in positives:
+            fit = [s for s in scored if s[4] != lab and low * -p[0] <= 100 * -s[0] <= high * -p[0]][:k]
+            out += [(v, None if p[1] else p[2], r + 1, None if s[1] else s[2], -p[0], -s[0]) for r, s in enumerate(fit)]
+    return Counter(out)
+
+
+def mined(spark, rows):
+    df = spark.createDataFrame([(v, [None if x is None else float(x) for x in vec] if vec is not None else None, lab, "x", 1)
+                                for v, lab, vec in rows],
+                               "vec_id bigint, embedding array<float>, label int, rank string, _row int")
+    v = F.col("vec_id")
+    relabel = F.when(v % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return Counter(tuple(r) for r in negatives.mine(df, v % 100 == 0, relabel).collect())
+
+
+def vectors(seed, n, dims, coarse):
+    rng = random.Random(seed)
+    return [(i, rng.randrange(3), [rng.randrange(-coarse, coarse + 1) / 64 for _ in range(dims)]) for i in range(n)]
+
+
+def test_hard_negatives_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(negatives, "CHUNK_ANCHORS", 2)
+    rows = vectors(1, 620, 6, 20) + vectors(2, 40, 6, 2)          # repeated ids, many ties
+    assert mined(spark, rows) == plain_negatives(rows)
+
+
+def test_hard_negatives_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    base = vectors(3, 130, 4, 3)
+    odd = [(200, 1, [0, 0, 0, 0]), (300, 2, []), (None, 0, [.1, .1, .1, .1]), (400, 1, [.5, .25]), (7, None, [1, 1, 1, 1]),
+           (500, 1, None), (600, 1, [.1, None, 0, 0]), (700, 1, [nan, 0, 0, 0]), (800, 1, [inf, 0, 0, 0]), base[100], base[100],
+           (900, 9, [1, 1, 1, 1])]
+    rows = base + odd
+    assert mined(spark, rows) == plain_negatives(rows)
+    assert mined(spark, []) == Counter()
+    assert mined(spark, [(100, 1, [1.0, 2.0])]) == Counter()
+
+
+def test_threshold_stops_early_and_only_when_it_may():
+    rng = np.random.default_rng(0)
+    q = rng.integers(-300, 300, (5000, 3))
+    q[:4000] //= 50
+    lists = negatives.Lists(q, np.arange(5000), np.zeros(5000, np.int64))
+    anchor = np.array([200, -150, 0])
+    at, = lists.search(anchor, np.ones(5000, bool), [(-10 ** 18, 10 ** 18)], 5)
+    s = q @ anchor
+    assert at.tolist() == np.lexsort((np.arange(5000), -s))[:5].tolist()
+    assert lists.read < 2500                                     # most rows were never scored
+    lists.read = 0
+    inside, empty = lists.search(anchor, np.ones(5000, bool), [(20000, 30000), (10 ** 9, 10 ** 9 + 5)], 5)
+    good = np.flatnonzero((s >= 20000) & (s <= 30000))
+    assert inside.tolist() == good[np.lexsort((good, -s[good]))][:5].tolist() and not len(empty)
+    ties = negatives.Lists(np.tile([[4, -4]], (700, 1)), np.arange(700)[::-1].copy(), np.zeros(700, np.int64))
+    at, = ties.search(np.array([1, -1]), np.ones(700, bool), [(-10, 10)], 5)
+    assert at.tolist() == [699, 698, 697, 696, 695]              # equal scores: smaller ids come first
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    rows = [(100, 0, [60000.0] * 3), (1, 0, [59999.99609375] * 3), (2, 1, [59999.9921875] * 3), (3, 1, [1e30, 0, 0])]
+    got = mined(spark, rows)
+    assert len(got) == 1
+    (anchor, positive, rank, negative, ps, ns), = got
+    assert (anchor, positive, rank, negative) == (100, 1, 1, 2)
+    assert ps == 3 * 15360000 * 15359999 and ns == 3 * 15360000 * 15359998
+
+
+# --- signature trees
+
+def plain_sets(texts, k):
+    out = []
+    for t in texts:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+        out.append({tuple(w)} if 0 < len(w) < k else {tuple(w[i:i + k]) for i in range(len(w) - k + 1)})
+    return out
+
+
+def plain_components(rows, k, percent):
+    """(doc_id, n, component) by all pairs; rows are documents of their own."""
+    sets = plain_sets([t for _, t in rows], k)
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                root[find(i)] = find(j)
+    names = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        names[find(i)].append(d)
+    smallest = {r: min((d for d in ds if d is not None), default=None) for r, ds in names.items()}
+    return Counter((d, len(sets[i]), smallest[find(i)] if sets[i] else d) for i, (d, _) in enumerate(rows))
+
+
+def joined(spark, rows, k, percent):
+    df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id bigint, text string, comp string, n int")
+    return Counter(tuple(r) for r in treejoin.similar_documents(df, k, percent).collect())
+
+
+def corpus(seed, n):
+    """Near copies at all distances, shared passages, copies, chains."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = rng.choices(vocabulary, k=30)
+    rows, texts = [], []
+    for i in range(n):
+        kind = rng.random()
+        if texts and kind < .6:
+            w = list(texts[rng.randrange(len(texts))] if kind < .4 else texts[-1])
+            for _ in range(rng.randrange(0, 5)):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        else:
+            w = rng.choices(vocabulary, k=rng.choice([2, 3, 6, 20, 60, 150]))
+            if kind > .85:
+                w = w[:10] + passage + w[10:]
+        texts.append(w)
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("hot, most, block, segment", [(64, 1 << 17, 1024, 4096), (3, 1 << 17, 8, 16), (1, 4, 16, 64)])
+def test_tree_join_equals_all_pairs(spark, monkeypatch, hot, most, block, segment):
+    monkeypatch.setattr(treejoin, "HOT", hot)                   # every plan: hot shingles last, blocks, whole texts read again
+    monkeypatch.setattr(treejoin, "MOST_HOT", most)
+    monkeypatch.setattr(treejoin, "BLOCK", block)
+    monkeypatch.setattr(treejoin, "SEGMENT_ROWS", segment)
+    rows = corpus(hot, 260)
+    assert joined(spark, rows, 4, 85) == plain_components(rows, 4, 85)
+
+
+def test_tree_join_odd_rows(spark):
+    odd = ["", "   \n\t ", "a", None, "Same Text here with words " * 8, "same text here with words " * 8, "é" * 5000,
+           ("long words " * 3 + "x" * 50 + " ") * 4000, "ÀB ß\x00\x0b\x85 z", "one two three", "One two THREE"]
+    rows = list(enumerate(odd)) + [(None, odd[4] + " tail"), (4, "same id, other text of some length"), (4, odd[4]), (None, None), (None, "alone and without an id")]
+    assert joined(spark, rows, 4, 85) == plain_components(rows, 4, 85)
+    assert joined(spark, [], 4, 85) == Counter()
+
+
+def test_a_document_without_id_still_links_others(spark):
+    w = [f"x{i}" for i in range(60)]
+    middle, left, right = list(w), list(w), list(w)
+    left[5], right[50] = "a", "b"
+    rows = [(8, " ".join(left)), (None, " ".join(middle)), (3, " ".join(right))]
+    assert joined(spark, rows, 4, 85) == plain_components(rows, 4, 85)
+
+
+def test_bounds_never_drop_a_link():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 3000).astype(np.uint64)
+    sets = []
+    for _ in range(160):
+        s = set(base[:rng.integers(20, 40)].tolist()) if rng.random() < .5 else set(rng.choice(base, rng.integers(5, 300)).tolist())
+        for _ in range(rng.integers(0, 6)):
+            s.add(int(rng.integers(0, 1 << 62)))
+        sets.append(np.array(sorted(s), np.uint64))
+    rows = {"seg": np.ones(160, np.int64), "side": np.zeros(160, np.int64), "whole": np.ones(160, bool), "cid": np.arange(160),
+            "n": np.array([len(s) for s in sets]), "first": np.array([s[0] for s in sets]).view(np.int64),
+            "comp": np.full(160, -1), "sig": [treejoin.bitmap(s) for s in sets]}
+    got = set(zip(*(x.tolist() for x in treejoin.candidates(rows, 85, False))))
+    links = {(i, j) for j in range(160) for i in range(j)
+             if 100 * len(x := np.intersect1d(sets[i], sets[j])) >= 85 * (len(sets[i]) + len(sets[j]) - len(x))}
+    assert len(links) > 20 and links <= got
+    assert len(got) < 2 * len(links) + 200                       # and most other pairs are pruned
+    halves = dict(rows, whole=np.zeros(160, bool), side=(np.arange(160) % 2))
+    across = {(i, j) for i, j in links if (i + j) % 2}
+    assert across <= set(zip(*(x.tolist() for x in treejoin.candidates(halves, 85, False))))
+
+
+# --- source divergence
+
+def plain_audit(rows, top=200, min_docs=3):
+    """rows: (text, lang, source); exact integers throughout."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = [(lang, source, re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.translate(low))) for t, lang, source in rows]
+    out = []
+    for lang in {r[0] for r in found}:
+        df = Counter(t for x, _, ts in found if x == lang for t in set(ts))
+        kept = [t for t, n in df.items() if n >= min_docs]
+        counts = defaultdict(Counter)
+        for x, source, ts in found:
+            if x == lang:
+                counts[source].update(t for t in ts if df[t] >= min_docs)
+        whole = sum(counts.values(), Counter())
+
+        def prices(c):
+            total = sum(c.values())
+            return {t: 1 + 10 ** 9 * (c[t] + 1) // (total + len(kept)) for t in kept}
+
+        p = {s: prices(c) for s, c in counts.items()}
+        q = prices(whole)
+        for s in p:
+            pairs = sorted((-sum((p[s][t] - p[o][t]) ** 2 // p[o][t] for t in kept), o.encode()) for o in p if o != s)
+            terms = sorted((-((p[s][t] - q[t]) ** 2 // q[t]), t.encode()) for t in kept if counts[s][t] and p[s][t] > q[t])[:top]
+            out += [(lang, s, "pair", o.decode(), -v, i + 1) for i, (v, o) in enumerate(pairs)]
+            out += [(lang, s, "term", t.decode(), -v, i + 1) for i, (v, t) in enumerate(terms)]
+    return Counter(out)
+
+
+def audited(spark, rows):
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "text string, lang string, source string, term string, n int")
+    return Counter(tuple(r) for r in divergence.audit(df).collect())
+
+
+def test_audit_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "SHARD", 7)
+    monkeypatch.setattr(divergence, "HELD", 20)
+    monkeypatch.setattr(divergence, "TEXT_BLOCK", 50)
+    rng = random.Random(4)
+    vocabulary = ["Apple", "pear", "é", "ÉA", "zoo", "don't", "x1y", "ß", "東京", "Z"] + [f"t{chr(97 + i)}" for i in range(20)]
+    rows = [(" ".join(rng.choices(vocabulary[rng.randrange(5):], k=rng.randrange(0, 40))), rng.choice(["en", "de", None]),
+             rng.choice(["s1", "s2", "s3", "", None, "é"])) for _ in range(150)]
+    rows += [(None, "en", "empty"), ("only once here", "fr", "a"), ("", "fr", "b"), (None, None, None), ("12 34 ...", "xx", "n")]
+    assert audited(spark, rows) == plain_audit(rows)
+
+
+def test_audit_edges(spark):
+    assert audited(spark, []) == Counter()
+    rows = [("word " * 200000 + "other", "en", "a"), ("word", "en", "b"), ("word other", "en", "b"), ("other", "en", "c")] * 2
+    assert audited(spark, rows) == plain_audit(rows)
+
+
+def test_large_counts_are_priced_exactly():
+    c = np.array([0, 5, 10 ** 10, 9 * 10 ** 15])
+    total = int(c.sum())
+    assert divergence.price(c, total, 4).tolist() == [1 + 10 ** 9 * (int(x) + 1) // (total + 4) for x in c]
+
+
+def test_gallop_finds_all_common_values():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2000, rng.integers(0, 400)))
+        b = np.unique(rng.integers(rng.integers(0, 1500), 2000, rng.integers(0, 900)))
+        x, y = divergence.gallop(a, b, step=int(rng.integers(1, 70)))
+        assert a[x].tolist() == b[y].tolist() == np.intersect1d(a, b).tolist()
+
+
+def test_registered(spark):
+    for name in ("op11_hard_negatives", "op12_jaccard_join", "op13_source_divergence"):
+        assert name in queries.QUERIES and name in queries.SQL
+    assert T.BATCH_ROWS

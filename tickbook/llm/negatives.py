@@ -180,29 +180,28 @@ def _negatives(chunk: pa.Table, block: pa.Table, k: int, low: int, high: int) ->
     return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
 
-def _meet(rows: DataFrame, anchors: DataFrame, keys: list[str], task, schema: str) -> DataFrame:
-    """``task`` over every (chunk of anchors, block of rows) with equal ``keys``."""
-    block, chunk = F.lit(BLOCK_ROWS), F.lit(CHUNK_ANCHORS)
-    n = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
-                                                                      F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
-    m = anchors.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")).select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(keys)],
-                                                                         F.ceil(F.col("_m") / chunk).cast("int").alias("_chunks"))
-    same = F.lit(True)
-    for i in range(len(keys)):
-        same = same & (F.col(f"_k{i}") == F.col(f"_j{i}"))
-    dealt = T.stored(n.join(m, same), "negatives-blocks")      # one row per key
-
-    def sent(df: DataFrame, own: str, count: str, other: str, others: str) -> DataFrame:
-        at = F.lit(True)
-        for i, c in enumerate(keys):
-            at = at & (F.col(c) == F.col(f"_k{i}"))
-        return (df.join(dealt, at).withColumn(own, F.pmod(F.xxhash64("_row"), F.col(count)).cast("int"))
-                  .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
-                  .select(*df.columns, "_block", "_chunk"))
-
-    left = sent(anchors, "_chunk", "_chunks", "_block", "_blocks")
-    right = sent(rows, "_block", "_blocks", "_chunk", "_chunks")
-    by = [*keys, "_block", "_chunk"]
+def _meet(rows: DataFrame, anchors: DataFrame, key: str | None, task, schema: str) -> DataFrame:
+    """``task`` over every chunk of anchors and block of rows (of one value of ``key``, if given)."""
+    by = [*([key] if key else []), "_block", "_chunk"]
+
+    parts = {"_blocks": (rows, BLOCK_ROWS), "_chunks": (anchors, CHUNK_ANCHORS)}
+    if key is None:
+        n = {c: max(1, -(-df.count() // size)) for c, (df, size) in parts.items()}
+        blocks, chunks = F.lit(n["_blocks"]).cast("int"), F.lit(n["_chunks"]).cast("int")
+    else:
+        dealt = None                                               # one row per key that both sides have
+        for c, (df, size) in parts.items():
+            n = df.groupBy(F.col(key).alias("_key" + c)).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(c))
+            dealt = n if dealt is None else dealt.join(n, F.col("_key_blocks") == F.col("_key" + c))
+        dealt = T.stored(dealt.select("_key_blocks", "_blocks", "_chunks"), "negatives-blocks")
+        blocks, chunks = F.col("_blocks"), F.col("_chunks")
+    sides = []
+    for df, own, count, other, others in ((anchors, "_chunk", chunks, "_block", blocks), (rows, "_block", blocks, "_chunk", chunks)):
+        known = df if key is None else df.join(dealt, F.col(key) == F.col("_key_blocks"))
+        sides.append(known.withColumn(own, F.pmod(F.xxhash64("_row"), count).cast("int"))
+                          .withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
+                          .select(*[c for c in df.columns if c != key], *by))
+    left, right = sides
     return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(task, schema)
 
 
@@ -217,16 +216,16 @@ def mine(vectors: DataFrame, anchor: Column, relabel: Column | None = None, vec_
     rows = quantised(vectors, vec_id, label, vector, relabel)
     anchors = T.stored(rows.where(F.coalesce(anchor, F.lit(False))), "negatives-anchors")
 
-    near = _meet(rows, anchors, ["label"], lambda c, b: _positives(c, b, k), "a bigint, p bigint, p_id bigint, p_score bigint")
+    near = _meet(rows, anchors, "label", lambda c, b: _positives(c, b, k), "a bigint, p bigint, p_id bigint, p_score bigint")
     by_score = Window.partitionBy("a").orderBy(F.desc("p_score"), F.asc_nulls_last("p_id"), "p")
     positives = T.stored(near.withColumn("_at", F.row_number().over(by_score)).where(F.col("_at") <= k).drop("_at"),
                          "negatives-positives")
 
     asked = positives.groupBy(F.col("a").alias("_a")).agg(F.collect_list(F.struct("p", "p_score")).alias("_s"))
     asked = asked.select("_a", F.col("_s.p").alias("ps"), F.col("_s.p_score").alias("scores"))
-    queries = T.stored(anchors.join(asked, F.col("_row") == F.col("_a")).select("_row", "label", "q", "ps", "scores", F.lit(0).alias("_all")),
+    queries = T.stored(anchors.join(asked, F.col("_row") == F.col("_a")).select("_row", "label", "q", "ps", "scores"),
                        "negatives-queries")
-    far = _meet(rows.withColumn("_all", F.lit(0)), queries, ["_all"], lambda c, b: _negatives(c, b, k, low, high),
+    far = _meet(rows, queries, None, lambda c, b: _negatives(c, b, k, low, high),
                 "a bigint, p bigint, n bigint, n_id bigint, n_score bigint")
     in_window = Window.partitionBy("a", "p").orderBy(F.desc("n_score"), F.asc_nulls_last("n_id"), "n")
     chosen = far.withColumn("rank", F.row_number().over(in_window)).where(F.col("rank") <= k)

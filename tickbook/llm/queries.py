@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, dedup, divergence, html, lm, negatives, packing, quality, rules, toxicity, urls
+from . import chat, decontam, dedup, divergence, html, lm, negatives, packing, quality, rules, toxicity, treejoin, urls
 from . import text as T
 
 TOKENIZER = "word_bpe_49k.json"
@@ -92,6 +92,10 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, relabel, k=5, low=80, high=100)
 
 
+def op12_jaccard_join(spark, sf_dir):
+    return treejoin.similar_documents(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op13_source_divergence(spark, sf_dir):
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
 
@@ -105,14 +109,14 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_url_filter, op3_best_fit_packing, op4_minhash_dedup, op5_html_extraction,
     op6_chat_format, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_score, op11_hard_negatives,
-    op13_source_divergence, pipeline)}
+    op12_jaccard_join, op13_source_divergence, pipeline)}
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-SQL = {
-    "op4_minhash_dedup": rf"""
+# documents linked by the Jaccard similarity of their four-word shingles
+_COMPONENTS = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  SELECT doc_id, regexp_extract_all({low}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
                  ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' '))) END AS sh
@@ -120,13 +124,16 @@ s AS (
 u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
 links AS (
   SELECT a.doc_id AS p, b.doc_id AS q FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
-  GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+  GROUP BY 1, 2 HAVING 100 * count(*) >= {percent} * (any_value(a.n) + any_value(b.n) - count(*))),
 edges AS (SELECT p, q FROM links UNION SELECT q, p FROM links),
 reach(doc_id, r) AS (
   SELECT doc_id, doc_id FROM s UNION SELECT e.q, reach.r FROM reach JOIN edges e ON e.p = reach.doc_id),
 comp AS (SELECT doc_id, min(r) AS c FROM reach GROUP BY 1)
-SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, c AS component_id, s.doc_id = c AS kept
-FROM s JOIN comp USING (doc_id)""",
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, c AS component_id{kept}
+FROM s JOIN comp USING (doc_id)"""
+
+SQL = {
+    "op4_minhash_dedup": _COMPONENTS.format(low=_LOW.format("coalesce(text, '')"), percent=80, kept=", s.doc_id = c AS kept"),
     "op6_chat_format": r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -179,6 +186,7 @@ ranked AS (
   FROM positives JOIN scored n ON n.a = positives.a AND NOT n.same
    AND 80 * positive_score <= 100 * n.s AND 100 * n.s <= 100 * positive_score)
 SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE k <= 5""",
+    "op12_jaccard_join": _COMPONENTS.format(low=_LOW.format("coalesce(text, '')"), percent=85, kept=""),
     "op13_source_divergence": rf"""
 WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
