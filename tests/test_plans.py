@@ -36,3 +36,15 @@ def test_day_filter_reaches_the_parquet_scan(spark):
 def test_top_k_report_is_take_ordered(spark):
     plan = _plan(reports.top_traded(fx.trades(spark, SF001), n=5))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_rolling_risk_has_no_sliding_frame(spark):
+    from tickbook.operators.risk import risk_rolling
+    from tickbook.functions import scan
+    spark.conf.set(scan.MAX_KEY_ROWS_CONF, "10")
+    try:
+        plan = _plan(risk_rolling(fx.ticks(spark, SF001)))
+    finally:
+        spark.conf.unset(scan.MAX_KEY_ROWS_CONF)
+    assert "Window" not in plan                             # the sums are written; the rest is a join by tick number
+    assert "Join [symbol" in plan and "tick_no" in plan

@@ -19,19 +19,34 @@ def test_running_sums_hot_key_split_over_slices(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_risk_blocks_equal_single_block(spark):
-    rnd = random.Random(5)
+def test_risk_from_prefix_moments_equals_sliding_windows(spark):
+    """Both scans, against the standard deviation of every window on its own."""
     import datetime as dt
+    import statistics
+    rnd = random.Random(5)
     t0 = dt.datetime(2024, 1, 1)
-    rows = [("HOT" if i % 5 else "B", t0 + dt.timedelta(seconds=i), i, 100 + rnd.gauss(0, 1)) for i in range(3000)]
+    rows = [("HOT" if i % 5 else "B", t0 + dt.timedelta(seconds=i), i, round(1e6 * (i % 7 == 0) + 100 + rnd.gauss(0, 1), 6)) for i in range(3000)]
     ticks = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, seq long, price double")
-    small = risk_rolling(ticks, block_rows=257)
-    big = risk_rolling(ticks)
+    want = {}
+    for symbol in ("HOT", "B"):
+        mine = [r for r in rows if r[0] == symbol]
+        for n in range(50, len(mine) + 1):
+            if n >= 200 or n % 50 == 0:
+                want[symbol, n] = (mine[n - 1][2], statistics.stdev([r[3] for r in mine[max(0, n - 200):n]]) * 1000)
+    for sliced in (False, True):
+        got = {(r.symbol, r.tick_no): (r.seq, r.risk_score) for r in risk_rolling(ticks, sliced=sliced).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) <= 1e-9 * want[k][1] for k in want)
+
 
-    def key(df):
-        return sorted((r.symbol, r.tick_no, round(r.risk_score, 9)) for r in df.collect())
-    a, b = key(small), key(big)
-    assert len(a) == len(b) and a == b
+def test_risk_of_constant_prices_is_zero(spark):
+    import datetime as dt
+    rows = [("A", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), i, 0.1) for i in range(300)]
+    ticks = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, seq long, price double")
+    got = [r.risk_score for r in risk_rolling(ticks).collect()]
+    assert len(got) == 3 + 101 and set(got) == {0.0}
+    one = risk_rolling(ticks.limit(1), window=1, stride=1)
+    assert [r.risk_score for r in one.collect()] == [0.0]
 
 
 def test_matching_sliced_plan_equals_window_plan(spark):

@@ -18,49 +18,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scan import largest_key, running_sums
+from ..functions.scan import running_sums
 from .bars import clean_ticks
 
 # Fixed values of the reference's risk engine.
 WINDOW_SIZE = 200
 STRIDE = 50
 MODEL_VERSION = "v1"
-# ours: ticks per (symbol, block) window partition in the batch risk plan
-BLOCK_ROWS = 1 << 20
-
-
-def risk_rolling(ticks: DataFrame, window: int = WINDOW_SIZE, stride: int = STRIDE,
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rolling score at the emission points.
-
-    A symbol's ticks are numbered with the skew-proof running count, then cut
-    into blocks of ``block_rows`` consecutive ticks; each block also receives
-    the last ``window - 1`` ticks of the block before as read-only context,
-    so every 200-tick frame is complete inside one (symbol, block) window
-    partition.  A hot symbol is thus spread over blocks; the duplication is
-    ``(window - 1) / block_rows`` of the input.  When no symbol has more than
-    ``block_rows`` ticks (measured: one partial count per symbol), the plain
-    per-symbol window runs instead, with a single shuffle."""
+# ours: decimals of a price in the exact running sums
+PRICE_SCALE = 6
+
+
+def risk_rolling(ticks: DataFrame, window: int = WINDOW_SIZE, stride: int = STRIDE, sliced: bool | None = None) -> DataFrame:
+    """Rolling score at the emission points, O(1) per tick whatever the window.
+
+    A symbol's ticks get running counts, sums of the price and sums of its
+    square (skew-proof, see ``running_sums``), in exact decimals, so nothing is
+    lost when the sums ``window`` ticks back are subtracted again.  Those come
+    by an equi-join on (symbol, tick number), a unique key, so a hot
+    symbol spreads over all tasks.  Prices are taken to ``PRICE_SCALE``
+    decimals and must be below 10^9; the squares of 10^14 ticks of price 1,000
+    fit their sum."""
+    price = F.col("price").cast(f"decimal(18,{PRICE_SCALE})")
+    base = clean_ticks(ticks).select("symbol", "ts", "seq", price.alias("_p"))
+    square = (F.col("_p") * F.col("_p")).cast(f"decimal(38,{2 * PRICE_SCALE})")
+    sums = running_sums(base, ["symbol"], ["ts", "seq"], {"tick_no": F.lit(1).cast("bigint"), "_s1": F.col("_p"), "_s2": square},
+                        label="risk-moments", materialize=True, sliced=sliced)
     emit = (F.col("tick_no") >= stride) & ((F.col("tick_no") >= window) | (F.col("tick_no") % stride == 0))
-    base = clean_ticks(ticks).select("symbol", "ts", "seq", "price")
-    if largest_key(base, ["symbol"]) <= block_rows:
-        w = Window.partitionBy("symbol").orderBy("ts", "seq")
-        score = F.coalesce(F.stddev_samp("price").over(w.rowsBetween(-(window - 1), 0)), F.lit(0.0)) * 1000.0
-        r = base.select("symbol", "ts", "seq", F.row_number().over(w).cast("bigint").alias("tick_no"),
-                        score.alias("risk_score"))
-        return r.filter(emit).select("symbol", F.col("ts").alias("risk_ts"), "seq", "tick_no", "risk_score")
-    t = running_sums(base, ["symbol"], ["ts", "seq"], {"tick_no": F.lit(1).cast("bigint")},
-                     label="tick-scan", sliced=True)
-    block = F.floor((F.col("tick_no") - 1) / block_rows).cast("bigint")
-    in_block = (F.col("tick_no") - 1) % block_rows
-    own = t.withColumn("block", block).withColumn("context", F.lit(False))
-    ctx = (t.filter(in_block >= block_rows - (window - 1))
-            .withColumn("block", block + 1).withColumn("context", F.lit(True)))
-    frame = Window.partitionBy("symbol", "block").orderBy("tick_no").rowsBetween(-(window - 1), 0)
-    score = F.coalesce(F.stddev_samp("price").over(frame), F.lit(0.0)) * 1000.0
-    r = own.unionByName(ctx).select("symbol", "ts", "seq", "tick_no", "context", score.alias("risk_score"))
-    return r.filter(~F.col("context") & emit).select("symbol", F.col("ts").alias("risk_ts"), "seq",
-                                                      F.col("tick_no").cast("bigint").alias("tick_no"), "risk_score")
+    before = sums.select(F.col("symbol").alias("_symbol"), (F.col("tick_no") + window).alias("_tick"),
+                         F.col("_s1").alias("_b1"), F.col("_s2").alias("_b2"))
+    now = sums.filter(emit).join(before, (F.col("symbol") == F.col("_symbol")) & (F.col("tick_no") == F.col("_tick")), "left")
+    zero = F.lit(0).cast("decimal(1,0)")
+    n = F.least(F.col("tick_no"), F.lit(window)).cast("decimal(6,0)")
+    s1 = (F.col("_s1") - F.coalesce("_b1", zero)).cast(f"decimal(18,{PRICE_SCALE})")
+    s2 = (F.col("_s2") - F.coalesce("_b2", zero)).cast(f"decimal(31,{2 * PRICE_SCALE})")
+    spread = (n * s2 - s1 * s1).cast("double")                     # n (n - 1) times the sample variance
+    count = n.cast("double")
+    score = F.when(n < 2, F.lit(0.0)).otherwise(F.sqrt(spread / (count * (count - 1.0))) * 1000.0)
+    return now.select("symbol", F.col("ts").alias("risk_ts"), "seq", "tick_no", score.alias("risk_score"))
 
 
 def risk_daily(rolling: DataFrame) -> DataFrame:

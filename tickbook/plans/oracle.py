@@ -459,6 +459,9 @@ SQL["stream_dedup"] = "SELECT event_id, ts, event_type, value FROM events"
 
 SQL["stream_risk"] = SQL["risk_rolling"]
 
+SQL["stream_bars_late"] = SQL["bars_1m"]
+
+
 SQL["stream_match"] = w(BOOK, MATCH) + """
 SELECT buy_order_id, sell_order_id, buyer_id, seller_id, symbol, quantity, trade_price FROM matched"""
 
@@ -528,6 +531,10 @@ SQL["ticks_parsed"] = w(TICKS) + """
 SELECT seq, symbol, date_trunc('second', ts) AS ts, price, size FROM ticks WHERE size NOT IN (0, 1) OR size IS NULL"""
 SQL["tick_rejects"] = w(TICKS) + "SELECT seq FROM ticks WHERE size IN (0, 1)"
 
+SQL["stream_rejects"] = SQL["tick_rejects"]
+
+SQL["stream_ticks_kept"] = SQL["ticks_parsed"]
+
 SQL["stream_bars_upsert"] = SQL["stream_bars_1m"]
 SQL["stream_risk_upsert"] = SQL["risk_daily"]
 

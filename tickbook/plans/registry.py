@@ -594,32 +594,74 @@ def q_stream_match(spark, sf_dir):
 TICK_FILES = 4
 
 
-def _tick_folder(spark, sf_dir):
-    """The ticks as a folder of files in time order, each covering a part of the time."""
+def _in_parts(spark, parts, label, start):
+    """The parts delivered one after the other: each is written to its own folder below the
+    source, and the query runs over what is new, on from its checkpoint.  ``start(stream)``
+    starts it and is given the source."""
+    from ..session import rocksdb_state
+    from ..streaming.sources import parquet_stream
+    folder = scratch_path(spark, label)
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{folder}/part={i}")
+        with rocksdb_state(spark):
+            q = start(parquet_stream(spark, folder, part.schema))
+        q.awaitTermination()
+
+
+def _tick_parts(spark, sf_dir):
+    """The ticks in time order, cut into parts of equal time."""
     t = fx.ticks(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     lo, hi = t.agg(F.min("ts"), F.max("ts")).first()
-    folder = scratch_path(spark, "tick-files")
     cuts = [lo + (hi - lo) * i / TICK_FILES for i in range(1, TICK_FILES)] if lo else []
-    for i, (a, b) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):    # one write each: files are taken by age
+    for a, b in zip([None, *cuts], [*cuts, None], strict=True):
         part = t if a is None else t.where(F.col("ts") >= F.lit(a))
-        part = part if b is None else part.where(F.col("ts") < F.lit(b))
-        part.coalesce(1).write.parquet(f"{folder}/part={i}")
-    return folder, t.schema
+        yield part if b is None else part.where(F.col("ts") < F.lit(b))
 
 
 def _upsert_stream(spark, sf_dir, stream, writer, label):
-    from ..session import rocksdb_state
-    from ..streaming.sources import parquet_stream
-    folder, schema = _tick_folder(spark, sf_dir)
     table = scratch_path(spark, label)
-    ticks = parquet_stream(spark, folder, schema, max_files=1)
-    with rocksdb_state(spark):
-        q = (stream(ticks).writeStream.foreachBatch(writer(table)).outputMode("append")
-             .option("checkpointLocation", table + "-checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
+    _in_parts(spark, _tick_parts(spark, sf_dir), "tick-files", lambda ticks: (
+        stream(ticks).writeStream.foreachBatch(writer(table)).outputMode("append")
+        .option("checkpointLocation", table + "-checkpoint").trigger(availableNow=True).start()))
     return spark.read.parquet(table)
 
 
+@query("stream_bars_late")
+def q_stream_bars_late(spark, sf_dir):
+    """Bars from deliveries that each hold ticks of every minute: all but the first are late for
+    every bar there is, and correct it."""
+    from ..operators import bar_table
+    from ..streaming import bars as sbars
+    t = fx.ticks(spark, sf_dir)
+    table = scratch_path(spark, "late-bars")
+    parts = (t.where(F.pmod("seq", F.lit(TICK_FILES)) == i) for i in reversed(range(TICK_FILES)))
+    _in_parts(spark, parts, "late-tick-files", lambda ticks: (
+        ticks.writeStream.foreachBatch(sbars.late_bars(table, compact_every=2))
+        .option("checkpointLocation", table + "-checkpoint").trigger(availableNow=True).start()))
+    return bar_table.read_bars(spark, table).drop("traded_size")
+
+
+@query("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """Tick messages, some of them bad, through the stream that keeps both: what was rejected."""
+    from ..streaming import rejects
+    out, audit = scratch_path(spark, "tick-messages"), scratch_path(spark, "audit-errors")
+    m = _tick_messages(spark, sf_dir)
+    halves = (m.where("seq % 2 = 0"), m.where("seq % 2 = 1"))
+    _in_parts(spark, halves, "message-files", lambda s: rejects.keep_rejects(s, out, audit, "analytics_consumer"))
+    return rejects.rejected(spark, out).select("seq")
+
+
+@query("stream_ticks_kept")
+def q_stream_ticks_kept(spark, sf_dir):
+    """The good rows of the same stream."""
+    from ..streaming import rejects
+    out, audit = scratch_path(spark, "tick-messages"), scratch_path(spark, "audit-errors")
+    _in_parts(spark, [_tick_messages(spark, sf_dir)], "message-files",
+              lambda s: rejects.keep_rejects(s, out, audit, "analytics_consumer"))
+    return rejects.good_ticks(spark, out).withColumn("ts", F.date_trunc("second", F.col("ts")).cast("timestamp_ntz"))
+
+
 @query("stream_bars_upsert")
 def q_stream_bars_upsert(spark, sf_dir):
     """Bars merged into fact_tick_agg by several triggers."""
@@ -643,16 +685,18 @@ def q_stream_match_intervals(spark, sf_dir):
     """Order messages of the outbox, each delivered twice and in several triggers, matched by
     auctions of event time.  No SQL: every auction starts from the book the one before left."""
     from ..streaming.matching import stream_match
-    from ..streaming.sources import parquet_stream, parse_orders, run_to_parquet
+    from ..streaming.sources import parse_orders
     box = fx.outbox(spark, sf_dir).where(F.upper("event_type").startswith("ORDER"))
     m = box.select(F.col("created_ts").cast("timestamp").alias("timestamp"), F.col("payload").alias("value"))
     lo, hi = m.agg(F.min("timestamp"), F.max("timestamp")).first()
-    folder, cut = scratch_path(spark, "order-messages"), lo + (hi - lo) / 2 if lo else None
+    cut = lo + (hi - lo) / 2 if lo else None
     first = m if cut is None else m.where(F.col("timestamp") < F.lit(cut))
-    for i, part in enumerate((first, first, m if cut is None else m.where(F.col("timestamp") >= F.lit(cut)))):
-        part.coalesce(1).write.parquet(f"{folder}/part={i}")            # the second delivery comes as its own trigger
-    stream = parquet_stream(spark, folder, m.schema, max_files=1)
-    out = run_to_parquet(stream_match(parse_orders(stream)[0], AUCTION_INTERVAL, "1 day"), "match-intervals")
+    second = m if cut is None else m.where(F.col("timestamp") >= F.lit(cut))
+    out = scratch_path(spark, "stream-match-intervals")
+    # the first half comes twice
+    _in_parts(spark, (first, first, second), "order-messages", lambda s: (
+        stream_match(parse_orders(s)[0], AUCTION_INTERVAL, "1 day").writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", out + "-checkpoint").option("path", out).trigger(availableNow=True).start()))
     return spark.read.parquet(out)
 
 

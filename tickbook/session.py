@@ -166,6 +166,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, in order; none if it does not exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()) if fs.exists(p) else []
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """Time of the last change of a file or folder, in milliseconds."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
