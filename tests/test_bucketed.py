@@ -1,0 +1,90 @@
+"""Merges into tables bucketed by their keys."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickbook.operators import bucketed
+from tickbook.operators.upsert import upsert
+from tickbook.session import folders, scratch_path
+
+SCHEMA = "symbol string, day int, price double"
+KEYS = ["symbol", "day"]
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture
+def table(spark):
+    name = f"fact_{scratch_path(spark, 't').rsplit('-', 1)[1]}"
+    folder = scratch_path(spark, "bucketed")
+    start = spark.range(400).select(F.concat(F.lit("S"), F.col("id") % 7).alias("symbol"), (F.col("id") / 7).cast("int").alias("day"),
+                                    F.col("id").cast("double").alias("price"))
+    bucketed.create(spark, name, folder, start, KEYS, 8)
+    yield name, folder, start
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def batch(spark):
+    return spark.createDataFrame([("S1", 3, -1.0), ("S2", 4, None), ("NEW", 1, 5.0)], SCHEMA)
+
+
+def test_merge_equals_the_plain_upsert(spark, table):
+    name, folder, start = table
+    want = rows(upsert(start, batch(spark), KEYS))
+    bucketed.merge(spark, name, batch(spark))
+    assert rows(spark.table(name)) == want
+    bucketed.merge(spark, name, batch(spark))                        # again: nothing changes
+    assert rows(spark.table(name)) == want
+    assert bucketed.drop_versions(spark, name) == 2 and len(folders(spark, folder)) == 1
+    assert rows(spark.table(name)) == want
+
+
+def test_the_table_is_not_shuffled(spark, table):
+    name, _, _ = table
+    for conf in ("-1", None):
+        if conf:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf)
+        try:
+            plan = bucketed.merged(spark, name, batch(spark))._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        above_scan = plan[:plan.index("FileScan")].splitlines()
+        side = [line for line in above_scan if re.search(r"Exchange|Join", line)]
+        assert side and "Join" in side[-1]                           # between the table's scan and the join there is no exchange
+
+
+def test_a_merge_keeps_buckets_and_writes_without_another_shuffle(spark, table):
+    name, _, _ = table
+    bucketed.merge(spark, name, batch(spark))
+    keys, n, _ = bucketed._spec(spark, name)
+    assert keys == KEYS and n == 8
+    plan = spark.table(name).groupBy(*KEYS).count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan                                    # still in its buckets
+    files = {r[0] for r in spark.table(name).select(F.input_file_name()).distinct().collect()}
+    assert len(files) <= 8
+
+
+def test_two_rows_for_a_key_change_nothing(spark, table):
+    name, folder, start = table
+    with pytest.raises(ValueError):
+        bucketed.merge(spark, name, batch(spark).union(batch(spark)))
+    assert rows(spark.table(name)) == rows(start) and len(folders(spark, folder)) == 1
+
+
+def test_a_table_can_be_declared_again(spark, table):
+    name, _, start = table
+    keys, n, location = bucketed._spec(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    bucketed.attach(spark, name, location, SCHEMA, keys, n)
+    assert rows(spark.table(name)) == rows(start)
+
+
+def test_update_columns_and_no_insert(spark, table):
+    name, _, start = table
+    bucketed.merge(spark, name, batch(spark), insert=False)
+    assert rows(spark.table(name)) == rows(upsert(start, batch(spark), KEYS, insert=False))

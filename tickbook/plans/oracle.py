@@ -580,3 +580,20 @@ SQL["order_flow_two_runs"] = w(
     _run(">", "UNION ALL SELECT * FROM after_1", "SELECT max(order_id) FROM placed_1", "SELECT max(trade_id) FROM traded_1",
          "SELECT max(event_id) FROM ev_t_1", "_2")) + """
 SELECT * FROM ev_o_1 UNION ALL SELECT * FROM ev_t_1 UNION ALL SELECT * FROM ev_o_2 UNION ALL SELECT * FROM ev_t_2"""
+
+SQL["price_upsert_bucketed"] = SQL["price_upsert"]
+
+SQL["stream_outbox_source"] = SQL["outbox_routed"]
+
+SQL["sql_customer_pnl"] = SQL["customer_pnl"]
+
+SQL["sql_top_traded"] = SQL["top_traded_day"]
+
+SQL["sql_price_history"] = w(PRICES, "last AS (SELECT max(CAST(trade_time AS DATE)) AS d, min(symbol) AS s FROM trades)") + """
+SELECT symbol, price_date, open_price, high_price, low_price, close_price, volume FROM prices, last
+WHERE symbol = s AND price_date > d - INTERVAL 12 MONTH AND price_date <= d"""
+
+SQL["sql_settlement"] = w(TRADES, "days AS (SELECT DISTINCT CAST(trade_time AS DATE) AS d FROM trades ORDER BY d DESC LIMIT 2)") + """
+SELECT CAST(1 + (SELECT count(*) FROM days b WHERE b.d < days.d) AS BIGINT) AS settlement_id, d AS trade_date, symbol,
+       CAST(sum(quantity) AS BIGINT) AS total_qty, CAST(sum(quantity * trade_price) AS DECIMAL(38,2)) AS total_value, 'COMPLETED' AS status
+FROM trades JOIN days ON CAST(trade_time AS DATE) = d GROUP BY d, symbol"""

@@ -164,6 +164,52 @@ def q_holdings_short(spark, sf_dir):
                                          "trade_price"))
 
 
+# ---- procedures in SQL ------------------------------------------------------------
+
+def _sql(spark, sf_dir, text, **args):
+    from . import procedures
+    procedures.install(spark, fx.trades(spark, sf_dir), fx.prices(spark, sf_dir))
+    return spark.sql(text, args=args)
+
+
+@query("sql_customer_pnl")
+def q_sql_customer_pnl(spark, sf_dir):
+    cid = fx.trades(spark, sf_dir).agg(F.min("buyer_id")).first()[0]
+    return _sql(spark, sf_dir, "SELECT * FROM customer_pnl(:customer)", customer=int(cid))
+
+
+@query("sql_top_traded")
+def q_sql_top_traded(spark, sf_dir):
+    return _sql(spark, sf_dir, "SELECT * FROM top_traded(:day) ORDER BY total_qty DESC, symbol",
+                day=_max_day(fx.trades(spark, sf_dir), "trade_time"))
+
+
+@query("sql_price_history")
+def q_sql_price_history(spark, sf_dir):
+    """One symbol's last year: the first symbol by name."""
+    t = fx.trades(spark, sf_dir)
+    symbol, last = t.agg(F.min("symbol"), F.to_date(F.max("trade_time"))).first()
+    return _sql(spark, sf_dir, "SELECT * FROM price_history(:symbol, :day, 12)", symbol=symbol, day=last)
+
+
+@query("sql_settlement")
+def q_sql_settlement(spark, sf_dir):
+    """The settlement script for the last two trading days, the last one twice."""
+    import uuid
+
+    from . import procedures
+    t = fx.trades(spark, sf_dir)
+    t.createOrReplaceTempView("settled_trades")
+    tag = uuid.uuid4().hex
+    totals, log = f"fact_trade_agg_{tag}", f"fact_settlement_{tag}"
+    procedures.create_settlement_tables(spark, totals, log, scratch_path(spark, "settlement-sql"))
+    days = [r.d for r in t.select(F.to_date("trade_time").alias("d")).distinct().orderBy(F.desc("d")).limit(2).collect()]
+    for day in (*days[::-1], *days[:1]):
+        spark.sql(procedures.settlement_script(day, "settled_trades", totals, log)).collect()
+    return spark.table(totals).join(spark.table(log), F.col("trade_date") == F.col("settlement_date")).select(
+        "settlement_id", "trade_date", "symbol", "total_qty", "total_value", "status")
+
+
 # ---- prices ----------------------------------------------------------------
 
 @query("risk_volatility")
@@ -449,6 +495,32 @@ def q_price_upsert(spark, sf_dir):
     return star.price_upsert(seed, fx.staged_prices(spark, sf_dir))
 
 
+PRICE_BUCKETS = 8
+
+
+@query("price_upsert_bucketed")
+def q_price_upsert_bucketed(spark, sf_dir):
+    """The price MERGE into a table bucketed by its keys, in two halves of the days."""
+    import uuid
+
+    from ..operators import bucketed
+    from ..operators.staging import load_order
+    from ..operators.upsert import dedupe_latest
+    values = ["open_price", "high_price", "low_price", "close_price", "adj_close"]
+    p = fx.prices(spark, sf_dir).filter(F.col("price_date") <= F.lit(SEED_PRICES_THROUGH))
+    seed = p.select("symbol", "price_date", *[F.col(c).cast("double").alias(c) for c in values], "volume")
+    table = f"fact_price_{uuid.uuid4().hex}"
+    bucketed.create(spark, table, scratch_path(spark, "fact_price_bucketed"), seed, ["symbol", "price_date"], PRICE_BUCKETS)
+    s = fx.staged_prices(spark, sf_dir)
+    order = load_order(s)
+    src = s.select("symbol", F.col("trade_date").alias("price_date"), *values, "volume", *order)
+    src = dedupe_latest(src, ["symbol", "price_date"], order).drop(*order)
+    half = F.dayofmonth("price_date") <= 15
+    for part in (src.where(half), src.where(~half)):
+        bucketed.merge(spark, table, part)
+    return spark.table(table)
+
+
 @query("bars_upsert")
 def q_bars_upsert(spark, sf_dir):
     t = fx.ticks(spark, sf_dir)
@@ -532,6 +604,20 @@ def q_outbox_polls(spark, sf_dir):
     return sent.unionByName(rest)
 
 
+@query("stream_outbox_source")
+def q_stream_outbox_source(spark, sf_dir):
+    """The outbox read as a stream of event ids into the topics; it grows between two runs, and
+    the second goes on where the first one ended."""
+    from ..streaming.outbox_source import publish_topics
+    box = fx.outbox(spark, sf_dir)
+    half = box.agg(F.floor(F.max("event_id") / 2)).first()[0] or 0
+    table, sink, check = (scratch_path(spark, x) for x in ("outbox-table", "topic-sink", "topic-checkpoint"))
+    for part in (box.where(F.col("event_id") <= half), box.where(F.col("event_id") > half)):
+        part.write.mode("append").parquet(table)
+        publish_topics(spark, table, sink, check).awaitTermination()
+    return spark.read.parquet(sink).select("event_id", "topic", "key", "value")
+
+
 @query("outbox_rejects")
 def q_outbox_rejects(spark, sf_dir):
     """Every pending event published; order events with a cut-off payload become rejects."""
