@@ -190,14 +190,19 @@ def test_bounds_never_drop_a_link():
     rows = {"seg": np.ones(160, np.int64), "side": np.zeros(160, np.int64), "whole": np.ones(160, bool), "cid": np.arange(160),
             "n": np.array([len(s) for s in sets]), "first": np.array([s[0] for s in sets]).view(np.int64),
             "comp": np.full(160, -1), "sig": [treejoin.bitmap(s) for s in sets]}
-    got = set(zip(*(x.tolist() for x in treejoin.candidates(rows, 85, False))))
+    def found(rows):
+        return {(min(i, j), max(i, j)) for i, j in zip(*(x.tolist() for x in treejoin.candidates(rows, 85, False)))}
+
+    got = found(rows)
     links = {(i, j) for j in range(160) for i in range(j)
              if 100 * len(x := np.intersect1d(sets[i], sets[j])) >= 85 * (len(sets[i]) + len(sets[j]) - len(x))}
     assert len(links) > 20 and links <= got
     assert len(got) < 2 * len(links) + 200                       # and most other pairs are pruned
     halves = dict(rows, whole=np.zeros(160, bool), side=(np.arange(160) % 2))
     across = {(i, j) for i, j in links if (i + j) % 2}
-    assert across <= set(zip(*(x.tolist() for x in treejoin.candidates(halves, 85, False))))
+    assert across <= found(halves)
+    wide = dict(rows, sig=[treejoin.bitmap(s, treejoin.WIDE_BITS) for s in sets])
+    assert links <= found(wide) <= got
 
 
 # --- source divergence

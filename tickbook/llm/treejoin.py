@@ -25,9 +25,11 @@ Documents whose distinct word shingles have a Jaccard similarity of at least
    link is lost.
 5. Two rounds.  The first keeps each member's best partner in each group;
    these pairs are confirmed on the full sets and give classes.  In the
-   second, node pairs inside one class are dropped as well, and all pairs left
-   that were not confirmed before are confirmed.  So a group of copies costs
-   each member a few pairs, and no link between different classes is missed.
+   second, node pairs inside one class are dropped as well.  It first names the
+   members that have a possible partner in another class; these get bitmaps of
+   four times the bits, trees are traversed again, and all pairs left that
+   were not confirmed before are confirmed.  So a group of copies costs each
+   member a few pairs, and no link between different classes is missed.
 
 Broadcast: the shingles put last (at most ``MOST_HOT``; if there are more,
 those that begin the most sets), and group keys or node keys where their
@@ -56,13 +58,14 @@ MOST_KEYS = 1 << 20
 BLOCK = 1024               # members of a group in one tree
 FAN = 8                    # children of a tree node
 SEGMENT_ROWS = 4096        # members a task traverses at once
+BITS, WIDE_BITS = 2, 8       # bits a shingle, at least (twice as many at most)
 LEAST_BITS, MOST_BITS = 64, 1 << 16
 _U = np.uint64
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """One bit per shingle, in a power of two of at least 2 bits a shingle."""
-    bits = min(max(LEAST_BITS, 1 << int(2 * len(shingles) - 1).bit_length()), MOST_BITS)
+def bitmap(shingles: np.ndarray, each: int = BITS) -> bytes:
+    """One bit per shingle, in a power of two of at least ``each`` bits a shingle."""
+    bits = min(max(LEAST_BITS, 1 << int(each * len(shingles) - 1).bit_length()), MOST_BITS)
     on = np.zeros(bits, bool)
     on[(T.mix(shingles) & _U(bits - 1)).astype(np.int64)] = True
     return np.packbits(on, bitorder="little").tobytes()
@@ -169,6 +172,17 @@ def groups_of(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> Da
     return T.stored(pairs.union(rest), "tree-groups")
 
 
+def _wide_bitmaps(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """cid, sig: the wide bitmaps of the ``wanted`` nodes."""
+
+    def run(batches):
+        for b in batches:
+            sig = [bitmap(T.shingles(T.word_hashes(raw.lower()), words), WIDE_BITS) for raw in T.utf8(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sig, pa.binary())], names=["cid", "sig"])
+
+    return _texts(docs, wanted).mapInArrow(run, "cid bigint, sig binary")
+
+
 class Forest:
     """Signature trees over the members of several groups; no node spans two groups.
 
@@ -255,7 +269,7 @@ def _folded(sig: list[bytes], bits: int) -> np.ndarray:
 
 
 def candidates(rows: dict, percent: int, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(a, b) of the members of whole segments that may be linked.
+    """Pairs (places in ``rows``) of the members of whole segments that may be linked.
 
     ``rows``: seg (number of the segment), side, whole (the segment is one block
     with itself), cid, n, first, comp, sig.  With ``best_only`` each member's best partner."""
@@ -297,23 +311,25 @@ def candidates(rows: dict, percent: int, best_only: bool) -> tuple[np.ndarray, n
         order = np.lexsort((rows["cid"][other], -np.concatenate((share, share)), ends))
         best = order[np.concatenate(([True], ends[order][1:] != ends[order][:-1]))]
         i, j = ends[best], other[best]
-    a, b = rows["cid"][i], rows["cid"][j]
-    return np.minimum(a, b), np.maximum(a, b)
+    return i, j
 
 
 _KEYS = ("gid", "p", "q")
 
 
-def tree_pairs(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Distinct (a, b) of the groups' members that the trees leave.
+def tree_pairs(members: DataFrame, percent: int, give: str) -> DataFrame:
+    """What the trees leave of the groups' members, without repeats.
 
-    ``members``: gid, members, cid, n, first, sig, comp (-1: none yet)."""
+    ``members``: gid, members, cid, n, first, sig, comp (-1: none yet).  ``give``: 'pairs' (a, b); 'best', each
+    member's best pair in each group; 'ends', (gid, cid) of the members of any pair."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = (members.withColumn("_blocks", blocks).withColumn("_i", F.pmod(F.xxhash64("cid"), F.col("_blocks")).cast("int"))
                     .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
                     .select("gid", F.least("_i", "_j").alias("p"), F.greatest("_i", "_j").alias("q"),
                             (F.col("_i") > F.col("_j")).cast("int").alias("side"), "cid", "n", "first", "comp", "sig"))
 
+    names = ["gid", "cid"] if give == "ends" else ["a", "b"]
+
     def run(batches):
         held: list = []
         count = 0
@@ -323,8 +339,14 @@ def tree_pairs(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
             new = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))
             rows = {c: t.column(c).to_numpy() for c in ("side", "cid", "n", "first", "comp")}
             rows |= {"seg": np.cumsum(new), "whole": keys[1] == keys[2], "sig": t.column("sig").to_pylist()}
-            a, b = candidates(rows, percent, best_only)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            i, j = candidates(rows, percent, give == "best")
+            if give == "ends":
+                ends = np.unique(np.concatenate((i, j)))
+                out = keys[0][ends], rows["cid"][ends]
+            else:
+                a, b = rows["cid"][i], rows["cid"][j]
+                out = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)      # once for all groups at hand
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=names)
 
         for b in batches:
             held.append(b)
@@ -340,7 +362,8 @@ def tree_pairs(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
         if count:
             yield pairs(pa.Table.from_batches(held))
 
-    return dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(
+        run, ", ".join(f"{c} bigint" for c in names)).distinct()
 
 
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -359,14 +382,16 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
         sets = T.stored(shingle_sets(_texts(docs, wanted), words), f"tree-sets{label}")
         return T.stored(confirm(pairs, sets, percent), f"tree-links{label}")
 
-    first = T.stored(tree_pairs(groups.join(marks, "cid").withColumn("comp", F.lit(-1).cast("bigint")), percent, True), "tree-pairs1")
+    first = T.stored(tree_pairs(groups.join(marks, "cid").withColumn("comp", F.lit(-1).cast("bigint")), percent, "best"), "tree-pairs1")
     links = confirmed(first, "1")
     comp = components(links, "tree-cc")
 
     named = T.stored(groups.where("members > 2").join(comp.withColumnRenamed("id", "cid"), "cid", "left")
                            .select("gid", "members", "cid", F.coalesce("comp", "cid").alias("comp")), "tree-named")
     mixed = named.groupBy("gid").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select("gid")
-    second = tree_pairs(named.join(mixed, "gid").join(marks, "cid"), percent, False)
+    close = T.stored(tree_pairs(named.join(mixed, "gid").join(marks, "cid"), percent, "ends"), "tree-close")
+    wide = T.stored(_wide_bitmaps(docs, close.select("cid").distinct().join(nodes, "cid"), words), "tree-wide")
+    second = tree_pairs(named.join(close, ["gid", "cid"]).join(marks.drop("sig"), "cid").join(wide, "cid"), percent, "pairs")
     second = T.stored(second.join(first, ["a", "b"], "left_anti"), "tree-pairs2")
     more = confirmed(second, "2")
     if not more.isEmpty():
