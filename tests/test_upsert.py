@@ -46,3 +46,64 @@ def test_dedupe_latest_keeps_newest_row_per_key(spark):
     df = spark.createDataFrame(rows, "sym string, d int, load_ts int, v double")
     got = sorted(tuple(r) for r in dedupe_latest(df, ["sym", "d"], ["load_ts"]).collect())
     assert got == [("A", 1, 499, 499.0), ("B", 1, 3, 9.0)]
+
+
+def _months(spark, path):
+    return sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
+
+
+def test_a_crash_between_two_partitions_is_repaired(spark, monkeypatch):
+    from tickbook.operators import upsert as module
+    from tickbook.session import folders, scratch_path
+    path = scratch_path(spark, "crash-target")
+    s = "k int, v int, m string"
+    old = [(1, 1, "a"), (2, 2, "b"), (3, 3, "c")]
+    new = [(1, 10, "a"), (2, 20, "b"), (4, 40, "d")]
+    write_upsert(spark, path, spark.createDataFrame(old, s), ["k"], "m")                # the table is made
+    swap, calls = module._swap, []
+
+    def dies(spark, table, stage, partition):
+        calls.append(partition)
+        if len(calls) == 2:
+            raise KeyboardInterrupt("killed")
+        swap(spark, table, stage, partition)
+    monkeypatch.setattr(module, "_swap", dies)
+    import pytest
+    with pytest.raises(KeyboardInterrupt):
+        write_upsert(spark, path, spark.createDataFrame(new, s), ["k"], "m")
+    monkeypatch.setattr(module, "_swap", swap)
+    assert module.recover(spark, path) == 2                                             # the two partitions left
+    assert _months(spark, path) == [(1, 10), (2, 20), (3, 3), (4, 40)]
+    assert module.recover(spark, path) == 0 and not [f for f in folders(spark, path) if f.startswith("_")]
+
+
+def test_a_crash_before_the_stage_is_complete_changes_nothing(spark):
+    from tickbook.operators import upsert as module
+    from tickbook.session import folders, scratch_path
+    path = scratch_path(spark, "crash-target")
+    s = "k int, v int, m string"
+    write_upsert(spark, path, spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], s), ["k"], "m")
+    half = spark.createDataFrame([(1, 9, "a")], s)
+    (half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("m")
+         .parquet(path + "/_stage-dead"))
+    assert _months(spark, path) == [(1, 1), (2, 2)]                                      # readers do not see it
+    write_upsert(spark, path, spark.createDataFrame([(2, 5, "b")], s), ["k"], "m")
+    assert _months(spark, path) == [(1, 1), (2, 5)] and folders(spark, path) == ["m=a", "m=b"]
+
+
+def test_a_first_batch_that_died_without_files(spark):
+    from pyspark.sql import functions as F
+
+    from tickbook.session import scratch_path
+    from tickbook.streaming.bars import upsert_bars_batch
+    from tickbook.operators.bars import bars
+    path = scratch_path(spark, "crash-first")
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path + "/_temporary/0")
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(p)                            # what a killed first write leaves
+    t = spark.createDataFrame([("A", dt.datetime(2024, 1, 1, 9, 30, i), i, 1.0 + i) for i in range(5)],
+                              "symbol string, ts timestamp_ntz, seq bigint, price double")
+    for _ in range(2):                                                                  # the replay, and one more
+        upsert_bars_batch(path)(bars(t), 0)
+    assert [(r.open_price, r.close_price, r.tick_count) for r in spark.read.parquet(path).collect()] == [(1.0, 5.0, 5)]
+    assert spark.read.parquet(path).where(F.col("bar_day") == dt.date(2024, 1, 1)).count() == 1

@@ -7,17 +7,24 @@ would silently keep the old one).  One shuffle on the keys; both sides are
 hash-partitioned on them and AQE splits a skewed key range.
 
 ``write_upsert`` applies the merge to a partitioned Parquet table (by day or month):
-only partitions that the source touches are read, merged and rewritten
-(dynamic partition overwrite), and the merged rows are first written to a
-scratch folder, so a failed job leaves the table as it was.
+only partitions that the source touches are read and merged.  The merged
+partitions are first written, complete, to a hidden folder of the table
+(``_stage-...``, marked by Spark's ``_SUCCESS``), and then take their places
+one by one, each by renaming.  A job that dies before the mark leaves the table
+as it was; one that dies later leaves some partitions to be put in place, and
+``recover`` (the first step of every ``write_upsert``) does that.  So after a
+crash the table is old or new, never a mixture, once it is opened by a writer
+or by ``recover``; every single partition is whole at any time.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import folders, path_exists
 
 _S = "_tb_src_"
 
@@ -67,15 +74,58 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     return merged.drop("_tb_in_t")
 
 
+_STAGE = "_stage-"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path class) of ``path``."""
+    cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return cls(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), cls
+
+
+def _swap(spark: SparkSession, table_path: str, stage: str, partition: str) -> None:
+    """Put one staged partition in its place; what was there goes below the stage folder."""
+    fs, path = _hadoop(spark, table_path)
+    here, there = path(f"{table_path}/{partition}"), path(f"{table_path}/{stage}/{partition}")
+    old = path(f"{table_path}/{stage}/_old/{partition}")
+    if fs.exists(here):
+        fs.mkdirs(old.getParent())
+        if not fs.rename(here, old):
+            raise OSError(f"cannot rename {here}")
+    if not fs.rename(there, here):
+        raise OSError(f"cannot rename {there}")
+
+
+def recover(spark: SparkSession, table_path: str) -> int:
+    """Finish or undo what a writer that died has left; returns the number of partitions put in place."""
+    done = 0
+    fs, path = _hadoop(spark, table_path)
+    for stage in (f for f in folders(spark, table_path) if f.startswith(_STAGE)):
+        if path_exists(spark, f"{table_path}/{stage}/_SUCCESS"):
+            for partition in (f for f in folders(spark, f"{table_path}/{stage}") if "=" in f):
+                _swap(spark, table_path, stage, partition)
+                done += 1
+        fs.delete(path(f"{table_path}/{stage}"), True)
+    return done
+
+
+def _current(spark: SparkSession, table_path: str, like: DataFrame) -> DataFrame:
+    """The table, or an empty one of the source's columns if it has no partitions yet."""
+    if any("=" in f for f in folders(spark, table_path)):
+        return spark.read.parquet(table_path)
+    return spark.createDataFrame([], like.schema)
+
+
 def write_upsert(spark: SparkSession, table_path: str, source: DataFrame, keys: list[str],
                  partition_col: str, update_cols: list[str] | None = None) -> None:
     """Merge ``source`` into the Parquet table at ``table_path`` (partitioned by
-    ``partition_col``), reading and rewriting only the partitions present in the source.
+    ``partition_col``; made if it is not there), reading and rewriting only the partitions present in the source.
 
     The touched partition values (bounded by the calendar) become literals of
     the scan's partition filter.  Two source rows with one key are an error,
-    as in a MERGE."""
-    target = spark.read.parquet(table_path)
+    as in a MERGE.  One writer at a time."""
+    recover(spark, table_path)
+    target = _current(spark, table_path, source)
     source = source.select(*target.columns)
     rows = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(partition_col).alias("p"))
     stats = rows.groupBy("p").agg(F.max("n").alias("n")).collect()
@@ -87,8 +137,5 @@ def write_upsert(spark: SparkSession, table_path: str, source: DataFrame, keys:
     touched = [r.p for r in stats if r.p is not None]
     affected = target.filter(F.col(partition_col).isin(touched) if touched else F.lit(False))
     merged = upsert(affected, source, keys, update_cols)
-    stage = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.parquet(stage).select(*target.columns)
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(partition_col).parquet(table_path))
+    merged.write.partitionBy(partition_col).parquet(f"{table_path}/{_STAGE}{uuid.uuid4().hex}")
+    recover(spark, table_path)

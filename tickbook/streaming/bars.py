@@ -54,10 +54,6 @@ def upsert_bars_batch(table_path: str):
     def write(batch: DataFrame, _epoch: int) -> None:
         if batch.isEmpty():  # e.g. the first trigger, before the watermark closes a window
             return
-        from ..session import path_exists as _exists
         b = batch.withColumn("bar_day", F.to_date("minute_ts"))
-        if not _exists(batch.sparkSession, table_path):
-            b.write.partitionBy("bar_day").parquet(table_path)
-            return
         write_upsert(batch.sparkSession, table_path, b, ["symbol", "minute_ts"], "bar_day")
     return write

@@ -90,11 +90,6 @@ def upsert_risk_batch(table_path: str):
             return
         daily = (risk_daily(batch).withColumn("risk_day", F.to_date("risk_ts"))
                  .withColumn("risk_month", F.trunc("risk_day", "month")))
-        spark = batch.sparkSession
-        from ..session import path_exists as _exists
-        if not _exists(spark, table_path):
-            daily.write.partitionBy("risk_month").parquet(table_path)
-            return
-        write_upsert(spark, table_path, daily, ["symbol", "risk_day"], "risk_month",
+        write_upsert(batch.sparkSession, table_path, daily, ["symbol", "risk_day"], "risk_month",
                      update_cols=["risk_score", "model_version"])
     return write
