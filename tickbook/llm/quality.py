@@ -132,18 +132,22 @@ def pieces(raw: bytes, limit: int) -> bytes:
     return b"".join(raw[i:i + size] for i in np.linspace(0, len(raw) - size, n).astype(int))
 
 
+def class_limits(rows: DataFrame, class_bytes: int) -> dict[int, int]:
+    """By label, the length to which the texts of a sample (text, y) are cut so that a label has at most ``class_bytes``."""
+    lengths: dict = {}
+    for y, n in rows.select("y", F.octet_length("text")).collect():     # one number a sampled document
+        lengths.setdefault(y, []).append(n)
+    return {y: share(n, class_bytes) for y, n in lengths.items()}
+
+
 def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, per_class: int = PER_CLASS,
         class_bytes: int = CLASS_BYTES) -> Model:
     """Dictionaries and curve from labelled documents (``labels.quality``).
 
     ``where`` restricts the label rows (column ``_id``).  Two thirds of the
     sample build the dictionaries, a third the curve."""
-    rows = T.labelled_sample(docs, labels, "quality", per_class, where).dropDuplicates(["doc_id"])
-    rows = T.stored(rows, "quality-sample")
-    lengths: dict = {}
-    for y, n in rows.select("y", F.octet_length("text")).collect():     # at most per_class numbers each
-        lengths.setdefault(y, []).append(n)
-    limits = {y: share(n, class_bytes) for y, n in lengths.items()}
+    rows = T.stored(T.labelled_sample(docs, labels, "quality", per_class, where), "quality-sample")
+    limits = class_limits(rows, class_bytes)
 
     @F.arrow_udf("binary")
     def cut(text: pa.Array, y: pa.Array) -> pa.Array:
@@ -182,7 +186,8 @@ def classify(docs: DataFrame, labels: DataFrame, where: Column | None = None, th
 
     NULL texts score as empty ones; labels of absent documents, NULL labels
     and repeated label rows are ignored; without labels every score is 0.5.
-    All columns of ``docs`` pass through."""
+    A text of any length is scored whole, piece by piece; rows that repeat have equal
+    scores; an empty table gives no rows.  All columns of ``docs`` pass through."""
     T.prepare(docs.sparkSession)
     score = score_column(docs.sparkSession, fit(docs, labels, where, per_class))
     return (docs.withColumn("_score", score(F.col("text").cast("string")))

@@ -15,13 +15,14 @@ import binascii
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf, scratch_path
 
 BLOCK = 1 << 18
 BATCH_ROWS = 128
+MOST_IDS = 1 << 20       # ids of a sample that are broadcast; more are joined
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BYTES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -60,28 +61,24 @@ def py_bucket(doc_id, buckets: int) -> int | None:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                     where: Column | None = None) -> DataFrame:
-    """Texts of at most ``per_class`` labelled documents per value of ``label``.
+    """Texts of at most ``per_class`` labelled documents per value of ``label``: doc_id, text (NULL as empty), y.
 
-    Only labels of ids that ``docs`` has are picked from, by the smallest hash
-    (the result does not depend on partitioning), so the id list is bounded by
-    ``per_class`` times the number of classes and can be broadcast.  Columns:
-    doc_id, text (NULL as empty), y."""
+    Only labels of ids that ``docs`` has are picked from, by the smallest hash, so the
+    result depends on neither partitioning nor order.  An id with several labels has the
+    smallest; an id with several texts is represented by the smallest, so every
+    document is there once.  All values of the label are sampled, however many."""
     lab = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")) \
                 .where(F.col("_id").isNotNull() & F.col("y").isNotNull())
     if where is not None:
         lab = lab.where(where)
-    lab = stored(lab.join(docs.select(F.col("doc_id").alias("_there")), F.col("_id") == F.col("_there"), "left_semi"),
-                 "present-labels")
-    order = [F.xxhash64("_id", F.lit(label)), F.col("_id")]
-    classes = sorted(r[0] for r in lab.select("y").distinct().limit(1000).collect())
-    spark = docs.sparkSession
-    rows: list = []
-    for c in classes:
-        rows += [(r[0], c) for r in lab.where(F.col("y") == c).select("_id").distinct()
-                                     .orderBy(*order).limit(per_class).collect()]
-    ids = spark.createDataFrame(rows, "_id bigint, y int")
-    picked = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return picked.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
+    there = docs.select(F.col("doc_id").alias("_there"))
+    lab = lab.join(there, F.col("_id") == F.col("_there"), "left_semi").groupBy("_id").agg(F.min("y").alias("y"))
+    by_hash = Window.partitionBy("y").orderBy(F.xxhash64("_id", F.lit(label)), "_id")
+    ids = stored(lab.withColumn("_at", F.row_number().over(by_hash)).where(F.col("_at") <= per_class).select("_id", "y"), "sample-ids")
+    picked = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = F.broadcast(ids) if ids.count() <= MOST_IDS else ids
+    return (picked.join(ids, F.col("doc_id") == F.col("_id")).groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+                  .select("doc_id", "text", "y"))
 
 
 def by_size(items: list, limit: int = 1 << 19):

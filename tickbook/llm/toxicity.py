@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .quality import CLASS_BYTES, class_limits, pieces
 
 CELLS = 1 << 18
 PER_CLASS = 3000
@@ -105,16 +106,19 @@ def fit_ordinal(xs: list[np.ndarray], ys: list[int], rounds: int = 300, rate: fl
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", where: Column | None = None,
-        per_class: int = PER_CLASS) -> Ordinal:
-    """Model from a bounded sample; the texts become cells in the tasks, so the
-    driver gets distinct cells only (at most ``CELLS`` per document)."""
+        per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES) -> Ordinal:
+    """Model from a bounded sample: at most ``per_class`` documents and ``class_bytes`` bytes
+    of text per grade (the longest texts by evenly spaced pieces).  The texts become
+    distinct cells in the tasks, at most one per byte, which bounds what the driver gets."""
+    rows = T.stored(T.labelled_sample(docs, labels, label, per_class, where), "severity-sample")
+    limits = class_limits(rows, class_bytes)
 
     @F.arrow_udf("array<int>")
-    def cells(text: pa.Array) -> pa.Array:
-        return pa.array([features(raw).astype(np.int32) for raw in T.utf8(text)], pa.list_(pa.int32()))
+    def cells(text: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([features(pieces(raw, limits[c])).astype(np.int32) for raw, c in zip(T.utf8(text), y.to_pylist(), strict=True)],
+                        pa.list_(pa.int32()))
 
-    rows = T.labelled_sample(docs, labels, label, per_class, where).dropDuplicates(["doc_id"])
-    got = rows.select("doc_id", "y", cells("text").alias("x")).toArrow().sort_by("doc_id")
+    got = rows.select("doc_id", "y", cells("text", "y").alias("x")).toArrow().sort_by("doc_id")
     return fit_ordinal([np.asarray(x.values, dtype=np.int64) for x in got.column("x")], got.column("y").to_pylist())
 
 
@@ -125,7 +129,8 @@ def severity(docs: DataFrame, labels: DataFrame, label: str = "toxic", where: Co
     per cut).
 
     NULL texts count as empty; without labels, or with one grade only, every
-    text has that grade (0 without any).  All columns pass through."""
+    text has that grade (0 without any).  A text of any length is judged whole; rows
+    that repeat are judged alike; an empty table gives no rows.  All columns pass through."""
     T.prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, where, per_class))
 
