@@ -1,0 +1,83 @@
+"""Articles whose markup carries words of boilerplate."""
+
+import pytest
+
+from tests.conftest import spark  # noqa: F401
+from tickbook.llm import html
+
+ARTICLE = "A paragraph that is long enough to be the article of a page, with several words in it. " * 3
+
+
+def text(source, path=None):
+    page = html.read_page(source)
+    return page.text(page.at(path))
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="layout no-sidebar">{}</div>', '<div class="page has-comments">{}</div>', '<div class="with-nav">{}</div>',
+    '<form id="aspnetForm"><div><article>{}</article></div></form>', '<form action="/x"><p>a</p><p>b</p>{}</form>',
+    '<div id="sidebar">{}</div>', '<body class="search-results">{}</body>', '<div class="share-prices">{}</div>'])
+def test_names_do_not_lose_the_article(around):
+    got = text("<html><body><nav>menu</nav>" + around.format(f"<p>{ARTICLE}</p>") + "<footer>foot</footer></body></html>")
+    assert ARTICLE.strip() in got and "menu" not in got and "foot" not in got
+
+
+@pytest.mark.parametrize("part, kept", [
+    ('<section id="search-algorithms"><p>Kept words.</p></section>', "Kept words."), ('<h2 id="related-work">Kept words</h2>', "Kept words"),
+    ('<p class="notice">Kept words.</p>', "Kept words."), ('<p class="legal">Kept words.</p>', "Kept words."),
+    ('<p>It is <span class="share-price">12</span> now.</p>', "It is 12 now."), ('<h2 id="comments">Kept</h2>', "Kept")])
+def test_inside_an_article_only_marked_parts_go(part, kept):
+    assert text(f"<body><article><p>{ARTICLE}</p>{part}<p>End.</p></article></body>") == f"{ARTICLE.strip()}\n\n{kept}\n\nEnd."
+
+
+@pytest.mark.parametrize("part", [
+    '<p class="advert">gone</p>', '<div class="ad">gone</div>', '<div class="cookie-notice">gone</div>', '<div class="related-posts">gone</div>',
+    '<ul class="social-share"><li>gone</li></ul>', '<div class="comments"><p>gone</p></div>', '<div id="comments">gone</div>',
+    '<form><p>gone</p><input></form>', '<div role="alert">gone</div>', '<div hidden>gone</div>', '<div class="site-nav">gone</div>',
+    '<div class="sidebar-left">gone</div>', '<div class="newsletter-signup">gone</div>', '<div class="post-navigation">gone</div>',
+    '<aside>gone</aside>'])
+def test_marked_parts_go(part):
+    assert text(f"<body><article><p>{ARTICLE}</p>{part}<p>End.</p></article></body>") == f"{ARTICLE.strip()}\n\nEnd."
+
+
+def test_links_count_at_any_depth():
+    deep = "<a href='/x'>" + "<span>" * 8 + "word " * 100 + "</span>" * 8 + "</a>"
+    page = html.read_page(f"<body><div>{deep}</div><div class='x'><p>{ARTICLE}</p></div></body>")
+    assert page.text(page.at(None)) == ARTICLE.strip()
+
+
+def test_all_classes_are_part_of_the_path():
+    page = html.Page(f'<div class="d c b a9"><p>{ARTICLE}</p></div>')
+    assert page.paths[-1] == "/body/div.a.b.c.d"
+
+
+def plain_votes(sources):
+    """The vote by hand: every page's best path, most votes, then score, then the shorter path."""
+    count: dict = {}
+    for source in sources:
+        page = html.read_page(source)
+        if page.blocks:
+            k = page.best()
+            n, s = count.get(page.paths[k], (0, 0.0))
+            count[page.paths[k]] = (n + 1, s + round(page.scores[k], 3))
+    return max(count, key=lambda p: (*count[p], -len(p), p)) if count else None
+
+
+def test_the_vote_against_a_plain_one(spark):
+    good = f'<body><div class="menu">x</div><div class="story"><p>{ARTICLE}</p></div><div class="foo"><p>{ARTICLE[:200]}</p></div></body>'
+    odd = f'<body><div class="story"><p>teaser</p></div><div class="full"><p>{ARTICLE * 3}</p></div></body>'
+    none = "<body><nav>only a menu</nav></body>"
+    hosts = {"a.org": [good, good, odd, none], "b.org": [odd, odd, good], "c.org": [none]}
+    rows = [(i, f"http://{h}/{i}", s) for i, (h, s) in enumerate((h, s) for h, ss in hosts.items() for s in ss)]
+    got = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i, url, source in rows:
+        page = html.read_page(source)
+        assert got[i].text == page.text(page.at(plain_votes(hosts[url.split("/")[2]])))
+    assert got[2].text == (ARTICLE * 3).strip() and got[0].text == ARTICLE.strip()
+
+
+def test_many_forms_take_linear_time():
+    import time
+    start = time.time()
+    html.read_page("<form><p>x</p></form>" * 20000 + "<form>" * 3000)
+    assert time.time() - start < 20

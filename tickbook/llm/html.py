@@ -7,11 +7,16 @@ best container of a page, or the one around it if it is only a part of an
 article, votes for its generalised tag-class path (digits dropped, classes
 sorted).  Spark counts the votes per host, and every page is extracted again
 below its host's winning path: all containers on that path, in page order.  A
-page without that path is extracted below its own.
+page without that path, or with a teaser only on it, is extracted below its own.
+
+Elements are left out by tag, role and attribute, and by class or id where the
+whole name marks boilerplate (``_marked``); a page of which that would leave
+next to nothing is read without names.
 """
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
 
@@ -39,10 +44,23 @@ _CLOSES = {  # a start tag of the key ends an open element of the values, up to
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"})}
 _BARRIER = frozenset("article aside body div footer form header main nav section table td th ul ol dl".split())
-_BAD = re.compile(r"(?:^|[-_ ])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|notices|alert|popup|modal|"
-                  r"newsletter|subscribe|signup|share|sharing|social|related|recommend\w*|sidebar|side|widget|breadcrumb\w*|"
-                  r"menu|nav\w*|navigation|footer|comment|comments|commentlist|disqus|replies|respond|"
-                  r"login|search|pager|pagination|toolbar|skip|hidden|legal|copyright)(?:$|[-_ ])", re.I)
+# words that mark boilerplate in a class or id, with words that may stand beside them
+_AD_WORD = re.compile(r"(?:ad|ads|advert\w*|sponsor\w*|promo\w*|newsletter|subscribe|signup|share|sharing|social|breadcrumb\w*|skip|hidden)$")
+_BAD_WORD = re.compile(r"(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|notices|alert|popup|modal|"
+                       r"newsletter|subscribe|signup|share|sharing|social|related|recommend\w*|sidebar|side|widget|breadcrumb\w*|"
+                       r"menu|nav\w*|navigation|footer|comment|comments|commentlist|disqus|replies|respond|"
+                       r"login|search|pager|pagination|toolbar|skip|hidden|legal|copyright)$")
+_BESIDE = frozenset("area article articles bar block body bottom box button buttons col column container content desktop fixed form "
+                    "global group header icon icons info inner item items left link links list main message mobile module outer page "
+                    "panel post posts primary region right row secondary section site slot stories sub text thread title top unit "
+                    "wrap wrapper zone".split())
+_STATE = re.compile(r"(?:no|not|non|has|with|without|is|js|hide|show|hides|shows)$")     # first words that tell of something else
+_WORDS = re.compile(r"[a-z]+")
+_TEXT_TAG = frozenset("p span h1 h2 h3 h4 h5 h6 a abbr b cite code dfn em font i mark pre q s small strong sub sup u".split())
+_WITH_ID = frozenset("aside center div footer header ol section table td ul".split())
+_ARTICLE_IN_FORM = re.compile(r"<(?:article|main)\b", re.I)
+FAIR_SHARE = 0.2        # of what the page's own best holds: the least for which the host's path counts
+FEW = 140               # characters; a page left with fewer is read again without regard to class words
 _BAD_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 _GOOD = re.compile(r"article|content|main|post|story|entry|text|body", re.I)
 _HEADER = re.compile(r"(?:^|[-_ ])(?:header|masthead)(?:$|[-_ ])", re.I)
@@ -53,10 +71,31 @@ _NOTHING, _ALL_BUT_HEADINGS, _ALL = 0, 1, 2               # what of an element i
 
 
 class _Open:
-    __slots__ = ("tag", "path", "skip", "node")
+    __slots__ = ("tag", "path", "skip", "node", "link", "named")
 
-    def __init__(self, tag, path, skip, node):
+    def __init__(self, tag, path, skip, node, link=False, named=False):
         self.tag, self.path, self.skip, self.node = tag, path, skip, node
+        self.link = link        # in a link
+        self.named = named      # left out for its class or id, or inside such an element
+
+
+def _marked(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether a class or id says that the element is no part of an article.
+
+    A name counts if one of its words is a mark and all others only go beside marks, so
+    'site-nav' and 'related-posts' do, 'share-price', 'search-algorithms' and
+    'no-sidebar' do not.  Of an element within a text only marks of adverts
+    and the like count; an id counts for parts of a page only."""
+    names = attrs.get("class", "").lower().split()
+    if tag in _WITH_ID:
+        names += attrs.get("id", "").lower().split()
+    marks = _AD_WORD if tag in _TEXT_TAG else _BAD_WORD
+    for name in names:
+        words = _WORDS.findall(name)
+        if words and not _STATE.match(words[0]) and any(marks.match(w) for w in words) and all(
+                w in _BESIDE or _BAD_WORD.match(w) for w in words):
+            return True
+    return False
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -66,13 +105,19 @@ def _attributes(raw: str) -> dict[str, str]:
 def _label(tag: str, attrs: dict[str, str]) -> str:
     """Tag and classes with digits dropped."""
     names = sorted({re.sub(r"\d+", "", c.lower()) for c in attrs.get("class", "").split()} - {""})
-    return ".".join([tag, *names[:3]])
+    return ".".join([tag, *names])
 
 
 class Page:
-    """Containers (path, parent, score) and blocks (text, container) of one page."""
+    """Containers (path, parent, score) and blocks (text, container) of one page.
 
-    def __init__(self, source: str):
+    ``by_name``: leave out what classes and ids mark; else such containers only score less."""
+
+    def __init__(self, source: str, by_name: bool = True):
+        self.by_name = by_name
+        self.named = 0                          # characters left out for a class or id
+        self._forms: list[int] | None = None    # where forms end
+        self._held: dict[int, bool] = {}        # by that place: whether an article is in the form
         self.paths: list[str] = ["/body"]       # the root, with or without its tags
         self.parents: list[int] = [-1]
         self.tags: list[str] = [""]
@@ -109,10 +154,23 @@ class Page:
         top = self._stack[-1]
         if data and top.skip == _NOTHING:
             self._text.append(data)
-            if any(o.tag == "a" for o in self._stack[-4:]):
+            if top.link:
                 self._link += len(data.strip())
-
-    def _start(self, tag: str, raw: str):
+        elif data and top.named:
+            self.named += len(data.strip())
+
+    def _holds_article(self, source: str, at: int) -> bool:
+        """Whether the form that starts before ``at`` holds an article or several paragraphs."""
+        if self._forms is None:
+            self._forms = [m.start() for m in re.finditer(r"</form\b", source, re.I)]
+        k = bisect.bisect_left(self._forms, at)
+        end = self._forms[k] if k < len(self._forms) else len(source)
+        if end not in self._held:               # of forms in a form the outer one decides
+            inside = source[at:end]
+            self._held[end] = bool(_ARTICLE_IN_FORM.search(inside)) or len(re.findall(r"<p\b", inside, re.I)) >= 3
+        return self._held[end]
+
+    def _start(self, tag: str, raw: str, source: str, at: int):
         if tag == "br":
             self._add("\n")
             return
@@ -126,7 +184,8 @@ class Page:
         top = self._stack[-1]
         attrs = _attributes(raw) if raw.strip() else {}
         names = f"{attrs.get('class', '')} {attrs.get('id', '')}".strip()
-        bad = (tag in _SKIP or (bool(names) and tag not in _KEEP and bool(_BAD.search(names)))
+        marked = bool(names) and tag not in _KEEP and _marked(tag, attrs)
+        bad = ((tag in _SKIP and not (tag == "form" and self._holds_article(source, at))) or (marked and self.by_name)
                or attrs.get("role", "").lower() in _BAD_ROLE or "hidden" in attrs or attrs.get("aria-hidden") == "true"
                or "display:none" in attrs.get("style", "").replace(" ", "").lower())
         if top.skip == _ALL or bad:
@@ -145,8 +204,8 @@ class Page:
             self.parents.append(top.node)
             self.tags.append(tag)
             self.plain.append(0.0)
-            self.scores.append(200.0 if tag in ("article", "main") or (names and _GOOD.search(names)) else 0.0)
-        self._stack.append(_Open(tag, path, skip, node))
+            self.scores.append(-200.0 if marked else 200.0 if tag in ("article", "main") or (names and _GOOD.search(names)) else 0.0)
+        self._stack.append(_Open(tag, path, skip, node, top.link or tag == "a", top.named or (marked and self.by_name)))
 
     def _end_open(self, tags, barrier):
         for i in range(len(self._stack) - 1, 0, -1):
@@ -195,7 +254,7 @@ class Page:
                 e = close.search(source, at)
                 at = e.end() if e else n        # unclosed: the rest belongs to it
                 continue
-            self._start(tag, raw)
+            self._start(tag, raw, source, at)
 
     def best(self) -> int:
         """The container with the highest score (the first of equals), or the one
@@ -243,9 +302,22 @@ class Page:
         return "\n\n".join(t for c, t in self.blocks if c in inside)
 
     def at(self, path: str | None) -> list[int]:
-        """All containers on ``path``, or on the path of the page's best one."""
-        best = None if (found := self._on(path)) else self.best()
-        return found or self._on(self.paths[best]) or [best]
+        """All containers on ``path``, if they hold a fair share of what the page's best one
+        holds (a teaser does not); else those on the path of the best one."""
+        found, best = self._on(path), self.best()
+        if found and sum(self.plain[i] for i in found) >= FAIR_SHARE * self.plain[best]:
+            return found
+        return self._on(self.paths[best]) or [best]
+
+
+def read_page(source: str) -> Page:
+    """The page; read again without regard to class words where those leave next to nothing of it."""
+    page = Page(source)
+    if page.plain[0] < FEW < page.named:
+        again = Page(source, by_name=False)
+        if again.plain[0] > page.plain[0]:
+            return again
+    return page
 
 
 def votes(pages: DataFrame) -> DataFrame:
@@ -255,7 +327,7 @@ def votes(pages: DataFrame) -> DataFrame:
         for b in batches:
             hosts, paths, scores = [], [], []
             for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                page = Page(source or "")
+                page = read_page(source or "")
                 if page.blocks:
                     k = page.best()
                     hosts.append(host)
@@ -285,7 +357,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for b in batches:
             paths, texts = [], []
             for source, path in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                page = Page(source or "")
+                page = read_page(source or "")
                 k = page.at(path)
                 paths.append(page.paths[k[0]] if page.blocks else None)
                 texts.append(page.text(k))
