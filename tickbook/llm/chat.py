@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,15 +30,14 @@ FULL_TURNS = 128        # prefixes up to this length are rendered even if the te
 
 _ESCAPE = re.compile(r"\\|###|</turn>")
 _UNESCAPE = re.compile(r"\\(\\|###|</turn>|:)")
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\(?:\\|###|</turn>)|<(?!/turn>))*)</turn>\n", re.S)
 
 
 def escape(text: str) -> str:
-    return _ESCAPE.sub(lambda m: "\\" + m[0], text)
+    return _ESCAPE.sub(r"\\\g<0>", text)
 
 
 def unescape(text: str) -> str:
-    return _UNESCAPE.sub(lambda m: m[1], text)
+    return _UNESCAPE.sub(r"\1", text) if "\\" in text else text
 
 
 def render(turns: Turns) -> str:
@@ -53,16 +52,43 @@ def _escape_role(role: str) -> str:
     return escape(role).replace(":", "\\:")
 
 
-def read_back(formatted: str) -> Turns:
-    """The turns of a string that ``render`` wrote."""
-    out, at = [], 0
+def _unescaped(formatted: str, mark: str, at: int) -> int:
+    """Place of the next ``mark`` from ``at`` on that no backslash escapes."""
+    while (found := formatted.find(mark, at)) >= 0:
+        back = found
+        while back > at and formatted[back - 1] == "\\":
+            back -= 1
+        if (found - back) % 2 == 0:
+            return found
+        at = found + 1
+    raise ValueError(f"no {mark!r} from {at} on")
+
+
+def turns_of(formatted: str) -> Iterator[tuple[str, str]]:
+    """The turns of a string that ``render`` wrote, one at a time; the memory needed is that of a turn."""
+    at = 0
     while at < len(formatted):
-        m = _TURN.match(formatted, at)
-        if not m:
+        if not formatted.startswith("### ", at):
             raise ValueError(f"no turn at {at}")
-        out.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
-    return out
+        colon = _unescaped(formatted, ":", at + 4)
+        if not formatted.startswith(": ", colon):
+            raise ValueError(f"no text at {colon}")
+        end = _unescaped(formatted, "</turn>", colon + 2)
+        if not formatted.startswith("</turn>\n", end):
+            raise ValueError(f"no end of a turn at {end}")
+        yield unescape(formatted[at + 4:colon]), unescape(formatted[colon + 2:end])
+        at = end + 8
+
+
+def read_back(formatted: str) -> Turns:
+    """The turns of a string that ``render`` wrote."""
+    return list(turns_of(formatted))
+
+
+def _update(digest, text: str, block: int = 1 << 20) -> None:
+    """Add the UTF-8 bytes of a text, block by block."""
+    for i in range(0, len(text), block):
+        digest.update(text[i:i + block].encode())
 
 
 def _text_place(added: str, render_with: Callable[[str], str]) -> tuple[int, int]:
@@ -149,6 +175,7 @@ def format_conversations(rows: DataFrame, template: Callable[[Turns], str] = ren
     Rows are ordered by turn (NULL first), then role and text, so repeated
     rows are repeated turns in a defined order.  NULL roles and texts count as
     empty; NULL conv_ids are one conversation; an empty table gives no rows.
+    Texts of any length are formatted whole; other columns are not read.
     A conversation is one output row, so it is gathered in one task; its rows
     stream in sorted order.  The work is proportional to the conversation for a
     template that declares itself ``additive``, as the library's own does, and
@@ -195,15 +222,17 @@ def digests(formatted: DataFrame) -> DataFrame:
             cols: list[list] = [[], [], [], [], []]
             for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 all_turns, loss, chars = hashlib.sha256(), hashlib.sha256(), 0
-                turns = read_back(text)
-                for role, said in turns:
-                    all_turns.update(f"{role}\n{said}\n".encode())
+                turns = 0
+                for role, said in turns_of(text):
+                    turns += 1
+                    for part in (role, "\n", said, "\n"):
+                        _update(all_turns, part)
                 for s in spans:
                     if s["loss"]:
                         said = unescape(text[s["text_start"]:s["text_stop"]])
-                        loss.update(said.encode())
+                        _update(loss, said)
                         chars += len(said)
-                for c, v in zip(cols, (len(turns), all_turns.hexdigest(), chars, loss.hexdigest(), len(text)), strict=True):
+                for c, v in zip(cols, (turns, all_turns.hexdigest(), chars, loss.hexdigest(), len(text)), strict=True):
                     c.append(v)
             types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]],
