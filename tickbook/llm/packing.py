@@ -216,20 +216,22 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     lengths, each meeting at most two open runs per longer length)."""
     spark = docs.sparkSession
     T.prepare(spark)
-    base = T.stored(pieces(docs, tokenizer_path, capacity, end_id), "pieces")
+    # the tag is stored with the pieces, so it stays; it tells rows apart that are equal in all else
+    base = T.stored(pieces(docs, tokenizer_path, capacity, end_id).withColumn("_tag", F.monotonically_increasing_id()), "pieces")
     rows = base.count()
     shards = max(1, -(-rows // RANKS_PER_SHARD), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # length is part of the key, so the shard alone need not be even
-    base = base.withColumn("_s", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    # length is part of the key, so the shard alone need not be even; the offsets have a row per
+    # length and shard, which grows with the input: they are joined where the ranks are, not broadcast
+    base = base.withColumn("_s", F.pmod(F.xxhash64("_tag"), F.lit(shards)))
     counts = base.groupBy("length", "_s").agg(F.count(F.lit(1)).alias("_c"))
     counts = T.stored(counts, "piece-counts")
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_c")).collect()}
     before = Window.partitionBy("length").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("length").alias("_l"), F.col("_s").alias("_s2"),
                             (F.coalesce(F.sum("_c").over(before), F.lit(0))).alias("_before"))
-    inside = Window.partitionBy("length", "_s").orderBy("doc_id", "piece", "start", "ids_crc32")
+    inside = Window.partitionBy("length", "_s").orderBy("_tag")
     ranked = (base.withColumn("_r", F.row_number().over(inside) - 1)
-                  .join(offsets, (F.col("length") == F.col("_l")) & (F.col("_s") == F.col("_s2")))
+                  .join(offsets.hint("merge"), (F.col("length") == F.col("_l")) & (F.col("_s") == F.col("_s2")))
                   .withColumn("_rank", F.col("_r") + F.col("_before")))
     slots = spark.createDataFrame(plan(histogram, capacity), PLAN)
     k = F.col("_rank") - F.col("rank0")
