@@ -25,10 +25,11 @@ Documents whose distinct word shingles have a Jaccard similarity of at least
    link is lost.
 5. Two rounds.  The first keeps each member's best partner in each group;
    these pairs are confirmed on the full sets and give classes.  In the
-   second, node pairs inside one class are dropped as well.  It first names the
-   members that have a possible partner in another class; these get bitmaps of
-   four times the bits, trees are traversed again, and all pairs left that
-   were not confirmed before are confirmed.  So a group of copies costs each
+   second, which takes only members that had a partner in their group, node
+   pairs inside one class are dropped as well.  It first names the members that
+   have a possible partner in another class; these get bitmaps of four times
+   the bits, trees are traversed again, and all pairs left that were not
+   confirmed before are confirmed.  So a group of copies costs each
    member a few pairs, and no link between different classes is missed.
 
 Broadcast: the shingles put last (at most ``MOST_HOT``; if there are more,
@@ -321,14 +322,14 @@ def tree_pairs(members: DataFrame, percent: int, give: str) -> DataFrame:
     """What the trees leave of the groups' members, without repeats.
 
     ``members``: gid, members, cid, n, first, sig, comp (-1: none yet).  ``give``: 'pairs' (a, b); 'best', each
-    member's best pair in each group; 'ends', (gid, cid) of the members of any pair."""
+    member's best pair in each group, as (gid, a, b); 'ends', (gid, cid) of the members of any pair."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = (members.withColumn("_blocks", blocks).withColumn("_i", F.pmod(F.xxhash64("cid"), F.col("_blocks")).cast("int"))
                     .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
                     .select("gid", F.least("_i", "_j").alias("p"), F.greatest("_i", "_j").alias("q"),
                             (F.col("_i") > F.col("_j")).cast("int").alias("side"), "cid", "n", "first", "comp", "sig"))
 
-    names = ["gid", "cid"] if give == "ends" else ["a", "b"]
+    names = {"pairs": ["a", "b"], "best": ["gid", "a", "b"], "ends": ["gid", "cid"]}[give]
 
     def run(batches):
         held: list = []
@@ -345,7 +346,9 @@ def tree_pairs(members: DataFrame, percent: int, give: str) -> DataFrame:
                 out = keys[0][ends], rows["cid"][ends]
             else:
                 a, b = rows["cid"][i], rows["cid"][j]
-                out = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)      # once for all groups at hand
+                out = np.minimum(a, b), np.maximum(a, b)
+                # a pair once for all groups at hand, or once in each
+                out = np.unique(np.stack((keys[0][i], *out) if give == "best" else out), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=names)
 
         for b in batches:
@@ -382,11 +385,13 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
         sets = T.stored(shingle_sets(_texts(docs, wanted), words), f"tree-sets{label}")
         return T.stored(confirm(pairs, sets, percent), f"tree-links{label}")
 
-    first = T.stored(tree_pairs(groups.join(marks, "cid").withColumn("comp", F.lit(-1).cast("bigint")), percent, "best"), "tree-pairs1")
+    best = T.stored(tree_pairs(groups.join(marks, "cid").withColumn("comp", F.lit(-1).cast("bigint")), percent, "best"), "tree-best")
+    first = T.stored(best.select("a", "b").distinct(), "tree-pairs1")
     links = confirmed(first, "1")
     comp = components(links, "tree-cc")
 
-    named = T.stored(groups.where("members > 2").join(comp.withColumnRenamed("id", "cid"), "cid", "left")
+    paired = best.select("gid", F.explode(F.array("a", "b")).alias("cid")).distinct()
+    named = T.stored(groups.where("members > 2").join(paired, ["gid", "cid"], "left_semi").join(comp.withColumnRenamed("id", "cid"), "cid", "left")
                            .select("gid", "members", "cid", F.coalesce("comp", "cid").alias("comp")), "tree-named")
     mixed = named.groupBy("gid").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select("gid")
     close = T.stored(tree_pairs(named.join(mixed, "gid").join(marks, "cid"), percent, "ends"), "tree-close")
