@@ -573,13 +573,6 @@ def test_lm_rare_tokens_are_joined(spark, docs, monkeypatch):
         assert (r.n_known, r.n_tokens) == (w.n_known, w.n_tokens) and math.isclose(r.base_score, w.base_score, rel_tol=1e-9)
 
 
-def test_lm_table_is_normalised():
-    rng = np.random.default_rng(10)
-    cells = np.unique(rng.integers(0, lm.COARSE ** 2 * lm.CLASSES, 3000))
-    table = lm._train(cells, rng.integers(1, 50, len(cells)))
-    assert np.allclose((10.0 ** table).sum(axis=1), 1)
-
-
 def test_lm_odd_rows(spark):
     got = lm.score(odd_docs(spark), T.id_bucket("doc_id", 5) == 1).collect()
     assert len(got) == len(ODD) + 3 and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
