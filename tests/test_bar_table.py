@@ -125,3 +125,11 @@ def test_rejected_orders_keep_their_text(spark):
     m = spark.createDataFrame([(t, good), *((t, b) for b in bad)], "timestamp timestamp, value string")
     rejects.two_sinks(rejects.KINDS["orders"][0], out, audit, "engine")(m, 4)
     assert sorted(r.raw for r in rejects.rejected(spark, out, "orders").collect()) == sorted(bad)
+
+
+def test_a_companion_keeps_only_the_rejects(spark):
+    out, audit = scratch_path(spark, "sinks"), scratch_path(spark, "sinks-audit")
+    write = rejects.two_sinks(rejects.KINDS["ticks"][0], out, audit, "consumer", rows=False)
+    write(messages(spark, [GOOD, *BAD, GOOD]), 0)
+    assert rejects.good_ticks(spark, out).isEmpty() and rejects.rejected(spark, out).count() == len(BAD)
+    assert rejects.audit_rows(spark, audit).first().message == "batch 0: 6 of 8 messages rejected"

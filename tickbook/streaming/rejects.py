@@ -32,16 +32,18 @@ _MESSAGES = "messages"
 
 
 def two_sinks(tag: Callable[[DataFrame], DataFrame], out: str, audit: str, component: str,
-              clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc)):
+              clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc), rows: bool = True):
     """foreachBatch writer of a stream of messages.
 
+    Without ``rows`` only the rejects are written: for a companion of a stateful stream
+    that takes the good messages of the same source itself (``parse_ticks``, ``parse_orders``).
     ``tag`` parses them into a DataFrame with a boolean ``ok`` and the message as ``raw``
     (``tagged_ticks``, ``tagged_orders``); ``clock`` gives the time of an error row."""
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
         counted = tag(batch).withColumn("raw", F.when(~F.col("ok"), F.col("raw"))).observe(
             seen, F.count(F.lit(1)).alias("all"), F.sum(F.when(F.col("ok"), 0).otherwise(1)).alias("bad"))
-        counted.write.mode("overwrite").partitionBy("ok").parquet(os.path.join(out, _MESSAGES, f"batch={batch_id}"))
+        (counted if rows else counted.where("NOT ok")).write.mode("overwrite").partitionBy("ok").parquet(os.path.join(out, _MESSAGES, f"batch={batch_id}"))
         bad = int(seen.get["bad"] or 0)
         if bad:
             now = clock()
@@ -82,7 +84,7 @@ def audit_rows(spark: SparkSession, audit: str) -> DataFrame:
     return spark.read.schema(schema("audit_errors")).option("recursiveFileLookup", True).parquet(audit)
 
 
-def keep_rejects(messages: DataFrame, out: str, audit: str, component: str, kind: str = "ticks"):
-    """Start a stream of messages of one kind into the sinks; its checkpoint is below ``out``."""
-    return (messages.writeStream.foreachBatch(two_sinks(KINDS[kind][0], out, audit, component))
+def keep_rejects(messages: DataFrame, out: str, audit: str, component: str, kind: str = "ticks", rows: bool = True):
+    """Start a stream of messages of one kind into the sinks (``two_sinks``); its checkpoint is below ``out``."""
+    return (messages.writeStream.foreachBatch(two_sinks(KINDS[kind][0], out, audit, component, rows=rows))
                     .option("checkpointLocation", os.path.join(out, "checkpoint")).trigger(availableNow=True).start())
