@@ -73,7 +73,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         lab = lab.where(where)
     there = docs.select(F.col("doc_id").alias("_there"))
     lab = lab.join(there, F.col("_id") == F.col("_there"), "left_semi").groupBy("_id").agg(F.min("y").alias("y"))
-    by_hash = Window.partitionBy("y").orderBy(F.xxhash64("_id", F.lit(label)), "_id")
+    lab = stored(lab.withColumn("_h", F.xxhash64("_id", F.lit(label))), "labels-there")
+    # hashes are even: of a large class only a little more than the wanted share goes on to be ranked
+    n = lab.groupBy(F.col("y").alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
+    share = (per_class + 10 * per_class ** 0.5 + 50) / F.col("_n")
+    lab = lab.join(n, F.col("y") == F.col("_y")).where(F.col("_h") / 2.0 ** 64 + 0.5 <= share)
+    by_hash = Window.partitionBy("y").orderBy("_h", "_id")
     ids = stored(lab.withColumn("_at", F.row_number().over(by_hash)).where(F.col("_at") <= per_class).select("_id", "y"), "sample-ids")
     picked = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = F.broadcast(ids) if ids.count() <= MOST_IDS else ids
