@@ -55,6 +55,33 @@ def test_ranges_cover_all_ids_once(spark):
     assert reader.partitions(end, end) == []
 
 
+def test_a_large_batch_reads_every_row_group_once(spark, monkeypatch):
+    """Ids in any order in the files, and ids far apart: as many tasks as the rows need."""
+    table = scratch_path(spark, "os-table")
+    ids = [i * (1 if i < 150 else 10 ** 6) for i in range(1, 301)]
+    events(spark, ids).repartition(5).write.parquet(table)
+    reader = src.OutboxReader({"path": table, "step": "40"})
+    assert len(reader.partitions({"event_id": -1}, {"event_id": 149})) == 4        # few ids: ranges of them
+    end = reader.latestOffset()
+    parts = reader.partitions({"event_id": 10}, end)
+    groups = [(f, g) for p in parts for f, gs in p.groups for g in gs]
+    assert len(parts) == 5 and len(groups) == len(set(groups)) == 5
+    monkeypatch.setattr(reader, "_files", None)                                   # no task lists the table
+    assert sorted(i for p in parts for b in reader.read(p) for i in b.column(0).to_pylist()) == ids[10:]
+    monkeypatch.undo()
+    assert reader.partitions({"event_id": ids[-1]}, {"event_id": ids[-1] + 1000}) == []
+
+
+def test_old_row_groups_are_not_read_again(spark):
+    table = scratch_path(spark, "os-table")
+    events(spark, range(1, 401)).repartition(2).write.parquet(table)
+    events(spark, range(401, 801)).repartition(3).write.mode("append").parquet(table)
+    reader = src.OutboxReader({"path": table, "step": "20"})
+    parts = reader.partitions({"event_id": 400}, {"event_id": 800})
+    assert sum(len(g) for p in parts for _, g in p.groups) == 3
+    assert sorted(i for p in parts for b in reader.read(p) for i in b.column(0).to_pylist()) == list(range(401, 801))
+
+
 def test_unfinished_and_new_files_wait(spark):
     table = scratch_path(spark, "os-table")
     assert src.OutboxReader({"path": table}).latestOffset() == {"event_id": -1}   # no table yet

@@ -3,8 +3,9 @@
 ``outbox`` (source): the outbox table in order of event id.  An offset is an
 event id, so a batch is a range of ids and a query goes on where its
 checkpoint ended: no event twice, none left out, and no ledger to keep.  A
-batch is cut into ranges of ``step`` ids, one task each, and a task's filter
-on the id skips the row groups of other events.
+batch reads every row group that can hold one of its ids once: its tasks take
+about ``step`` rows of row groups each, whatever the order of ids in the files.
+Up to ``SMALL`` times as many ids are cut into ranges of ``step`` ids instead.
 
     spark.dataSource.register(OutboxSource)
     spark.readStream.format("outbox").option("path", table).load()
@@ -41,7 +42,8 @@ from pyspark.sql.types import StructType
 
 from ..schemas import DDL
 
-STEP = 1 << 16             # ids of one task
+STEP = 1 << 16             # rows of one task (or ids, in a small batch)
+SMALL = 8                  # steps of a small batch
 _ROWS = 1 << 14            # rows of one Arrow batch
 _UNITS = pa.timestamp("us")
 _ARROW = {"event_id": pa.int64(), "event_type": pa.string(), "payload": pa.string(), "created_ts": _UNITS, "dispatched": pa.string()}
@@ -69,10 +71,12 @@ class OutboxSource(DataSource):
 
 @dataclass
 class IdRange(InputPartition):
-    """Events with after < event_id <= until."""
+    """Events with after < event_id <= until, of the given row groups (None: of all files)."""
 
     after: int
     until: int
+    groups: list[tuple[str, list[int]]] | None = None
+    schema: pa.Schema | None = None
 
 
 class OutboxReader(DataSourceStreamReader):
@@ -95,31 +99,61 @@ class OutboxReader(DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return {"event_id": self.start}
 
+    def _row_groups(self, files: ds.Dataset | None) -> Iterator[tuple[str, int, int, int | None, int | None]]:
+        """(file, row group, rows, smallest id, largest id) from the footers; ids that no
+        statistics tell are None."""
+        for fragment in files.get_fragments() if files else ():
+            for group in fragment.row_groups:
+                known = (group.statistics or {}).get("event_id") or {}
+                yield fragment.path, group.id, group.num_rows, known.get("min"), known.get("max")
+
     def latestOffset(self) -> dict:
         """The newest id, from the files' statistics."""
         newest = self.start
         files = self._files()
-        for fragment in files.get_fragments() if files else ():
-            for group in fragment.row_groups:
-                known = (group.statistics or {}).get("event_id")
-                if known:
-                    newest = max(newest, known["max"])
-                elif group.num_rows:
-                    ids = fragment.subset(row_group_ids=[group.id]).to_table(columns=["event_id"]).column(0)
-                    newest = max(newest, pa.compute.max(ids).as_py() or newest)
+        for path, group, rows, _, largest in self._row_groups(files):
+            if largest is not None:
+                newest = max(newest, largest)
+            elif rows:
+                one = files.format.make_fragment(path, files.filesystem, row_groups=[group])
+                ids = one.to_table(columns=["event_id"]).column(0)
+                newest = max(newest, pa.compute.max(ids).as_py() or newest)
         return {"event_id": newest}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         lo, hi = start["event_id"], end["event_id"]
-        return [IdRange(a, min(a + self.step, hi)) for a in range(lo, hi, self.step)]
+        if hi <= lo:
+            return []
+        files = self._files()
+        wanted = sorted(((least if least is not None else lo, path, group, rows)
+                         for path, group, rows, least, largest in self._row_groups(files)
+                         if rows and (largest is None or least <= hi and largest > lo)))
+        if max(hi - lo, sum(w[3] for w in wanted)) <= SMALL * self.step:
+            return [IdRange(a, min(a + self.step, hi)) for a in range(lo, hi, self.step)]
+        tasks: list[dict[str, list[int]]] = []
+        held = self.step
+        for _, path, group, rows in wanted:
+            if held + rows > self.step:
+                tasks.append({})
+                held = 0
+            tasks[-1].setdefault(path, []).append(group)
+            held += rows
+        return [IdRange(lo, hi, list(t.items()), files.schema) for t in tasks]
 
     def read(self, partition: IdRange) -> Iterator[pa.RecordBatch]:
-        files = self._files()
+        if partition.groups is None:
+            files = self._files()
+        else:
+            fs, form = _place(self.path)[0], ds.ParquetFileFormat()
+            files = ds.FileSystemDataset([form.make_fragment(f, fs, row_groups=ids) for f, ids in partition.groups],
+                                         partition.schema, form, fs)
         if files is None:
             return
         wanted = (ds.field("event_id") > partition.after) & (ds.field("event_id") <= partition.until)
         schema = pa.schema(list(_ARROW.items()))
-        for batch in files.scanner(columns=list(_ARROW), filter=wanted, batch_size=_ROWS).to_batches():
+        # few batches ahead: a row group may hold many
+        for batch in files.scanner(columns=list(_ARROW), filter=wanted, batch_size=_ROWS, batch_readahead=2,
+                                   fragment_readahead=1).to_batches():
             if batch.num_rows:
                 yield batch.cast(schema)
 
