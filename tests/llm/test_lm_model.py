@@ -71,6 +71,25 @@ def test_model_grows_with_the_corpus(spark):
     assert large.symbols - 1 - lm.TAIL > 1.5 * (small.symbols - 1 - lm.TAIL) > 100
 
 
+def test_every_token_is_learned_from(spark, monkeypatch):
+    """All triples take part in each pass over the corpus, also when it is large and dealt to several tasks."""
+    monkeypatch.setattr(lm, "EXAMPLES", 1)                                       # as in a large corpus: one pass
+    monkeypatch.setattr(lm, "TASK", 2000)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").where("doc_id < 100").repartition(3)
+    T.prepare(spark)
+    c, _, _ = lm._gather(docs)
+    met = []
+    summed = lm._summed
+    monkeypatch.setattr(lm, "_summed", lambda parts, label: met.append((label, summed(parts, label))) or met[-1][1])
+    lm._fit(docs, c, 11)
+    rounds = [x for label, x in met if label.startswith("lm-round")]
+    groups = len(c.model.first) - 1
+    sizes = (("near", c.symbols), ("far", c.symbols), ("group", groups), ("out", c.symbols), ("group_bias", groups), ("bias", c.symbols))
+    times = sum(x[-sum(n for _, n in sizes):] for x in rounds)
+    assert len(rounds) == lm.ROUNDS and times[:c.symbols].sum() == c.tokens > 10000
+    assert times[-c.symbols:][c.end] == c.texts
+
+
 def test_held_out_texts_against_counts_and_shuffled(spark):
     """Held-out texts: better than single tokens, and better in order than shuffled."""
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")

@@ -19,11 +19,15 @@ estimation.
   with about sqrt(symbols) columns per token, in batches, and the
   probabilities of all tokens sum to one.
 
-Vocabulary, vectors, training examples and steps grow with the corpus.  Token
-counts, class masses and unigram biases come from all training tokens; the
-vectors are trained on ``EXAMPLES`` (two tokens, next token) triples per symbol,
-taken at even distances from all training texts by a Spark job, for ``EPOCHS``
-rounds.  The driver holds the triples (12 bytes each) and the vectors.
+Vocabulary, vectors and training steps grow with the corpus.  Token counts, class
+masses, unigram biases, groups and vectors come from all training tokens: every
+(two tokens, next token) triple of every training text is learned from, once in a
+large corpus and up to ``EPOCHS`` times in a small one (until there were ``EXAMPLES``
+per symbol and epoch).  Training runs in the tasks: in each of ``ROUNDS`` Spark jobs
+every task goes through its share of the triples (a part of ``TASK`` or more) from
+the vectors that the round before left, and the changes of its vectors are averaged,
+weighted by how often it met the symbol.  The driver holds the vectors, and those of
+one task at a time; the triples stay in the scratch folder.
 
 Tokens that make up at least ``HEAVY`` of the corpus are at most 1 / HEAVY and
 go to the tasks as a broadcast, with the vectors (S * 100 numbers for S symbols);
@@ -37,7 +41,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +53,7 @@ TAIL = 135                          # unknown classes, by hashed endings
 DIM, EXAMPLES, EPOCHS, BATCH = 32, 256, 4, 4096
 NOISE, NOISE_IN = 64, 8             # noise groups a batch, noise symbols of the true group an example
 SLICE = 1 << 15                     # tokens normalised at once
+ROUNDS, TASK, CHUNK = 4, 1 << 22, 1 << 19     # averages of the vectors; triples of a task; triples put in a random order at once
 
 
 @dataclass
@@ -146,19 +150,29 @@ def symbols(words: np.ndarray, endings: np.ndarray, c: Counts) -> tuple[np.ndarr
     return before[2:], before[1:-1], before[:-2], unknown
 
 
-def _groups(s: int, examples: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, first): symbols in an order in which group g is first[g] .. first[g + 1]; sizes differ by one or so."""
-    rng = np.random.default_rng(seed)
-    random = rng.normal(size=(2, s, 48)).astype(np.float32)
-    near, far, nxt = examples.T
+def _profile(s: int, examples: np.ndarray, seed: int) -> np.ndarray:
+    """Who stands before and after each symbol, as sums of random vectors; parts of a corpus add up."""
+    random = np.random.default_rng(seed).normal(size=(2, s, 48)).astype(np.float32)
+    near, _, nxt = examples.T
     profile = np.zeros((s, 96), np.float32)
-    for side, (who, beside) in enumerate(((nxt, near), (near, nxt))):        # who stands before and after a symbol
-        order = np.argsort(who, kind="stable")
-        starts = np.flatnonzero(np.diff(who[order], prepend=-1))
+    for side, (who, beside) in enumerate(((nxt, near), (near, nxt))):
+        pairs, n = np.unique(who * s + beside, return_counts=True)
+        who, beside = np.divmod(pairs, s)
+        starts = np.flatnonzero(np.diff(who, prepend=-1))
         if len(starts):
-            summed = np.add.reduceat(random[side][beside[order]], starts, axis=0)
-            profile[who[order][starts], 48 * side:48 * side + 48] = summed
-    profile /= np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-6)
+            profile[who[starts], 48 * side:48 * side + 48] = np.add.reduceat(random[side][beside] * n[:, None].astype(np.float32), starts, axis=0)
+    return profile
+
+
+def _groups(s: int, examples: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The groups of ``_split`` by the neighbours in ``examples``."""
+    return _split(_profile(s, examples, seed))
+
+
+def _split(profile: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first): symbols in an order in which group g is first[g] .. first[g + 1]; sizes differ by one or so."""
+    s = len(profile)
+    profile = profile / np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-6)
 
     def split(at: np.ndarray, parts: int) -> list[np.ndarray]:
         if parts == 1:
@@ -184,63 +198,88 @@ def _sum_rows(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def train(examples: np.ndarray, weight: np.ndarray, first: np.ndarray, seed: int = 11) -> Model:
-    """The model of symbols whose groups are ``first[g] .. first[g + 1]``.
-
-    ``examples``: rows (one before, two before, next); ``weight``: the symbols' counts."""
-    rng = np.random.default_rng(seed)
-    s, g = len(weight), len(first) - 1
-    of = np.repeat(np.arange(g), np.diff(first))
-    share = (weight + 0.5) / (weight + 0.5).sum()
-    group_share = np.add.reduceat(share, first[:-1])
-    inside = share / group_share[of]
-    upto, group_upto = np.cumsum(share), np.cumsum(group_share)
-    log_noise, log_inside = np.log(NOISE * group_share).astype(np.float32), np.log(NOISE_IN * inside).astype(np.float32)
-    p = {"near": rng.normal(0, 0.05, (s, DIM)), "far": rng.normal(0, 0.05, (s, DIM)), "group": rng.normal(0, 0.05, (g, DIM)),
-         "out": rng.normal(0, 0.05, (s, DIM)), "group_bias": np.log(group_share)[:, None], "bias": np.log(inside)[:, None]}
-    p = {k: v.astype(np.float32) for k, v in p.items()}
-    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    steps = -(-len(examples) * EPOCHS // BATCH)
-    order = np.empty(0, np.int64)
-    for t in range(1, steps + 1):
-        if len(order) < BATCH:
-            order = np.concatenate((order, rng.permutation(len(examples))))
-        near, far, nxt = examples[order[:BATCH]].T
-        order = order[BATCH:]
+class _Trainer:
+    """Steps of noise-contrastive estimation (Adam) on the vectors ``p``, from a random start unless given."""
+
+    def __init__(self, weight: np.ndarray, first: np.ndarray, seed, p: dict[str, np.ndarray] | None = None):
+        self.rng = rng = np.random.default_rng(seed)
+        self.first = first
+        self.s, self.g = s, g = len(weight), len(first) - 1
+        self.of = of = np.repeat(np.arange(g), np.diff(first))
+        share = (weight + 0.5) / (weight + 0.5).sum()
+        self.group_share = np.add.reduceat(share, first[:-1])
+        inside = share / self.group_share[of]
+        self.upto, self.group_upto = np.cumsum(share), np.cumsum(self.group_share)
+        self.log_noise = np.log(NOISE * self.group_share).astype(np.float32)
+        self.log_inside = np.log(NOISE_IN * inside).astype(np.float32)
+        if p is None:
+            p = {"near": rng.normal(0, 0.05, (s, DIM)), "far": rng.normal(0, 0.05, (s, DIM)), "group": rng.normal(0, 0.05, (g, DIM)),
+                 "out": rng.normal(0, 0.05, (s, DIM)), "group_bias": np.log(self.group_share)[:, None], "bias": np.log(inside)[:, None]}
+        self.p = {k: v.astype(np.float32) for k, v in p.items()}           # a copy
+        self.m, self.v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+        self.t = 0
+
+    def step(self, examples: np.ndarray, rate: float) -> None:
+        p, s, g, first, of, rng = self.p, self.s, self.g, self.first, self.of, self.rng
+        self.t += 1
+        near, far, nxt = examples.T
         n, true = len(nxt), of[nxt]
         h = p["near"][near] + p["far"][far]
         # the group: noise groups shared by the batch
-        k = np.minimum(np.searchsorted(group_upto, rng.random(NOISE)), g - 1)
-        up = _sigmoid(log_noise[true] - (h * p["group"][true]).sum(axis=1) - p["group_bias"][true, 0])
-        down = -_sigmoid(h @ p["group"][k].T + p["group_bias"][k, 0] - log_noise[k])
+        k = np.minimum(np.searchsorted(self.group_upto, rng.random(NOISE)), g - 1)
+        up = _sigmoid(self.log_noise[true] - (h * p["group"][true]).sum(axis=1) - p["group_bias"][true, 0])
+        down = -_sigmoid(h @ p["group"][k].T + p["group_bias"][k, 0] - self.log_noise[k])
         d_h = up[:, None] * p["group"][true] + down @ p["group"][k]
         grad = {"group": _sum_rows(np.concatenate((true, k)), np.concatenate((up[:, None] * h, down.T @ h)), g),
                 "group_bias": (np.bincount(true, up, g) + np.bincount(k, down.sum(axis=0), g))[:, None]}
         # the symbol: noise symbols of the true group for each example
-        lo = np.concatenate(([0], upto))[first[true]]
-        j = np.searchsorted(upto, lo[:, None] + rng.random((n, NOISE_IN)) * group_share[true][:, None])
+        lo = np.concatenate(([0], self.upto))[first[true]]
+        j = np.searchsorted(self.upto, lo[:, None] + rng.random((n, NOISE_IN)) * self.group_share[true][:, None])
         j = np.clip(j, first[true][:, None], first[true + 1][:, None] - 1)
-        up = _sigmoid(log_inside[nxt] - (h * p["out"][nxt]).sum(axis=1) - p["bias"][nxt, 0])
+        up = _sigmoid(self.log_inside[nxt] - (h * p["out"][nxt]).sum(axis=1) - p["bias"][nxt, 0])
         noise = p["out"][j]
-        down = -_sigmoid(np.einsum("nd,nkd->nk", h, noise) + p["bias"][j, 0] - log_inside[j])
+        down = -_sigmoid(np.einsum("nd,nkd->nk", h, noise) + p["bias"][j, 0] - self.log_inside[j])
         d_h += up[:, None] * p["out"][nxt] + np.einsum("nk,nkd->nd", down, noise)
         ids, by = np.concatenate((nxt, j.ravel())), np.concatenate((up, down.ravel()))
         grad["out"] = _sum_rows(ids, by[:, None] * np.concatenate((h, np.repeat(h, NOISE_IN, axis=0))), s)
         grad["bias"] = np.bincount(ids, by, s)[:, None]
         grad["near"], grad["far"] = _sum_rows(near, d_h, s), _sum_rows(far, d_h, s)
-        rate = 0.01 * min(1.0, 1.5 * (1 - t / steps) + 0.02)
         for key, x in grad.items():
             x = (x / n).astype(np.float32)
-            m[key] *= 0.9
-            m[key] += 0.1 * x
-            v[key] *= 0.999
-            v[key] += 0.001 * x * x
-            size = np.sqrt(v[key])
+            m, v = self.m[key], self.v[key]
+            m *= 0.9
+            m += 0.1 * x
+            v *= 0.999
+            v += 0.001 * x * x
+            size = np.sqrt(v)
             size += 1e-6
-            p[key] += (rate * math.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t)) * (m[key] / size)
+            p[key] += (rate * math.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)) * (m / size)
+
+
+def _rate(done: float) -> float:
+    """The step size after this share of the training."""
+    return 0.01 * min(1.0, 1.5 * (1 - min(done, 1.0)) + 0.02)
+
+
+def _model(first: np.ndarray, p: dict[str, np.ndarray]) -> Model:
     return Model(first, p["near"], p["far"], p["group"], p["group_bias"][:, 0], p["out"], p["bias"][:, 0])
 
 
+def train(examples: np.ndarray, weight: np.ndarray, first: np.ndarray, seed: int = 11) -> Model:
+    """The model of symbols whose groups are ``first[g] .. first[g + 1]``, trained in one place.
+
+    ``examples``: rows (one before, two before, next); ``weight``: the symbols' counts."""
+    trainer = _Trainer(weight, first, seed)
+    steps = -(-len(examples) * EPOCHS // BATCH)
+    order = np.empty(0, np.int64)
+    for t in range(1, steps + 1):
+        if len(order) < BATCH:
+            order = np.concatenate((order, trainer.rng.permutation(len(examples))))
+        trainer.step(examples[order[:BATCH]], _rate(t / steps))
+        order = order[BATCH:]
+    return _model(first, trainer.p)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -273,38 +312,115 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return part.groupBy("h").agg(F.sum("n").alias("n"), F.max("ending").alias("ending"))
 
 
-def _examples(texts: DataFrame, shared, every: int) -> DataFrame:
-    """near, far, next: the symbols at every ``every``-th token of the texts, whose starts differ."""
+def _examples(texts: DataFrame, shared) -> DataFrame:
+    """near, far, next: the symbols at every token of the texts, and before it."""
 
     def run(batches):
         c: Counts = shared.value
         for b in batches:
-            found = []
             for raw in T.utf8(b.column(0)):
                 own, near, far, _ = symbols(*words_and_endings(raw), c)
-                at = np.arange(xxhash.xxh64_intdigest(raw) % every, len(own), every)
-                found.append(np.stack((near[at], far[at], own[at])))
-            near, far, nxt = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32()) for x in (near, far, nxt)], names=["near", "far", "next"])
+                for a in range(0, len(own), CHUNK):
+                    z = a + CHUNK
+                    yield pa.RecordBatch.from_arrays([pa.array(x[a:z], pa.int32()) for x in (near, far, own)],
+                                                     names=["near", "far", "next"])
 
     return texts.select("text").mapInArrow(run, "near int, far int, next int")
 
 
+def _chunks(batches, nth: int = 0, stride: int = 1):
+    """Every ``stride``-th triple, from the ``nth`` on, in arrays of about ``CHUNK`` rows."""
+    held, size, row = [], 0, 0
+    for b in batches:
+        x = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1).astype(np.int64)
+        held.append(x[(nth - row) % stride::stride])
+        row += len(x)
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
+def _summed(parts: DataFrame, label: str) -> np.ndarray | None:
+    """Sum of the arrays that the tasks made, read one after the other."""
+    total = None
+    for r in T.stored(parts, label).toLocalIterator():
+        x = np.frombuffer(r[0], np.float32).astype(np.float64)
+        total = x if total is None else total + x
+    return total
+
+
+def _profiles(triples: DataFrame, s: int, seed: int) -> DataFrame:
+    def run(batches):
+        total = None
+        for x in _chunks(batches):
+            part = _profile(s, x, seed)
+            total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    return triples.mapInArrow(run, "sums binary")
+
+
+def _met(near: np.ndarray, far: np.ndarray, nxt: np.ndarray, of: np.ndarray, s: int, g: int) -> dict[str, np.ndarray]:
+    """How often each row of the vectors was met."""
+    out, group = np.bincount(nxt, minlength=s), np.bincount(of[nxt], minlength=g)
+    return {"near": np.bincount(near, minlength=s), "far": np.bincount(far, minlength=s), "group": group, "out": out,
+            "group_bias": group, "bias": out}
+
+
+def _one_round(triples: DataFrame, shared, nth: int, stride: int, per_task: float, seed: int) -> DataFrame:
+    """Per task, the changes of its vectors times the times met, and those times."""
+
+    def run(batches):
+        p, weight, first, place = shared.value
+        trainer = _Trainer(weight, first, (seed, nth, TaskContext.get().partitionId()), p)
+        met, done = None, 0
+        for x in _chunks(batches, nth, stride):
+            x = place[x[trainer.rng.permutation(len(x))]]
+            for a in range(0, len(x), BATCH):
+                trainer.step(x[a:a + BATCH], _rate((nth + min(1.0, done / per_task)) / ROUNDS))
+                done += BATCH
+            here = _met(*x.T, trainer.of, trainer.s, trainer.g)
+            met = here if met is None else {k: met[k] + here[k] for k in met}
+        if met is not None:
+            moved = [((trainer.p[k] - p[k]) * met[k][:, None]).ravel() for k in p] + [met[k] for k in p]
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(moved).astype(np.float32).tobytes()], pa.binary())], names=["sums"])
+
+    return triples.mapInArrow(run, "sums binary")
+
+
 def _fit(train_rows: DataFrame, c: Counts, seed: int) -> None:
-    """Train the model of ``c`` and give the symbols their places in the groups."""
+    """Train the model of ``c`` on all triples and give the symbols their places in the groups."""
     spark = train_rows.sparkSession
-    every = max(1, c.tokens // (EXAMPLES * c.symbols))
-    got = T.stored(_examples(train_rows, spark.sparkContext.broadcast(c), every), "lm-examples").toArrow()
-    x = np.stack([got.column(k).to_numpy() for k in ("near", "far", "next")], axis=1).astype(np.int64)
-    x = x[np.lexsort(x.T)]                                     # in one order, however the rows came
-    order, first = _groups(c.symbols, x, seed)
+    triples = T.stored(_examples(train_rows, spark.sparkContext.broadcast(c)), "lm-examples")
+    tasks = max(1, min(triples.rdd.getNumPartitions(), c.tokens // TASK))
+    triples = triples.coalesce(tasks)
+    sums = _summed(_profiles(triples, c.symbols, seed), "lm-profile")
+    order, first = _split(np.zeros((c.symbols, 96)) if sums is None else sums.reshape(c.symbols, 96))
     place = np.empty(c.symbols, np.int64)
     place[order] = np.arange(c.symbols)
     weight = np.zeros(c.symbols)
     weight[c.head_symbol] = _lookup(c.heavy, c.times, c.head, 0)
     weight[c.unknown] = c.mass - 0.5
     weight[c.end] = c.texts
-    c.model = train(place[x], weight[order], first, seed)
+    p = _Trainer(weight[order], first, seed).p
+    stride = ROUNDS                                          # all triples once: a quarter of them in each round
+    while stride > 1 and c.tokens * ROUNDS // stride < EPOCHS * EXAMPLES * c.symbols:
+        stride //= 2
+    for nth in range(ROUNDS):
+        shared = spark.sparkContext.broadcast((p, weight[order], first, place))
+        got = _summed(_one_round(triples, shared, nth, stride, c.tokens / tasks / stride, seed), f"lm-round{nth}")
+        if got is None:
+            break
+        ends = np.cumsum([x.size for x in p.values()] + [len(x) for x in p.values()])[:-1]
+        cut = np.split(got, ends)
+        for (k, x), moved, met in zip(list(p.items()), cut[:len(p)], cut[len(p):], strict=True):
+            p[k] = (x + moved.reshape(x.shape) / np.maximum(met, 1)[:, None]).astype(np.float32)
+        shared.unpersist()
+    c.model = _model(first, p)
     c.head_symbol, c.unknown, c.end = place[c.head_symbol], place[c.unknown], int(place[c.end])
 
 
