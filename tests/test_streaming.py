@@ -302,3 +302,129 @@ def test_order_messages_are_parsed_or_rejected(spark):
     orders, rejects = parse_orders(spark.createDataFrame([(t, v) for v in [good, *bad]], "timestamp timestamp_ntz, value string"))
     assert [(r.order_id, r.side, r.open_qty, float(r.price), r.created_at) for r in orders.collect()] == [(1, "BUY", 3, 4.5, t)]
     assert rejects.count() == len(bad)
+
+
+def test_scores_hold_no_window_of_every_tick():
+    import tracemalloc
+    p = np.random.default_rng(3).normal(100, 1, 300_000)
+    tracemalloc.start()
+    idx, scores = emission_scores(np.empty(0), p, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20                                     # all windows: 480 MB
+    for i in (0, 3, 4, 4099, 4100, len(idx) - 1):
+        assert np.isclose(scores[i], p[max(0, idx[i] - 199):idx[i] + 1].std(ddof=1) * 1000)
+
+
+class _State:
+    """A state variable (map or value) and the handle that makes them, in memory."""
+
+    def __init__(self):
+        self.kept, self.made, self.timers = {}, {}, set()
+
+    def getMapState(self, name, *_):
+        return self.made.setdefault(name, _State())
+
+    getValueState = getListState = getMapState
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def exists(self):
+        return bool(self.kept)
+
+    def get(self):
+        return self.kept[None]
+
+    def update(self, value):
+        self.kept[None] = value
+
+    def put(self, rows):
+        self.kept[None] = rows
+
+    def keys(self):
+        return list(self.kept)
+
+    def getValue(self, key):
+        return self.kept[key]
+
+    def updateValue(self, key, value):
+        self.kept[key] = value
+
+    def removeKey(self, key):
+        del self.kept[key]
+
+
+def _orders_frame(n, seed=5):
+    from decimal import Decimal
+
+    import pandas as pd
+    rng = np.random.default_rng(seed)
+    at = np.datetime64("2024-01-01", "us") + np.sort(rng.integers(0, 50_000, n)).astype("timedelta64[s]")
+    return pd.DataFrame({"symbol": "A", "order_id": np.arange(n), "customer_id": rng.integers(0, 9, n),
+                         "side": np.where(rng.random(n) < .5, "BUY", "SELL").astype(object),
+                         "price": [Decimal(int(x)).scaleb(-2) for x in rng.integers(9000, 11000, n)], "created_at": at,
+                         "open_qty": rng.integers(1, 30, n), "at_ms": at.astype("datetime64[ms]").astype("int64")})
+
+
+def test_due_auctions_are_matched_in_turn(monkeypatch):
+    """However many auctions are due at once: the same trades, few orders held."""
+    import pandas as pd
+
+    from tickbook.streaming import matching
+
+    class Timer:
+        def getCurrentWatermarkInMs(self):
+            return 1 << 60
+
+        getExpiryTimeInMs = getCurrentWatermarkInMs
+    results, held = [], []
+    for due in (1 << 20, 100):
+        monkeypatch.setattr(matching, "DUE_ROWS", due)
+        m = matching.IntervalMatcher(3_600_000)
+        m.init(_State())
+        rows = _orders_frame(900)
+        list(m.handleInputRows(("A",), iter([rows[:500], rows[500:]]), None))
+        match = m._match
+        seen = []
+        m._match = lambda symbol, auctions: (seen.append(sum(map(len, auctions))), match(symbol, auctions))[1]  # noqa: B023
+        results.append(pd.concat(list(m.handleExpiredTimer(("A",), Timer(), Timer())), ignore_index=True))
+        held.append(seen)
+        assert not m.waiting.keys()
+    assert held[0] == [900] and max(held[1]) < 250 and sum(held[1]) == 900
+    assert len(results[0]) > 100 and results[0].astype(str).equals(results[1].astype(str))
+
+
+def test_trades_leave_in_frames_of_bounded_size(monkeypatch):
+    import pandas as pd
+
+    from tickbook.streaming import matching
+    monkeypatch.setattr(matching, "OUT_ROWS", 50)
+    m = matching.BookMatcher()
+    m.init(_State())
+    rows = _orders_frame(600)
+    frames = list(m.handleInputRows(("A",), iter([rows[:400], rows[400:]]), None))
+    want, _ = matching.sweep(matching._new_orders(rows))
+    got = pd.concat(frames, ignore_index=True)
+    assert max(map(len, frames)) == 50 and len(got) == len(want) > 100
+    assert got["quantity"].tolist() == want["quantity"].tolist()
+    assert [int(p * 100) for p in got["trade_price"]] == want["cents"].tolist()
+
+
+def test_risk_of_a_symbol_in_unordered_batches(monkeypatch):
+    import pandas as pd
+
+    from tickbook.streaming import risk
+    monkeypatch.setattr(risk, "OUT_ROWS", 64)
+    rng = np.random.default_rng(2)
+    ticks = pd.DataFrame({"symbol": "A", "ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 99, 700), unit="s"),
+                          "seq": rng.permutation(700), "price": rng.normal(100, 1, 700)})
+    r = risk.RollingRisk()
+    r.init(_State())
+    frames = list(r.handleInputRows(("A",), iter([ticks[:300], ticks[300:]]), None))
+    got = pd.concat(frames, ignore_index=True)
+    ordered = ticks.sort_values(["ts", "seq"], ignore_index=True)
+    idx, scores = emission_scores(np.empty(0), ordered["price"].to_numpy(), 0)
+    assert max(map(len, frames)) == 64 and got["tick_no"].tolist() == (idx + 1).tolist()
+    assert got["seq"].tolist() == ordered["seq"][idx].tolist() and np.array_equal(got["risk_score"], scores)
+    assert (got["risk_ts"].to_numpy() == ordered["ts"].to_numpy()[idx]).all()

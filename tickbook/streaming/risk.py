@@ -23,6 +23,10 @@ from ..operators.risk import STRIDE, WINDOW_SIZE
 RISK_OUT = "symbol string, risk_ts timestamp, seq bigint, tick_no bigint, risk_score double"
 
 
+SLICE = 1 << 12             # windows scored at once
+OUT_ROWS = 1 << 16          # emissions of one frame
+
+
 def emission_scores(prev: np.ndarray, prices: np.ndarray, n0: int, window: int = WINDOW_SIZE,
                     stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
     """(indices into ``prices``, scores) of the emissions.
@@ -37,10 +41,11 @@ def emission_scores(prev: np.ndarray, prices: np.ndarray, n0: int, window: int =
     scores = np.empty(len(idx))
     end = len(prev) + idx + 1                           # exclusive end in allp
     full = n[idx] >= window
-    if full.any():
+    whole = np.nonzero(full)[0]
+    for a in range(0, len(whole), SLICE):                # a copy of the windows of a slice only
+        at = whole[a:a + SLICE]
         views = np.lib.stride_tricks.sliding_window_view(allp, window)
-        rows = views[end[full] - window]
-        scores[full] = rows.std(axis=1, ddof=1) * 1000.0
+        scores[at] = views[end[at] - window].std(axis=1, ddof=1) * 1000.0
     for j in np.nonzero(~full)[0]:
         seg = allp[max(0, end[j] - window):end[j]]
         scores[j] = seg.std(ddof=1) * 1000.0 if len(seg) >= 2 else 0.0
@@ -53,19 +58,23 @@ class RollingRisk(StatefulProcessor):
         self.count = handle.getValueState("count", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
+        # three numbers a tick, in event order
+        parts = [(c["ts"].to_numpy(), c["seq"].to_numpy(), c["price"].to_numpy(dtype="float64")) for c in rows]
+        ts, seq, prices = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        order = np.lexsort((seq, ts))
+        ts, seq, prices = ts[order], seq[order], prices[order]
+        del order
         prev = np.array([r[0] for r in self.window.get()], dtype="float64") if self.window.exists() else np.empty(0)
         n0 = int(self.count.get()[0]) if self.count.exists() else 0
-        prices = batch["price"].to_numpy(dtype="float64")
         idx, scores = emission_scores(prev, prices, n0)
-        tail = np.concatenate([prev, prices])[-(WINDOW_SIZE - 1):]
+        tail = np.concatenate([prev, prices[-(WINDOW_SIZE - 1):]])[-(WINDOW_SIZE - 1):]
         self.window.put([(float(x),) for x in tail])
         self.count.update((n0 + len(prices),))
-        if len(idx):
-            sel = batch.iloc[idx]
-            yield pd.DataFrame({"symbol": key[0], "risk_ts": sel["ts"].to_numpy(),
-                                "seq": sel["seq"].to_numpy(dtype="int64"),
-                                "tick_no": (n0 + idx + 1).astype("int64"), "risk_score": scores})
+        for a in range(0, len(idx), OUT_ROWS):
+            at = idx[a:a + OUT_ROWS]
+            yield pd.DataFrame({"symbol": key[0], "risk_ts": ts[at], "seq": seq[at].astype("int64"),
+                                "tick_no": (n0 + at + 1).astype("int64"), "risk_score": scores[a:a + OUT_ROWS]})
 
     def close(self) -> None:
         pass
