@@ -179,3 +179,34 @@ def test_no_self_sweeps_only_touched_symbols_again(spark):
     cancelled = rounds[1].groupBy("round").agg(F.countDistinct("symbol").alias("n")).orderBy("round").collect()
     symbols = [r.n for r in cancelled]
     assert symbols == sorted(symbols, reverse=True) and 2 <= len(symbols) < oracle.NO_SELF_ROUNDS
+
+
+def test_a_cell_holds_numbers_only():
+    """Many resting buys and trades of one cell in little memory."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    n = 60_000
+    rng = np.random.default_rng(1)
+    zero = np.zeros(n, np.int64)
+    rows = pa.table({"symbol": pa.array(["S"] * n), "side": pa.array(np.where(rng.random(n) < .6, "BUY", "SELL")),
+                     "order_id": rng.permutation(n), "customer_id": pa.array([None] + [5] * (n - 1), pa.int64()),
+                     "cents": rng.integers(900, 1100, n), "open_qty": rng.integers(1, 50, n),
+                     "created_at": pa.array(rng.integers(0, 10 ** 6, n), pa.timestamp("us")), "band": zero, "slice": zero,
+                     "last_band": zero, "last_slice": zero + 1})
+    tracemalloc.start()
+    out = matching_rules._match_cell(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 * n
+    t = out.filter(pa.compute.equal(out["kind"], "T")).to_pandas()
+    left = out.filter(pa.compute.equal(out["kind"], "O")).to_pandas()
+    orders = rows.to_pandas().set_index("order_id")
+    traded = t.groupby("other_id")["open_qty"].sum()
+    assert len(t) > 10_000 and (traded <= orders.loc[traded.index, "open_qty"]).all()
+    assert (orders.loc[t["other_id"], "cents"].to_numpy() >= t["cents"].to_numpy()).all()
+    buys = orders[orders["side"] == "BUY"]["open_qty"]
+    rest = buys.sub(traded.reindex(buys.index, fill_value=0))
+    assert left.set_index("order_id")["open_qty"].to_dict() == rest[rest > 0].to_dict() and set(left["slice"]) == {1}
+    assert t["nth"].tolist() == t.groupby("order_id").cumcount().tolist()
