@@ -1,0 +1,54 @@
+"""The numbered table of lines."""
+
+import datetime as dt
+import glob
+import itertools
+import random
+
+import pyarrow.parquet as pq
+
+from tickbook.session import checkpoint_root, scratch_path
+from tickbook.sources import fixtures as fx
+
+LINE = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+
+
+def _tables(spark):
+    """Lines with repeated and null keys, some without an order or a part."""
+    rng = random.Random(3)
+    keys = [None, *range(12)]
+    line = [(rng.choice(keys), rng.choice(keys), rng.choice(keys), i % 5, float(i % 50), 900.0 + i, 0.1, 0.02, rng.choice("ANR"),
+             rng.choice("FO"), dt.datetime(2000, 1, 1) + dt.timedelta(days=rng.randrange(4))) for i in range(300)]
+    order = [(k, 100 + k) for k in range(10)] + [(3, 900), (None, 901)]
+    part = [(k, f"Brand#{k % 4}") for k in range(11)]
+    out = scratch_path(spark, "line-tables")
+    for name, rows, schema in (("lineitem", line, LINE), ("orders", order, "o_orderkey bigint, o_custkey bigint"),
+                               ("part", part, "p_partkey bigint, p_brand string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{out}/{name}.parquet")
+    joined = [(*ln, c, b) for ln, (o, c), (p, b) in itertools.product(line, order, part)
+              if ln[0] is not None and ln[1] is not None and ln[0] == o and ln[1] == p]
+    return out, joined
+
+
+def test_lines_are_numbered_and_only_what_is_read_is_written(spark):
+    path, joined = _tables(spark)
+    folder = checkpoint_root(spark).removeprefix("file:") + "/tickbook/index-n-*"
+    before = set(glob.glob(folder))
+    got = fx.lines(spark, path).collect()
+    day = lambda r: (r[10], r[0], r[3], r[1], r[2] is not None, r[2] or 0, r[4], r[5])
+    want = [(r[10], r[5]) for r in sorted(joined, key=day)]
+    assert sorted(r.n for r in got) == list(range(1, len(joined) + 1))
+    assert [(r.l_shipdate, r.l_extendedprice) for r in sorted(got, key=lambda r: r.n)] == want
+    written, = set(glob.glob(folder)) - before
+    assert pq.read_schema(glob.glob(written + "/*.parquet")[0]).names == [*fx.LINE_COLS, "_tb_mid"]
+
+
+def test_the_wide_lines_are_not_sorted_for_the_joins(spark, monkeypatch):
+    path, _ = _tables(spark)
+    seen = []
+    number = fx.with_global_index
+    monkeypatch.setattr(fx, "with_global_index", lambda df, *a, **k: (seen.append(df._jdf.queryExecution().executedPlan().toString()), number(df, *a, **k))[1])
+    fx.lines(spark, path)
+    assert seen[0].count("ShuffledHashJoin") == 2
+    assert "SortMergeJoin" not in seen[0] and "Broadcast" not in seen[0]
