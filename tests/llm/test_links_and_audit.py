@@ -265,6 +265,32 @@ def test_large_counts_are_priced_exactly():
     assert divergence.price(c, total, 4).tolist() == [1 + 10 ** 9 * (int(x) + 1) // (total + 4) for x in c]
 
 
+def test_large_counts_are_priced_exactly_in_spark(spark):
+    c = [0, 5, 10 ** 9, (1 << 63) // 10 ** 9 - 2, (1 << 63) // 10 ** 9 - 1, (1 << 63) // 10 ** 9, 10 ** 10, 9 * 10 ** 15]
+    df = spark.createDataFrame([(x, sum(c), 4) for x in c], "n long, total long, v long")
+    got = [tuple(r) for r in df.select("n", divergence._price("n", "total", "v")).collect()]
+    assert sorted(got) == [(x, 1 + 10 ** 9 * (x + 1) // (sum(c) + 4)) for x in c]
+
+
+def test_partial_counts_are_added_up_after_the_shuffle_only(spark):
+    """Most keys leave a scan task once; one more hash table there cost more CPU than its rows."""
+    docs = spark.createDataFrame([("a b a", "en", "s"), ("B", "en", "s"), (None, "de", None)] * 3, "text string, lang string, source string")
+    got = divergence.summed(divergence.term_counts(docs))
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in plan[plan.index("MapInArrow"):]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+    assert Counter(tuple(r) for r in got.collect()) == Counter({
+        ("en", "s", None, 0, 0): 1, ("en", "s", "a", 6, 3): 1, ("en", "s", "b", 6, 6): 1, ("de", "", None, 0, 0): 1})
+
+
+def test_terms_are_never_cut(monkeypatch):
+    monkeypatch.setattr(divergence, "TEXT_BLOCK", 3)
+    raw = "Don't Éa--x1Yyyyyyy 東京\x85z\xa0q".encode()
+    want = re.findall(rb"[a-z\x80-\xff]+", raw.lower())
+    assert [x for block in divergence._terms(raw) for x in block] == want
+
+
 def test_gallop_finds_all_common_values():
     rng = np.random.default_rng(7)
     for _ in range(300):

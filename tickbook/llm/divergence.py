@@ -3,7 +3,8 @@ of every other source of its language, and by which terms.
 
 1. Terms (runs of ASCII letters and non-ASCII characters, A-Z lower-cased) are
    counted by (lang, source, term) inside the scan tasks, together with the
-   number of documents that hold the term; Spark adds the partial counts up.
+   number of documents that hold the term; Spark adds the partial counts up,
+   once they are shuffled.
 2. A language keeps the terms of at least ``min_docs`` of its documents; they
    get dense ids by a parallel numbering over (lang, term).
 3. A group's counts become arrays of (term id, count), sorted by id and cut
@@ -32,12 +33,12 @@ names do no harm.  Long texts are counted in blocks.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import with_global_index
@@ -47,23 +48,20 @@ SCALE = 1_000_000_000
 SHARD = 1 << 16            # term ids per array
 HELD = 1 << 19             # distinct (group, term) a scan task holds before it hands them on
 TEXT_BLOCK = 1 << 20       # bytes of a text counted at once
-_LETTERS = re.compile(rb"[A-Za-z\x80-\xff]+")
+# letters and bytes of other characters, A-Z lower-cased; every other byte is a space
+_LETTERS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256)).lower()
 _COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
 
-def _terms(raw: bytes) -> Counter:
-    """Counts of the terms of one text."""
-    if len(raw) <= TEXT_BLOCK:
-        return Counter(_LETTERS.findall(raw.lower()))
-    out: Counter = Counter()
+def _terms(raw: bytes) -> Iterator[list[bytes]]:
+    """The terms of one text in order, a block of it at a time."""
     at = 0
     while at < len(raw):
         end = min(at + TEXT_BLOCK, len(raw))
-        while end < len(raw) and _LETTERS.match(raw, end, end + 1):   # never cut inside a term
+        while end < len(raw) and _LETTERS[raw[end]] != 0x20:            # never cut inside a term
             end += 1
-        out.update(_LETTERS.findall(raw[at:end].lower()))
+        yield raw[at:end].translate(_LETTERS).split()
         at = end
-    return out
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -93,9 +91,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
             for raw, lang, source in zip(T.utf8(b.column(0)), langs, sources):
                 n, d = groups.setdefault((lang, source), (Counter(), Counter()))
                 before = len(n)
-                found = _terms(raw)
-                n.update(found)
-                d.update(found.keys())
+                there: set = set()
+                for found in _terms(raw):
+                    n.update(found)
+                    there.update(found)
+                d.update(there)
                 held += len(n) - before
                 if held > HELD:
                     yield from flush()
@@ -106,6 +106,13 @@ def term_counts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).mapInArrow(run, _COUNTS)
 
 
+def summed(parts: DataFrame) -> DataFrame:
+    """The partial counts added up.  A scan task hands most keys on just once, so that summing
+    before the shuffle, too, costs more than the rows it saves."""
+    return parts.repartition("lang", "source", "term").groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
 def price(counts: np.ndarray, total: int, kept: int) -> np.ndarray:
     """1 + floor(SCALE * (count + 1) / (total + kept)) for each count."""
     if len(counts) and (int(counts.max()) + 1) * SCALE >= 1 << 63:
@@ -210,8 +217,7 @@ def audit(docs: DataFrame, min_docs: int = 3, top_terms: int = 200) -> DataFrame
     Ranks go by value descending, then item ascending in UTF-8 order."""
     spark = docs.sparkSession
     T.prepare(spark)
-    counts = T.stored(term_counts(docs).groupBy("lang", "source", "term")
-                      .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "divergence-counts")
+    counts = T.stored(summed(term_counts(docs)), "divergence-counts")
     seen = counts.where("term IS NULL").select("lang", "source")
     lexicon = (counts.where("term IS NOT NULL").groupBy("lang", "term")
                .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs)
@@ -251,14 +257,9 @@ def audit(docs: DataFrame, min_docs: int = 3, top_terms: int = 200) -> DataFrame
         both.select("lang", F.col("b").alias("source"), F.col("a").alias("item"), F.coalesce("ba", zero).alias("value")))
 
     # terms of a group against its language
-    def p(count, total):
-        scaled = F.lit(SCALE).cast("decimal(20,0)") * (F.col(count) + 1).cast("decimal(18,0)")
-        whole = (F.col(total) + F.col("v")).cast("decimal(20,0)")
-        return (F.lit(1) + _quotient(scaled, whole)).cast("bigint")
-
     priced = (kept.join(groups, ["lang", "source"])
-                  .select("lang", "source", F.col("term").alias("item"), p("n", "total").alias("_p"),
-                          p("lang_n", "lang_total").alias("_q")).where("_p > _q")
+                  .select("lang", "source", F.col("term").alias("item"), _price("n", "total", "v").alias("_p"),
+                          _price("lang_n", "lang_total", "v").alias("_q")).where("_p > _q")
                   .select("lang", "source", "item", F.expr("(_p - _q) * (_p - _q) div _q").alias("value")))
     order = [F.desc("value"), F.asc("item")]
     ranked = Window.partitionBy("lang", "source").orderBy(*order)
@@ -269,6 +270,14 @@ def audit(docs: DataFrame, min_docs: int = 3, top_terms: int = 200) -> DataFrame
             .unionByName(term_rows.withColumn("part", F.lit("term")).select(cols)))
 
 
+def _price(count: str, total: str, kept: str) -> Column:
+    """``price`` of a column; a product that would not fit 64 bits is taken as a decimal."""
+    more, whole = F.col(count) + 1, F.col(total) + F.col(kept)
+    short = _quotient(F.lit(SCALE).cast("bigint") * more, whole)
+    exact = _quotient(F.lit(SCALE).cast("decimal(20,0)") * more.cast("decimal(18,0)"), whole.cast("decimal(20,0)"))
+    return (F.lit(1) + F.when(more < F.lit((1 << 63) // SCALE), short).otherwise(exact)).cast("bigint")
+
+
 def _quotient(x, y):
-    """Whole quotient of two whole non-negative decimals (``div`` gives a bigint)."""
+    """Whole quotient of two whole non-negative numbers (``div`` gives a bigint)."""
     return F.call_function("div", x, y)
