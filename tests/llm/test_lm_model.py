@@ -110,3 +110,54 @@ def test_held_out_texts_against_counts_and_shuffled(spark):
     long = [i for i, t in rows if len(t.split()) >= 20]
     higher = sum(got[i].score > got[i + 10 ** 6].score for i in long)
     assert len(long) > 150 and higher >= 0.9 * len(long), higher / len(long)
+
+
+def test_a_step_follows_the_exact_gradient():
+    """The first step of Adam goes against the sign of the exact loss's gradient, all symbols being priced."""
+    rng = np.random.default_rng(5)
+    s, first = 12, np.array([0, 4, 8, 12])
+    x = rng.integers(0, s, (200, 3))
+    start = lm._Trainer(np.ones(s), first, 1, {k: 10 * v for k, v in lm._Trainer(np.ones(s), first, 1).p.items()})
+
+    def loss(p):
+        return -lm._model(first, p).log10(x[:, 2], x[:, 0], x[:, 1]).mean()
+
+    before = {k: v.astype(float).copy() for k, v in start.p.items()}
+    start.step(x, 0.001)
+    for key, at in (("near", (3, 5)), ("far", (7, 0)), ("group", (1, 9)), ("out", (10, 31)), ("group_bias", (2, 0)), ("bias", (6, 0))):
+        up, down = ({k: v.copy() for k, v in before.items()} for _ in range(2))
+        up[key][at] += 0.1
+        down[key][at] -= 0.1
+        slope = loss(up) - loss(down)
+        assert abs(slope) > 1e-4 and (start.p[key][at] - before[key][at]) * slope < 0, key
+    assert loss(start.p) < loss(before)
+
+
+def test_several_texts_taken_together_give_what_each_gives():
+    raws = [b"", b"a Bb a", b" \n ", b"one", "é Été x\ty ".encode(), b"w" * (T.BLOCK + 9), b"a b " * T.BLOCK, b"", b"last one"]
+    got = list(lm.tokens(raws))
+    assert len(got) < len(raws)
+    words, endings, counts = (np.concatenate(x) for x in zip(*got))
+    each = [lm.words_and_endings(r) for r in raws]
+    assert counts.tolist() == [len(w) for w, _ in each]
+    assert (words == np.concatenate([w for w, _ in each])).all() and (endings == np.concatenate([e for _, e in each])).all()
+    head = np.unique(words)[:4]
+    c = lm.Counts(1, 1, 1, head, np.ones(4), head, np.arange(4), 4 + np.arange(lm.TAIL), 4 + lm.TAIL, np.ones(lm.TAIL))
+    for i, part in enumerate(zip(*(lm.symbols(w, e, c) for w, e in each))):
+        assert (lm.symbols(words, endings, c, counts)[i] == np.concatenate(part)).all()
+
+
+def test_tokens_are_stored_without_a_row_each(spark, monkeypatch):
+    """Rows of the stored symbols: a few for many texts; read back, they are the triples of every text."""
+    monkeypatch.setattr(lm, "ROW", 50)
+    T.prepare(spark)
+    docs = spark.createDataFrame([("a b c a b",), (None,), ("",), ("x " * 120 + "a",), ("b",)] * 20, "text string").coalesce(1)
+    c, _, _ = lm._gather(docs)
+    rows = lm._stream(docs, type("S", (), {"value": c})).toArrow()
+    assert rows.num_rows < 2 + c.tokens / 50
+    got = np.concatenate(list(lm._chunks(rows.to_batches(), c.symbols, c.end)))
+    want = [np.stack((near, far, own), axis=1) for own, near, far, _ in
+            (lm.symbols(*lm.words_and_endings((r.text or "").encode()), c) for r in docs.collect())]
+    assert len(got) == c.tokens and (got == np.concatenate(want)).all()
+    for nth in range(4):
+        assert (np.concatenate(list(lm._chunks(rows.to_batches(), c.symbols, c.end, nth, 4))) == got[nth::4]).all()

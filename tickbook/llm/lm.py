@@ -1,8 +1,8 @@
 """Language-model scores of documents.
 
 Base: log10 probabilities of single tokens (add-1/2 counts).  Model: a
-log-bilinear neural model over symbols, trained in numpy by noise-contrastive
-estimation.
+log-bilinear neural model over symbols, trained in numpy on the exact
+log-likelihood.
 
 * Symbols are the ``WORDS * N^(1/3)`` most frequent words of the N training
   tokens, the text's end, and ``TAIL`` unknown classes: a word without a symbol
@@ -26,8 +26,11 @@ large corpus and up to ``EPOCHS`` times in a small one (until there were ``EXAMP
 per symbol and epoch).  Training runs in the tasks: in each of ``ROUNDS`` Spark jobs
 every task goes through its share of the triples (a part of ``TASK`` or more) from
 the vectors that the round before left, and the changes of its vectors are averaged,
-weighted by how often it met the symbol.  The driver holds the vectors, and those of
-one task at a time; the triples stay in the scratch folder.
+weighted by how often it met the symbol.  A step takes the same products by groups as
+a score, forth and back, and as many triples (two for each symbol or more) that moving all
+vectors costs little beside them.  The driver holds the vectors, and those of one task
+at a time; the symbols stay in the scratch folder, in the order of the texts, as
+arrays of ``ROW`` that the tasks read without a row per token.
 
 Tokens that make up at least ``HEAVY`` of the corpus are at most 1 / HEAVY and
 go to the tasks as a broadcast, with the vectors (S * 100 numbers for S symbols);
@@ -51,9 +54,9 @@ HEAVY = 1e-6
 WORDS, LEAST = 10, 5                # own symbols: WORDS * N^(1/3) words that occur LEAST times or more
 TAIL = 135                          # unknown classes, by hashed endings
 DIM, EXAMPLES, EPOCHS, BATCH = 32, 256, 4, 4096
-NOISE, NOISE_IN = 64, 8             # noise groups a batch, noise symbols of the true group an example
-SLICE = 1 << 15                     # tokens normalised at once
+SLICE, ROWS = 1 << 13, 1 << 10      # tokens normalised at once, vectors moved at once: few enough for the processor's cache
 ROUNDS, TASK, CHUNK = 4, 1 << 22, 1 << 19     # averages of the vectors; triples of a task; triples put in a random order at once
+ROW = 1 << 14                       # symbols of a stored array; pairs of neighbours taken together
 
 
 @dataclass
@@ -98,7 +101,7 @@ class Model:
             h = np.ones((len(s), DIM + 1), np.float32)          # the last column takes the biases
             np.add(self.near[before[a:a + SLICE]], self.far[before2[a:a + SLICE]], out=h[:, :DIM])
             of = np.searchsorted(self.first, s, side="right") - 1
-            order = np.argsort(of, kind="stable")               # one product per group
+            order = _by_id(of, len(self.first))                 # one product per group
             s, of, h = s[order], of[order], h[order]
             logs = _log_share(h @ group.T, of)
             cuts = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
@@ -116,7 +119,27 @@ def _log_share(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     if high > 60:                                               # far from what single precision can hold
         scores -= high
         own -= high
-    return own - np.log(np.maximum(np.exp(scores, out=scores).sum(axis=1, dtype=np.float32), 1e-37))
+    return own - np.log(_row_sums(np.exp(scores, out=scores)))
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    """Sums of the rows, above 0 (a product is faster than ``sum`` over short rows)."""
+    return np.maximum(x @ np.ones(x.shape[1], np.float32), np.float32(1e-37))
+
+
+def _rest(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What softmax(scores) lacks of certainty at one place per row; ``scores`` is overwritten."""
+    if float(scores.max(initial=0.0)) > 60:
+        scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores *= (-1 / _row_sums(scores))[:, None]
+    scores[np.arange(len(at)), at] += 1
+    return scores
+
+
+def _by_id(ids: np.ndarray, n: int) -> np.ndarray:
+    """The stable order of ids below n (numpy sorts 16 bits by counting)."""
+    return np.argsort(ids.astype(np.uint16) if n <= 1 << 16 else ids, kind="stable")
 
 
 def words_and_endings(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +156,20 @@ def words_and_endings(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(words), np.concatenate(ends).astype(np.int64)
 
 
+def tokens(raws: list[bytes]):
+    """Slices of the texts, taken together: words and endings of all their texts, and the number of words of each."""
+    for i, j in T.by_size(raws, T.BLOCK - len(raws)):
+        if j - i == 1:
+            words, ends = words_and_endings(raws[i])
+            yield words, ends, np.array([len(words)])
+        else:
+            buf = np.frombuffer(b" ".join(raws[i:j]).lower(), np.uint8)
+            s, e = T.runs(~T.SPACES[buf])
+            at = np.cumsum([0] + [len(r) + 1 for r in raws[i:j]])
+            yield (T.hash_runs(buf, s, e), (T.hash_runs(buf, np.maximum(s, e - 3), e) % np.uint64(TAIL)).astype(np.int64),
+                   np.diff(np.searchsorted(s, at)))
+
+
 def _lookup(keys: np.ndarray, values: np.ndarray, x: np.ndarray, missing) -> np.ndarray:
     if not len(keys):
         return np.full(len(x), missing, values.dtype)
@@ -140,14 +177,24 @@ def _lookup(keys: np.ndarray, values: np.ndarray, x: np.ndarray, missing) -> np.
     return np.where(keys[at] == x, values[at], missing)
 
 
-def symbols(words: np.ndarray, endings: np.ndarray, c: Counts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def symbols(words: np.ndarray, endings: np.ndarray, c: Counts, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Symbol of every token and of the end, of the token before and two before it (before a
-    text: the end), and the unknown class of each token (-1: it has its own symbol)."""
-    own = np.append(_lookup(c.head, c.head_symbol, words, -1), c.end)
-    unknown = np.where(own[:-1] < 0, endings, -1)
-    own[:-1] = np.where(own[:-1] < 0, c.unknown[endings], own[:-1])
-    before = np.concatenate(([c.end, c.end], own)).astype(np.int32)
-    return before[2:], before[1:-1], before[:-2], unknown
+    text: the end), and the unknown class of each token (-1: it has its own symbol).
+    ``counts``: the words belong to several texts with so many each, and every text has its end."""
+    counts = np.array([len(words)]) if counts is None else counts
+    own = np.full(len(words) + len(counts), c.end)
+    a_word = np.ones(len(own), bool)
+    a_word[np.cumsum(counts + 1) - 1] = False
+    known = _lookup(c.head, c.head_symbol, words, -1)
+    unknown = np.where(known < 0, endings, -1)
+    own[a_word] = np.where(known < 0, c.unknown[endings], known)
+    return *_with_before(np.concatenate(([c.end, c.end], own)).astype(np.int32), c.end), unknown
+
+
+def _with_before(own: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols from the third on, those before, and two before them; what stands before an end is of another text."""
+    near = own[1:-1]
+    return own[2:], near, np.where(near == end, np.int32(end), own[:-2])
 
 
 def _profile(s: int, examples: np.ndarray, seed: int) -> np.ndarray:
@@ -155,12 +202,16 @@ def _profile(s: int, examples: np.ndarray, seed: int) -> np.ndarray:
     random = np.random.default_rng(seed).normal(size=(2, s, 48)).astype(np.float32)
     near, _, nxt = examples.T
     profile = np.zeros((s, 96), np.float32)
-    for side, (who, beside) in enumerate(((nxt, near), (near, nxt))):
-        pairs, n = np.unique(who * s + beside, return_counts=True)
-        who, beside = np.divmod(pairs, s)
-        starts = np.flatnonzero(np.diff(who, prepend=-1))
-        if len(starts):
-            profile[who[starts], 48 * side:48 * side + 48] = np.add.reduceat(random[side][beside] * n[:, None].astype(np.float32), starts, axis=0)
+    pairs, n = np.unique(nxt.astype(np.int64) * s + near, return_counts=True)
+    nxt, near = np.divmod(pairs, s)
+    other = np.argsort(near, kind="stable")
+    for side, (who, beside, n) in enumerate(((nxt, near, n), (near[other], nxt[other], n[other]))):
+        for a in range(0, len(who), ROW):                       # few enough to stay in the processor's cache
+            w = who[a:a + ROW]
+            starts = np.flatnonzero(np.diff(w, prepend=-1))
+            rows = random[side][beside[a:a + ROW]]
+            rows *= n[a:a + ROW, None].astype(np.float32)
+            profile[w[starts], 48 * side:48 * side + 48] += np.add.reduceat(rows, starts, axis=0)
     return profile
 
 
@@ -191,7 +242,7 @@ def _split(profile: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _sum_rows(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Rows summed by id."""
-    order = np.argsort(ids, kind="stable")
+    order = _by_id(ids, n)
     starts = np.flatnonzero(np.diff(ids[order], prepend=-1))
     out = np.zeros((n, rows.shape[1]), np.float32)
     out[ids[order][starts]] = np.add.reduceat(rows[order], starts, axis=0)
@@ -199,61 +250,63 @@ def _sum_rows(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 
 class _Trainer:
-    """Steps of noise-contrastive estimation (Adam) on the vectors ``p``, from a random start unless given."""
+    """Steps (Adam) up the exact log-likelihood of the vectors ``p``, from a random start unless given."""
 
     def __init__(self, weight: np.ndarray, first: np.ndarray, seed, p: dict[str, np.ndarray] | None = None):
         self.rng = rng = np.random.default_rng(seed)
         self.first = first
         self.s, self.g = s, g = len(weight), len(first) - 1
+        self.batch = max(BATCH, 2 * s)
         self.of = of = np.repeat(np.arange(g), np.diff(first))
-        share = (weight + 0.5) / (weight + 0.5).sum()
-        self.group_share = np.add.reduceat(share, first[:-1])
-        inside = share / self.group_share[of]
-        self.upto, self.group_upto = np.cumsum(share), np.cumsum(self.group_share)
-        self.log_noise = np.log(NOISE * self.group_share).astype(np.float32)
-        self.log_inside = np.log(NOISE_IN * inside).astype(np.float32)
         if p is None:
+            share = (weight + 0.5) / (weight + 0.5).sum()
+            group_share = np.add.reduceat(share, first[:-1])
             p = {"near": rng.normal(0, 0.05, (s, DIM)), "far": rng.normal(0, 0.05, (s, DIM)), "group": rng.normal(0, 0.05, (g, DIM)),
-                 "out": rng.normal(0, 0.05, (s, DIM)), "group_bias": np.log(self.group_share)[:, None], "bias": np.log(inside)[:, None]}
-        self.p = {k: v.astype(np.float32) for k, v in p.items()}           # a copy
-        self.m, self.v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+                 "out": rng.normal(0, 0.05, (s, DIM)), "group_bias": np.log(group_share)[:, None], "bias": np.log(share / group_share[of])[:, None]}
+        # copies; the last column of a group or next token is its bias
+        w = {"near": p["near"], "far": p["far"], "group": np.hstack((p["group"], p["group_bias"])), "out": np.hstack((p["out"], p["bias"]))}
+        self.w = {k: x.astype(np.float32) for k, x in w.items()}
+        self.p = {**self.w, "group": self.w["group"][:, :DIM], "out": self.w["out"][:, :DIM],
+                  "group_bias": self.w["group"][:, DIM:], "bias": self.w["out"][:, DIM:]}
+        self.m, self.v = ({k: np.zeros_like(x) for k, x in self.w.items()} for _ in range(2))
         self.t = 0
 
     def step(self, examples: np.ndarray, rate: float) -> None:
-        p, s, g, first, of, rng = self.p, self.s, self.g, self.first, self.of, self.rng
+        w, first = self.w, self.first
         self.t += 1
-        near, far, nxt = examples.T
-        n, true = len(nxt), of[nxt]
-        h = p["near"][near] + p["far"][far]
-        # the group: noise groups shared by the batch
-        k = np.minimum(np.searchsorted(self.group_upto, rng.random(NOISE)), g - 1)
-        up = _sigmoid(self.log_noise[true] - (h * p["group"][true]).sum(axis=1) - p["group_bias"][true, 0])
-        down = -_sigmoid(h @ p["group"][k].T + p["group_bias"][k, 0] - self.log_noise[k])
-        d_h = up[:, None] * p["group"][true] + down @ p["group"][k]
-        grad = {"group": _sum_rows(np.concatenate((true, k)), np.concatenate((up[:, None] * h, down.T @ h)), g),
-                "group_bias": (np.bincount(true, up, g) + np.bincount(k, down.sum(axis=0), g))[:, None]}
-        # the symbol: noise symbols of the true group for each example
-        lo = np.concatenate(([0], self.upto))[first[true]]
-        j = np.searchsorted(self.upto, lo[:, None] + rng.random((n, NOISE_IN)) * self.group_share[true][:, None])
-        j = np.clip(j, first[true][:, None], first[true + 1][:, None] - 1)
-        up = _sigmoid(self.log_inside[nxt] - (h * p["out"][nxt]).sum(axis=1) - p["bias"][nxt, 0])
-        noise = p["out"][j]
-        down = -_sigmoid(np.einsum("nd,nkd->nk", h, noise) + p["bias"][j, 0] - self.log_inside[j])
-        d_h += up[:, None] * p["out"][nxt] + np.einsum("nk,nkd->nd", down, noise)
-        ids, by = np.concatenate((nxt, j.ravel())), np.concatenate((up, down.ravel()))
-        grad["out"] = _sum_rows(ids, by[:, None] * np.concatenate((h, np.repeat(h, NOISE_IN, axis=0))), s)
-        grad["bias"] = np.bincount(ids, by, s)[:, None]
-        grad["near"], grad["far"] = _sum_rows(near, d_h, s), _sum_rows(far, d_h, s)
-        for key, x in grad.items():
-            x = (x / n).astype(np.float32)
-            m, v = self.m[key], self.v[key]
-            m *= 0.9
-            m += 0.1 * x
-            v *= 0.999
-            v += 0.001 * x * x
-            size = np.sqrt(v)
-            size += 1e-6
-            p[key] += (rate * math.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)) * (m / size)
+        of = self.of[examples[:, 2]]
+        order = _by_id(of, self.g)
+        of, (near, far, nxt) = of[order], examples[order].T
+        h = np.ones((len(nxt), DIM + 1), np.float32)
+        np.add(w["near"][near], w["far"][far], out=h[:, :DIM])
+        rest = _rest(h @ w["group"].T, of)
+        d_h = rest @ w["group"]
+        grad = {"group": rest.T @ h, "out": np.zeros_like(w["out"])}
+        cuts = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
+        for i, z in zip(cuts, [*cuts[1:], len(of)]):                        # the symbols of one group
+            lo, hi = first[of[i]], first[of[i] + 1]
+            out = w["out"][lo:hi]
+            rest = _rest(h[i:z] @ out.T, nxt[i:z] - lo)
+            d_h[i:z] += rest @ out
+            np.matmul(rest.T, h[i:z], out=grad["out"][lo:hi])
+        grad["near"], grad["far"] = (_sum_rows(x, d_h[:, :DIM], self.s) for x in (near, far))
+        rate *= math.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)
+        for key, whole in grad.items():
+            for a in range(0, len(whole), ROWS):
+                x, m, v, at = (y[a:a + ROWS] for y in (whole, self.m[key], self.v[key], w[key]))
+                x /= len(nxt)
+                m *= 0.9
+                v *= 0.999
+                size = x * x
+                size *= 0.001
+                v += size
+                x *= 0.1
+                m += x
+                np.sqrt(v, out=size)
+                size += 1e-6
+                np.divide(m, size, out=size)
+                size *= rate
+                at += size
 
 
 def _rate(done: float) -> float:
@@ -270,20 +323,16 @@ def train(examples: np.ndarray, weight: np.ndarray, first: np.ndarray, seed: int
 
     ``examples``: rows (one before, two before, next); ``weight``: the symbols' counts."""
     trainer = _Trainer(weight, first, seed)
-    steps = -(-len(examples) * EPOCHS // BATCH)
+    steps = -(-len(examples) * EPOCHS // trainer.batch)
     order = np.empty(0, np.int64)
     for t in range(1, steps + 1):
-        if len(order) < BATCH:
+        if len(order) < trainer.batch:
             order = np.concatenate((order, trainer.rng.permutation(len(examples))))
-        trainer.step(examples[order[:BATCH]], _rate(t / steps))
-        order = order[BATCH:]
+        trainer.step(examples[order[:trainer.batch]], _rate(t / steps))
+        order = order[trainer.batch:]
     return _model(first, trainer.p)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
 def _word_counts(texts: DataFrame) -> DataFrame:
     """h, n, ending: counts of every token but the end, by partial sums."""
 
@@ -299,8 +348,8 @@ def _word_counts(texts: DataFrame) -> DataFrame:
                                                   pa.array(e[first[a:z]], pa.int32())], names=["h", "n", "ending"])
 
         for b in batches:
-            for raw in T.utf8(b.column(0)):
-                held.append(words_and_endings(raw))
+            for words, endings, _ in tokens(T.utf8(b.column(0))):
+                held.append((words, endings))
                 size += len(held[-1][0])
                 if size > 4_000_000:
                     yield from summed()
@@ -312,33 +361,37 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return part.groupBy("h").agg(F.sum("n").alias("n"), F.max("ending").alias("ending"))
 
 
-def _examples(texts: DataFrame, shared) -> DataFrame:
-    """near, far, next: the symbols at every token of the texts, and before it."""
+def _stream(texts: DataFrame, shared) -> DataFrame:
+    """own: the symbols of the texts in their order, after the two before the first of them, in arrays of up to ``ROW``."""
 
     def run(batches):
         c: Counts = shared.value
+        kind = _kind(c.symbols)
         for b in batches:
-            for raw in T.utf8(b.column(0)):
-                own, near, far, _ = symbols(*words_and_endings(raw), c)
-                for a in range(0, len(own), CHUNK):
-                    z = a + CHUNK
-                    yield pa.RecordBatch.from_arrays([pa.array(x[a:z], pa.int32()) for x in (near, far, own)],
-                                                     names=["near", "far", "next"])
+            for words, endings, counts in tokens(T.utf8(b.column(0))):
+                own = np.concatenate(([c.end, c.end], symbols(words, endings, c, counts)[0])).astype(kind)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([own[a:a + ROW + 2].tobytes() for a in range(0, len(own) - 2, ROW)], pa.binary())], names=["own"])
+
+    return texts.select("text").mapInArrow(run, "own binary")
+
 
-    return texts.select("text").mapInArrow(run, "near int, far int, next int")
+def _kind(s: int):
+    return np.uint16 if s <= 1 << 16 else np.int32
 
 
-def _chunks(batches, nth: int = 0, stride: int = 1):
-    """Every ``stride``-th triple, from the ``nth`` on, in arrays of about ``CHUNK`` rows."""
+def _chunks(batches, s: int, end: int, nth: int = 0, stride: int = 1):
+    """Every ``stride``-th triple (one before, two before, next), from the ``nth`` on, in arrays of about ``CHUNK`` rows."""
     held, size, row = [], 0, 0
     for b in batches:
-        x = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1).astype(np.int64)
-        held.append(x[(nth - row) % stride::stride])
-        row += len(x)
-        size += len(held[-1])
-        if size >= CHUNK:
-            yield np.concatenate(held)
-            held, size = [], 0
+        for raw in b.column(0):
+            own, near, far = _with_before(np.frombuffer(raw.as_buffer(), _kind(s)).astype(np.int32), end)
+            held.append(np.stack([x[(nth - row) % stride::stride] for x in (near, far, own)], axis=1))
+            row += len(own)
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield np.concatenate(held)
+                held, size = [], 0
     if size:
         yield np.concatenate(held)
 
@@ -352,16 +405,16 @@ def _summed(parts: DataFrame, label: str) -> np.ndarray | None:
     return total
 
 
-def _profiles(triples: DataFrame, s: int, seed: int) -> DataFrame:
+def _profiles(stream: DataFrame, s: int, end: int, seed: int) -> DataFrame:
     def run(batches):
         total = None
-        for x in _chunks(batches):
+        for x in _chunks(batches, s, end):
             part = _profile(s, x, seed)
             total = part if total is None else total + part
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    return triples.mapInArrow(run, "sums binary")
+    return stream.mapInArrow(run, "sums binary")
 
 
 def _met(near: np.ndarray, far: np.ndarray, nxt: np.ndarray, of: np.ndarray, s: int, g: int) -> dict[str, np.ndarray]:
@@ -371,36 +424,36 @@ def _met(near: np.ndarray, far: np.ndarray, nxt: np.ndarray, of: np.ndarray, s:
             "group_bias": group, "bias": out}
 
 
-def _one_round(triples: DataFrame, shared, nth: int, stride: int, per_task: float, seed: int) -> DataFrame:
+def _one_round(stream: DataFrame, shared, end: int, nth: int, stride: int, per_task: float, seed: int) -> DataFrame:
     """Per task, the changes of its vectors times the times met, and those times."""
 
     def run(batches):
         p, weight, first, place = shared.value
         trainer = _Trainer(weight, first, (seed, nth, TaskContext.get().partitionId()), p)
         met, done = None, 0
-        for x in _chunks(batches, nth, stride):
+        for x in _chunks(batches, trainer.s, end, nth, stride):
             x = place[x[trainer.rng.permutation(len(x))]]
-            for a in range(0, len(x), BATCH):
-                trainer.step(x[a:a + BATCH], _rate((nth + min(1.0, done / per_task)) / ROUNDS))
-                done += BATCH
+            for a in range(0, len(x), trainer.batch):
+                trainer.step(x[a:a + trainer.batch], _rate((nth + min(1.0, done / per_task)) / ROUNDS))
+                done += trainer.batch
             here = _met(*x.T, trainer.of, trainer.s, trainer.g)
             met = here if met is None else {k: met[k] + here[k] for k in met}
         if met is not None:
             moved = [((trainer.p[k] - p[k]) * met[k][:, None]).ravel() for k in p] + [met[k] for k in p]
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(moved).astype(np.float32).tobytes()], pa.binary())], names=["sums"])
 
-    return triples.mapInArrow(run, "sums binary")
+    return stream.mapInArrow(run, "sums binary")
 
 
 def _fit(train_rows: DataFrame, c: Counts, seed: int) -> None:
     """Train the model of ``c`` on all triples and give the symbols their places in the groups."""
     spark = train_rows.sparkSession
-    triples = T.stored(_examples(train_rows, spark.sparkContext.broadcast(c)), "lm-examples")
-    tasks = max(1, min(triples.rdd.getNumPartitions(), c.tokens // TASK))
-    triples = triples.coalesce(tasks)
-    sums = _summed(_profiles(triples, c.symbols, seed), "lm-profile")
+    stream = T.stored(_stream(train_rows, spark.sparkContext.broadcast(c)), "lm-stream")
+    tasks = max(1, min(stream.rdd.getNumPartitions(), c.tokens // TASK))
+    stream = stream.coalesce(tasks)
+    sums = _summed(_profiles(stream, c.symbols, c.end, seed), "lm-profile")
     order, first = _split(np.zeros((c.symbols, 96)) if sums is None else sums.reshape(c.symbols, 96))
-    place = np.empty(c.symbols, np.int64)
+    place = np.empty(c.symbols, np.int32)
     place[order] = np.arange(c.symbols)
     weight = np.zeros(c.symbols)
     weight[c.head_symbol] = _lookup(c.heavy, c.times, c.head, 0)
@@ -412,7 +465,7 @@ def _fit(train_rows: DataFrame, c: Counts, seed: int) -> None:
         stride //= 2
     for nth in range(ROUNDS):
         shared = spark.sparkContext.broadcast((p, weight[order], first, place))
-        got = _summed(_one_round(triples, shared, nth, stride, c.tokens / tasks / stride, seed), f"lm-round{nth}")
+        got = _summed(_one_round(stream, shared, c.end, nth, stride, c.tokens / tasks / stride, seed), f"lm-round{nth}")
         if got is None:
             break
         ends = np.cumsum([x.size for x in p.values()] + [len(x) for x in p.values()])[:-1]
@@ -447,6 +500,14 @@ def _gather(train: DataFrame) -> tuple[Counts, DataFrame, int]:
                   own + np.arange(TAIL), own + TAIL, np.maximum(mass, 0.5)), counts, heavy_from
 
 
+def _counted(of: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the distinct (text, word), by text, and how often they come."""
+    order = np.lexsort((words, of))
+    of, words = of[order], words[order]
+    starts = np.flatnonzero((np.diff(of, prepend=-1) != 0) | np.concatenate(([True], words[1:] != words[:-1]))[:len(words)])
+    return order[starts], np.diff(starts, append=len(of))
+
+
 _LOCAL = ("_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, model double, "
           "rare array<struct<h:bigint,tf:int>>")
 
@@ -460,48 +521,32 @@ def _local_scores(docs: DataFrame, shared) -> DataFrame:
         log_mass = np.log10(c.mass)
         row = TaskContext.get().partitionId() << 40          # stored before it is used
         for b in batches:
-            cols: list[list] = [[], [], [], [], [], []]
-            ids = b.column(0).to_pylist()
-            held: list = []
-            logs: list = []
-
-            def flush():
-                """Model scores of the texts at hand, all their tokens at once."""
-                if held:
-                    own, near, far = (np.concatenate(x) for x in zip(*held))  # noqa: B023
-                    starts = np.cumsum([0] + [len(x[0]) for x in held[:-1]])  # noqa: B023
-                    logs.extend(np.add.reduceat(c.model.log10(own, near, far), starts).tolist())  # noqa: B023
-                    held.clear()  # noqa: B023
-
-            size = 0
-            for raw in T.utf8(b.column(1)):
-                words, endings = words_and_endings(raw)
-                own, near, far, unknown = symbols(words, endings, c)
-                held.append((own, near, far))
-                size += len(own)
-                if size >= 2 * SLICE:
-                    flush()
-                    size = 0
+            if not len(b):
+                continue
+            cols: list[list] = [[], [], [], [], []]
+            for words, endings, counts in tokens(T.utf8(b.column(1))):
+                texts = len(counts)
+                of = np.repeat(np.arange(texts), counts)     # the text of each word
+                own, near, far, unknown = symbols(words, endings, c, counts)
+                logs = np.add.reduceat(c.model.log10(own, near, far), np.cumsum(counts + 1) - counts - 1)
                 n = _lookup(c.heavy, c.times, words, 0)
-                seen = np.log10(n + 0.5)
-                in_tail = unknown >= 0
                 found = n > 0
-                base = float(seen[found].sum()) + math.log10(c.texts + 0.5)
-                share = float(seen[found & in_tail].sum()) - float(log_mass[unknown[in_tail]].sum())
-                u, tf = np.unique(words[~found], return_counts=True)
-                rare = pa.StructArray.from_arrays([pa.array(u.view(np.int64)), pa.array(tf, pa.int32())], fields=list(rare_type))
-                for col, v in zip(cols, (row, len(own), int(found.sum()) + (c.texts > 0), base, share, rare), strict=True):
+                seen = np.where(found, np.log10(n + 0.5), 0.0)
+                in_tail = unknown >= 0
+                share = np.bincount(of[in_tail], seen[in_tail] - log_mass[unknown[in_tail]], texts)
+                pairs, tf = _counted(of[~found], words[~found])
+                rare = pa.StructArray.from_arrays([pa.array(words[~found][pairs].view(np.int64)), pa.array(tf, pa.int32())], fields=list(rare_type))
+                lengths = np.bincount(of[~found][pairs], minlength=texts)
+                for col, v in zip(cols, (counts + 1, np.bincount(of[found], minlength=texts) + (c.texts > 0),
+                                         np.bincount(of, seen, texts) + math.log10(c.texts + 0.5), share + logs,
+                                         pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), rare)), strict=True):
                     col.append(v)
-                row += 1
-            flush()
-            cols[4] = [a + z for a, z in zip(cols[4], logs, strict=True)]
-            lengths = np.cumsum([0] + [len(r) for r in cols[5]])
-            rare = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()),
-                                            pa.concat_arrays(cols[5]) if cols[5] else pa.array([], rare_type))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(ids, pa.int64()), b.column(2), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.float64()), rare],
+                [pa.array(np.arange(row, row + len(b)), pa.int64()), b.column(0).cast(pa.int64()), b.column(2),
+                 *(pa.array(np.concatenate(x), t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))),
+                 pa.concat_arrays(cols[4])],
                 names=["_row", "doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"])
+            row += len(b)
 
     return docs.select("doc_id", "text", "_held").mapInArrow(run, _LOCAL)
 
