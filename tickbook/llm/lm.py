@@ -177,15 +177,18 @@ def _lookup(keys: np.ndarray, values: np.ndarray, x: np.ndarray, missing) -> np.
     return np.where(keys[at] == x, values[at], missing)
 
 
-def symbols(words: np.ndarray, endings: np.ndarray, c: Counts, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+def symbols(words: np.ndarray, endings: np.ndarray, c: Counts, counts: np.ndarray | None = None,
+            distinct: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
     """Symbol of every token and of the end, of the token before and two before it (before a
     text: the end), and the unknown class of each token (-1: it has its own symbol).
-    ``counts``: the words belong to several texts with so many each, and every text has its end."""
+    ``counts``: the words belong to several texts with so many each, and every text has its end;
+    ``distinct``: the distinct words, and the place of each word there (a search for each of these costs less)."""
+    u, at = distinct or np.unique(words, return_inverse=True)
     counts = np.array([len(words)]) if counts is None else counts
     own = np.full(len(words) + len(counts), c.end)
     a_word = np.ones(len(own), bool)
     a_word[np.cumsum(counts + 1) - 1] = False
-    known = _lookup(c.head, c.head_symbol, words, -1)
+    known = _lookup(c.head, c.head_symbol, u, -1)[at]
     unknown = np.where(known < 0, endings, -1)
     own[a_word] = np.where(known < 0, c.unknown[endings], known)
     return *_with_before(np.concatenate(([c.end, c.end], own)).astype(np.int32), c.end), unknown
@@ -527,11 +530,11 @@ def _local_scores(docs: DataFrame, shared) -> DataFrame:
             for words, endings, counts in tokens(T.utf8(b.column(1))):
                 texts = len(counts)
                 of = np.repeat(np.arange(texts), counts)     # the text of each word
-                own, near, far, unknown = symbols(words, endings, c, counts)
+                u, at = np.unique(words, return_inverse=True)
+                own, near, far, unknown = symbols(words, endings, c, counts, (u, at))
                 logs = np.add.reduceat(c.model.log10(own, near, far), np.cumsum(counts + 1) - counts - 1)
-                n = _lookup(c.heavy, c.times, words, 0)
-                found = n > 0
-                seen = np.where(found, np.log10(n + 0.5), 0.0)
+                n = _lookup(c.heavy, c.times, u, 0)
+                found, seen = (n > 0)[at], np.where(n > 0, np.log10(n + 0.5), 0.0)[at]
                 in_tail = unknown >= 0
                 share = np.bincount(of[in_tail], seen[in_tail] - log_mass[unknown[in_tail]], texts)
                 pairs, tf = _counted(of[~found], words[~found])
