@@ -209,3 +209,29 @@ def test_write_upsert_rejects_two_rows_for_a_key(spark):
         write_upsert(spark, path, spark.createDataFrame([(1, 5, "a"), (1, 6, "a")], s), ["k"], "m")
     write_upsert(spark, path, spark.createDataFrame([(1, 5, "a"), (3, 6, "a")], s), ["k"], "m")
     assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == {(1, 5), (2, 2), (3, 6)}
+
+
+def test_events_are_numbered_as_by_payload_without_storing_payloads(spark):
+    """Times that repeat or are missing, ids of several lengths."""
+    import glob
+
+    from tickbook.operators import intake
+    from tickbook.operators.outbox import outbox_rows, trade_events
+    from tickbook.session import checkpoint_root
+    from tickbook.sources.fixtures import PRICE
+    cols = f"request_seq bigint, customer_id bigint, symbol string, side string, quantity bigint, price {PRICE}, submitted_at timestamp_ntz"
+    times = [dt.datetime(2024, 1, 1), None, dt.datetime(2023, 1, 1)]
+    asked = spark.createDataFrame([(i, i % 7, f"S{i % 2}", "BUY" if i % 3 else "SELL", 1 + i % 4, None if i == 5 else 10 + i % 2, times[i % 3])
+                                   for i in range(1, 130)], "request_seq long, customer_id long, symbol string, side string, quantity long, price long, "
+                                  "submitted_at timestamp_ntz").selectExpr(*[f"CAST({c.split()[0]} AS {c.split()[1]}) AS {c.split()[0]}" for c in cols.split(", ")])
+    folder = checkpoint_root(spark).removeprefix("file:") + "/tickbook/index-event_id-*"
+    before = set(glob.glob(folder))
+    placed = jobs.place_orders(spark, asked, None)
+    done = jobs.match_book(spark, spark.read.parquet(placed["orders"]), outbox=spark.read.parquet(placed["events"]))
+    for path in set(glob.glob(folder)) - before:
+        assert "payload" not in spark.read.parquet(path).columns
+    orders, trades = spark.read.parquet(placed["orders"]), spark.read.parquet(done["trades"])
+    box = spark.read.parquet(placed["events"])
+    assert trades.count() > 10 and orders.count() == 128 and spark.read.parquet(placed["rejects"]).first().reason == "price"
+    assert sorted(box.collect()) == sorted(outbox_rows(intake.order_events(orders)).collect())
+    assert sorted(spark.read.parquet(done["events"]).collect()) == sorted(outbox_rows(trade_events(trades), box).collect())

@@ -93,3 +93,22 @@ def test_running_sums_sliced_equals_window_property(spark, rows, parts):
     got = running_sums(df, ["k"], ["o"], {"s": F.col("v")}, num_partitions=parts, sliced=True)
     want = running_sums(df, ["k"], ["o"], {"s": F.col("v")}, sliced=False)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot", "hot", "hot"]), st.none() | st.integers(-50, 50), st.none() | st.integers(-50, 50)),
+                min_size=1, max_size=300),
+       st.integers(2, 20))
+def test_running_last_sliced_equals_a_loop(spark, rows, parts):
+    from tickbook.functions.scan import running_last
+    df = spark.createDataFrame([(k, i, x, y) for i, (k, x, y) in enumerate(rows)], "k string, o long, x long, y long")
+    lasts = {"p": F.struct("x"), "q": F.col("y")}
+    lasts["p"] = F.when(F.col("x").isNotNull(), lasts["p"])
+    want, now = [], {}
+    for i, (k, x, y) in enumerate(rows):
+        p, q = now.get(k, (None, None))
+        now[k] = p, q = (p if x is None else (x,), q if y is None else y)
+        want.append((k, i, x, y, p, q))
+    for sliced in (True, False):
+        got = [(*r[:4], r.p and tuple(r.p), r.q) for r in running_last(df, ["k"], ["o"], lasts, parts, sliced=sliced).collect()]
+        assert sorted(got, key=lambda r: r[1]) == want
