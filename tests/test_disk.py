@@ -138,3 +138,23 @@ def test_deliveries_hold_every_message_in_time_order(spark, monkeypatch):
     assert second > 1 and parts[:second] == parts[second:2 * second]
     assert sum(parts[second:], []) == timed and max(map(len, parts)) < 30
     assert len(registry._deliveries(m.where("t IS NULL"), "t")) == 3
+
+
+@pytest.mark.parametrize("limit", [None, "100"])
+def test_order_flow_leaves_its_tables_only(spark, sf, limit):
+    def run(path):
+        return _rows(registry.QUERIES["order_flow_two_runs"](spark, path))
+    with left_behind(spark) as left, conf(spark, MAX_KEY_ROWS_CONF, limit or "4000000"):
+        got = run(sf)
+    assert left == {"fixture-lines": 1, "topics": 1, "dispatched": 1, "orders": 1, "holdings": 1, "trades": 2, "events": 4, "rejects": 2}
+    assert len(got) > 1000 and len({r.split(",")[0] for r in got}) == len(got)
+    if limit:
+        assert got == run(SF001)
+
+
+def test_a_sliced_sweep_leaves_its_pairs_only(spark):
+    book = fx.book(spark, SF001)
+    want = _rows(matching.match_price_time(book))
+    with left_behind(spark) as left, conf(spark, MAX_KEY_ROWS_CONF, "50"):
+        got = _rows(matching.match_price_time(book))
+    assert got == want and left == {"book-scan-out": 1, "index-trade_id": 1}
