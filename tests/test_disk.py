@@ -152,6 +152,15 @@ def test_order_flow_leaves_its_tables_only(spark, sf, limit):
         assert got == run(SF001)
 
 
+@pytest.mark.parametrize("limit", ["100", "1000000"])
+def test_time_rule_leaves_its_numbered_trades_only(spark, sf, limit):
+    with left_behind(spark) as left, conf(spark, CELL_ROWS_CONF, limit):
+        got = registry.QUERIES["match_time_rule"](spark, sf)
+        rows = _rows(got)
+    assert left == {"fixture-lines": 1, "index-trade_id": 1}
+    assert rows == _rows(registry.QUERIES["match_time_rule"](spark, SF001)) and len(rows) > 100
+
+
 def test_a_sliced_sweep_leaves_its_pairs_only(spark):
     book = fx.book(spark, SF001)
     want = _rows(matching.match_price_time(book))
